@@ -214,7 +214,8 @@ def result_json(result: Column) -> Column:
 
 def result_long(results: DataFrame) -> DataFrame:
     """One row per (job, field): ``job_id, ord, field, value, source``."""
+    # explode_outer + filter: see catalog.rules_documents (no inferred size() filter)
     return results.filter(F.col("error_class").isNull()).select(
-        "job_id", F.posexplode("result").alias("ord", "r")).select(
+        "job_id", F.posexplode_outer("result").alias("ord", "r")).filter(F.col("ord").isNotNull()).select(
         "job_id", F.col("ord").cast("int").alias("ord"), F.col("r.field").alias("field"),
         F.col("r.value").alias("value"), F.col("r.source").alias("source"))

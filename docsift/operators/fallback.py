@@ -45,22 +45,22 @@ def schema_block(fields: Column) -> Column:
         F.concat(F.lit("{\n"), F.array_join(lines, ",\n"), F.lit("\n}")))
 
 
+PROMPT_HEAD = ("Read the document text below and extract the listed fields.\n\n"
+               "SCHEMA (field_name: description):\n")
+PROMPT_MID = "\n\nPDF TEXT:\n---\n"
+PROMPT_TAIL = ("\n---\n\nINSTRUCTIONS:\n"
+               "- Use each field's description to find its value\n"
+               "- Answer with a JSON object keyed by field name\n"
+               "- Use null for any field the text does not contain\n"
+               "- Include no keys other than the schema's fields\n"
+               "- Keep every field name exactly as written in the schema\n\n"
+               "Answer with a valid JSON object only.")
+
+
 def render_prompt(text: Column, fields: Column) -> Column:
     """User prompt: task line, schema block, text between ``---`` lines, five instructions."""
-    return F.concat(
-        F.lit("Read the document text below and extract the listed fields.\n\n"
-              "SCHEMA (field_name: description):\n"),
-        schema_block(fields),
-        F.lit("\n\nPDF TEXT:\n---\n"),
-        F.coalesce(text, F.lit("")),
-        F.lit("\n---\n\nINSTRUCTIONS:\n"
-              "- Use each field's description to find its value\n"
-              "- Answer with a JSON object keyed by field name\n"
-              "- Use null for any field the text does not contain\n"
-              "- Include no keys other than the schema's fields\n"
-              "- Keep every field name exactly as written in the schema\n\n"
-              "Answer with a valid JSON object only."),
-    )
+    return F.concat(F.lit(PROMPT_HEAD), schema_block(fields), F.lit(PROMPT_MID),
+                    F.coalesce(text, F.lit("")), F.lit(PROMPT_TAIL))
 
 
 def build_requests(pending: DataFrame, *, model: str = DEFAULT_MODEL) -> DataFrame:
