@@ -4,11 +4,15 @@ Per row (one document + one request):
 
 1. ``plan``   - which extractor each field's label rule / generic rule uses;
 2. ``needed`` - the distinct extractors the plan refers to;
-3. ``vals``   - every needed extractor evaluated once on the text (plain Columns,
-   so they stay inside whole-stage codegen; unrequested extractors never run);
+3. staged regex evaluation - stage *k* evaluates the *k*-th alternative of every
+   needed extractor whose earlier alternatives all missed. Each alternative is
+   its own column, so every regex runs at most once per row (a regex inside a
+   conditional branch is not shared by Spark's subexpression elimination) and
+   an alternative that is not needed never runs;
 4. ``rule_values`` - per field ``coalesce(label value, generic value)``.
 
-Everything is a narrow projection: no shuffle, no UDF, no Python worker.
+Stages are plain projections of built-in expressions (whole-stage codegen);
+only the cheap per-field steps use higher-order functions. No shuffle, no UDF.
 """
 
 from __future__ import annotations
@@ -16,43 +20,84 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsift.operators.rules import DEFERRED, EXTRACTOR_IDS, EXTRACTOR_INDEX, EXTRACTORS
+from docsift.functions.regex import found, rx, strip
+from docsift.operators.rules import EXTRACTOR_IDS, EXTRACTORS, Alt, Extractor
 from docsift.plans.rule_plan import field_plan
 
 SOURCE_LABEL = "label_rules"
 SOURCE_GENERIC = "generic_rules"
+MAX_ALTS = max(len(e.alts) for e in EXTRACTORS.values())
 
 
 def _needed(plan: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(plan, lambda p: F.array(p["label_x"], p["generic_x"]))))
 
 
-def _values(text: Column, needed: Column) -> Column:
-    return F.array(*[
-        F.when(F.array_contains(needed, F.lit(i)), EXTRACTORS[x](text))
-        for i, x in enumerate(EXTRACTOR_IDS)
-    ])
+def _raw(alt: Alt, text: Column) -> Column:
+    """Unfinished value of one alternative: ``''`` (or empty array) when it does not match."""
+    if alt.many:
+        return F.regexp_extract_all(text, F.lit(rx(alt.pattern, alt.flags)), F.lit(alt.group))
+    return F.regexp_extract(text, rx(alt.pattern, alt.flags), alt.group)
 
 
-def _deferred_raw(df: DataFrame, text: str) -> DataFrame:
-    """Raw tail alternatives, only where the extractor is needed and found nothing yet."""
-    for x, (raw, _finish) in DEFERRED.items():
-        i = EXTRACTOR_INDEX[x]
-        df = df.withColumn(f"_raw_{i}", F.when(
-            F.array_contains(F.col("_needed"), F.lit(i)) & F.get(F.col("_vals0"), F.lit(i)).isNull(),
-            raw(F.col(text))))
-    return df
+def _missed(alt: Alt, raw: Column) -> Column:
+    return (F.size(raw) == 0) if alt.many else (raw == F.lit(""))
 
 
-def _finish_values() -> Column:
-    """Final value array: first-stage values, with deferred tails finished (no regex here)."""
-    out = []
-    for i, x in enumerate(EXTRACTOR_IDS):
-        v = F.get(F.col("_vals0"), F.lit(i))
-        if x in DEFERRED:
-            v = F.coalesce(v, DEFERRED[x][1](F.col(f"_raw_{i}")))
-        out.append(v)
-    return F.array(*out)
+def _finish(alt: Alt, raw: Column) -> Column:
+    """Finished value of one alternative; null when it did not run or did not match."""
+    if alt.many:
+        return alt.finish(raw) if alt.finish else raw
+    v = F.nullif(raw, F.lit(""))
+    if alt.strip:
+        v = strip(v)
+    if alt.finish:
+        v = alt.finish(v)
+    return v
+
+
+def _col(i: int, k: int) -> str:
+    return f"_x{i}_{k}"
+
+
+def staged_values(df: DataFrame, text: str, needed: Column | None, ids=EXTRACTOR_IDS) -> DataFrame:
+    """Add one finished column ``_v<i>`` per extractor index ``i`` in ``ids``.
+
+    ``needed``: array<int> Column of extractor indexes to run (None: all of ``ids``).
+    """
+    index = {x: EXTRACTOR_IDS.index(x) for x in ids}
+    t = F.col(text)
+
+    def need(i: int) -> Column:
+        return F.lit(True) if needed is None else F.array_contains(needed, F.lit(i))
+
+    # stage 0: extractor-wide gates, once per row
+    gates = {x: f"_g{index[x]}" for x in ids if EXTRACTORS[x].gate}
+    if gates:
+        df = df.withColumns({g: need(index[x]) & found(t, *EXTRACTORS[x].gate) for x, g in gates.items()})
+
+    for k in range(MAX_ALTS):
+        cols = {}
+        for x in ids:
+            ext: Extractor = EXTRACTORS[x]
+            if k >= len(ext.alts):
+                continue
+            i, alt = index[x], ext.alts[k]
+            cond = F.col(gates[x]) if x in gates else need(i)
+            for j in range(k):
+                cond = cond & _missed(ext.alts[j], F.col(_col(i, j)))
+            if alt.gate:
+                cond = cond & found(t, *alt.gate)
+            cols[_col(i, k)] = F.when(cond, _raw(alt, t))
+        df = df.withColumns(cols)
+
+    finished = {}
+    for x in ids:
+        i, ext = index[x], EXTRACTORS[x]
+        alts = [_finish(a, F.col(_col(i, k))) for k, a in enumerate(ext.alts)]
+        finished[f"_v{i}"] = alts[0] if len(alts) == 1 else F.coalesce(*alts)
+    drop = [_col(index[x], k) for x in ids for k in range(len(EXTRACTORS[x].alts))] + list(gates.values())
+    return df.withColumns(finished).drop(*drop)
 
 
 def _field_value(plan_entry: Column, vals: Column) -> Column:
@@ -76,27 +121,20 @@ def apply_rules(df: DataFrame, *, label: str = "label", fields: str = "fields",
     """
     out = (df
            .withColumn("_plan", field_plan(F.col(label), F.col(fields)))
-           .withColumn("_needed", _needed(F.col("_plan")))
-           .withColumn("_vals0", _values(F.col(text), F.col("_needed"))))
-    out = (_deferred_raw(out, text)
-           .withColumn("_vals", _finish_values())
+           .withColumn("_needed", _needed(F.col("_plan"))))
+    out = staged_values(out, text, F.col("_needed"))
+    vals = F.array(*[F.col(f"_v{i}") for i in range(len(EXTRACTOR_IDS))])
+    out = (out
+           .withColumn("_vals", vals)
            .withColumn("rule_values", F.transform(F.col("_plan"), lambda p: _field_value(p, F.col("_vals"))))
            .withColumn("found_all", F.forall("rule_values", lambda v: v["value"].isNotNull())))
     if keep_plan:
         out = out.withColumnRenamed("_plan", "plan")
-    drop = ["_plan", "_needed", "_vals0", "_vals"] + [f"_raw_{EXTRACTOR_INDEX[x]}" for x in DEFERRED]
+    drop = ["_plan", "_needed", "_vals"] + [f"_v{i}" for i in range(len(EXTRACTOR_IDS))]
     return out.drop(*drop)
 
 
-def extractor(x: str, text: Column) -> Column:
-    """The complete extractor ``x`` as one Column (deferred tail included)."""
-    v = EXTRACTORS[x](text)
-    if x in DEFERRED:
-        raw, finish = DEFERRED[x]
-        v = F.coalesce(v, finish(raw(text)))
-    return v
-
-
 def extractor_values(df: DataFrame, ids: list[str], *, text: str = "text") -> DataFrame:
-    """One column per named extractor (for rule-level reports and tests)."""
-    return df.select("*", *[extractor(x, F.col(text)).alias(x) for x in ids])
+    """One column per named extractor, each regex evaluated once (rule-level reports)."""
+    out = staged_values(df, text, None, ids)
+    return out.withColumnsRenamed({f"_v{EXTRACTOR_IDS.index(x)}": x for x in ids})

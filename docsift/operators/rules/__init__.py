@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 from docsift.operators.rules import generic, oab, sistema
-from docsift.operators.rules.bank import Extractor, Rule, RuleBank
+from docsift.operators.rules.bank import Alt, Extractor, Rule, RuleBank
 
 # Routing order matters: a label containing both keywords goes to the first bank.
 LABEL_BANKS: tuple[RuleBank, ...] = (oab.BANK, sistema.BANK)
 GENERIC_BANK: RuleBank = generic.BANK
+ALL_BANKS: tuple[RuleBank, ...] = LABEL_BANKS + (GENERIC_BANK,)
 
 EXTRACTORS: dict[str, Extractor] = {**oab.EXTRACTORS, **sistema.EXTRACTORS, **generic.EXTRACTORS}
 EXTRACTOR_IDS: tuple[str, ...] = tuple(EXTRACTORS)
 EXTRACTOR_INDEX: dict[str, int] = {k: i for i, k in enumerate(EXTRACTOR_IDS)}
-# extractor id -> (raw text -> Column, finish raw -> Column); see sistema.product.
-DEFERRED = dict(sistema.DEFERRED)
 
-__all__ = ["Rule", "RuleBank", "LABEL_BANKS", "GENERIC_BANK", "EXTRACTORS",
-           "EXTRACTOR_IDS", "EXTRACTOR_INDEX", "DEFERRED"]
+# Every rule gets a global number; plans carry the number, reports its name.
+RULES: tuple[tuple[str, Rule], ...] = tuple((b.family, r) for b in ALL_BANKS for r in b.rules)
+RULE_INDEX: dict[tuple[str, str], int] = {(fam, r.name): i for i, (fam, r) in enumerate(RULES)}
+RULE_NAMES: tuple[str, ...] = tuple(f"{fam}.{r.name}" for fam, r in RULES)
+RULE_EXTRACTOR: tuple[int, ...] = tuple(EXTRACTOR_INDEX[r.extractor] for _fam, r in RULES)
+
+__all__ = ["Alt", "Extractor", "Rule", "RuleBank", "LABEL_BANKS", "GENERIC_BANK", "ALL_BANKS",
+           "EXTRACTORS", "EXTRACTOR_IDS", "EXTRACTOR_INDEX", "RULES", "RULE_INDEX", "RULE_NAMES",
+           "RULE_EXTRACTOR"]

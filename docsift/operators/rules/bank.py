@@ -1,10 +1,15 @@
-"""Rule and rule-bank specs.
-
-A rule is two Column builders: a *trigger* over the requested field's name and
-description, and an *extractor* over the document text. Triggers never look at
-the text and extractors never look at the field, so the per-field work is a
-cheap string test and each extractor runs at most once per document, however
-many fields share it.
+"""Rule, extractor and rule-bank specs.
+
+A rule is a *trigger* over the requested field (name and description) plus the
+id of an *extractor* over the document text. Triggers never look at the text and
+extractors never look at the field, so the per-field work is a cheap string
+test and each extractor runs at most once per document, however many fields
+share it.
+
+An extractor is data, not code: an ordered list of regex alternatives (the first
+that matches wins) with optional gates. The engine turns it into staged Spark
+projections so that every regex is evaluated at most once per row and only when
+the earlier alternatives found nothing (:mod:`docsift.operators.engine`).
 """
 
 from __future__ import annotations
@@ -15,8 +20,46 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-Trigger = Callable[[Column, Column], Column]   # (field, description) -> boolean
-Extractor = Callable[[Column], Column]         # text -> nullable string
+# (lowered field name, upper-cased field name, upper-cased description, description)
+Trigger = Callable[["FieldView"], Column]
+
+
+@dataclass(frozen=True)
+class FieldView:
+    """Case-folded views of one requested field, computed once per field."""
+
+    lower: Column
+    upper: Column
+    desc_upper: Column
+    desc: Column
+
+
+@dataclass(frozen=True)
+class Alt:
+    """One regex alternative.
+
+    ``group``: capture group returned (0 = whole match). ``gate``: ``(pattern, flags)``
+    that must occur in the text for this alternative to be tried (tested lazily,
+    only when the earlier alternatives missed). ``many``: all matches, left to right
+    (``re.findall``), handed to ``finish``. ``strip``: Python ``str.strip()`` on the
+    value. ``finish``: Column -> Column applied last (to the array when ``many``).
+    """
+
+    pattern: str
+    flags: str = ""
+    group: int = 1
+    gate: tuple[str, str] | None = None
+    many: bool = False
+    strip: bool = False
+    finish: Callable[[Column], Column] | None = None
+
+
+@dataclass(frozen=True)
+class Extractor:
+    """Ordered alternatives; ``gate`` must occur for any of them to be tried."""
+
+    alts: tuple[Alt, ...]
+    gate: tuple[str, str] | None = None
 
 
 @dataclass(frozen=True)
@@ -40,33 +83,35 @@ class RuleBank:
     rules: tuple[Rule, ...]
 
 
-def lower_has_any(*words: str) -> Trigger:
+def name_has_any(*words: str) -> Trigger:
     """Lower-cased field name contains any of ``words`` (substring test, not LIKE)."""
 
-    def trig(field: Column, _desc: Column) -> Column:
-        low = F.lower(field)
-        out = low.contains(words[0])
+    def trig(f: FieldView) -> Column:
+        out = f.lower.contains(words[0])
         for w in words[1:]:
-            out = out | low.contains(w)
+            out = out | f.lower.contains(w)
         return out
 
     return trig
 
 
-def lower_has_all(*words: str, without: tuple[str, ...] = ()) -> Trigger:
+def name_has_all(*words: str, without: tuple[str, ...] = ()) -> Trigger:
     """Lower-cased field name contains every word in ``words`` and none in ``without``."""
 
-    def trig(field: Column, _desc: Column) -> Column:
-        low = F.lower(field)
-        out = low.contains(words[0])
+    def trig(f: FieldView) -> Column:
+        out = f.lower.contains(words[0])
         for w in words[1:]:
-            out = out & low.contains(w)
+            out = out & f.lower.contains(w)
         for w in without:
-            out = out & ~low.contains(w)
+            out = out & ~f.lower.contains(w)
         return out
 
     return trig
 
 
 def both(a: Trigger, b: Trigger) -> Trigger:
-    return lambda field, desc: a(field, desc) & b(field, desc)
+    return lambda f: a(f) & b(f)
+
+
+def field_view(name: Column, desc: Column) -> FieldView:
+    return FieldView(lower=F.lower(name), upper=F.upper(name), desc_upper=F.upper(desc), desc=desc)

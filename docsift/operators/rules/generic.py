@@ -7,10 +7,8 @@ regex and keyword below must equal the reference's.
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-from docsift.functions.regex import first_of, found, group, strip, whole
-from docsift.operators.rules.bank import Rule, RuleBank
+from docsift.operators.rules.bank import Alt, Extractor, FieldView, Rule, RuleBank
 
 # --- fixed values -----------------------------------------------------------
 CPF_FORMATTED = r"\b(\d{3}\.\d{3}\.\d{3}-\d{2})\b"
@@ -24,40 +22,25 @@ DATE_LONG = r"\b(\d{2}/\d{2}/\d{4})\b"
 DATE_SHORT = r"\b(\d{2}/\d{2}/\d{2})\b"
 # ---------------------------------------------------------------------------
 
-
-def cpf(text: Column) -> Column:
-    return strip(first_of(group(text, CPF_FORMATTED), group(text, CPF_DIGITS)))
-
-
-def phone(text: Column) -> Column:
-    """Shared by the card bank and the generic bank: same gate, same alternatives."""
-    number = first_of(whole(text, PHONE_AREA), whole(text, PHONE_SPACED), whole(text, PHONE_DIGITS))
-    return F.when(found(text, PHONE_WORD, "i"), strip(number))
-
-
-def date(text: Column) -> Column:
-    return strip(first_of(group(text, DATE_LONG), group(text, DATE_SHORT)))
-
-
 EXTRACTORS = {
-    "gen_cpf": cpf,
-    "telefone": phone,
-    "gen_data": date,
+    "gen_cpf": Extractor((Alt(CPF_FORMATTED, strip=True), Alt(CPF_DIGITS, strip=True))),
+    # shared by the card bank and the generic bank: same gate, same alternatives
+    "telefone": Extractor((Alt(PHONE_AREA, group=0, strip=True), Alt(PHONE_SPACED, group=0, strip=True),
+                           Alt(PHONE_DIGITS, group=0, strip=True)), gate=(PHONE_WORD, "i")),
+    "gen_data": Extractor((Alt(DATE_LONG, strip=True), Alt(DATE_SHORT, strip=True))),
 }
 
 
-def _cpf_trigger(field: Column, desc: Column) -> Column:
-    return (F.upper(field).contains("CPF") | F.upper(desc).contains("CPF")
-            | desc.contains(CPF_MASK))
+def _cpf_trigger(f: FieldView) -> Column:
+    return f.upper.contains("CPF") | f.desc_upper.contains("CPF") | f.desc.contains(CPF_MASK)
 
 
-def _phone_trigger(field: Column, desc: Column) -> Column:
-    return F.upper(field).contains("TELEFONE") | F.upper(desc).contains("TELEFONE")
+def _phone_trigger(f: FieldView) -> Column:
+    return f.upper.contains("TELEFONE") | f.desc_upper.contains("TELEFONE")
 
 
-def _date_trigger(field: Column, desc: Column) -> Column:
-    up = F.upper(desc)
-    return F.upper(field).contains("DATA") | up.contains("DD/MM/YYYY") | up.contains("DATE")
+def _date_trigger(f: FieldView) -> Column:
+    return f.upper.contains("DATA") | f.desc_upper.contains("DD/MM/YYYY") | f.desc_upper.contains("DATE")
 
 
 BANK = RuleBank(

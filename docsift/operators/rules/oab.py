@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docsift.functions.regex import first_of, found, group, rx, strip, whole
-from docsift.operators.rules.bank import Rule, RuleBank, lower_has_any
+from docsift.functions.regex import rx, strip
+from docsift.operators.rules.bank import Alt, Extractor, Rule, RuleBank, name_has_any
 
 # --- fixed values -----------------------------------------------------------
 NAME = r"\b([A-ZÀ-Ú]+(?:[\s'][A-ZÀ-Ú]+)*)\b"
@@ -29,48 +29,26 @@ STATUS = r"SITUA[CÇ](?:A[OÃ]|Ã[OÃ])\s+([A-ZÀ-Ú]+)"
 # ---------------------------------------------------------------------------
 
 
-def name(text: Column) -> Column:
-    return strip(group(text, NAME))
+def address_lines(span: Column) -> Column:
+    """The three address groups joined by newlines, read from the (short) matched span.
 
-
-def registration(text: Column) -> Column:
-    return strip(group(text, REGISTRATION))
-
-
-def section(text: Column) -> Column:
-    # The bare state code is only searched when the word "Seccional" is present.
-    by_code = F.when(found(text, SECTION_WORD, "i"), group(text, STATE_CODE))
-    return strip(first_of(group(text, COUNCIL_CODE, "i"), by_code))
-
-
-def subsection(text: Column) -> Column:
-    return strip(first_of(group(text, SUBSECTION_DASH, "i"), group(text, SUBSECTION_PLAIN, "i")))
-
-
-def category(text: Column) -> Column:
-    return strip(group(text, CATEGORY, "i"))
-
-
-def address(text: Column) -> Column:
-    # One scan of the whole text finds the match; the three groups are then read
-    # from the (short) matched span instead of scanning the text three times.
-    span = whole(text, ADDRESS, "i")
+    One scan of the whole text finds the match; the groups are then re-read from
+    the span instead of scanning the text three times.
+    """
     parts = [F.regexp_extract(span, rx(ADDRESS, "i"), i) for i in (1, 2, 3)]
     return F.when(span.isNotNull(), strip(F.concat_ws("\n", *parts)))
 
 
-def status(text: Column) -> Column:
-    return strip(group(text, STATUS, "i"))
-
-
 EXTRACTORS = {
-    "oab_nome": name,
-    "oab_inscricao": registration,
-    "oab_seccional": section,
-    "oab_subsecao": subsection,
-    "oab_categoria": category,
-    "oab_endereco": address,
-    "oab_situacao": status,
+    "oab_nome": Extractor((Alt(NAME, strip=True),)),
+    "oab_inscricao": Extractor((Alt(REGISTRATION, strip=True),)),
+    # the bare state code is only searched when the word "Seccional" is present
+    "oab_seccional": Extractor((Alt(COUNCIL_CODE, "i", strip=True),
+                                Alt(STATE_CODE, gate=(SECTION_WORD, "i"), strip=True))),
+    "oab_subsecao": Extractor((Alt(SUBSECTION_DASH, "i", strip=True), Alt(SUBSECTION_PLAIN, "i", strip=True))),
+    "oab_categoria": Extractor((Alt(CATEGORY, "i", strip=True),)),
+    "oab_endereco": Extractor((Alt(ADDRESS, "i", group=0, finish=address_lines),)),
+    "oab_situacao": Extractor((Alt(STATUS, "i", strip=True),)),
 }
 
 # Trigger cascade, in priority order (fixed keywords).
@@ -78,13 +56,13 @@ BANK = RuleBank(
     family="oab",
     label_keyword="oab",
     rules=(
-        Rule("nome", lower_has_any("nome"), "oab_nome"),
-        Rule("inscricao", lower_has_any("inscricao", "inscriçao", "inscriçâo", "oab"), "oab_inscricao"),
-        Rule("seccional", lower_has_any("seccional"), "oab_seccional"),
-        Rule("subsecao", lower_has_any("subsec", "subseç"), "oab_subsecao"),
-        Rule("categoria", lower_has_any("categoria"), "oab_categoria"),
-        Rule("endereco", lower_has_any("endereco", "endereço"), "oab_endereco"),
-        Rule("telefone", lower_has_any("telefone"), "telefone"),
-        Rule("situacao", lower_has_any("situacao", "situação"), "oab_situacao"),
+        Rule("nome", name_has_any("nome"), "oab_nome"),
+        Rule("inscricao", name_has_any("inscricao", "inscriçao", "inscriçâo", "oab"), "oab_inscricao"),
+        Rule("seccional", name_has_any("seccional"), "oab_seccional"),
+        Rule("subsecao", name_has_any("subsec", "subseç"), "oab_subsecao"),
+        Rule("categoria", name_has_any("categoria"), "oab_categoria"),
+        Rule("endereco", name_has_any("endereco", "endereço"), "oab_endereco"),
+        Rule("telefone", name_has_any("telefone"), "telefone"),
+        Rule("situacao", name_has_any("situacao", "situação"), "oab_situacao"),
     ),
 )

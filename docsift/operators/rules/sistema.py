@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docsift.functions.regex import all_groups, first_of, group, strip
-from docsift.operators.rules.bank import Rule, RuleBank, both, lower_has_all, lower_has_any
+from docsift.operators.rules.bank import Alt, Extractor, Rule, RuleBank, both, name_has_all, name_has_any
 
 # --- fixed values -----------------------------------------------------------
 CITY = r"Cidade:\s+([A-Za-zÀ-úç\s]+?)\s+U\.F"
@@ -37,103 +36,44 @@ INSTALMENT_VALUE = r"VIr\.?\s*Parc\.\s+(\d+(?:\.\d+)?,\d+)"
 # ---------------------------------------------------------------------------
 
 
-def city(text: Column) -> Column:
-    return strip(group(text, CITY, "i"))
-
-
-def search_by(text: Column) -> Column:
-    return group(text, SEARCH_BY, "is")
-
-
-def search_kind(text: Column) -> Column:
-    return group(text, SEARCH_KIND, "is")
-
-
-def product(text: Column) -> Column:
-    """First alternative only: the run after the word "Produto"."""
-    return strip(group(text, PRODUCT_LABELLED))
-
-
-def product_runs(text: Column) -> Column:
-    """Second alternative, raw: every upper-case run, left to right."""
-    return all_groups(text, UPPER_RUN)
-
-
-def product_pick(runs: Column) -> Column:
-    """Second alternative, finish: first run that is not excluded and long enough.
-
-    Kept apart from :func:`product_runs` because the lambda is not code-generated;
-    the engine applies it in a later projection that runs no regex.
-    """
+def pick_product(runs: Column) -> Column:
+    """First upper-case run that is not excluded and is long enough (no strip)."""
     excluded = F.array(*[F.lit(w) for w in PRODUCT_EXCLUDED])
     return F.get(F.filter(runs, lambda w: ~F.array_contains(excluded, w)
                           & (F.length(w) >= PRODUCT_MIN_LEN)), 0)
 
 
-def instalment_count(text: Column) -> Column:
-    return first_of(group(text, COUNT_LABELLED, "i"), group(text, COUNT_NEAR, "i"))
-
-
-def selection(text: Column) -> Column:
-    return first_of(group(text, SELECTION_LABELLED, "i"), group(text, SELECTION_NEAR, "is"))
-
-
-def system(text: Column) -> Column:
-    return first_of(group(text, SYSTEM_WITH_VALUE), group(text, SYSTEM_PLAIN))
-
-
-def operation(text: Column) -> Column:
-    return first_of(group(text, OPERATION_LABELLED, "i"), group(text, OPERATION_WORD, "i"))
-
-
-def system_kind(text: Column) -> Column:
-    return first_of(group(text, SYSTEM_KIND_LABELLED, "i"), group(text, SYSTEM_KIND_NEAR, "is"))
-
-
-def total(text: Column) -> Column:
-    return first_of(group(text, TOTAL_LABELLED, "i"), group(text, TOTAL_GENERAL, "i"))
-
-
-def instalment_value(text: Column) -> Column:
-    return group(text, INSTALMENT_VALUE, "i")
-
-
 EXTRACTORS = {
-    "sis_cidade": city,
-    "sis_pesquisa_por": search_by,
-    "sis_pesquisa_tipo": search_kind,
-    "sis_produto": product,
-    "sis_quantidade_parcelas": instalment_count,
-    "sis_selecao_parcelas": selection,
-    "sis_sistema": system,
-    "sis_tipo_operacao": operation,
-    "sis_tipo_sistema": system_kind,
-    "sis_total_parcelas": total,
-    "sis_valor_parcela": instalment_value,
+    "sis_cidade": Extractor((Alt(CITY, "i", strip=True),)),
+    "sis_pesquisa_por": Extractor((Alt(SEARCH_BY, "is"),)),
+    "sis_pesquisa_tipo": Extractor((Alt(SEARCH_KIND, "is"),)),
+    "sis_produto": Extractor((Alt(PRODUCT_LABELLED, strip=True),
+                              Alt(UPPER_RUN, many=True, finish=pick_product))),
+    "sis_quantidade_parcelas": Extractor((Alt(COUNT_LABELLED, "i"), Alt(COUNT_NEAR, "i"))),
+    "sis_selecao_parcelas": Extractor((Alt(SELECTION_LABELLED, "i"), Alt(SELECTION_NEAR, "is"))),
+    "sis_sistema": Extractor((Alt(SYSTEM_WITH_VALUE), Alt(SYSTEM_PLAIN))),
+    "sis_tipo_operacao": Extractor((Alt(OPERATION_LABELLED, "i"), Alt(OPERATION_WORD, "i"))),
+    "sis_tipo_sistema": Extractor((Alt(SYSTEM_KIND_LABELLED, "i"), Alt(SYSTEM_KIND_NEAR, "is"))),
+    "sis_total_parcelas": Extractor((Alt(TOTAL_LABELLED, "i"), Alt(TOTAL_GENERAL, "i"))),
+    "sis_valor_parcela": Extractor((Alt(INSTALMENT_VALUE, "i"),)),
 }
 
-# Extractors whose last alternative needs a lambda: (raw, finish), run only when
-# the first alternatives found nothing.
-DEFERRED = {"sis_produto": (product_runs, product_pick)}
-
 # Trigger cascade, in priority order (fixed keywords).
 BANK = RuleBank(
     family="sistema",
     label_keyword="sistema",
     rules=(
-        Rule("cidade", lower_has_any("cidade"), "sis_cidade"),
-        Rule("pesquisa_por", lower_has_any("pesquisa_por"), "sis_pesquisa_por"),
-        Rule("pesquisa_tipo", lower_has_any("pesquisa_tipo"), "sis_pesquisa_tipo"),
-        Rule("produto", lower_has_any("produto"), "sis_produto"),
-        Rule("quantidade_parcelas", lower_has_all("quantidade", "parcela"), "sis_quantidade_parcelas"),
-        Rule("selecao_parcelas",
-             both(lower_has_any("selecao", "seleção"), lower_has_all("parcela")),
+        Rule("cidade", name_has_any("cidade"), "sis_cidade"),
+        Rule("pesquisa_por", name_has_any("pesquisa_por"), "sis_pesquisa_por"),
+        Rule("pesquisa_tipo", name_has_any("pesquisa_tipo"), "sis_pesquisa_tipo"),
+        Rule("produto", name_has_any("produto"), "sis_produto"),
+        Rule("quantidade_parcelas", name_has_all("quantidade", "parcela"), "sis_quantidade_parcelas"),
+        Rule("selecao_parcelas", both(name_has_any("selecao", "seleção"), name_has_all("parcela")),
              "sis_selecao_parcelas"),
-        Rule("sistema", lower_has_all("sistema", without=("tipo",)), "sis_sistema"),
-        Rule("tipo_operacao", lower_has_all("tipo", "operacao"), "sis_tipo_operacao"),
-        Rule("tipo_sistema", lower_has_all("tipo", "sistema", without=("operacao",)),
-             "sis_tipo_sistema"),
-        Rule("total_parcelas", lower_has_all("total", "parcela"), "sis_total_parcelas"),
-        Rule("valor_parcela", lower_has_all("valor", "parcela"), "sis_valor_parcela"),
+        Rule("sistema", name_has_all("sistema", without=("tipo",)), "sis_sistema"),
+        Rule("tipo_operacao", name_has_all("tipo", "operacao"), "sis_tipo_operacao"),
+        Rule("tipo_sistema", name_has_all("tipo", "sistema", without=("operacao",)), "sis_tipo_sistema"),
+        Rule("total_parcelas", name_has_all("total", "parcela"), "sis_total_parcelas"),
+        Rule("valor_parcela", name_has_all("valor", "parcela"), "sis_valor_parcela"),
     ),
 )

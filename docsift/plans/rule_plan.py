@@ -2,6 +2,9 @@
 
 The plan depends only on (label, field name, description), never on the text,
 so it is a cheap per-row string expression: no join, no broadcast, no shuffle.
+Each field is case-folded once; the cascades then only run ``contains`` tests and
+yield a rule number, from which the extractor index and the rule name are looked
+up in literal arrays.
 """
 
 from __future__ import annotations
@@ -9,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docsift.operators.rules import EXTRACTOR_INDEX, GENERIC_BANK, LABEL_BANKS, RuleBank
+from docsift.operators.rules import GENERIC_BANK, LABEL_BANKS, RULE_EXTRACTOR, RULE_INDEX, RULE_NAMES, RuleBank
+from docsift.operators.rules.bank import FieldView
 
 
 def family(label: Column) -> Column:
@@ -22,44 +26,66 @@ def family(label: Column) -> Column:
     return out
 
 
-def _cascade(bank: RuleBank, field: Column, desc: Column, what: str) -> Column:
-    """CASE over the bank's triggers in order; ``what`` is ``"name"`` or ``"index"``."""
+def _cascade(bank: RuleBank, view: FieldView) -> Column:
+    """CASE over the bank's triggers in order -> global rule number (null: no trigger)."""
     out = None
     for rule in bank.rules:
-        val = (F.lit(f"{bank.family}.{rule.name}") if what == "name"
-               else F.lit(EXTRACTOR_INDEX[rule.extractor]))
-        cond = rule.trigger(field, desc)
-        out = F.when(cond, val) if out is None else out.when(cond, val)
+        num = F.lit(RULE_INDEX[(bank.family, rule.name)])
+        cond = rule.trigger(view)
+        out = F.when(cond, num) if out is None else out.when(cond, num)
     return out
 
 
-def _label_cascade(fam: Column, field: Column, desc: Column, what: str) -> Column:
+def _label_cascade(fam: Column, view: FieldView) -> Column:
     out = None
     for bank in LABEL_BANKS:
-        arm = _cascade(bank, field, desc, what)
+        arm = _cascade(bank, view)
         cond = fam == F.lit(bank.family)
         out = F.when(cond, arm) if out is None else out.when(cond, arm)
     return out
 
 
-def field_plan(label: Column, fields: Column) -> Column:
-    """``array<struct<ord, field, description, label_rule, generic_rule, label_x, generic_x>>``.
+def _folded(fields: Column) -> Column:
+    return F.transform(fields, lambda f: F.struct(
+        f["ord"].alias("ord"), f["field"].alias("field"), f["description"].alias("description"),
+        F.lower(f["field"]).alias("lf"), F.upper(f["field"]).alias("uf"),
+        F.upper(f["description"]).alias("ud")))
 
-    ``label_x`` / ``generic_x`` are extractor indexes (null when no rule of that
-    bank triggers); ``*_rule`` are readable rule names for reports.
-    """
+
+def rule_numbers(label: Column, fields: Column) -> Column:
+    """``array<struct<ord, field, description, label_r, generic_r>>`` (global rule numbers)."""
     fam = family(label)
 
-    def plan_one(f: Column) -> Column:
-        name, desc = f["field"], f["description"]
+    def plan_one(g: Column) -> Column:
+        view = FieldView(lower=g["lf"], upper=g["uf"], desc_upper=g["ud"], desc=g["description"])
         return F.struct(
-            f["ord"].alias("ord"),
-            name.alias("field"),
-            desc.alias("description"),
-            _label_cascade(fam, name, desc, "name").alias("label_rule"),
-            _cascade(GENERIC_BANK, name, desc, "name").alias("generic_rule"),
-            _label_cascade(fam, name, desc, "index").alias("label_x"),
-            _cascade(GENERIC_BANK, name, desc, "index").alias("generic_x"),
+            g["ord"].alias("ord"), g["field"].alias("field"), g["description"].alias("description"),
+            _label_cascade(fam, view).alias("label_r"),
+            _cascade(GENERIC_BANK, view).alias("generic_r"),
         )
 
-    return F.transform(fields, plan_one)
+    return F.transform(_folded(fields), plan_one)
+
+
+def _extractor_of() -> Column:
+    return F.array(*[F.lit(x) for x in RULE_EXTRACTOR])
+
+
+def _name_of() -> Column:
+    return F.array(*[F.lit(n) for n in RULE_NAMES])
+
+
+def field_plan(label: Column, fields: Column) -> Column:
+    """``array<struct<ord, field, description, label_rule, generic_rule, label_x, generic_x>>``.
+
+    ``label_x`` / ``generic_x`` are extractor indexes (null when no rule of that
+    bank triggers); ``*_rule`` are readable rule names for reports.
+    """
+    names, extractors = _name_of(), _extractor_of()
+    return F.transform(rule_numbers(label, fields), lambda p: F.struct(
+        p["ord"].alias("ord"), p["field"].alias("field"), p["description"].alias("description"),
+        F.get(names, p["label_r"]).alias("label_rule"),
+        F.get(names, p["generic_r"]).alias("generic_rule"),
+        F.get(extractors, p["label_r"]).alias("label_x"),
+        F.get(extractors, p["generic_r"]).alias("generic_x"),
+    ))
