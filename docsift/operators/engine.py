@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from docsift.functions.regex import found, rx, strip
 from docsift.operators.rules import EXTRACTOR_IDS, EXTRACTORS, Alt, Extractor
-from docsift.plans.rule_plan import field_plan
+from docsift.plans.rule_plan import family, field_plan
 
 SOURCE_LABEL = "label_rules"
 SOURCE_GENERIC = "generic_rules"
@@ -112,16 +112,44 @@ def _field_value(plan_entry: Column, vals: Column) -> Column:
     )
 
 
+def plan_table(df: DataFrame, *, label: str = "label", fields: str = "fields",
+               max_plans: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame | None:
+    """One plan per distinct (bank, request), or None when there are too many to broadcast.
+
+    Plans depend on the label only through its bank, so a billion jobs asking a
+    handful of requests need a handful of plans. The distinct requests are
+    counted and sized first (one pass over the label and request columns only -
+    the text is pruned); above ``max_plans`` rows or ``max_bytes`` the caller
+    evaluates the plan inline per row instead.
+    """
+    keyed = df.select(F.coalesce(family(F.col(label)), F.lit("")).alias("_family"),
+                      F.sha2(F.to_json(F.col(fields)), 256).alias("_request_key"),
+                      F.col(label).alias("_label"), F.col(fields).alias("_fields"))
+    distinct = keyed.dropDuplicates(["_family", "_request_key"])
+    stats = distinct.agg(F.count(F.lit(1)).alias("n"),
+                         F.coalesce(F.sum(F.length(F.to_json("_fields"))), F.lit(0)).alias("bytes")).first()
+    if stats["n"] > max_plans or stats["bytes"] * 3 > max_bytes:   # x3: plan adds rule columns
+        return None
+    return distinct.select("_family", "_request_key",
+                           field_plan(F.col("_label"), F.col("_fields")).alias("_plan"))
+
+
 def apply_rules(df: DataFrame, *, label: str = "label", fields: str = "fields",
-                text: str = "text", keep_plan: bool = False) -> DataFrame:
+                text: str = "text", keep_plan: bool = False, plans: DataFrame | None = None) -> DataFrame:
     """Add ``rule_values`` (ordered ``array<struct<ord,field,value,source>>``) and ``found_all``.
 
     ``found_all`` is true when every requested field has a non-null value, and
-    for an empty request.
+    for an empty request. ``plans`` (from :func:`plan_table`) is joined by
+    broadcast instead of evaluating the trigger cascades on every row.
     """
-    out = (df
-           .withColumn("_plan", field_plan(F.col(label), F.col(fields)))
-           .withColumn("_needed", _needed(F.col("_plan"))))
+    if plans is None:
+        out = df.withColumn("_plan", field_plan(F.col(label), F.col(fields)))
+    else:
+        out = (df.withColumn("_family", F.coalesce(family(F.col(label)), F.lit("")))
+               .withColumn("_request_key", F.sha2(F.to_json(F.col(fields)), 256))
+               .join(F.broadcast(plans), ["_family", "_request_key"], "left")
+               .drop("_family", "_request_key"))
+    out = out.withColumn("_needed", _needed(F.col("_plan")))
     out = staged_values(out, text, F.col("_needed"))
     vals = F.array(*[F.col(f"_v{i}") for i in range(len(EXTRACTOR_IDS))])
     out = (out

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift import schema as S
-from docsift.operators.engine import apply_rules
+from docsift.operators.engine import apply_rules, plan_table
 from docsift.operators.fallback import (Fallback, answer_for, build_requests, parse_response,
                                         response_error)
 from docsift.operators.skew import salted_join
@@ -65,8 +65,12 @@ def prepare_jobs(jobs: DataFrame, documents: DataFrame | None = None, *,
     return jobs.select("job_id", "doc_id", "label", "fields", "text")
 
 
-def scan(jobs: DataFrame, *, key_includes_label: bool = False) -> DataFrame:
-    """Narrow pass: keys + rule values; text kept only where a field is still null."""
+def scan(jobs: DataFrame, *, key_includes_label: bool = False, shared_plans: bool = True) -> DataFrame:
+    """Narrow pass: keys + rule values, compact enough to checkpoint.
+
+    The request itself is not kept: only its size, and for rows whose rules left a
+    field null the missing sub-schema and the text (what a fallback prompt needs).
+    """
     keyed = (jobs
              .withColumn("error_class", F.when(F.col("text").isNull(), F.lit(ERR_NOT_FOUND)))
              .withColumn("content_hash", S.content_hash(F.col("text")))
@@ -75,8 +79,13 @@ def scan(jobs: DataFrame, *, key_includes_label: bool = False) -> DataFrame:
                  F.col("error_class").isNull(),
                  S.cache_key(F.col("content_hash"), F.col("schema_hash"),
                              F.col("label") if key_includes_label else None))))
-    ruled = apply_rules(keyed)
-    return ruled.withColumn("text", F.when(~F.col("found_all"), F.col("text")))
+    ruled = apply_rules(keyed, plans=plan_table(jobs) if shared_plans else None)
+    incomplete = ~F.col("found_all")
+    return ruled.select(
+        "job_id", "doc_id", "label", "error_class", "content_hash", "schema_hash", "cache_key",
+        F.size("fields").cast("int").alias("n_fields"), "rule_values", "found_all",
+        F.when(incomplete, _missing(F.col("rule_values"), F.col("fields"))).alias("missing"),
+        F.when(incomplete, F.col("text")).alias("text"))
 
 
 def _missing(rule_values: Column, fields: Column) -> Column:
@@ -110,7 +119,7 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
     ok = scanned.filter(F.col("error_class").isNull())
 
     # 2. one row per key: its first job's payload (partial aggregation map-side)
-    payload = F.struct("job_id", "doc_id", "label", "fields", "rule_values", "found_all", "text")
+    payload = F.struct("job_id", "doc_id", "label", "rule_values", "found_all", "missing", "text")
     keys = ok.groupBy("cache_key").agg(
         F.min_by(payload, F.col("job_id")).alias("first"),
         F.count(F.lit(1)).alias("n_jobs"),
@@ -128,7 +137,6 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
                 .withColumn("in_cache", F.lit(None).cast("boolean")))
     keys = keys.withColumn("in_cache", F.coalesce(F.col("in_cache"), F.lit(False)))
 
-    keys = keys.withColumn("missing", _missing(F.col("first.rule_values"), F.col("first.fields")))
     if materialize:
         keys = keys.checkpoint(eager=True)
 
@@ -136,7 +144,8 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
     needs = ~F.col("in_cache") & ~F.col("first.found_all")
     pending = keys.filter(needs).select(
         F.col("cache_key").alias("request_id"), F.col("first.doc_id").alias("doc_id"),
-        F.col("first.label").alias("label"), F.col("first.text").alias("text"), "missing")
+        F.col("first.label").alias("label"), F.col("first.text").alias("text"),
+        F.col("first.missing").alias("missing"))
     requests = build_requests(pending)
     if fallback is not None:
         answers = fallback(requests).select(F.col("request_id").alias("cache_key"), "response_json")
@@ -168,7 +177,7 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
         F.when(F.col("in_cache"), F.col("cached_result")).otherwise(merged).alias("result"),
         _names(F.col("first.rule_values"), lambda v: v["value"].isNotNull()).alias("found_by_rules"),
         llm_ok.alias("llm_used"),
-        F.when(llm_ok, F.transform("missing", lambda f: f["field"])).alias("found_by_llm"),
+        F.when(llm_ok, F.transform("first.missing", lambda f: f["field"])).alias("found_by_llm"),
     )
 
     new_cache = per_key.filter(~F.col("in_cache"))
@@ -179,7 +188,7 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
 
     # 5. fan out: every job gets its key's result
     per_key = per_key.drop("content_hash", "schema_hash")
-    job_side = ok.select("job_id", "doc_id", "label", "fields", "cache_key")
+    job_side = ok.select("job_id", "doc_id", "label", "n_fields", "cache_key")
     joined = salted_join(job_side, per_key, "cache_key", count_col="n_jobs", order_col="job_id",
                          hot_rows=hot_rows, buckets=salt_buckets)
     hit = F.col("in_cache") | (F.col("job_id") != F.col("first_job_id"))
@@ -192,13 +201,13 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
         F.when(~hit, F.col("llm_error")).alias("llm_error"),
         F.col("label").alias("label"),
     )
-    results = joined.select("job_id", "doc_id", "label", "fields", "cache_key", "result",
+    results = joined.select("job_id", "doc_id", "label", "n_fields", "cache_key", "result",
                             metadata.alias("metadata"),
                             F.lit(None).cast("string").alias("error_class"),
                             F.lit(None).cast("string").alias("error_message"))
 
     errors = scanned.filter(F.col("error_class").isNotNull()).select(
-        "job_id", "doc_id", "label", "fields", F.lit(None).cast("string").alias("cache_key"),
+        "job_id", "doc_id", "label", "n_fields", F.lit(None).cast("string").alias("cache_key"),
         F.lit(None).cast(RESULT_FIELDS).alias("result"),
         F.lit(None).cast(results.schema["metadata"].dataType).alias("metadata"),
         "error_class",

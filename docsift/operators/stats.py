@@ -29,7 +29,7 @@ def _pct(num: Column, den: Column) -> Column:
 
 def per_job(results: DataFrame) -> DataFrame:
     m = F.col("metadata")
-    total = F.size("fields").cast("long")
+    total = F.col("n_fields").cast("long")
     is_err = F.col("error_class").isNotNull()
     rules_only = m["heuristics_used"] & ~m["llm_used"]
     heur = F.when(is_err, F.lit(0).cast("long")).when(rules_only, total).otherwise(_size0(m["found_by_heuristics"]))
