@@ -240,6 +240,23 @@ def zero_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.zero_page_errors(docs, pages, doc="conv_id")
 
 
+def stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards and screens arriving as four files, extracted micro-batch by micro-batch.
+
+    Same rows as ``extract_long``: every fixture text is distinct, so arrival order
+    cannot change which job is a key's first writer.
+    """
+    from docsift.streaming.incremental import extract_stream, new_store, read_results
+
+    store = new_store(spark)
+    jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request")
+    jobs.repartition(4, "job_id").write.parquet(f"{store}/incoming")
+    stream = spark.readStream.schema(jobs.schema).option("maxFilesPerTrigger", 1).parquet(f"{store}/incoming")
+    query = extract_stream(stream, store=f"{store}/out", fallback=T.fixture_fallback)
+    query.awaitTermination()
+    return result_long(read_results(spark, f"{store}/out").drop("batch_id"))
+
+
 def rules_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both rule banks over every driver document, whole texts (no SQL twin: regex dialects differ)."""
     jobs = prepare_jobs(T.documents_jobs(spark, sf_dir), request="request")
@@ -275,5 +292,6 @@ def queries() -> dict[str, Query]:
         "first_page": first_page,
         "zero_pages": zero_pages,
         "rules_documents": rules_documents,
+        "stream_extract": stream_extract,
     })
     return out

@@ -302,6 +302,7 @@ SELECT job_id, found_all, n_fields, CAST(count(rv) AS BIGINT) AS n_found,
        CAST(count(CASE WHEN rsrc = 'generic_rules' THEN 1 END) AS BIGINT) AS n_generic
 FROM per_job JOIN ruled USING (job_id) GROUP BY job_id, found_all, n_fields"""
     out["extract_long"] = FIXTURE_CTES + "SELECT job_id, CAST(ord AS INTEGER) AS ord, field, value, source FROM final"
+    out["stream_extract"] = out["extract_long"]          # stream = batch
     out["extract_jobs"] = FIXTURE_CTES + """
 SELECT job_id, label, false AS cache_hit, true AS heuristics_used, llm_ok AS llm_used, llm_error,
        coalesce(found_rules, '') AS found_by_heuristics,
