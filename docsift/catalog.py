@@ -240,6 +240,31 @@ def zero_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.zero_page_errors(docs, pages, doc="conv_id")
 
 
+def jobs_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs over the driver documents written as JSON lines and read back (explicit schema)."""
+    from docsift.streaming.incremental import new_store
+
+    path = new_store(spark, "jobs")
+    (T.documents_jobs(spark, sf_dir)
+     .select("job_id", "label", F.col("request").alias("extraction_schema"),
+             F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("pdf_path"))
+     .write.json(path))
+    jobs = files.read_jobs(spark, path)
+    return jobs.select("job_id", "label", F.size("fields").cast("long").alias("n_fields"),
+                       F.array_join(F.transform("fields", lambda f: f["field"]), ",").alias("field_names"),
+                       F.col("doc_id").alias("pdf_path"))
+
+
+def request_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request strings per document; every 13th arrives truncated and is a schema error."""
+    d = T.documents_jobs(spark, sf_dir)
+    text = F.to_json("request")
+    raw = F.when(F.pmod(F.col("doc_id"), F.lit(13)) == 0, F.expr("substring(to_json(request), 1, 20)")) \
+        .otherwise(text)
+    fields, err = files.parse_request(raw)
+    return d.select("job_id", F.size(fields).cast("long").alias("n_fields"), err.alias("error_class"))
+
+
 def stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cards and screens arriving as four files, extracted micro-batch by micro-batch.
 
@@ -293,5 +318,7 @@ def queries() -> dict[str, Query]:
         "zero_pages": zero_pages,
         "rules_documents": rules_documents,
         "stream_extract": stream_extract,
+        "jobs_jsonl": jobs_jsonl,
+        "request_parse": request_parse,
     })
     return out

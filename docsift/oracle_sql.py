@@ -381,6 +381,14 @@ UNION ALL SELECT 'distinct_keys', CAST(count(DISTINCT sha256(text) || ':' || CAS
 UNION ALL SELECT 'new_cache_rows',
           CAST(count(DISTINCT sha256(text) || ':' || CAST(request_id AS VARCHAR)) FILTER (WHERE NOT in_prior) AS BIGINT)
           FROM run2"""
+    out["jobs_jsonl"] = _with(_requests_values(), DOC_JOBS) + """
+SELECT j.job_id, j.label, count(*) AS n_fields, string_agg(r.field, ',' ORDER BY r.ord) AS field_names,
+       'doc_' || CAST(j.doc_id AS VARCHAR) || '.pdf' AS pdf_path
+FROM doc_jobs j JOIN req r ON j.request_id = r.request_id GROUP BY j.job_id, j.label, j.doc_id"""
+    out["request_parse"] = _with(_requests_values(), DOC_JOBS) + """
+SELECT j.job_id, CASE WHEN j.doc_id % 13 = 0 THEN NULL ELSE count(*) END AS n_fields,
+       CASE WHEN j.doc_id % 13 = 0 THEN 'SCHEMA_ERROR' END AS error_class
+FROM doc_jobs j JOIN req r ON j.request_id = r.request_id GROUP BY j.job_id, j.doc_id"""
     out["first_page"] = "SELECT conv_id, arg_min(text, turn) AS first_text FROM conversations GROUP BY conv_id"
     out["zero_pages"] = """
 SELECT DISTINCT d.doc_id AS conv_id, 'ZERO_PAGES' AS error_class,

@@ -89,3 +89,21 @@ def test_first_page_and_zero_pages(spark):
     docs = spark.createDataFrame([(1,), (2,), (3,)], "doc_id long")
     errs = files.zero_page_errors(docs, pages).collect()
     assert [(r["doc_id"], r["error_class"]) for r in errs] == [(3, "ZERO_PAGES")]
+
+
+def test_results_json_sink(spark):
+    import json as _json
+
+    from docsift.operators.extract import extract
+    from docsift.sources.sinks import write_results_json
+
+    df = spark.createDataFrame([(1, 1, "carteira_oab", '{"situacao": "s", "nome": "n"}', "SITUAÇÃO ÓTIMA")],
+                               "job_id long, doc_id long, label string, request string, text string")
+    fields, _ = files.parse_request(F.col("request"))
+    jobs = df.select("job_id", "doc_id", "label", fields.alias("fields"), "text")
+    out = tempfile.mkdtemp(prefix="docsift-sink-") + "/results"
+    write_results_json(extract(jobs).results, out)
+    rows = [_json.loads(line) for p in sorted(os.listdir(out)) if p.endswith(".json")
+            for line in open(os.path.join(out, p), encoding="utf-8")]
+    assert len(rows) == 1
+    assert rows[0]["result_json"] == '{"situacao":"ÓTIMA","nome":"SITUAÇÃO"}'
