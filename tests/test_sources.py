@@ -106,4 +106,4 @@ def test_results_json_sink(spark):
     rows = [_json.loads(line) for p in sorted(os.listdir(out)) if p.endswith(".json")
             for line in open(os.path.join(out, p), encoding="utf-8")]
     assert len(rows) == 1
-    assert rows[0]["result_json"] == '{"situacao":"ÓTIMA","nome":"SITUAÇÃO"}'
+    assert rows[0]["result_json"] == '{"situacao":"ÓTIMA","nome":"SITUAÇÃO ÓTIMA"}'
