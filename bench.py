@@ -38,8 +38,12 @@ def main() -> None:
     spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")), app="docsift-bench")
     qs = catalog.queries()
 
-    # warm-up: JVM, codegen caches, parquet footers
-    qs["rules_oab_nome"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # warm-up (JIT, codegen caches): the headline queries once on the smallest data set
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(warm_dir):
+        warm_dir = sf_dir
+    for name in HEADLINE:
+        qs[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
     for name in HEADLINE:

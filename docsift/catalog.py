@@ -17,6 +17,7 @@ from docsift import schema as S
 from docsift.operators import stats
 from docsift.operators.engine import apply_rules, extractor_values
 from docsift.operators.extract import Extraction, extract, prepare_jobs, result_json, result_long
+from docsift.plans.partitioning import spread
 from docsift.plans.rule_plan import field_plan
 from docsift.sources import files
 from docsift.sources import tables as T
@@ -60,7 +61,7 @@ def fixture_docs(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
 
 def _rule_query(which: str, x: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        d = fixture_docs(spark, sf_dir, which).select("doc_id", "text")
+        d = spread(fixture_docs(spark, sf_dir, which).select("doc_id", "text"))
         return extractor_values(d, [x]).select("doc_id", F.col(x).alias("value"))
     return q
 

@@ -5,8 +5,9 @@ A *job* is (job_id, label, requested fields, document). The flow, for all jobs a
 1. **scan** (narrow, one pass over the text): content hash, schema hash, cache
    key, and the rule banks (:mod:`docsift.operators.engine`). The text is kept
    only on rows whose rules left a field null - the only rows that may need it
-   again, for the fallback prompt. The result is checkpointed: it is small, and
-   everything downstream reads it more than once.
+   again, for the fallback prompt. The result is written as a parquet table in
+   the shared checkpoint folder: it is small, later steps read it more than once
+   (each only the columns it needs), and the lineage back to the source is cut.
 2. **per key** (one shuffle of small rows, partially aggregated map-side so a hot
    key collapses before the exchange): the first job (lowest ``job_id``) of each
    cache key computes; later jobs with the same key are cache hits of its result.
@@ -33,7 +34,8 @@ from docsift.operators.engine import apply_rules, plan_table
 from docsift.operators.fallback import (Fallback, answer_for, build_requests, parse_response,
                                         response_error)
 from docsift.operators.skew import salted_join
-from docsift.session import checkpoint_dir
+from docsift.plans.partitioning import spread
+from docsift.session import materialize
 
 SOURCE_FALLBACK = "fallback"
 ERR_NOT_FOUND = "FILE_NOT_FOUND"
@@ -62,7 +64,7 @@ def prepare_jobs(jobs: DataFrame, documents: DataFrame | None = None, *,
         jobs = jobs.withColumnRenamed(fields, "fields")
     if documents is not None:
         jobs = jobs.join(documents.select("doc_id", "text"), "doc_id", "left")
-    return jobs.select("job_id", "doc_id", "label", "fields", "text")
+    return spread(jobs.select("job_id", "doc_id", "label", "fields", "text"))
 
 
 def scan(jobs: DataFrame, *, key_includes_label: bool = False, shared_plans: bool = True) -> DataFrame:
@@ -101,7 +103,7 @@ def _names(values: Column, pred) -> Column:
 def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallback | None = None,
             key_includes_label: bool = False, cache_partial: bool = True,
             hot_rows: int = 1_000_000, salt_buckets: int = 64,
-            materialize: bool = True) -> Extraction:
+            materialize_steps: bool = True) -> Extraction:
     """Run the three levels over ``jobs(job_id, doc_id, label, fields, text)``.
 
     ``cache``: existing cache table (:data:`docsift.schema.CACHE`), or None.
@@ -112,9 +114,8 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
     ``cache_partial``: cache results whose fallback failed (reference behaviour).
     """
     scanned = scan(jobs, key_includes_label=key_includes_label)
-    if materialize:
-        checkpoint_dir(scanned.sparkSession)
-        scanned = scanned.checkpoint(eager=True)
+    if materialize_steps:
+        scanned = materialize(scanned, "scan")
 
     ok = scanned.filter(F.col("error_class").isNull())
 
@@ -137,8 +138,8 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
                 .withColumn("in_cache", F.lit(None).cast("boolean")))
     keys = keys.withColumn("in_cache", F.coalesce(F.col("in_cache"), F.lit(False)))
 
-    if materialize:
-        keys = keys.checkpoint(eager=True)
+    if materialize_steps:
+        keys = materialize(keys, "keys")
 
     # 4. fallback for computed keys with missing fields
     needs = ~F.col("in_cache") & ~F.col("first.found_all")
@@ -149,9 +150,9 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
     requests = build_requests(pending)
     if fallback is not None:
         answers = fallback(requests).select(F.col("request_id").alias("cache_key"), "response_json")
-        if materialize:
+        if materialize_steps:
             # The fallback may be a paid external call: run it once, never on recomputation.
-            answers = answers.checkpoint(eager=True)
+            answers = materialize(answers, "answers")
         keyed = keys.join(answers.withColumn("_answered", F.lit(True)), "cache_key", "left")
     else:
         keyed = (keys.withColumn("response_json", F.lit(None).cast("string"))

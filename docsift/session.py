@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -55,3 +56,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="docsift-ckpt-"))
         return spark.sparkContext.getCheckpointDir()
     raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a parquet table under the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` and survives executor loss, but the
+    re-read is columnar: later steps read only the columns they use, filters are
+    pushed down, and the planner sees the table's real size.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/docsift-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
