@@ -21,12 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift.functions.regex import found, rx, strip
-from docsift.operators.rules import EXTRACTOR_IDS, EXTRACTORS, Alt, Extractor
+from docsift.operators.rules import DEFAULT, Alt, Extractor, RuleSet
 from docsift.plans.rule_plan import family, field_plan
 
 SOURCE_LABEL = "label_rules"
 SOURCE_GENERIC = "generic_rules"
-MAX_ALTS = max(len(e.alts) for e in EXTRACTORS.values())
 
 
 def _needed(plan: Column) -> Column:
@@ -60,26 +59,29 @@ def _col(i: int, k: int) -> str:
     return f"_x{i}_{k}"
 
 
-def staged_values(df: DataFrame, text: str, needed: Column | None, ids=EXTRACTOR_IDS) -> DataFrame:
+def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
+                  rules: RuleSet = DEFAULT) -> DataFrame:
     """Add one finished column ``_v<i>`` per extractor index ``i`` in ``ids``.
 
     ``needed``: array<int> Column of extractor indexes to run (None: all of ``ids``).
     """
-    index = {x: EXTRACTOR_IDS.index(x) for x in ids}
+    exts = rules.extractors
+    ids = rules.extractor_ids if ids is None else ids
+    index = {x: rules.extractor_index[x] for x in ids}
     t = F.col(text)
 
     def need(i: int) -> Column:
         return F.lit(True) if needed is None else F.array_contains(needed, F.lit(i))
 
     # stage 0: extractor-wide gates, once per row
-    gates = {x: f"_g{index[x]}" for x in ids if EXTRACTORS[x].gate}
+    gates = {x: f"_g{index[x]}" for x in ids if exts[x].gate}
     if gates:
-        df = df.withColumns({g: need(index[x]) & found(t, *EXTRACTORS[x].gate) for x, g in gates.items()})
+        df = df.withColumns({g: need(index[x]) & found(t, *exts[x].gate) for x, g in gates.items()})
 
-    for k in range(MAX_ALTS):
+    for k in range(rules.max_alts):
         cols = {}
         for x in ids:
-            ext: Extractor = EXTRACTORS[x]
+            ext: Extractor = exts[x]
             if k >= len(ext.alts):
                 continue
             i, alt = index[x], ext.alts[k]
@@ -93,10 +95,10 @@ def staged_values(df: DataFrame, text: str, needed: Column | None, ids=EXTRACTOR
 
     finished = {}
     for x in ids:
-        i, ext = index[x], EXTRACTORS[x]
+        i, ext = index[x], exts[x]
         alts = [_finish(a, F.col(_col(i, k))) for k, a in enumerate(ext.alts)]
         finished[f"_v{i}"] = alts[0] if len(alts) == 1 else F.coalesce(*alts)
-    drop = [_col(index[x], k) for x in ids for k in range(len(EXTRACTORS[x].alts))] + list(gates.values())
+    drop = [_col(index[x], k) for x in ids for k in range(len(exts[x].alts))] + list(gates.values())
     return df.withColumns(finished).drop(*drop)
 
 
@@ -113,7 +115,8 @@ def _field_value(plan_entry: Column, vals: Column) -> Column:
 
 
 def plan_table(df: DataFrame, *, label: str = "label", fields: str = "fields",
-               max_plans: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame | None:
+               max_plans: int = 100_000, max_bytes: int = 64 << 20,
+               rules: RuleSet = DEFAULT) -> DataFrame | None:
     """One plan per distinct (bank, request), or None when there are too many to broadcast.
 
     Plans depend on the label only through its bank, so a billion jobs asking a
@@ -122,7 +125,7 @@ def plan_table(df: DataFrame, *, label: str = "label", fields: str = "fields",
     the text is pruned); above ``max_plans`` rows or ``max_bytes`` the caller
     evaluates the plan inline per row instead.
     """
-    keyed = df.select(F.coalesce(family(F.col(label)), F.lit("")).alias("_family"),
+    keyed = df.select(F.coalesce(family(F.col(label), rules), F.lit("")).alias("_family"),
                       F.sha2(F.to_json(F.col(fields)), 256).alias("_request_key"),
                       F.col(label).alias("_label"), F.col(fields).alias("_fields"))
     distinct = keyed.dropDuplicates(["_family", "_request_key"])
@@ -131,11 +134,12 @@ def plan_table(df: DataFrame, *, label: str = "label", fields: str = "fields",
     if stats["n"] > max_plans or stats["bytes"] * 3 > max_bytes:   # x3: plan adds rule columns
         return None
     return distinct.select("_family", "_request_key",
-                           field_plan(F.col("_label"), F.col("_fields")).alias("_plan"))
+                           field_plan(F.col("_label"), F.col("_fields"), rules).alias("_plan"))
 
 
 def apply_rules(df: DataFrame, *, label: str = "label", fields: str = "fields",
-                text: str = "text", keep_plan: bool = False, plans: DataFrame | None = None) -> DataFrame:
+                text: str = "text", keep_plan: bool = False, plans: DataFrame | None = None,
+                rules: RuleSet = DEFAULT) -> DataFrame:
     """Add ``rule_values`` (ordered ``array<struct<ord,field,value,source>>``) and ``found_all``.
 
     ``found_all`` is true when every requested field has a non-null value, and
@@ -143,26 +147,28 @@ def apply_rules(df: DataFrame, *, label: str = "label", fields: str = "fields",
     broadcast instead of evaluating the trigger cascades on every row.
     """
     if plans is None:
-        out = df.withColumn("_plan", field_plan(F.col(label), F.col(fields)))
+        out = df.withColumn("_plan", field_plan(F.col(label), F.col(fields), rules))
     else:
-        out = (df.withColumn("_family", F.coalesce(family(F.col(label)), F.lit("")))
+        out = (df.withColumn("_family", F.coalesce(family(F.col(label), rules), F.lit("")))
                .withColumn("_request_key", F.sha2(F.to_json(F.col(fields)), 256))
                .join(F.broadcast(plans), ["_family", "_request_key"], "left")
                .drop("_family", "_request_key"))
     out = out.withColumn("_needed", _needed(F.col("_plan")))
-    out = staged_values(out, text, F.col("_needed"))
-    vals = F.array(*[F.col(f"_v{i}") for i in range(len(EXTRACTOR_IDS))])
+    out = staged_values(out, text, F.col("_needed"), rules=rules)
+    n = len(rules.extractor_ids)
+    vals = F.array(*[F.col(f"_v{i}") for i in range(n)])
     out = (out
            .withColumn("_vals", vals)
            .withColumn("rule_values", F.transform(F.col("_plan"), lambda p: _field_value(p, F.col("_vals"))))
            .withColumn("found_all", F.forall("rule_values", lambda v: v["value"].isNotNull())))
     if keep_plan:
         out = out.withColumnRenamed("_plan", "plan")
-    drop = ["_plan", "_needed", "_vals"] + [f"_v{i}" for i in range(len(EXTRACTOR_IDS))]
+    drop = ["_plan", "_needed", "_vals"] + [f"_v{i}" for i in range(n)]
     return out.drop(*drop)
 
 
-def extractor_values(df: DataFrame, ids: list[str], *, text: str = "text") -> DataFrame:
+def extractor_values(df: DataFrame, ids: list[str], *, text: str = "text",
+                     rules: RuleSet = DEFAULT) -> DataFrame:
     """One column per named extractor, each regex evaluated once (rule-level reports)."""
-    out = staged_values(df, text, None, ids)
-    return out.withColumnsRenamed({f"_v{EXTRACTOR_IDS.index(x)}": x for x in ids})
+    out = staged_values(df, text, None, ids, rules)
+    return out.withColumnsRenamed({f"_v{rules.extractor_index[x]}": x for x in ids})

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from docsift import schema as S
 from docsift.operators.engine import apply_rules, plan_table
+from docsift.operators.rules import DEFAULT, RuleSet
 from docsift.operators.fallback import (Fallback, answer_for, build_requests, parse_response,
                                         response_error)
 from docsift.operators.skew import salted_join
@@ -67,7 +68,8 @@ def prepare_jobs(jobs: DataFrame, documents: DataFrame | None = None, *,
     return spread(jobs.select("job_id", "doc_id", "label", "fields", "text"))
 
 
-def scan(jobs: DataFrame, *, key_includes_label: bool = False, shared_plans: bool = True) -> DataFrame:
+def scan(jobs: DataFrame, *, key_includes_label: bool = False, shared_plans: bool = True,
+         rules: RuleSet = DEFAULT) -> DataFrame:
     """Narrow pass: keys + rule values, compact enough to checkpoint.
 
     The request itself is not kept: only its size, and for rows whose rules left a
@@ -81,7 +83,7 @@ def scan(jobs: DataFrame, *, key_includes_label: bool = False, shared_plans: boo
                  F.col("error_class").isNull(),
                  S.cache_key(F.col("content_hash"), F.col("schema_hash"),
                              F.col("label") if key_includes_label else None))))
-    ruled = apply_rules(keyed, plans=plan_table(jobs) if shared_plans else None)
+    ruled = apply_rules(keyed, plans=plan_table(jobs, rules=rules) if shared_plans else None, rules=rules)
     incomplete = ~F.col("found_all")
     return ruled.select(
         "job_id", "doc_id", "label", "error_class", "content_hash", "schema_hash", "cache_key",
@@ -103,7 +105,7 @@ def _names(values: Column, pred) -> Column:
 def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallback | None = None,
             key_includes_label: bool = False, cache_partial: bool = True,
             hot_rows: int = 1_000_000, salt_buckets: int = 64,
-            materialize_steps: bool = True) -> Extraction:
+            materialize_steps: bool = True, rules: RuleSet = DEFAULT) -> Extraction:
     """Run the three levels over ``jobs(job_id, doc_id, label, fields, text)``.
 
     ``cache``: existing cache table (:data:`docsift.schema.CACHE`), or None.
@@ -113,7 +115,7 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
     second label with the same content and request gets the first label's result.
     ``cache_partial``: cache results whose fallback failed (reference behaviour).
     """
-    scanned = scan(jobs, key_includes_label=key_includes_label)
+    scanned = scan(jobs, key_includes_label=key_includes_label, rules=rules)
     if materialize_steps:
         scanned = materialize(scanned, "scan")
 

@@ -227,3 +227,26 @@ def test_rule_case(results, case):
 
 def test_cases_are_unique():
     assert len({c[0] for c in CASES}) == len(CASES)
+
+
+def test_custom_bank_for_a_new_document_type(spark):
+    """A new document type is a new bank in a new rule set; the engine is not edited."""
+    from docsift.operators.rules import DEFAULT, Alt, Extractor, Rule, RuleBank
+    from docsift.operators.rules.bank import name_has_any
+
+    invoice = RuleBank("fatura", "fatura", (
+        Rule("valor", name_has_any("valor"), "fat_valor"),
+        Rule("numero", name_has_any("numero"), "oab_inscricao"),      # reuse a built-in extractor
+    ))
+    rules = DEFAULT.with_bank(invoice, {"fat_valor": Extractor((Alt(r"Valor:\s*R\$\s*([\d.,]+)", "i"),))})
+    rows = [("fatura_nova", "Fatura 123456\nVALOR: R$ 1.500,00\nVencimento 10/01/2025",
+             json.dumps({"valor_total": "Valor", "numero": "Número", "data_vencimento": "Vencimento"}))]
+    df = spark.createDataFrame(rows, "label string, text string, request string")
+    fields, _ = parse_request(F.col("request"))
+    out = apply_rules(df.withColumn("fields", fields), rules=rules).collect()[0]
+    got = {v["field"]: (v["value"], v["source"]) for v in out["rule_values"]}
+    assert got == {"valor_total": ("1.500,00", "label_rules"), "numero": ("123456", "label_rules"),
+                   "data_vencimento": ("10/01/2025", "generic_rules")}
+    # the default rule set still treats the label as unknown
+    plain = apply_rules(df.withColumn("fields", fields)).collect()[0]
+    assert {v["field"]: v["value"] for v in plain["rule_values"]}["valor_total"] is None
