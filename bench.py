@@ -2,7 +2,9 @@
 
 Prints ONE JSON line: {"metric", "value", "unit", "queries": {name: sec}, "sf", ...}.
 Each query is run to completion with the ``noop`` sink (every row produced,
-nothing collected to the driver). ``value`` is the sum over the headline queries.
+nothing collected to the driver), $BENCH_RUNS times (default 2) after a JVM
+warm-up on the smallest data set; a query's time is its fastest run, and
+``value`` is the sum over the headline queries.
 """
 
 from __future__ import annotations
@@ -45,11 +47,15 @@ def main() -> None:
     for name in HEADLINE:
         qs[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
 
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     times: dict[str, float] = {}
     for name in HEADLINE:
-        t0 = time.perf_counter()
-        qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        best = float("inf")
+        for _ in range(runs):
+            t0 = time.perf_counter()
+            qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            best = min(best, time.perf_counter() - t0)
+        times[name] = round(best, 3)
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     jobs = (spark.read.parquet(f"{sf_dir}/customer.parquet").count()
@@ -62,6 +68,7 @@ def main() -> None:
         "queries": times,
         "sf": sf,
         "cpus": int(cpus),
+        "runs": runs,
         "extract_jobs_per_sec": round(jobs / times["extract_long"], 1),
         "documents_per_sec_rules": round(docs / times["rules_documents"], 1),
     }))

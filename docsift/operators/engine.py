@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from docsift.functions.regex import found, rx, strip
 from docsift.operators.rules import DEFAULT, Alt, Extractor, RuleSet
 from docsift.plans.rule_plan import family, field_plan
+from docsift.schema import schema_hash
 
 SOURCE_LABEL = "label_rules"
 SOURCE_GENERIC = "generic_rules"
@@ -123,18 +124,27 @@ def plan_table(df: DataFrame, *, label: str = "label", fields: str = "fields",
     handful of requests need a handful of plans. The distinct requests are
     counted and sized first (one pass over the label and request columns only -
     the text is pruned); above ``max_plans`` rows or ``max_bytes`` the caller
-    evaluates the plan inline per row instead.
+    evaluates the plan inline per row instead. Each plan row also carries the
+    request's order-free hash, so rows do not hash their request either.
     """
     keyed = df.select(F.coalesce(family(F.col(label), rules), F.lit("")).alias("_family"),
-                      F.sha2(F.to_json(F.col(fields)), 256).alias("_request_key"),
                       F.col(label).alias("_label"), F.col(fields).alias("_fields"))
-    distinct = keyed.dropDuplicates(["_family", "_request_key"])
+    distinct = keyed.dropDuplicates(["_family", "_fields"])
     stats = distinct.agg(F.count(F.lit(1)).alias("n"),
                          F.coalesce(F.sum(F.length(F.to_json("_fields"))), F.lit(0)).alias("bytes")).first()
     if stats["n"] > max_plans or stats["bytes"] * 3 > max_bytes:   # x3: plan adds rule columns
         return None
-    return distinct.select("_family", "_request_key",
-                           field_plan(F.col("_label"), F.col("_fields"), rules).alias("_plan"))
+    return distinct.select("_family", "_fields",
+                           field_plan(F.col("_label"), F.col("_fields"), rules).alias("_plan"),
+                           schema_hash(F.col("_fields")).alias("_schema_hash"))
+
+
+def attach_plans(df: DataFrame, plans: DataFrame, *, label: str = "label", fields: str = "fields",
+                 rules: RuleSet = DEFAULT) -> DataFrame:
+    """Broadcast-join the plan table on (bank, request): adds ``_plan`` and ``_schema_hash``."""
+    return (df.withColumn("_family", F.coalesce(family(F.col(label), rules), F.lit("")))
+            .join(F.broadcast(plans.withColumnRenamed("_fields", fields)), ["_family", fields], "left")
+            .drop("_family"))
 
 
 def apply_rules(df: DataFrame, *, label: str = "label", fields: str = "fields",
@@ -144,15 +154,15 @@ def apply_rules(df: DataFrame, *, label: str = "label", fields: str = "fields",
 
     ``found_all`` is true when every requested field has a non-null value, and
     for an empty request. ``plans`` (from :func:`plan_table`) is joined by
-    broadcast instead of evaluating the trigger cascades on every row.
+    broadcast instead of evaluating the trigger cascades on every row; a frame
+    that already carries ``_plan`` (from :func:`attach_plans`) is used as is.
     """
-    if plans is None:
+    if "_plan" in df.columns:
+        out = df
+    elif plans is None:
         out = df.withColumn("_plan", field_plan(F.col(label), F.col(fields), rules))
     else:
-        out = (df.withColumn("_family", F.coalesce(family(F.col(label), rules), F.lit("")))
-               .withColumn("_request_key", F.sha2(F.to_json(F.col(fields)), 256))
-               .join(F.broadcast(plans), ["_family", "_request_key"], "left")
-               .drop("_family", "_request_key"))
+        out = attach_plans(df, plans, label=label, fields=fields, rules=rules)
     out = out.withColumn("_needed", _needed(F.col("_plan")))
     out = staged_values(out, text, F.col("_needed"), rules=rules)
     n = len(rules.extractor_ids)
@@ -163,7 +173,7 @@ def apply_rules(df: DataFrame, *, label: str = "label", fields: str = "fields",
            .withColumn("found_all", F.forall("rule_values", lambda v: v["value"].isNotNull())))
     if keep_plan:
         out = out.withColumnRenamed("_plan", "plan")
-    drop = ["_plan", "_needed", "_vals"] + [f"_v{i}" for i in range(n)]
+    drop = ["_plan", "_needed", "_vals", "_schema_hash"] + [f"_v{i}" for i in range(n)]
     return out.drop(*drop)
 
 

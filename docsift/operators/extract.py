@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift import schema as S
-from docsift.operators.engine import apply_rules, plan_table
+from docsift.operators.engine import apply_rules, attach_plans, plan_table
 from docsift.operators.rules import DEFAULT, RuleSet
 from docsift.operators.fallback import (Fallback, answer_for, build_requests, parse_response,
                                         response_error)
@@ -70,20 +70,26 @@ def prepare_jobs(jobs: DataFrame, documents: DataFrame | None = None, *,
 
 def scan(jobs: DataFrame, *, key_includes_label: bool = False, shared_plans: bool = True,
          rules: RuleSet = DEFAULT) -> DataFrame:
-    """Narrow pass: keys + rule values, compact enough to checkpoint.
+    """Narrow pass: keys + rule values, compact enough to materialize.
 
     The request itself is not kept: only its size, and for rows whose rules left a
     field null the missing sub-schema and the text (what a fallback prompt needs).
+    With shared plans, the per-request plan and request hash come from a small
+    broadcast table instead of being computed on every row.
     """
+    plans = plan_table(jobs, rules=rules) if shared_plans else None
+    if plans is not None:
+        jobs = attach_plans(jobs, plans, rules=rules).withColumnRenamed("_schema_hash", "schema_hash")
+    else:
+        jobs = jobs.withColumn("schema_hash", S.schema_hash(F.col("fields")))
     keyed = (jobs
              .withColumn("error_class", F.when(F.col("text").isNull(), F.lit(ERR_NOT_FOUND)))
              .withColumn("content_hash", S.content_hash(F.col("text")))
-             .withColumn("schema_hash", S.schema_hash(F.col("fields")))
              .withColumn("cache_key", F.when(
                  F.col("error_class").isNull(),
                  S.cache_key(F.col("content_hash"), F.col("schema_hash"),
                              F.col("label") if key_includes_label else None))))
-    ruled = apply_rules(keyed, plans=plan_table(jobs, rules=rules) if shared_plans else None, rules=rules)
+    ruled = apply_rules(keyed, rules=rules)
     incomplete = ~F.col("found_all")
     return ruled.select(
         "job_id", "doc_id", "label", "error_class", "content_hash", "schema_hash", "cache_key",

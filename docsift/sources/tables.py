@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docsift.plans.partitioning import spread
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -112,7 +114,7 @@ def money(cents: Column) -> Column:
 
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ID-card document per customer: ``job_id, doc_id, label, request, text``."""
-    c = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    c = spread(load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"))
     key = F.col("c_custkey")
     padded = F.lpad(key.cast("string"), 6, "0")
     st = F.pmod(F.col("c_nationkey"), F.lit(5))
@@ -156,8 +158,8 @@ def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def screens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One system-screen document per order: ``job_id, doc_id, label, request, text``."""
-    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                                             "o_orderdate")
+    o = spread(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                                    "o_orderdate"))
     key = F.col("o_orderkey")
     cents = F.floor(F.col("o_totalprice") * F.lit(100))
     k4, k3, k2 = F.pmod(key, F.lit(4)), F.pmod(key, F.lit(3)), F.pmod(key, F.lit(2))
@@ -185,7 +187,7 @@ def screens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One job per driver document: real prose, requests rotating over all seven."""
-    d = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    d = spread(load(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     requests = CARD_REQUESTS + SCREEN_REQUESTS
     idx = F.pmod(F.col("doc_id"), F.lit(len(requests)))
     label = F.when(idx < len(CARD_REQUESTS), F.lit("carteira_oab")).otherwise(F.lit("tela_sistema"))
