@@ -17,6 +17,9 @@ only the cheap per-field steps use higher-order functions. No shuffle, no UDF.
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +43,33 @@ def _raw(alt: Alt, text: Column) -> Column:
     return F.regexp_extract(text, rx(alt.pattern, alt.flags), alt.group)
 
 
+def _python_matcher(alt: Alt):
+    """Arrow-batched Python ``re`` twin of ``_raw`` for rows whose runs are too deep for Java.
+
+    Only rows flagged by ``alt.deep`` get a non-null input; every other row sends
+    a null and stays on the JVM path. Built from plain values (pattern, flags,
+    group) so that it pickles without this package.
+    """
+    flags = (re.IGNORECASE if "i" in alt.flags else 0) | (re.DOTALL if "s" in alt.flags else 0)
+    pattern, group, many = alt.pattern, alt.group, alt.many
+
+    def first(texts: pd.Series) -> pd.Series:
+        rx_ = re.compile(pattern, flags)
+
+        def one(t):
+            if t is None:
+                return None
+            m = rx_.search(t)
+            return (m.group(group) or "") if m else ""
+        return texts.map(one)
+
+    def every(texts: pd.Series) -> pd.Series:
+        rx_ = re.compile(pattern, flags)
+        return texts.map(lambda t: None if t is None else [m.group(group) or "" for m in rx_.finditer(t)])
+
+    return F.pandas_udf(every, "array<string>") if many else F.pandas_udf(first, "string")
+
+
 def _missed(alt: Alt, raw: Column) -> Column:
     return (F.size(raw) == 0) if alt.many else (raw == F.lit(""))
 
@@ -56,6 +86,10 @@ def _finish(alt: Alt, raw: Column) -> Column:
     return v
 
 
+def alt_deep(alt: Alt) -> str:
+    return alt.deep
+
+
 def _col(i: int, k: int) -> str:
     return f"_x{i}_{k}"
 
@@ -79,8 +113,9 @@ def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
     if gates:
         df = df.withColumns({g: need(index[x]) & found(t, *exts[x].gate) for x, g in gates.items()})
 
+    deep_cols = []
     for k in range(rules.max_alts):
-        cols = {}
+        conds, deep = {}, {}
         for x in ids:
             ext: Extractor = exts[x]
             if k >= len(ext.alts):
@@ -91,7 +126,22 @@ def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
                 cond = cond & _missed(ext.alts[j], F.col(_col(i, j)))
             if alt.gate:
                 cond = cond & found(t, *alt.gate)
-            cols[_col(i, k)] = F.when(cond, _raw(alt, t))
+            conds[x] = cond
+            if alt.deep:
+                deep[x] = f"_d{i}_{k}"
+        if deep:   # flag rows whose runs are too deep for Java, once per row
+            df = df.withColumns({d: F.coalesce(conds[x] & found(t, alt_deep(exts[x].alts[k])), F.lit(False))
+                                 for x, d in deep.items()})
+            deep_cols += list(deep.values())
+        cols = {}
+        for x, cond in conds.items():
+            i, alt = index[x], exts[x].alts[k]
+            if x in deep:
+                d = F.col(deep[x])
+                cols[_col(i, k)] = F.coalesce(F.when(cond & ~d, _raw(alt, t)),
+                                              _python_matcher(alt)(F.when(d, t)))
+            else:
+                cols[_col(i, k)] = F.when(cond, _raw(alt, t))
         df = df.withColumns(cols)
 
     finished = {}
@@ -99,7 +149,8 @@ def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
         i, ext = index[x], exts[x]
         alts = [_finish(a, F.col(_col(i, k))) for k, a in enumerate(ext.alts)]
         finished[f"_v{i}"] = alts[0] if len(alts) == 1 else F.coalesce(*alts)
-    drop = [_col(index[x], k) for x in ids for k in range(len(exts[x].alts))] + list(gates.values())
+    drop = ([_col(index[x], k) for x in ids for k in range(len(exts[x].alts))] + list(gates.values())
+            + deep_cols)
     return df.withColumns(finished).drop(*drop)
 
 

@@ -43,6 +43,13 @@ class Alt:
     only when the earlier alternatives missed). ``many``: all matches, left to right
     (``re.findall``), handed to ``finish``. ``strip``: Python ``str.strip()`` on the
     value. ``finish``: Column -> Column applied last (to the array when ``many``).
+
+    ``deep``: a bounded pattern that occurs when this alternative's repeated group
+    would repeat more often than Java's recursive backtracking can take (a stack
+    frame set per repetition: a long enough run overflows the task thread's stack
+    and kills the executor). Rows where it occurs are matched with Python's ``re``
+    instead, whose backtracking stack lives on the heap; all other rows stay on
+    the JVM.
     """
 
     pattern: str
@@ -52,6 +59,7 @@ class Alt:
     many: bool = False
     strip: bool = False
     finish: Callable[[Column], Column] | None = None
+    deep: str | None = None
 
 
 @dataclass(frozen=True)

@@ -28,6 +28,10 @@ ADDRESS = r"ENDERE[CÇ]O\s+Profissional\s*\n([A-ZÀ-Ú0-9][^\n]+)\n([A-ZÀ-Ú][^
 STATUS = r"SITUA[CÇ](?:A[OÃ]|Ã[OÃ])\s+([A-ZÀ-Ú]+)"
 # ---------------------------------------------------------------------------
 
+# Runs long enough to exhaust Java's recursive group matching (see Alt.deep).
+DEEP_REPEATS = 300
+NAME_DEEP = r"[A-ZÀ-Ú]+(?:[\s'][A-ZÀ-Ú]+){%d}" % DEEP_REPEATS
+
 
 def address_lines(span: Column) -> Column:
     """The three address groups joined by newlines, read from the (short) matched span.
@@ -40,7 +44,7 @@ def address_lines(span: Column) -> Column:
 
 
 EXTRACTORS = {
-    "oab_nome": Extractor((Alt(NAME, strip=True),)),
+    "oab_nome": Extractor((Alt(NAME, strip=True, deep=NAME_DEEP),)),
     "oab_inscricao": Extractor((Alt(REGISTRATION, strip=True),)),
     # the bare state code is only searched when the word "Seccional" is present
     "oab_seccional": Extractor((Alt(COUNCIL_CODE, "i", strip=True),

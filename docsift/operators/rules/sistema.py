@@ -35,6 +35,11 @@ TOTAL_GENERAL = r"Total\s+Geral\s+(\d+(?:\.\d+)?,\d+)"
 INSTALMENT_VALUE = r"VIr\.?\s*Parc\.\s+(\d+(?:\.\d+)?,\d+)"
 # ---------------------------------------------------------------------------
 
+# Runs long enough to exhaust Java's recursive group matching (see Alt.deep).
+DEEP_REPEATS = 300
+PRODUCT_DEEP = r"Produto\s+[A-Z]+(?:\s+[A-Z]+){%d}" % DEEP_REPEATS
+UPPER_RUN_DEEP = r"[A-Z]{2,}(?:\s+[A-Z]{2,}){%d}" % DEEP_REPEATS
+
 
 def pick_product(runs: Column) -> Column:
     """First upper-case run that is not excluded and is long enough (no strip)."""
@@ -47,8 +52,8 @@ EXTRACTORS = {
     "sis_cidade": Extractor((Alt(CITY, "i", strip=True),)),
     "sis_pesquisa_por": Extractor((Alt(SEARCH_BY, "is"),)),
     "sis_pesquisa_tipo": Extractor((Alt(SEARCH_KIND, "is"),)),
-    "sis_produto": Extractor((Alt(PRODUCT_LABELLED, strip=True),
-                              Alt(UPPER_RUN, many=True, finish=pick_product))),
+    "sis_produto": Extractor((Alt(PRODUCT_LABELLED, strip=True, deep=PRODUCT_DEEP),
+                              Alt(UPPER_RUN, many=True, finish=pick_product, deep=UPPER_RUN_DEEP))),
     "sis_quantidade_parcelas": Extractor((Alt(COUNT_LABELLED, "i"), Alt(COUNT_NEAR, "i"))),
     "sis_selecao_parcelas": Extractor((Alt(SELECTION_LABELLED, "i"), Alt(SELECTION_NEAR, "is"))),
     "sis_sistema": Extractor((Alt(SYSTEM_WITH_VALUE), Alt(SYSTEM_PLAIN))),

@@ -250,3 +250,20 @@ def test_custom_bank_for_a_new_document_type(spark):
     # the default rule set still treats the label as unknown
     plain = apply_rules(df.withColumn("fields", fields)).collect()[0]
     assert {v["field"]: v["value"] for v in plain["rule_values"]}["valor_total"] is None
+
+
+def test_very_long_upper_case_runs_do_not_overflow(spark):
+    """Java backtracking recurses once per repetition of a group; a long all-caps run
+    would overflow the task's stack. Such rows are matched with Python's re instead."""
+    import re
+
+    from docsift.operators.rules import oab, sistema
+
+    texts = ["Produto " + "ABC " * 3000 + "Qtd", "Nome: " + "MARIA SILVA " * 10000 + "fim", "MARIA x"]
+    rows = [(OAB if i else SIS, t, json.dumps({"nome": "x"} if i else {"produto": "y"})) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "label string, text string, request string")
+    fields, _ = parse_request(F.col("request"))
+    got = [r["rule_values"][0]["value"] for r in apply_rules(df.withColumn("fields", fields)).collect()]
+    assert got[0] == re.search(sistema.PRODUCT_LABELLED, texts[0]).group(1).strip()
+    assert got[1] == re.search(oab.NAME, texts[1]).group(1).strip()
+    assert got[2] == "MARIA"
