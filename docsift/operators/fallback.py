@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,3 +104,33 @@ def response_error(has_row: Column, response_json: Column, parsed: Column, confi
         return F.lit(ERR_NO_FALLBACK)
     return (F.when(~has_row | response_json.isNull(), F.lit(ERR_NO_RESPONSE))
             .when(parsed.isNull(), F.lit(ERR_NOT_OBJECT)))
+
+
+def batched(answer: Callable[[list[dict]], list[str | None]], *, batch_size: int = 64) -> Fallback:
+    """Turn ``answer(requests) -> response JSON texts`` into a distributed fallback.
+
+    ``answer`` gets plain dicts (``request_id``, ``doc_id``, ``label``, ``prompt``,
+    ``request``) in batches of at most ``batch_size`` - e.g. to call a model
+    service with its own client and rate limit - and returns one JSON text (or
+    None) per request. It runs inside ``mapInPandas`` on the executors; only the
+    request columns travel to Python.
+    """
+    def run(batches):
+        for pdf in batches:
+            rows = pdf.to_dict("records")
+            out = []
+            for i in range(0, len(rows), batch_size):
+                chunk = rows[i:i + batch_size]
+                answers = list(answer(chunk))
+                if len(answers) != len(chunk):
+                    raise ValueError("fallback returned a different number of answers than requests")
+                out.extend(answers)
+            yield pd.DataFrame({"request_id": [r["request_id"] for r in rows], "response_json": out},
+                               columns=["request_id", "response_json"])
+
+    def fallback(requests: DataFrame) -> DataFrame:
+        cols = requests.select("request_id", "doc_id", "label", "prompt",
+                               F.to_json("request").alias("request"))
+        return cols.mapInPandas(run, "request_id string, response_json string")
+
+    return fallback

@@ -202,3 +202,19 @@ def test_hot_key_salting_gives_same_results(spark):
     for j in plain:
         assert values(plain[j]) == values(salted[j])
         assert plain[j]["metadata"] == salted[j]["metadata"]
+
+
+def test_batched_python_fallback(spark):
+    """A mapInPandas fallback built from a plain Python answer function."""
+    from docsift.operators.fallback import batched
+
+    seen = []
+
+    def answer(requests):
+        seen.append(len(requests))
+        return [json.dumps({"telefone_profissional": f"tel-{r['doc_id']}"}) for r in requests]
+
+    rows = [(i, i, OAB, REQ_FULL, CARD + "\n" + str(i)) for i in range(1, 6)]
+    res = by_job(extract(jobs_df(spark, rows), fallback=batched(answer, batch_size=2)))
+    assert {j: values(res[j])["telefone_profissional"] for j in res} == {i: f"tel-{i}" for i in range(1, 6)}
+    assert all(res[j]["metadata"]["llm_used"] for j in res)
