@@ -263,7 +263,8 @@ def request_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.when(F.pmod(F.col("doc_id"), F.lit(13)) == 0, F.expr("substring(to_json(request), 1, 20)")) \
         .otherwise(text)
     fields, err = files.parse_request(raw)
-    return d.select("job_id", F.size(fields).cast("long").alias("n_fields"), err.alias("error_class"))
+    n = F.when(fields.isNotNull(), F.size(fields))      # size(NULL) is -1 when ANSI mode is off
+    return d.select("job_id", n.cast("long").alias("n_fields"), err.alias("error_class"))
 
 
 def stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,7 +93,8 @@ def scan(jobs: DataFrame, *, key_includes_label: bool = False, shared_plans: boo
     incomplete = ~F.col("found_all")
     return ruled.select(
         "job_id", "doc_id", "label", "error_class", "content_hash", "schema_hash", "cache_key",
-        F.size("fields").cast("int").alias("n_fields"), "rule_values", "found_all",
+        F.when(F.col("fields").isNotNull(), F.size("fields")).cast("int").alias("n_fields"),
+        "rule_values", "found_all",
         F.when(incomplete, _missing(F.col("rule_values"), F.col("fields"))).alias("missing"),
         F.when(incomplete, F.col("text")).alias("text"))
 
