@@ -111,7 +111,7 @@ def _names(values: Column, pred) -> Column:
 
 def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallback | None = None,
             key_includes_label: bool = False, cache_partial: bool = True,
-            hot_rows: int = 1_000_000, salt_buckets: int = 64,
+            hot_rows: int = 1_000_000, rows_per_salt: int | None = None,
             materialize_steps: bool = True, rules: RuleSet = DEFAULT) -> Extraction:
     """Run the three levels over ``jobs(job_id, doc_id, label, fields, text)``.
 
@@ -200,7 +200,7 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
     per_key = per_key.drop("content_hash", "schema_hash")
     job_side = ok.select("job_id", "doc_id", "label", "n_fields", "cache_key")
     joined = salted_join(job_side, per_key, "cache_key", count_col="n_jobs", order_col="job_id",
-                         hot_rows=hot_rows, buckets=salt_buckets)
+                         hot_rows=hot_rows, rows_per_salt=rows_per_salt)
     hit = F.col("in_cache") | (F.col("job_id") != F.col("first_job_id"))
     metadata = F.struct(
         hit.alias("cache_hit"),

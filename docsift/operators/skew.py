@@ -2,15 +2,15 @@
 
 ``big`` has many rows per key, ``small`` one row per key plus its row count on
 the big side (known from an earlier aggregation). Keys whose count reaches
-``hot_rows`` are *hot*: their big-side rows are spread over ``buckets`` salt
-values and their single small-side row is copied once per salt. Cold keys keep
-salt 0 and are not copied, so the small side grows by at most
-``hot keys x buckets`` rows.
-
-The hot-key list is broadcast to tag big-side rows without shuffling them. Its
-size is bounded: at most ``rows(big) / hot_rows`` keys can be hot. It is also
-counted before use; above ``max_hot_keys`` the join falls back to a plain
-shuffle join and Spark's adaptive skew-join splitting.
+``hot_rows`` are *hot*: each is split into ``ceil(count / rows_per_salt)`` salt
+values (at most ``max_salts``) - so a key holding a third of ten billion rows
+becomes a few thousand tasks, not one - and its single small-side row is copied
+once per salt. Cold keys keep salt 0 and are not copied.
+
+The hot-key list (key, salt count) is broadcast to tag big-side rows without
+shuffling them. Its size is bounded - at most ``rows(big) / hot_rows`` keys can
+be hot - and it is counted before use: above ``max_hot_keys`` the join falls back
+to a plain shuffle join and Spark's adaptive skew-join splitting.
 """
 
 from __future__ import annotations
@@ -22,19 +22,22 @@ SALT = "_salt"
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, *, count_col: str,
-                order_col: str, hot_rows: int = 1_000_000, buckets: int = 64,
-                max_hot_keys: int = 100_000, how: str = "inner") -> DataFrame:
+                order_col: str, hot_rows: int = 1_000_000, rows_per_salt: int | None = None,
+                max_salts: int = 4096, max_hot_keys: int = 100_000, how: str = "inner") -> DataFrame:
     """Join ``big`` to ``small`` on ``key``; ``order_col`` (a unique big-side id) picks salts."""
-    hot = small.filter(F.col(count_col) >= hot_rows).select(key)
+    per_salt = rows_per_salt or hot_rows
+    n_salts = F.least(F.lit(max_salts), F.ceil(F.col(count_col) / F.lit(per_salt))).cast("int")
+    hot = small.filter(F.col(count_col) >= hot_rows).select(key, n_salts.alias("_n_salts"))
     n_hot = hot.count()
     if n_hot == 0 or n_hot > max_hot_keys:
         return big.join(small.drop(count_col), key, how)
 
-    tagged = big.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
+    tagged = big.join(F.broadcast(hot), key, "left")
     big_s = tagged.withColumn(
-        SALT, F.when(F.col("_hot"), F.pmod(F.xxhash64(F.col(order_col)), F.lit(buckets)))
-        .otherwise(F.lit(0)).cast("int")).drop("_hot")
+        SALT, F.when(F.col("_n_salts").isNotNull(),
+                     F.pmod(F.xxhash64(F.col(order_col)), F.col("_n_salts")))
+        .otherwise(F.lit(0)).cast("int")).drop("_n_salts")
     small_s = small.withColumn(
-        SALT, F.explode(F.when(F.col(count_col) >= hot_rows, F.sequence(F.lit(0), F.lit(buckets - 1)))
+        SALT, F.explode(F.when(F.col(count_col) >= hot_rows, F.sequence(F.lit(0), n_salts - 1))
                         .otherwise(F.array(F.lit(0))))).drop(count_col)
     return big_s.join(small_s, [key, SALT], how).drop(SALT)

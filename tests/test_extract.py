@@ -197,7 +197,7 @@ def test_result_json_keeps_order_nulls_and_accents(spark):
 def test_hot_key_salting_gives_same_results(spark):
     rows = [(i, i, OAB, REQ_FOUND, CARD if i % 3 else CARD + "\nvariant") for i in range(1, 61)]
     plain = by_job(extract(jobs_df(spark, rows)))
-    salted = by_job(extract(jobs_df(spark, rows), hot_rows=5, salt_buckets=4))
+    salted = by_job(extract(jobs_df(spark, rows), hot_rows=5, rows_per_salt=3))
     assert plain.keys() == salted.keys()
     for j in plain:
         assert values(plain[j]) == values(salted[j])
