@@ -1,0 +1,19 @@
+"""docsift - Spark-native document field extraction.
+
+Public API::
+
+    from docsift import extract, prepare_jobs, apply_rules, stats, RuleSet, DEFAULT_RULES
+
+See README.md for the three-level flow and the scale design.
+"""
+
+from docsift.operators import stats
+from docsift.operators.engine import apply_rules, extractor_values, plan_table
+from docsift.operators.extract import Extraction, extract, prepare_jobs, result_json, result_long
+from docsift.operators.fallback import batched as batched_fallback
+from docsift.operators.rules import DEFAULT as DEFAULT_RULES
+from docsift.operators.rules import Alt, Extractor, Rule, RuleBank, RuleSet
+
+__all__ = ["stats", "apply_rules", "extractor_values", "plan_table", "Extraction", "extract",
+           "prepare_jobs", "result_json", "result_long", "batched_fallback", "DEFAULT_RULES",
+           "Alt", "Extractor", "Rule", "RuleBank", "RuleSet"]
