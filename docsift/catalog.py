@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from docsift import schema as S
 from docsift.operators import stats
-from docsift.operators.engine import apply_rules, extractor_values
+from docsift.operators.engine import apply_rules, extractor_values, repaired
 from docsift.operators.extract import Extraction, extract, prepare_jobs, result_json, result_long
 from docsift.plans.partitioning import spread
 from docsift.plans.rule_plan import field_plan
@@ -62,7 +62,15 @@ def fixture_docs(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
 def _rule_query(which: str, x: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         d = spread(fixture_docs(spark, sf_dir, which).select("doc_id", "text"))
-        return extractor_values(d, [x]).select("doc_id", F.col(x).alias("value"))
+        first = (extractor_values(d, [x], deep_mode="defer")
+                 .select("doc_id", F.col(x).alias("value"),
+                         F.when(F.col("needs_python"), F.col("text")).alias("text"), "needs_python"))
+
+        def redo(rows: DataFrame) -> DataFrame:
+            return (extractor_values(rows.select("doc_id", "text"), [x])
+                    .select("doc_id", F.col(x).alias("value"), "text", F.lit(False).alias("needs_python")))
+
+        return repaired(first, redo, name=f"rule_{x}").select("doc_id", "value")
     return q
 
 
@@ -287,7 +295,16 @@ def stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rules_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both rule banks over every driver document, whole texts (no SQL twin: regex dialects differ)."""
     jobs = prepare_jobs(T.documents_jobs(spark, sf_dir), request="request")
-    ruled = apply_rules(jobs)
+    keep = ["job_id", "label", "fields", "text"]
+
+    def rules_pass(rows: DataFrame, deep_mode: str) -> DataFrame:
+        out = apply_rules(rows.select(*keep), deep_mode=deep_mode)
+        flag = F.col("needs_python") if deep_mode == "defer" else F.lit(False)
+        return out.select("job_id", "rule_values", F.when(flag, F.col("label")).alias("label"),
+                          F.when(flag, F.col("fields")).alias("fields"),
+                          F.when(flag, F.col("text")).alias("text"), flag.alias("needs_python"))
+
+    ruled = repaired(rules_pass(jobs, "defer"), lambda rows: rules_pass(rows, "inline"), name="rules_documents")
     # explode_outer: a plain explode makes Catalyst infer size(rule_values) > 0 and push
     # it below the projections, re-running every extractor once per field.
     return (ruled.select("job_id", F.posexplode_outer("rule_values").alias("ord", "v"))

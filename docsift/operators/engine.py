@@ -95,10 +95,14 @@ def _col(i: int, k: int) -> str:
 
 
 def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
-                  rules: RuleSet = DEFAULT) -> DataFrame:
+                  rules: RuleSet = DEFAULT, deep_mode: str = "inline") -> DataFrame:
     """Add one finished column ``_v<i>`` per extractor index ``i`` in ``ids``.
 
     ``needed``: array<int> Column of extractor indexes to run (None: all of ``ids``).
+    ``deep_mode``: rows whose runs are too deep for Java regex (``Alt.deep``) are
+    matched with Python ``re`` in the same plan (``"inline"``), or left unmatched
+    and flagged in ``needs_python`` for a later repair pass (``"defer"``) - which
+    keeps the Python worker out of the plan for every other row.
     """
     exts = rules.extractors
     ids = rules.extractor_ids if ids is None else ids
@@ -138,8 +142,9 @@ def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
             i, alt = index[x], exts[x].alts[k]
             if x in deep:
                 d = F.col(deep[x])
-                cols[_col(i, k)] = F.coalesce(F.when(cond & ~d, _raw(alt, t)),
-                                              _python_matcher(alt)(F.when(d, t)))
+                java = F.when(cond & ~d, _raw(alt, t))
+                cols[_col(i, k)] = (java if deep_mode == "defer"
+                                    else F.coalesce(java, _python_matcher(alt)(F.when(d, t))))
             else:
                 cols[_col(i, k)] = F.when(cond, _raw(alt, t))
         df = df.withColumns(cols)
@@ -149,6 +154,11 @@ def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
         i, ext = index[x], exts[x]
         alts = [_finish(a, F.col(_col(i, k))) for k, a in enumerate(ext.alts)]
         finished[f"_v{i}"] = alts[0] if len(alts) == 1 else F.coalesce(*alts)
+    if deep_mode == "defer":
+        flag = F.lit(False)
+        for d in deep_cols:
+            flag = flag | F.col(d)
+        finished["needs_python"] = flag
     drop = ([_col(index[x], k) for x in ids for k in range(len(exts[x].alts))] + list(gates.values())
             + deep_cols)
     return df.withColumns(finished).drop(*drop)
@@ -200,7 +210,7 @@ def attach_plans(df: DataFrame, plans: DataFrame, *, label: str = "label", field
 
 def apply_rules(df: DataFrame, *, label: str = "label", fields: str = "fields",
                 text: str = "text", keep_plan: bool = False, plans: DataFrame | None = None,
-                rules: RuleSet = DEFAULT) -> DataFrame:
+                rules: RuleSet = DEFAULT, deep_mode: str = "inline") -> DataFrame:
     """Add ``rule_values`` (ordered ``array<struct<ord,field,value,source>>``) and ``found_all``.
 
     ``found_all`` is true when every requested field has a non-null value, and
@@ -215,7 +225,7 @@ def apply_rules(df: DataFrame, *, label: str = "label", fields: str = "fields",
     else:
         out = attach_plans(df, plans, label=label, fields=fields, rules=rules)
     out = out.withColumn("_needed", _needed(F.col("_plan")))
-    out = staged_values(out, text, F.col("_needed"), rules=rules)
+    out = staged_values(out, text, F.col("_needed"), rules=rules, deep_mode=deep_mode)
     n = len(rules.extractor_ids)
     vals = F.array(*[F.col(f"_v{i}") for i in range(n)])
     out = (out
@@ -229,7 +239,25 @@ def apply_rules(df: DataFrame, *, label: str = "label", fields: str = "fields",
 
 
 def extractor_values(df: DataFrame, ids: list[str], *, text: str = "text",
-                     rules: RuleSet = DEFAULT) -> DataFrame:
+                     rules: RuleSet = DEFAULT, deep_mode: str = "inline") -> DataFrame:
     """One column per named extractor, each regex evaluated once (rule-level reports)."""
-    out = staged_values(df, text, None, ids, rules)
+    out = staged_values(df, text, None, ids, rules, deep_mode)
     return out.withColumnsRenamed({f"_v{rules.extractor_index[x]}": x for x in ids})
+
+
+def repaired(first_pass: DataFrame, redo, *, name: str) -> DataFrame:
+    """Materialize a ``deep_mode="defer"`` result, then redo only its flagged rows.
+
+    ``first_pass`` carries ``needs_python``; ``redo(rows)`` recomputes the same
+    columns for flagged rows with ``deep_mode="inline"``. Checking for flagged
+    rows is a pushed-down filter on the written table; in the usual case there
+    are none and no Python worker runs at all.
+    """
+    from docsift.session import materialize
+
+    table = materialize(first_pass, name)
+    flagged = table.filter(F.col("needs_python"))
+    if not flagged.take(1):
+        return table
+    fixed = materialize(redo(flagged), f"{name}_repaired")
+    return table.filter(~F.col("needs_python")).unionByName(fixed.select(*table.columns))

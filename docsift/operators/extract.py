@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift import schema as S
-from docsift.operators.engine import apply_rules, attach_plans, plan_table
+from docsift.operators.engine import apply_rules, attach_plans, plan_table, repaired
 from docsift.operators.rules import DEFAULT, RuleSet
 from docsift.operators.fallback import (Fallback, answer_for, build_requests, parse_response,
                                         response_error)
@@ -69,13 +69,15 @@ def prepare_jobs(jobs: DataFrame, documents: DataFrame | None = None, *,
 
 
 def scan(jobs: DataFrame, *, key_includes_label: bool = False, shared_plans: bool = True,
-         rules: RuleSet = DEFAULT) -> DataFrame:
+         rules: RuleSet = DEFAULT, deep_mode: str = "inline") -> DataFrame:
     """Narrow pass: keys + rule values, compact enough to materialize.
 
     The request itself is not kept: only its size, and for rows whose rules left a
     field null the missing sub-schema and the text (what a fallback prompt needs).
     With shared plans, the per-request plan and request hash come from a small
-    broadcast table instead of being computed on every row.
+    broadcast table instead of being computed on every row. With
+    ``deep_mode="defer"``, rows too deep for Java regex keep request and text and
+    are flagged ``needs_python`` for :func:`rescan`.
     """
     plans = plan_table(jobs, rules=rules) if shared_plans else None
     if plans is not None:
@@ -89,14 +91,28 @@ def scan(jobs: DataFrame, *, key_includes_label: bool = False, shared_plans: boo
                  F.col("error_class").isNull(),
                  S.cache_key(F.col("content_hash"), F.col("schema_hash"),
                              F.col("label") if key_includes_label else None))))
-    ruled = apply_rules(keyed, rules=rules)
+    return _rule_columns(keyed, rules, deep_mode)
+
+
+def _rule_columns(keyed: DataFrame, rules: RuleSet, deep_mode: str) -> DataFrame:
+    ruled = apply_rules(keyed, rules=rules, deep_mode=deep_mode)
+    flag = F.col("needs_python") if deep_mode == "defer" else F.lit(False)
     incomplete = ~F.col("found_all")
     return ruled.select(
         "job_id", "doc_id", "label", "error_class", "content_hash", "schema_hash", "cache_key",
         F.when(F.col("fields").isNotNull(), F.size("fields")).cast("int").alias("n_fields"),
         "rule_values", "found_all",
         F.when(incomplete, _missing(F.col("rule_values"), F.col("fields"))).alias("missing"),
-        F.when(incomplete, F.col("text")).alias("text"))
+        F.when(incomplete | flag, F.col("text")).alias("text"),
+        F.when(flag, F.col("fields")).alias("fields"),
+        flag.alias("needs_python"))
+
+
+def rescan(flagged: DataFrame, rules: RuleSet = DEFAULT) -> DataFrame:
+    """Rule columns again for flagged rows, with deep runs matched by Python ``re``."""
+    redo = flagged.select("job_id", "doc_id", "label", "error_class", "content_hash", "schema_hash",
+                          "cache_key", "fields", "text")
+    return _rule_columns(redo, rules, "inline")
 
 
 def _missing(rule_values: Column, fields: Column) -> Column:
@@ -122,9 +138,12 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
     second label with the same content and request gets the first label's result.
     ``cache_partial``: cache results whose fallback failed (reference behaviour).
     """
-    scanned = scan(jobs, key_includes_label=key_includes_label, rules=rules)
     if materialize_steps:
-        scanned = materialize(scanned, "scan")
+        # Java-only first pass; the rare rows too deep for Java regex are redone after it
+        first = scan(jobs, key_includes_label=key_includes_label, rules=rules, deep_mode="defer")
+        scanned = repaired(first, lambda rows: rescan(rows, rules), name="scan")
+    else:
+        scanned = scan(jobs, key_includes_label=key_includes_label, rules=rules)
 
     ok = scanned.filter(F.col("error_class").isNull())
 

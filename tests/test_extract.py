@@ -218,3 +218,16 @@ def test_batched_python_fallback(spark):
     res = by_job(extract(jobs_df(spark, rows), fallback=batched(answer, batch_size=2)))
     assert {j: values(res[j])["telefone_profissional"] for j in res} == {i: f"tel-{i}" for i in range(1, 6)}
     assert all(res[j]["metadata"]["llm_used"] for j in res)
+
+
+def test_deep_runs_repaired_after_the_java_pass(spark):
+    """extract() runs Java regex only, flags rows too deep for it, then redoes just those."""
+    import re
+
+    from docsift.operators.rules import oab
+
+    deep_text = "Nome: " + "JOAO SILVA " * 5000 + "fim\\n123456"
+    rows = [(1, 1, OAB, REQ_FOUND, deep_text), (2, 2, OAB, REQ_FOUND, CARD)]
+    res = by_job(extract(jobs_df(spark, rows)))
+    assert values(res[1])["nome"] == re.search(oab.NAME, deep_text).group(1).strip()
+    assert values(res[2]) == {"nome": "JOANA D'ARC", "inscricao": "123456"}
