@@ -34,30 +34,11 @@ def rx(pattern: str, flags: str = "") -> str:
     return f"(?{''.join(sorted(flags))}Ud){pattern}"
 
 
-def group(text: Column, pattern: str, flags: str = "", idx: int = 1) -> Column:
-    """First match's capture group ``idx``, or null when there is no match.
-
-    ``regexp_extract`` returns ``''`` on no match; every rule group is
-    non-empty when it participates, so ``''`` means "not found".
-    """
-    return F.nullif(F.regexp_extract(text, rx(pattern, flags), idx), F.lit(""))
-
-
-def whole(text: Column, pattern: str, flags: str = "") -> Column:
-    """First whole match (group 0), or null when there is no match."""
-    return F.regexp_substr(text, F.lit(rx(pattern, flags)))
-
-
 def found(text: Column, pattern: str, flags: str = "") -> Column:
     """True when ``pattern`` occurs anywhere in ``text``."""
     return text.rlike(rx(pattern, flags))
 
 
-def all_groups(text: Column, pattern: str, flags: str = "", idx: int = 1) -> Column:
-    """Every non-overlapping match's group ``idx``, left to right (``re.findall``)."""
-    return F.regexp_extract_all(text, F.lit(rx(pattern, flags)), F.lit(idx))
-
-
 def strip(value: Column) -> Column:
     """Python ``str.strip()``: remove leading and trailing Unicode whitespace.
 
@@ -65,8 +46,3 @@ def strip(value: Column) -> Column:
     A null stays null; whitespace only becomes ``''``, which still counts as found.
     """
     return F.regexp_replace(value, _STRIP, "")
-
-
-def first_of(*alternatives: Column) -> Column:
-    """First non-null alternative, tried in priority order (lazily, per row)."""
-    return alternatives[0] if len(alternatives) == 1 else F.coalesce(*alternatives)

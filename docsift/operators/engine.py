@@ -86,10 +86,6 @@ def _finish(alt: Alt, raw: Column) -> Column:
     return v
 
 
-def alt_deep(alt: Alt) -> str:
-    return alt.deep
-
-
 def _col(i: int, k: int) -> str:
     return f"_x{i}_{k}"
 
@@ -134,7 +130,7 @@ def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
             if alt.deep:
                 deep[x] = f"_d{i}_{k}"
         if deep:   # flag rows whose runs are too deep for Java, once per row
-            df = df.withColumns({d: F.coalesce(conds[x] & found(t, alt_deep(exts[x].alts[k])), F.lit(False))
+            df = df.withColumns({d: F.coalesce(conds[x] & found(t, exts[x].alts[k].deep), F.lit(False))
                                  for x, d in deep.items()})
             deep_cols += list(deep.values())
         cols = {}

@@ -18,9 +18,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-# (lowered field name, upper-cased field name, upper-cased description, description)
 Trigger = Callable[["FieldView"], Column]
 
 
@@ -119,7 +117,3 @@ def name_has_all(*words: str, without: tuple[str, ...] = ()) -> Trigger:
 
 def both(a: Trigger, b: Trigger) -> Trigger:
     return lambda f: a(f) & b(f)
-
-
-def field_view(name: Column, desc: Column) -> FieldView:
-    return FieldView(lower=F.lower(name), upper=F.upper(name), desc_upper=F.upper(desc), desc=desc)
