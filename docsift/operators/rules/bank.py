@@ -48,6 +48,12 @@ class Alt:
     and kills the executor). Rows where it occurs are matched with Python's ``re``
     instead, whose backtracking stack lives on the heap; all other rows stay on
     the JVM.
+
+    ``bounded`` / ``at_bound`` replace ``deep`` where the pattern allows it: the
+    bounded pattern is the same with its repetition capped (Java-safe), and returns
+    the same match whenever the run is shorter than the cap; ``at_bound(raw)`` tells,
+    from the (short) matched value, that the cap was reached and the row must be
+    matched with Python's ``re``. No extra scan of the text is needed.
     """
 
     pattern: str
@@ -58,6 +64,8 @@ class Alt:
     strip: bool = False
     finish: Callable[[Column], Column] | None = None
     deep: str | None = None
+    bounded: str | None = None
+    at_bound: Callable[[Column], Column] | None = None
 
 
 @dataclass(frozen=True)

@@ -28,9 +28,15 @@ ADDRESS = r"ENDERE[CÇ]O\s+Profissional\s*\n([A-ZÀ-Ú0-9][^\n]+)\n([A-ZÀ-Ú][^
 STATUS = r"SITUA[CÇ](?:A[OÃ]|Ã[OÃ])\s+([A-ZÀ-Ú]+)"
 # ---------------------------------------------------------------------------
 
-# Runs long enough to exhaust Java's recursive group matching (see Alt.deep).
+# NAME with its repetition capped for Java's recursive group matching (see Alt.bounded):
+# identical match below the cap; a match with DEEP_REPEATS separators reached it.
 DEEP_REPEATS = 300
-NAME_DEEP = r"[A-ZÀ-Ú]+(?:[\s'][A-ZÀ-Ú]+){%d}" % DEEP_REPEATS
+NAME_BOUNDED = r"\b([A-ZÀ-Ú]+(?:[\s'][A-ZÀ-Ú]+){0,%d})\b" % DEEP_REPEATS
+
+
+def name_at_bound(raw: Column) -> Column:
+    separators = F.length(F.regexp_replace(raw, r"(?U)[^\s']", ""))
+    return separators >= DEEP_REPEATS
 
 
 def address_lines(span: Column) -> Column:
@@ -44,7 +50,7 @@ def address_lines(span: Column) -> Column:
 
 
 EXTRACTORS = {
-    "oab_nome": Extractor((Alt(NAME, strip=True, deep=NAME_DEEP),)),
+    "oab_nome": Extractor((Alt(NAME, strip=True, bounded=NAME_BOUNDED, at_bound=name_at_bound),)),
     "oab_inscricao": Extractor((Alt(REGISTRATION, strip=True),)),
     # the bare state code is only searched when the word "Seccional" is present
     "oab_seccional": Extractor((Alt(COUNCIL_CODE, "i", strip=True),
