@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docsift.llm import exact_dedup
+from docsift.llm import exact_dedup, packing, token_counts, token_files
+from docsift.session import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +22,26 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        _documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    token_files.write(_documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files.digests(spark, path)
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(
+        _documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_exact_dedup": op2_exact_dedup,
+        "op7_best_fit_packing": op7_best_fit_packing,
+        "op9_token_files": op9_token_files,
+        "op10_token_counts": op10_token_counts,
     }
