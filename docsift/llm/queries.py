@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docsift.llm import decontamination, exact_dedup, licenses, packing, token_counts, token_files
+from docsift.llm import decontamination, exact_dedup, language_id, licenses, packing, token_counts, token_files
 from docsift.session import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         _documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return language_id.predict(docs, language_id.fit(docs))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
     token_files.write(_documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -52,6 +57,7 @@ def queries() -> dict[str, Query]:
         "op5_decontamination": op5_decontamination,
         "op6_license_scan": op6_license_scan,
         "op7_best_fit_packing": op7_best_fit_packing,
+        "op8_language_id": op8_language_id,
         "op9_token_files": op9_token_files,
         "op10_token_counts": op10_token_counts,
     }
