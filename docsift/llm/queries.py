@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docsift.llm import decontamination, exact_dedup, language_id, licenses, packing, token_counts, token_files
+from docsift.llm import decontamination, exact_dedup, language_id, licenses, packing, substring_dedup, token_counts, token_files
 from docsift.session import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(_documents(spark, sf_dir)).drop("kept")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -54,6 +58,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_exact_dedup": op2_exact_dedup,
+        "op4_substring_dedup": op4_substring_dedup,
         "op5_decontamination": op5_decontamination,
         "op6_license_scan": op6_license_scan,
         "op7_best_fit_packing": op7_best_fit_packing,
