@@ -32,10 +32,10 @@ def chunked(docs: DataFrame) -> DataFrame:
                        row.alias("row")).withColumn("chunk", F.floor(F.col("row") / CHUNK_ROWS))
 
 
-def n_parts(docs: DataFrame) -> int:
+def n_parts(docs: DataFrame, part_bytes: int | None = None) -> int:
     """Key ranges for the text that there is."""
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"]
-    return max(1, -(-(size or 0) // PART_BYTES))
+    return max(1, -(-(size or 0) // (part_bytes or PART_BYTES)))
 
 
 def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:

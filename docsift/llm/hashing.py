@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import numpy as np
 
-_BYTE = 0x9E3779B97F4A7C15          # odd multipliers
-_WORD = 0xC2B2AE3D27D4EB4F
+BYTE_BASE = 0x9E3779B97F4A7C15          # odd multipliers
+WORD_BASE = 0xC2B2AE3D27D4EB4F
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -45,7 +45,7 @@ def _runs(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) -
     return (sums[ends] - sums[starts]) * down[starts]
 
 
-def windows(values: np.ndarray, n: int, base: int = _WORD) -> np.ndarray:
+def windows(values: np.ndarray, n: int, base: int = WORD_BASE) -> np.ndarray:
     """Hash of every ``n`` consecutive values (numbers or word hashes)."""
     count = max(0, len(values) - n + 1)
     up, down = _power_tables(base, len(values) + 1)
@@ -72,7 +72,7 @@ def word_bounds(data: np.ndarray, ends: np.ndarray, space: np.ndarray = SPACE) -
 def word_hashes(data: np.ndarray, ends: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word, and the number of words up to each text's end."""
     starts, stops = word_bounds(data, ends, space)
-    h = _runs(data.astype(np.uint64) + np.uint64(1), _BYTE, starts, stops)
+    h = _runs(data.astype(np.uint64) + np.uint64(1), BYTE_BASE, starts, stops)
     return mixed(h + (stops - starts).astype(np.uint64)), np.searchsorted(starts, ends)
 
 

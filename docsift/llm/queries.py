@@ -8,7 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docsift.llm import decontamination, exact_dedup, language_id, licenses, packing, substring_dedup, token_counts, token_files
+from docsift.llm import decontamination, exact_dedup, language_id, licenses, packing, substring_dedup, suffix_dedup
+from docsift.llm import token_counts, token_files
 from docsift.session import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(_documents(spark, sf_dir)).drop("kept")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir))
 
@@ -57,6 +62,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_suffix_dedup": op1_suffix_dedup,
         "op2_exact_dedup": op2_exact_dedup,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_decontamination": op5_decontamination,
