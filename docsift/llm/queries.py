@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docsift.llm import decontamination, exact_dedup, language_id, licenses, packing, substring_dedup, suffix_dedup
+from docsift.llm import decontamination, exact_dedup, jaccard_join, language_id, licenses, packing, substring_dedup, suffix_dedup
 from docsift.llm import token_counts, token_files
 from docsift.session import checkpoint_dir
 
@@ -27,6 +27,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rule = jaccard_join.Rule(n=4, num=85, den=100)
+    return jaccard_join.jaccard_components(_documents(spark, sf_dir), rule).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(_documents(spark, sf_dir)).drop("kept")
 
@@ -64,6 +70,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_jaccard_join": op3_jaccard_join,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_decontamination": op5_decontamination,
         "op6_license_scan": op6_license_scan,
