@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docsift.llm.rows import without_rows
 from docsift.session import materialize
 
 HASHES = 2
@@ -73,8 +74,8 @@ def possibly_repeated(rows: DataFrame, key: str, n_rows: int) -> DataFrame:
     return out.drop(*[f"_p{i}" for i in range(HASHES)])
 
 
-def exact_dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs(doc_id, text)``."""
+def _decided(docs: DataFrame) -> DataFrame:
+    """row, doc_id, keep_id, keep_row, group_size, sha."""
     text = F.col("text")
     narrow = materialize(docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -98,23 +99,16 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     alone = tested.filter("NOT maybe").select(
         "sha", "row", "doc_id", F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"),
         F.lit(1).cast("bigint").alias("group_size"))
-    return found.unionByName(alone).select(
+    return found.unionByName(alone)
+
+
+def exact_dedup(docs: DataFrame) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs(doc_id, text)``."""
+    return _decided(docs).select(
         "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    key = F.sha2(normalised(F.col("text")), 256)
-    result = exact_dedup(docs)
-    mark = ["doc_id", "text_sha256"]
-    # a (doc_id, text) key is dropped unless one of its rows stays; rows repeated in both are cut to one
-    keys = result.groupBy(*mark).agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
-    keys = materialize(keys.filter("NOT kept OR n > 1"), "decisions")
-    names = docs.columns
-    marked = docs.withColumn("__sha", key).join(
-        keys.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__key"), F.col("kept").alias("__kept")),
-        F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__key")), "left")
-    single = marked.filter("__key IS NULL").select(*names)
-    repeated = marked.filter("__kept").dropDuplicates(["__id", "__key"]).select(*names)
-    return single.unionByName(repeated)
+    """The rows of the table ``docs`` that stay, with all their columns."""
+    return without_rows(docs, _decided(docs).filter("row <> keep_row"))

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from docsift.llm import exchange as X
 from docsift.llm import hashing as H
 from docsift.llm.components import components
+from docsift.llm.rows import without_rows
 from docsift.llm.substring_dedup import _block_batch
 from docsift.llm.words import LOWER
 from docsift.session import materialize
@@ -342,7 +343,4 @@ def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     result = materialize(jaccard_components(docs, rule), "components")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
     kept = result.groupBy("component").agg(first).select(F.col("first.row").alias("row"))
-    dropped = materialize(result.select("row").join(kept, "row", "left_anti"), "dropped")
-    names = docs.columns
-    marked = docs.withColumn("__row", F.monotonically_increasing_id())
-    return marked.join(dropped.withColumnRenamed("row", "__row"), "__row", "left_anti").select(*names)
+    return without_rows(docs, result.select("row").join(kept, "row", "left_anti"))

@@ -20,6 +20,7 @@ columns are never read; an empty table gives no rows.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -238,53 +239,57 @@ def fit(docs: DataFrame) -> Network:
     return train([(r.lang, r.text.encode()) for r in sample])
 
 
-def _predictor(net):
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = net.value["id"]
-        if key not in _labellers:
-            _labellers.clear()
-            _labellers[key] = Labeller(net.value["net"])
-        labeller, langs = _labellers[key], net.value["net"].langs
-        for batch in batches:
-            pred, score = [], []
-            texts = utf8(batch["text"])
-            for start in range(0, len(texts), 500):
-                part = texts[start:start + 500]
-                for text, p in zip(part, labeller.pooled(part) if langs else [None] * len(part)):
-                    known = p is not None and _has_letter(text)
-                    pred.append(langs[int(p.argmax())] if known else UNKNOWN)
-                    score.append(float(p.max()) if known else 0.0)
-            rest = [batch[c] for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays(
-                [*rest, pa.array(pred, pa.string()), pa.array(np.clip(score, 0, 1), pa.float64())],
-                [*(c for c in batch.schema.names if c != "text"), "lang_pred", "score"])
+def _labeller(model) -> Labeller:
+    """One per Python worker, for the model in use."""
+    key = model.value["id"]
+    if key not in _labellers:
+        _labellers.clear()
+        _labellers[key] = Labeller(model.value["net"])
+    return _labellers[key]
+
+
+def _labelled(model, texts: list[bytes]) -> Iterator[tuple[str, float]]:
+    """Language and score of each text."""
+    langs = model.value["net"].langs
+    for start in range(0, len(texts), 500):
+        part = texts[start:start + 500]
+        pooled = _labeller(model).pooled(part) if langs else [None] * len(part)
+        for text, p in zip(part, pooled):
+            if p is None or not _has_letter(text):
+                yield UNKNOWN, 0.0
+            else:
+                best = int(p.argmax())
+                yield langs[best], min(1.0, float(p[best]))
+
 
-    return predict
+def _broadcast(docs: DataFrame, net: Network):
+    return docs.sparkSession.sparkContext.broadcast({"id": uuid.uuid4().hex, "net": net})
 
 
 def predict(docs: DataFrame, net: Network) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of ``docs(doc_id, text)``."""
-    import uuid
+    model = _broadcast(docs, net)
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang, score = zip(*found) if (found := list(_labelled(model, utf8(batch["text"])))) else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], batch["held_out"], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+                ["doc_id", "held_out", "lang_pred", "score"])
 
-    model = docs.sparkSession.sparkContext.broadcast({"id": uuid.uuid4().hex, "net": net})
     rows = docs.select(F.col("doc_id").cast("bigint"), held_out(F.col("doc_id")).alias("held_out"), "text")
-    return rows.mapInArrow(_predictor(model), SCHEMA)
+    return rows.mapInArrow(label, SCHEMA)
 
 
-def keep_languages(docs: DataFrame, net: Network, wanted: list[str], least: float) -> DataFrame:
-    """The rows of ``docs`` predicted as one of ``wanted`` with a score of at least ``least``, all columns."""
-    model = docs.sparkSession.sparkContext.broadcast(net)
+def keep_languages(docs: DataFrame, net: Network, least: float, wanted: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` whose language is known, among ``wanted`` (None: any learned one), and scores
+    ``least`` or more; all columns."""
+    model = _broadcast(docs, net)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = _labellers.setdefault(f"keep{id(model)}", Labeller(model.value))
-        langs = model.value.langs
         for batch in batches:
-            stays, texts = [], utf8(batch["text"])
-            for start in range(0, len(texts), 500):
-                part = texts[start:start + 500]
-                for text, p in zip(part, labeller.pooled(part) if langs else [None] * len(part)):
-                    stays.append(p is not None and _has_letter(text) and langs[int(p.argmax())] in wanted
-                                 and float(p.max()) >= least)
+            stays = [lang != UNKNOWN and score >= least and (wanted is None or lang in wanted)
+                     for lang, score in _labelled(model, utf8(batch["text"]))]
             yield batch.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
