@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from docsift import schema as S
 from docsift.operators import stats
-from docsift.operators.engine import apply_rules, extractor_values, repaired
+from docsift.operators.engine import apply_rules, extractor_values
 from docsift.operators.extract import Extraction, extract, prepare_jobs, result_json, result_long
 from docsift.plans.partitioning import spread
 from docsift.plans.rule_plan import field_plan
@@ -62,16 +62,35 @@ def fixture_docs(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
 def _rule_query(which: str, x: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         d = spread(fixture_docs(spark, sf_dir, which).select("doc_id", "text"))
-        first = (extractor_values(d, [x], deep_mode="defer")
-                 .select("doc_id", F.col(x).alias("value"),
-                         F.when(F.col("needs_python"), F.col("text")).alias("text"), "needs_python"))
+        return extractor_values(d, [x]).select("doc_id", F.col(x).alias("value"))
+    return q
 
-        def redo(rows: DataFrame) -> DataFrame:
-            return (extractor_values(rows.select("doc_id", "text"), [x])
-                    .select("doc_id", F.col(x).alias("value"), "text", F.lit(False).alias("needs_python")))
 
-        return repaired(first, redo, name=f"rule_{x}").select("doc_id", "value")
-    return q
+def rules_long_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules with repeated groups on runs of up to 20,000 capital words (one text per customer)."""
+    c = T.load(spark, sf_dir, "customer").select("c_custkey")
+    words = F.pmod(F.col("c_custkey") * 97, F.lit(40)) * 500 + 1
+    run = F.concat(F.lit("nome "), F.repeat(F.lit("JOAO SILVA "), words.cast("int")), F.lit("fim\nProduto "),
+                   F.repeat(F.lit("CREDITO "), words.cast("int")), F.lit("Qtd 1"))
+    d = c.select(F.col("c_custkey").alias("doc_id"), run.alias("text")).repartition(32)
+    out = extractor_values(d, ["oab_nome", "sis_produto"])
+    return out.select("doc_id", F.length("oab_nome").alias("n_nome"), F.sha2("oab_nome", 256).alias("nome_sha256"),
+                      F.length("sis_produto").alias("n_produto"))
+
+
+#: What stands between the parts of a text in ``rules_unicode``, picked by document.
+UNICODE_SIGNS = ("\u0301", "\u00b2", "\u00bd", "\x1c", "\u00a0", "_", "\u00d7", "\u2028", "-")
+
+
+def rules_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and numbers beside signs on which regex dialects differ (one text per customer)."""
+    c = T.load(spark, sf_dir, "customer").select("c_custkey")
+    sign = F.element_at(F.array(*[F.lit(s) for s in UNICODE_SIGNS]),
+                        (F.pmod("c_custkey", F.lit(len(UNICODE_SIGNS))) + 1).cast("int"))
+    text = F.concat(F.lit("123456"), sign, F.lit(" 654321 JOS"), sign, F.lit("E"), sign, F.lit("SILVA"))
+    out = extractor_values(c.select(F.col("c_custkey").alias("doc_id"), text.alias("text")),
+                           ["oab_nome", "oab_inscricao"])
+    return out.select("doc_id", F.col("oab_nome").alias("nome"), F.col("oab_inscricao").alias("inscricao"))
 
 
 def fixture_extraction(spark: SparkSession, sf_dir: str) -> Extraction:
@@ -112,8 +131,8 @@ def extract_found_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def missing_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ex = fixture_extraction(spark, sf_dir)
-    return ex.requests.select(
+    jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request")
+    return extract(jobs).requests.select(
         "doc_id", "label",
         F.array_join(F.transform("missing", lambda f: f["field"]), ",").alias("missing_fields"),
         F.sha2(F.col("prompt"), 256).alias("prompt_sha256"),
@@ -127,8 +146,8 @@ def _fixture_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stats_per_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fixture_stats(spark, sf_dir).select(
-        "job_id", "label", "total_fields", "heuristics", "llm", "found", "missing", "coverage",
-        "heuristics_coverage", "rules_found", "llm_found")
+        "job_id", "file", "label", "total_fields", "heuristics", "llm", "found", "missing", "coverage",
+        "heuristics_coverage", stats.shown(F.col("coverage")).alias("coverage_shown"), "rules_found", "llm_found")
 
 
 def stats_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,16 +284,127 @@ def jobs_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def request_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Request strings per document; every 13th arrives truncated and is a schema error."""
+    """Request strings per document: whole, cut off, single-quoted, or with something after the object."""
     d = T.documents_jobs(spark, sf_dir)
-    text = F.to_json("request")
-    raw = F.when(F.pmod(F.col("doc_id"), F.lit(13)) == 0, F.expr("substring(to_json(request), 1, 20)")) \
-        .otherwise(text)
+    text, kind = F.to_json("request"), F.pmod(F.col("doc_id"), F.lit(13))
+    raw = (F.when(kind == 0, F.expr("substring(to_json(request), 1, 20)"))
+           .when(kind == 1, F.lit("{'a': 'x'}"))
+           .when(kind == 2, F.concat(text, F.lit(" trailing")))
+           .when(kind == 3, F.concat(text, F.lit(" "), text))
+           .when(kind == 4, F.concat(F.lit("["), text, F.lit("]")))
+           .otherwise(F.concat(F.lit(" "), text)))
     fields, err = files.parse_request(raw)
     n = F.when(fields.isNotNull(), F.size(fields))      # size(NULL) is -1 when ANSI mode is off
     return d.select("job_id", n.cast("long").alias("n_fields"), err.alias("error_class"))
 
 
+def _faulty_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs on the driver documents with a cut request, no document, no pages or an empty request now and then."""
+    d = T.documents_jobs(spark, sf_dir)
+    kind = F.pmod(F.col("doc_id"), F.lit(11))
+    raw = F.when(kind == 0, F.lit("{bad")).when(kind == 3, F.lit("{}")).otherwise(F.to_json("request"))
+    fields, error = files.parse_request(raw)
+    given = F.coalesce(error, F.when(kind == 2, F.lit(files.ERR_ZERO_PAGES)))
+    return d.select("job_id", "doc_id", "label", fields.alias("fields"),
+                    F.when(kind != 1, F.col("text")).alias("text"), given.alias("error_class"))
+
+
+def extract_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every job's error, if any, and its field counts in the report; bad requests never reach the cache."""
+    run = extract(prepare_jobs(_faulty_jobs(spark, sf_dir)), fallback=T.fixture_fallback)
+    report = stats.per_job(run.results).select("job_id", "total_fields", "error")
+    return run.results.select("job_id", "error_class", F.col("cache_key").isNotNull().alias("keyed")).join(
+        report, "job_id")
+
+
+def empty_result_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cached result without fields is a hit all the same (second run over the jobs with an empty request)."""
+    jobs = prepare_jobs(_faulty_jobs(spark, sf_dir).filter(F.pmod(F.col("doc_id"), F.lit(11)) == 3))
+    first = extract(jobs)
+    again = extract(jobs, cache=first.new_cache)
+    return again.results.select("job_id", F.col("metadata.cache_hit").alias("cache_hit"),
+                                F.size("result").cast("long").alias("n_fields"))
+
+
+def jobs_to_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs joined to their documents by id; every 17th job names a document that is not there."""
+    d = T.documents_jobs(spark, sf_dir)
+    jobs = d.select("job_id", F.when(F.pmod("doc_id", F.lit(17)) == 0, -F.col("doc_id") - 1)
+                    .otherwise(F.col("doc_id")).alias("doc_id"), "label", "request")
+    out = prepare_jobs(jobs, d.select("doc_id", "text"), request="request")
+    return out.select("job_id", "doc_id", F.length("text").cast("long").alias("n_chars"))
+
+
+def manifest_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs on the driver documents written as one JSON array and read back: ordinals and requests."""
+    from docsift.streaming.incremental import new_store
+
+    path = new_store(spark, "manifest")
+    entry = F.to_json(F.struct("label", F.col("request").alias("extraction_schema"),
+                               F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("pdf_path")))
+    rows = T.documents_jobs(spark, sf_dir).groupBy().agg(
+        F.array_sort(F.collect_list(F.struct("job_id", entry.alias("entry")))).alias("rows"))
+    rows.select(F.concat(F.lit("["), F.array_join(F.transform("rows", lambda r: r["entry"]), ",\n"), F.lit("]"))
+                .alias("value")).coalesce(1).write.text(path)
+    return files.read_manifest(spark, path).select(
+        "job_id", "label", F.size("fields").cast("long").alias("n_fields"), F.col("doc_id").alias("pdf_path"))
+
+
+def file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two batches, one text file per language: the second run hashes only what the ledger lacks."""
+    from docsift.streaming.incremental import new_store
+
+    path = new_store(spark, "files")
+    d = T.load(spark, sf_dir, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    text = F.concat("lang", F.lit(":"), F.col("n").cast("string"))
+    parts = d.select("lang", text.alias("value"))
+    parts.filter("lang < 'en'").repartition("lang").write.partitionBy("lang").text(path)
+    ledger = files.scan_files(spark, path, glob="*.txt")
+    ledger = ledger.sparkSession.createDataFrame(ledger.collect(), ledger.schema)     # a few files
+    parts.filter("lang >= 'en'").repartition("lang").write.mode("append").partitionBy("lang").text(path)
+    fresh = files.hash_new_files(spark, path, ledger, glob="*.txt")
+    return fresh.select(F.regexp_extract("path", "lang=([^/]*)", 1).alias("lang"), "length", "content_hash")
+
+
+def nested_request_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A description that is a JSON object hashes the same in any key order, and not with another value."""
+    k = F.col("doc_id").cast("string")
+    field = lambda d: S.schema_hash(F.array(F.struct(
+        F.lit(0).alias("ord"), F.lit("f").alias("field"), d.alias("description"))))
+    a = F.concat(F.lit('{"a": "'), k, F.lit('", "b": "y"}'))
+    b = F.concat(F.lit('{"b": "y", "a": "'), k, F.lit('"}'))
+    c = F.concat(F.lit('{"b": "z", "a": "'), k, F.lit('"}'))
+    return T.load(spark, sf_dir, "documents").select(
+        "doc_id", (field(a) == field(b)).alias("same"), (field(a) == field(c)).alias("other"))
+
+
+def cache_cleared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a stored cache before and after it is cleared."""
+    from docsift.streaming.incremental import append_cache, clear_cache, new_store, read_cache
+
+    path = new_store(spark, "cache")
+    run = _documents_run(spark, sf_dir, None, T.documents_jobs(spark, sf_dir).drop("lang"))
+    append_cache(run.new_cache, path, None)
+    before = read_cache(spark, path).count()
+    clear_cache(spark, path)
+    after = read_cache(spark, path).agg(F.count(F.lit(1)).alias("n_rows"))
+    return after.select(F.lit("after").alias("state"), "n_rows").unionByName(
+        spark.range(1).select(F.lit("before").alias("state"), F.lit(before).cast("bigint").alias("n_rows")))
+
+
+def custom_bank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document type of the caller's own: a bank for labels with ``relatorio``, passed as ``rules=``."""
+    from docsift.operators.rules import DEFAULT
+    from docsift.operators.rules.bank import Alt, Extractor, Rule, RuleBank, name_has_any
+
+    bank = RuleBank("relatorio", "relatorio", (Rule("palavra", name_has_any("palavra"), "first_word"),))
+    rules = DEFAULT.with_bank(bank, {"first_word": Extractor((Alt(r"([A-Za-z]+)"),))})
+    jobs = T.load(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("job_id"), "doc_id", F.lit("relatorio_mensal").alias("label"),
+        F.create_map(F.lit("palavra"), F.lit("first word")).alias("request"), "text")
+    return result_long(extract(prepare_jobs(jobs, request="request"), rules=rules).results)
+
+
 def stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cards and screens arriving as four files, extracted micro-batch by micro-batch.
 
@@ -292,19 +422,23 @@ def stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result_long(read_results(spark, f"{store}/out").drop("batch_id"))
 
 
-def rules_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both rule banks over every driver document, whole texts (no SQL twin: regex dialects differ)."""
-    jobs = prepare_jobs(T.documents_jobs(spark, sf_dir), request="request")
-    keep = ["job_id", "label", "fields", "text"]
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first micro-batch run twice, as after a failure: its rows must be those of the first run."""
+    from docsift.streaming.incremental import new_store, read_results, run_batch
 
-    def rules_pass(rows: DataFrame, deep_mode: str) -> DataFrame:
-        out = apply_rules(rows.select(*keep), deep_mode=deep_mode)
-        flag = F.col("needs_python") if deep_mode == "defer" else F.lit(False)
-        return out.select("job_id", "rule_values", F.when(flag, F.col("label")).alias("label"),
-                          F.when(flag, F.col("fields")).alias("fields"),
-                          F.when(flag, F.col("text")).alias("text"), flag.alias("needs_python"))
+    store = new_store(spark)
+    jobs = prepare_jobs(T.documents_jobs(spark, sf_dir).drop("lang"), request="request")
+    for _ in range(2):
+        run_batch(jobs, 0, store=store, fallback=T.fixture_fallback)
+    r = read_results(spark, store)
+    return r.select("job_id", F.col("metadata.cache_hit").alias("cache_hit"),
+                    F.col("metadata.found_by_heuristics").isNull().alias("no_rules"))
 
-    ruled = repaired(rules_pass(jobs, "defer"), lambda rows: rules_pass(rows, "inline"), name="rules_documents")
+
+def rules_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both rule banks over every driver document, whole texts."""
+    jobs = prepare_jobs(T.documents_jobs(spark, sf_dir), request="request")
+    ruled = apply_rules(jobs.select("job_id", "label", "fields", "text"))
     # explode_outer: a plain explode makes Catalyst infer size(rule_values) > 0 and push
     # it below the projections, re-running every extractor once per field.
     return (ruled.select("job_id", F.posexplode_outer("rule_values").alias("ord", "v"))
@@ -339,5 +473,16 @@ def queries() -> dict[str, Query]:
         "stream_extract": stream_extract,
         "jobs_jsonl": jobs_jsonl,
         "request_parse": request_parse,
+        "rules_long_runs": rules_long_runs,
+        "rules_unicode": rules_unicode,
+        "extract_errors": extract_errors,
+        "empty_result_hit": empty_result_hit,
+        "jobs_to_documents": jobs_to_documents,
+        "manifest_jobs": manifest_jobs,
+        "file_ledger": file_ledger,
+        "nested_request_hash": nested_request_hash,
+        "cache_cleared": cache_cleared,
+        "custom_bank": custom_bank,
+        "stream_replay": stream_replay,
     })
     return out

@@ -4,12 +4,16 @@ Rule patterns are written in the notation of Python's ``re`` module, which is
 Unicode-aware by default. Java's ``java.util.regex`` (what ``regexp_extract``
 runs on) is not, so every pattern gets an inline flag prefix:
 
-* ``U`` - Unicode character classes: ``\\s``, ``\\d``, ``\\w`` and ``\\b`` see
-  accented letters, NBSP and non-ASCII digits as Python does; implies Unicode
-  case folding, so ``(?i)`` folds ``ç``/``Ç``;
+* ``U`` - Unicode character classes: ``\\d`` sees non-ASCII digits, and ``(?i)``
+  folds ``ç``/``Ç``;
 * ``d`` - Unix lines: only ``\\n`` ends a line for ``.`` and ``$``, as in Python;
 * ``i`` / ``s`` - ignore case / dot matches newline, when the rule asks for them.
 
+What still differs is written out: Python's word characters are letters, numbers
+of any kind and ``_`` (Java's would add combining marks and leave out ``²``), its
+``\\b`` is a change between those and anything else, and its ``\\s`` also holds the
+separators U+001C..U+001F.
+
 All helpers return ``Column`` expressions; nothing here runs Python per row.
 """
 
@@ -18,9 +22,39 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() removes every character for which str.isspace() holds.
-# Java's Unicode \s covers all of them except the four separators U+001C..U+001F.
-_STRIP = r"(?Ud)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+_WORD = r"\p{L}\p{N}_"
+_SPACE = r"\s\x1c-\x1f"
+_OUTSIDE = {   # escape -> what it is outside a character class
+    "w": f"[{_WORD}]", "W": f"[^{_WORD}]", "s": f"[{_SPACE}]", "S": f"[^{_SPACE}]",
+    "b": f"(?:(?<=[{_WORD}])(?![{_WORD}])|(?<![{_WORD}])(?=[{_WORD}]))",
+    "B": f"(?:(?<=[{_WORD}])(?=[{_WORD}])|(?<![{_WORD}])(?![{_WORD}]))",
+}
+_INSIDE = {"w": _WORD, "s": _SPACE}
+
+# Python's str.strip() removes every character for which str.isspace() holds: the same as \s. At the
+# start the spaces are one possessive run, so that a long inner run is not tried from each of its places.
+_STRIP = rf"(?Ud)^[{_SPACE}]++|(?<![{_SPACE}])[{_SPACE}]++$"
+
+
+def python_classes(pattern: str) -> str:
+    """``pattern`` with Python's ``\\w``, ``\\s`` and ``\\b`` spelled out for Java."""
+    out, inside, i = [], False, 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            e = pattern[i + 1]
+            if inside and e in "WSB":
+                raise ValueError(f"unsupported in a character class: \\{e}")
+            out.append((_INSIDE if inside else _OUTSIDE).get(e, c + e))
+            i += 2
+            continue
+        if c == "[" and not inside:
+            inside = True
+        elif c == "]" and inside:
+            inside = False
+        out.append(c)
+        i += 1
+    return "".join(out)
 
 
 def rx(pattern: str, flags: str = "") -> str:
@@ -31,7 +65,7 @@ def rx(pattern: str, flags: str = "") -> str:
     bad = set(flags) - set("is")
     if bad:
         raise ValueError(f"unsupported regex flags: {sorted(bad)}")
-    return f"(?{''.join(sorted(flags))}Ud){pattern}"
+    return f"(?{''.join(sorted(flags))}Ud){python_classes(pattern)}"
 
 
 def found(text: Column, pattern: str, flags: str = "") -> Column:

@@ -17,9 +17,6 @@ only the cheap per-field steps use higher-order functions. No shuffle, no UDF.
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,36 +35,10 @@ def _needed(plan: Column) -> Column:
 
 def _raw(alt: Alt, text: Column) -> Column:
     """Unfinished value of one alternative: ``''`` (or empty array) when it does not match."""
+    pattern = rx(alt.java or alt.pattern, alt.flags)
     if alt.many:
-        return F.regexp_extract_all(text, F.lit(rx(alt.pattern, alt.flags)), F.lit(alt.group))
-    return F.regexp_extract(text, rx(alt.pattern, alt.flags), alt.group)
-
-
-def _python_matcher(alt: Alt):
-    """Arrow-batched Python ``re`` twin of ``_raw`` for rows whose runs are too deep for Java.
-
-    Only rows flagged by ``alt.deep`` get a non-null input; every other row sends
-    a null and stays on the JVM path. Built from plain values (pattern, flags,
-    group) so that it pickles without this package.
-    """
-    flags = (re.IGNORECASE if "i" in alt.flags else 0) | (re.DOTALL if "s" in alt.flags else 0)
-    pattern, group, many = alt.pattern, alt.group, alt.many
-
-    def first(texts: pd.Series) -> pd.Series:
-        rx_ = re.compile(pattern, flags)
-
-        def one(t):
-            if t is None:
-                return None
-            m = rx_.search(t)
-            return (m.group(group) or "") if m else ""
-        return texts.map(one)
-
-    def every(texts: pd.Series) -> pd.Series:
-        rx_ = re.compile(pattern, flags)
-        return texts.map(lambda t: None if t is None else [m.group(group) or "" for m in rx_.finditer(t)])
-
-    return F.pandas_udf(every, "array<string>") if many else F.pandas_udf(first, "string")
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(alt.group))
+    return F.regexp_extract(text, pattern, alt.group)
 
 
 def _missed(alt: Alt, raw: Column) -> Column:
@@ -91,14 +62,10 @@ def _col(i: int, k: int) -> str:
 
 
 def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
-                  rules: RuleSet = DEFAULT, deep_mode: str = "inline") -> DataFrame:
+                  rules: RuleSet = DEFAULT) -> DataFrame:
     """Add one finished column ``_v<i>`` per extractor index ``i`` in ``ids``.
 
     ``needed``: array<int> Column of extractor indexes to run (None: all of ``ids``).
-    ``deep_mode``: rows whose runs are too deep for Java regex (``Alt.deep``) are
-    matched with Python ``re`` in the same plan (``"inline"``), or left unmatched
-    and flagged in ``needs_python`` for a later repair pass (``"defer"``) - which
-    keeps the Python worker out of the plan for every other row.
     """
     exts = rules.extractors
     ids = rules.extractor_ids if ids is None else ids
@@ -113,9 +80,8 @@ def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
     if gates:
         df = df.withColumns({g: need(index[x]) & found(t, *exts[x].gate) for x, g in gates.items()})
 
-    deep_cols = []
     for k in range(rules.max_alts):
-        conds, deep = {}, {}
+        cols = {}
         for x in ids:
             ext: Extractor = exts[x]
             if k >= len(ext.alts):
@@ -126,23 +92,7 @@ def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
                 cond = cond & _missed(ext.alts[j], F.col(_col(i, j)))
             if alt.gate:
                 cond = cond & found(t, *alt.gate)
-            conds[x] = cond
-            if alt.deep:
-                deep[x] = f"_d{i}_{k}"
-        if deep:   # flag rows whose runs are too deep for Java, once per row
-            df = df.withColumns({d: F.coalesce(conds[x] & found(t, exts[x].alts[k].deep), F.lit(False))
-                                 for x, d in deep.items()})
-            deep_cols += list(deep.values())
-        cols = {}
-        for x, cond in conds.items():
-            i, alt = index[x], exts[x].alts[k]
-            if x in deep:
-                d = F.col(deep[x])
-                java = F.when(cond & ~d, _raw(alt, t))
-                cols[_col(i, k)] = (java if deep_mode == "defer"
-                                    else F.coalesce(java, _python_matcher(alt)(F.when(d, t))))
-            else:
-                cols[_col(i, k)] = F.when(cond, _raw(alt, t))
+            cols[_col(i, k)] = F.when(cond, _raw(alt, t))
         df = df.withColumns(cols)
 
     finished = {}
@@ -150,13 +100,7 @@ def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
         i, ext = index[x], exts[x]
         alts = [_finish(a, F.col(_col(i, k))) for k, a in enumerate(ext.alts)]
         finished[f"_v{i}"] = alts[0] if len(alts) == 1 else F.coalesce(*alts)
-    if deep_mode == "defer":
-        flag = F.lit(False)
-        for d in deep_cols:
-            flag = flag | F.col(d)
-        finished["needs_python"] = flag
-    drop = ([_col(index[x], k) for x in ids for k in range(len(exts[x].alts))] + list(gates.values())
-            + deep_cols)
+    drop = [_col(index[x], k) for x in ids for k in range(len(exts[x].alts))] + list(gates.values())
     return df.withColumns(finished).drop(*drop)
 
 
@@ -172,28 +116,27 @@ def _field_value(plan_entry: Column, vals: Column) -> Column:
     )
 
 
-def plan_table(df: DataFrame, *, label: str = "label", fields: str = "fields",
+def plan_table(df: DataFrame, keep, *, label: str = "label", fields: str = "fields",
                max_plans: int = 100_000, max_bytes: int = 64 << 20,
                rules: RuleSet = DEFAULT) -> DataFrame | None:
     """One plan per distinct (bank, request), or None when there are too many to broadcast.
 
     Plans depend on the label only through its bank, so a billion jobs asking a
-    handful of requests need a handful of plans. The distinct requests are
-    counted and sized first (one pass over the label and request columns only -
-    the text is pruned); above ``max_plans`` rows or ``max_bytes`` the caller
-    evaluates the plan inline per row instead. Each plan row also carries the
-    request's order-free hash, so rows do not hash their request either.
+    handful of requests need a handful of plans. The distinct requests are written
+    once (``keep``: DataFrame -> table), counted and sized; above ``max_plans`` rows
+    or ``max_bytes`` the caller evaluates the plan inline per row instead. Each plan
+    row also carries the request's order-free hash.
     """
     keyed = df.select(F.coalesce(family(F.col(label), rules), F.lit("")).alias("_family"),
-                      F.col(label).alias("_label"), F.col(fields).alias("_fields"))
-    distinct = keyed.dropDuplicates(["_family", "_fields"])
-    stats = distinct.agg(F.count(F.lit(1)).alias("n"),
-                         F.coalesce(F.sum(F.length(F.to_json("_fields"))), F.lit(0)).alias("bytes")).first()
+                      F.col(fields).alias("_fields")).filter(F.col("_fields").isNotNull())
+    plans = keep(keyed.distinct().select(
+        "_family", "_fields", field_plan(None, F.col("_fields"), rules, bank=F.col("_family")).alias("_plan"),
+        schema_hash(F.col("_fields")).alias("_schema_hash")))
+    stats = plans.agg(F.count(F.lit(1)).alias("n"),
+                      F.coalesce(F.sum(F.length(F.to_json("_fields"))), F.lit(0)).alias("bytes")).first()
     if stats["n"] > max_plans or stats["bytes"] * 3 > max_bytes:   # x3: plan adds rule columns
         return None
-    return distinct.select("_family", "_fields",
-                           field_plan(F.col("_label"), F.col("_fields"), rules).alias("_plan"),
-                           schema_hash(F.col("_fields")).alias("_schema_hash"))
+    return plans
 
 
 def attach_plans(df: DataFrame, plans: DataFrame, *, label: str = "label", fields: str = "fields",
@@ -206,7 +149,7 @@ def attach_plans(df: DataFrame, plans: DataFrame, *, label: str = "label", field
 
 def apply_rules(df: DataFrame, *, label: str = "label", fields: str = "fields",
                 text: str = "text", keep_plan: bool = False, plans: DataFrame | None = None,
-                rules: RuleSet = DEFAULT, deep_mode: str = "inline") -> DataFrame:
+                rules: RuleSet = DEFAULT) -> DataFrame:
     """Add ``rule_values`` (ordered ``array<struct<ord,field,value,source>>``) and ``found_all``.
 
     ``found_all`` is true when every requested field has a non-null value, and
@@ -221,7 +164,7 @@ def apply_rules(df: DataFrame, *, label: str = "label", fields: str = "fields",
     else:
         out = attach_plans(df, plans, label=label, fields=fields, rules=rules)
     out = out.withColumn("_needed", _needed(F.col("_plan")))
-    out = staged_values(out, text, F.col("_needed"), rules=rules, deep_mode=deep_mode)
+    out = staged_values(out, text, F.col("_needed"), rules=rules)
     n = len(rules.extractor_ids)
     vals = F.array(*[F.col(f"_v{i}") for i in range(n)])
     out = (out
@@ -235,25 +178,8 @@ def apply_rules(df: DataFrame, *, label: str = "label", fields: str = "fields",
 
 
 def extractor_values(df: DataFrame, ids: list[str], *, text: str = "text",
-                     rules: RuleSet = DEFAULT, deep_mode: str = "inline") -> DataFrame:
+                     rules: RuleSet = DEFAULT) -> DataFrame:
     """One column per named extractor, each regex evaluated once (rule-level reports)."""
-    out = staged_values(df, text, None, ids, rules, deep_mode)
+    out = staged_values(df, text, None, ids, rules)
     return out.withColumnsRenamed({f"_v{rules.extractor_index[x]}": x for x in ids})
 
-
-def repaired(first_pass: DataFrame, redo, *, name: str) -> DataFrame:
-    """Materialize a ``deep_mode="defer"`` result, then redo only its flagged rows.
-
-    ``first_pass`` carries ``needs_python``; ``redo(rows)`` recomputes the same
-    columns for flagged rows with ``deep_mode="inline"``. Checking for flagged
-    rows is a pushed-down filter on the written table; in the usual case there
-    are none and no Python worker runs at all.
-    """
-    from docsift.session import materialize
-
-    table = materialize(first_pass, name)
-    flagged = table.filter(F.col("needs_python"))
-    if not flagged.take(1):
-        return table
-    fixed = materialize(redo(flagged), f"{name}_repaired")
-    return table.filter(~F.col("needs_python")).unionByName(fixed.select(*table.columns))

@@ -1,25 +1,23 @@
 """Full three-level extraction over a DataFrame of jobs.
 
-A *job* is (job_id, label, requested fields, document). The flow, for all jobs at once:
-
-1. **scan** (narrow, one pass over the text): content hash, schema hash, cache
-   key, and the rule banks (:mod:`docsift.operators.engine`). The text is kept
-   only on rows whose rules left a field null - the only rows that may need it
-   again, for the fallback prompt. The result is written as a parquet table in
-   the shared checkpoint folder: it is small, later steps read it more than once
-   (each only the columns it needs), and the lineage back to the source is cut.
-2. **per key** (one shuffle of small rows, partially aggregated map-side so a hot
-   key collapses before the exchange): the first job (lowest ``job_id``) of each
-   cache key computes; later jobs with the same key are cache hits of its result.
-3. **cache lookup**: per-key rows joined to the cache table (one row per key on
-   both sides - no skew).
-4. **fallback**: request queue for keys with missing fields, caller's answers
-   parsed and merged; only null fields are filled.
-5. **fan-out**: every job gets its key's result through a salted join, so a key
+A *job* is (job_id, label, requested fields, document); job ids are unique. The flow,
+for all jobs at once:
+
+1. **keys** (narrow): content hash, request hash and cache key of every job, and the
+   errors known by then. A small table without text.
+2. **first writers** (one shuffle of fixed-width rows, pre-aggregated): the lowest
+   ``job_id`` of each key computes; later jobs with the key are hits of its result.
+3. **cache lookup** on the keys. A hit costs one hash: no rule sees its text.
+4. **rules** on the jobs that compute. They are picked from the source by a broadcast
+   of the fewer ids, those that compute or those that do not, if that is small; else by
+   a shuffle join. Text is kept only where a field stayed null, for the prompt.
+5. **fallback**: request queue for keys with missing fields, caller's answers parsed
+   and merged; only null fields are filled.
+6. **fan-out**: every job gets its key's result through a salted join, so a key
    shared by a large share of the jobs is spread over many tasks.
 
 Outputs: per-job results with metadata, new cache entries, the request queue,
-and error rows (documents that could not be read).
+and error rows (bad request, no document, no pages).
 """
 
 from __future__ import annotations
@@ -30,18 +28,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift import schema as S
-from docsift.operators.engine import apply_rules, attach_plans, plan_table, repaired
+from docsift.operators.engine import apply_rules, attach_plans, plan_table
 from docsift.operators.rules import DEFAULT, RuleSet
-from docsift.operators.fallback import (Fallback, answer_for, build_requests, parse_response,
-                                        response_error)
+from docsift.operators.fallback import (DEFAULT_MODEL, Fallback, answer_for, build_requests, json_string,
+                                        parse_response, response_error)
 from docsift.operators.skew import salted_join
 from docsift.plans.partitioning import spread
-from docsift.session import materialize
+from docsift.session import Scratch
+from docsift.sources.files import ERR_SCHEMA, ERR_ZERO_PAGES
 
 SOURCE_FALLBACK = "fallback"
 ERR_NOT_FOUND = "FILE_NOT_FOUND"
 
-RESULT_FIELDS = "array<struct<field:string,value:string,source:string>>"
+ERROR_MESSAGES = {ERR_SCHEMA: "invalid request", ERR_NOT_FOUND: "document not found: ",
+                  ERR_ZERO_PAGES: "document has 0 pages: "}
+
+RESULT_FIELDS = "array<struct<field:string,value:string,source:string,raw:string>>"
+BROADCAST_IDS = 1_000_000       # longs
 
 
 @dataclass
@@ -49,6 +52,11 @@ class Extraction:
     results: DataFrame       # one row per job (errors included, with error_class set)
     new_cache: DataFrame     # cache rows for keys computed in this run
     requests: DataFrame      # fallback request queue (keys with missing fields)
+    scratch: Scratch         # the tables that the three above read
+
+    def cleanup(self) -> None:
+        """Delete the intermediate tables, once the results are stored elsewhere."""
+        self.scratch.remove()
 
 
 def prepare_jobs(jobs: DataFrame, documents: DataFrame | None = None, *,
@@ -57,7 +65,8 @@ def prepare_jobs(jobs: DataFrame, documents: DataFrame | None = None, *,
 
     ``request`` names a ``map<string,string>`` column to turn into ordered fields.
     When ``documents(doc_id, text)`` is given it is joined on ``doc_id``; a job whose
-    document is absent keeps a null text and becomes an error row.
+    document is absent keeps a null text and becomes an error row. A column
+    ``error_class`` (of request parsing or page reading) is kept.
     """
     if request is not None:
         jobs = jobs.withColumn("fields", S.fields_of(F.col(request)))
@@ -65,54 +74,38 @@ def prepare_jobs(jobs: DataFrame, documents: DataFrame | None = None, *,
         jobs = jobs.withColumnRenamed(fields, "fields")
     if documents is not None:
         jobs = jobs.join(documents.select("doc_id", "text"), "doc_id", "left")
-    return spread(jobs.select("job_id", "doc_id", "label", "fields", "text"))
-
-
-def scan(jobs: DataFrame, *, key_includes_label: bool = False, shared_plans: bool = True,
-         rules: RuleSet = DEFAULT, deep_mode: str = "inline") -> DataFrame:
-    """Narrow pass: keys + rule values, compact enough to materialize.
-
-    The request itself is not kept: only its size, and for rows whose rules left a
-    field null the missing sub-schema and the text (what a fallback prompt needs).
-    With shared plans, the per-request plan and request hash come from a small
-    broadcast table instead of being computed on every row. With
-    ``deep_mode="defer"``, rows too deep for Java regex keep request and text and
-    are flagged ``needs_python`` for :func:`rescan`.
-    """
-    plans = plan_table(jobs, rules=rules) if shared_plans else None
-    if plans is not None:
-        jobs = attach_plans(jobs, plans, rules=rules).withColumnRenamed("_schema_hash", "schema_hash")
-    else:
-        jobs = jobs.withColumn("schema_hash", S.schema_hash(F.col("fields")))
-    keyed = (jobs
-             .withColumn("error_class", F.when(F.col("text").isNull(), F.lit(ERR_NOT_FOUND)))
-             .withColumn("content_hash", S.content_hash(F.col("text")))
-             .withColumn("cache_key", F.when(
-                 F.col("error_class").isNull(),
-                 S.cache_key(F.col("content_hash"), F.col("schema_hash"),
-                             F.col("label") if key_includes_label else None))))
-    return _rule_columns(keyed, rules, deep_mode)
-
-
-def _rule_columns(keyed: DataFrame, rules: RuleSet, deep_mode: str) -> DataFrame:
-    ruled = apply_rules(keyed, rules=rules, deep_mode=deep_mode)
-    flag = F.col("needs_python") if deep_mode == "defer" else F.lit(False)
-    incomplete = ~F.col("found_all")
-    return ruled.select(
-        "job_id", "doc_id", "label", "error_class", "content_hash", "schema_hash", "cache_key",
-        F.when(F.col("fields").isNotNull(), F.size("fields")).cast("int").alias("n_fields"),
-        "rule_values", "found_all",
-        F.when(incomplete, _missing(F.col("rule_values"), F.col("fields"))).alias("missing"),
-        F.when(incomplete | flag, F.col("text")).alias("text"),
-        F.when(flag, F.col("fields")).alias("fields"),
-        flag.alias("needs_python"))
-
-
-def rescan(flagged: DataFrame, rules: RuleSet = DEFAULT) -> DataFrame:
-    """Rule columns again for flagged rows, with deep runs matched by Python ``re``."""
-    redo = flagged.select("job_id", "doc_id", "label", "error_class", "content_hash", "schema_hash",
-                          "cache_key", "fields", "text")
-    return _rule_columns(redo, rules, "inline")
+    known = ["error_class"] if "error_class" in jobs.columns else []
+    return spread(jobs.select("job_id", "doc_id", "label", "fields", "text", *known))
+
+
+def scan(jobs: DataFrame, *, key_includes_label: bool = False) -> DataFrame:
+    """Narrow pass over the text: errors and keys, one row per job, no text."""
+    given = F.col("error_class") if "error_class" in jobs.columns else F.lit(None).cast("string")
+    error = F.coalesce(given, F.when(F.col("fields").isNull(), F.lit(ERR_SCHEMA)),
+                       F.when(F.col("text").isNull(), F.lit(ERR_NOT_FOUND)))
+    content, request = S.content_hash(F.col("text")), S.schema_hash(F.col("fields"))
+    key = S.cache_key(F.col("content_hash"), F.col("schema_hash"), F.col("label") if key_includes_label else None)
+    n_fields = F.when(F.col("fields").isNotNull(), F.size("fields")).otherwise(0)
+    return (jobs.withColumn("error_class", error)
+            .withColumn("content_hash", F.when(F.col("error_class").isNull(), content))
+            .withColumn("schema_hash", F.when(F.col("error_class").isNull(), request))
+            .select("job_id", "doc_id", "label", "fields", "error_class", "content_hash", "schema_hash",
+                    F.when(F.col("error_class").isNull(), key).alias("cache_key"),
+                    n_fields.cast("int").alias("n_fields")))
+
+
+def _computing(jobs: DataFrame, scanned: DataFrame, ids: DataFrame) -> DataFrame:
+    """The jobs whose ``job_id`` is in ``ids``, moving no text where either side of the choice is small."""
+    jobs = jobs.drop("error_class")
+    n = ids.count()
+    if n == 0:
+        return jobs.filter(F.lit(False))
+    if n <= BROADCAST_IDS:
+        return jobs.join(F.broadcast(ids), "job_id", "left_semi")
+    if scanned.count() - n <= BROADCAST_IDS:
+        rest = scanned.select("job_id").join(ids, "job_id", "left_anti")
+        return jobs.join(F.broadcast(rest), "job_id", "left_anti")
+    return jobs.join(ids, "job_id", "left_semi")
 
 
 def _missing(rule_values: Column, fields: Column) -> Column:
@@ -128,7 +121,7 @@ def _names(values: Column, pred) -> Column:
 def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallback | None = None,
             key_includes_label: bool = False, cache_partial: bool = True,
             hot_rows: int = 1_000_000, rows_per_salt: int | None = None,
-            materialize_steps: bool = True, rules: RuleSet = DEFAULT) -> Extraction:
+            rules: RuleSet = DEFAULT, model: str = DEFAULT_MODEL) -> Extraction:
     """Run the three levels over ``jobs(job_id, doc_id, label, fields, text)``.
 
     ``cache``: existing cache table (:data:`docsift.schema.CACHE`), or None.
@@ -137,24 +130,14 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
     ``key_includes_label``: the reference keys on content and request only, so a
     second label with the same content and request gets the first label's result.
     ``cache_partial``: cache results whose fallback failed (reference behaviour).
+    ``model``: name written into the requests.
     """
-    if materialize_steps:
-        # Java-only first pass; the rare rows too deep for Java regex are redone after it
-        first = scan(jobs, key_includes_label=key_includes_label, rules=rules, deep_mode="defer")
-        scanned = repaired(first, lambda rows: rescan(rows, rules), name="scan")
-    else:
-        scanned = scan(jobs, key_includes_label=key_includes_label, rules=rules)
-
+    scratch = Scratch(jobs.sparkSession)
+    scanned = scratch.table(scan(jobs, key_includes_label=key_includes_label), "scan")
     ok = scanned.filter(F.col("error_class").isNull())
 
-    # 2. one row per key: its first job's payload (partial aggregation map-side)
-    payload = F.struct("job_id", "doc_id", "label", "rule_values", "found_all", "missing", "text")
-    keys = ok.groupBy("cache_key").agg(
-        F.min_by(payload, F.col("job_id")).alias("first"),
-        F.count(F.lit(1)).alias("n_jobs"),
-        F.first("content_hash").alias("content_hash"),
-        F.first("schema_hash").alias("schema_hash"),
-    )
+    # 2. the first job of each key: fixed-width aggregates, no payload
+    keys = ok.groupBy("cache_key").agg(F.min("job_id").alias("first_job_id"), F.count(F.lit(1)).alias("n_jobs"))
 
     # 3. cache lookup: any row under the key is a hit, even an empty result
     if cache is not None:
@@ -164,26 +147,34 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
     else:
         keys = (keys.withColumn("cached_result", F.lit(None).cast(RESULT_FIELDS))
                 .withColumn("in_cache", F.lit(None).cast("boolean")))
-    keys = keys.withColumn("in_cache", F.coalesce(F.col("in_cache"), F.lit(False)))
-
-    if materialize_steps:
-        keys = materialize(keys, "keys")
-
-    # 4. fallback for computed keys with missing fields
-    needs = ~F.col("in_cache") & ~F.col("first.found_all")
-    pending = keys.filter(needs).select(
-        F.col("cache_key").alias("request_id"), F.col("first.doc_id").alias("doc_id"),
-        F.col("first.label").alias("label"), F.col("first.text").alias("text"),
-        F.col("first.missing").alias("missing"))
-    requests = build_requests(pending)
+    keys = scratch.table(keys.withColumn("in_cache", F.coalesce(F.col("in_cache"), F.lit(False))), "keys")
+
+    # 4. rules, only where a result has to be computed
+    computing = keys.filter(~F.col("in_cache")).select(F.col("first_job_id").alias("job_id"))
+    todo = _computing(jobs, scanned, computing)
+    plans = plan_table(ok, lambda df: scratch.table(df, "plans"), rules=rules)
+    if plans is not None:
+        todo = attach_plans(todo, plans, rules=rules)
+    incomplete = ~F.col("found_all")
+    ruled = apply_rules(todo, rules=rules).select(
+        F.col("job_id").alias("first_job_id"), "doc_id", "label", "rule_values", "found_all",
+        F.when(incomplete, _missing(F.col("rule_values"), F.col("fields"))).alias("missing"),
+        F.when(incomplete, F.col("text")).alias("text"))
+    ruled = scratch.table(ruled, "ruled")
+
+    # 5. fallback for computed keys with missing fields
+    pending = ruled.filter(incomplete).join(keys.select("first_job_id", F.col("cache_key").alias("request_id")),
+                                            "first_job_id")
+    requests = build_requests(pending.select("request_id", "doc_id", "label", "text", "missing"), model=model)
+    keyed = keys.join(ruled.drop("doc_id", "label", "text"), "first_job_id", "left")
+    needs = ~F.col("in_cache") & ~F.col("found_all")
     if fallback is not None:
-        answers = fallback(requests).select(F.col("request_id").alias("cache_key"), "response_json")
-        if materialize_steps:
-            # The fallback may be a paid external call: run it once, never on recomputation.
-            answers = materialize(answers, "answers")
-        keyed = keys.join(answers.withColumn("_answered", F.lit(True)), "cache_key", "left")
+        # The fallback may be a paid external call: run it once, never on recomputation.
+        answers = scratch.table(fallback(requests).select(
+            F.col("request_id").alias("cache_key"), "response_json"), "answers")
+        keyed = keyed.join(answers.withColumn("_answered", F.lit(True)), "cache_key", "left")
     else:
-        keyed = (keys.withColumn("response_json", F.lit(None).cast("string"))
+        keyed = (keyed.withColumn("response_json", F.lit(None).cast("string"))
                  .withColumn("_answered", F.lit(None).cast("boolean")))
 
     keyed = (keyed
@@ -192,31 +183,33 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
                  F.col("_answered").isNotNull(), F.col("response_json"), F.col("_parsed"),
                  fallback is not None))))
     llm_ok = needs & F.col("llm_error").isNull()
-    merged = F.transform(F.col("first.rule_values"), lambda v: F.struct(
-        v["field"].alias("field"),
-        F.when(v["value"].isNotNull(), v["value"])
-         .when(llm_ok, answer_for(F.col("_parsed"), v["field"])).alias("value"),
-        F.when(v["value"].isNotNull(), v["source"])
-         .when(llm_ok & answer_for(F.col("_parsed"), v["field"]).isNotNull(),
-               F.lit(SOURCE_FALLBACK)).alias("source"),
-    ))
+
+    def merge(v: Column) -> Column:
+        answer = answer_for(F.col("_parsed"), v["field"])
+        filled = v["value"].isNull() & llm_ok & answer.cast("string").isNotNull()
+        return F.struct(
+            v["field"].alias("field"),
+            F.when(v["value"].isNotNull(), v["value"]).when(filled, answer.cast("string")).alias("value"),
+            F.when(v["value"].isNotNull(), v["source"]).when(filled, F.lit(SOURCE_FALLBACK)).alias("source"),
+            F.when(filled, F.to_json(answer)).alias("raw"))
+
     per_key = keyed.select(
-        "cache_key", "n_jobs", "in_cache", "content_hash", "schema_hash", "llm_error",
-        F.col("first.job_id").alias("first_job_id"),
-        F.when(F.col("in_cache"), F.col("cached_result")).otherwise(merged).alias("result"),
-        _names(F.col("first.rule_values"), lambda v: v["value"].isNotNull()).alias("found_by_rules"),
+        "cache_key", "n_jobs", "in_cache", "llm_error", "first_job_id",
+        F.when(F.col("in_cache"), F.col("cached_result"))
+         .otherwise(F.transform("rule_values", merge)).alias("result"),
+        _names(F.col("rule_values"), lambda v: v["value"].isNotNull()).alias("found_by_rules"),
         llm_ok.alias("llm_used"),
-        F.when(llm_ok, F.transform("first.missing", lambda f: f["field"])).alias("found_by_llm"),
+        F.when(llm_ok, F.transform("missing", lambda f: f["field"])).alias("found_by_llm"),
     )
 
     new_cache = per_key.filter(~F.col("in_cache"))
     if not cache_partial:
         new_cache = new_cache.filter(F.col("llm_error").isNull())
-    new_cache = new_cache.select("cache_key", "content_hash", "schema_hash", "result",
-                                 F.current_timestamp().alias("created_at"))
+    hashes = F.split("cache_key", ":")
+    new_cache = new_cache.select("cache_key", hashes[0].alias("content_hash"), hashes[1].alias("schema_hash"),
+                                 "result", F.current_timestamp().alias("created_at"))
 
-    # 5. fan out: every job gets its key's result
-    per_key = per_key.drop("content_hash", "schema_hash")
+    # 6. fan out: every job gets its key's result
     job_side = ok.select("job_id", "doc_id", "label", "n_fields", "cache_key")
     joined = salted_join(job_side, per_key, "cache_key", count_col="n_jobs", order_col="job_id",
                          hot_rows=hot_rows, rows_per_salt=rows_per_salt)
@@ -239,15 +232,25 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
         "job_id", "doc_id", "label", "n_fields", F.lit(None).cast("string").alias("cache_key"),
         F.lit(None).cast(RESULT_FIELDS).alias("result"),
         F.lit(None).cast(results.schema["metadata"].dataType).alias("metadata"),
-        "error_class",
-        F.concat(F.lit("document not found: "), F.col("doc_id").cast("string")).alias("error_message"))
+        "error_class", _error_message(F.col("error_class"), F.col("doc_id")).alias("error_message"))
+
+    return Extraction(results=results.unionByName(errors), new_cache=new_cache, requests=requests, scratch=scratch)
+
 
-    return Extraction(results=results.unionByName(errors), new_cache=new_cache, requests=requests)
+def _error_message(error: Column, doc_id: Column) -> Column:
+    out = error
+    for known, text in ERROR_MESSAGES.items():
+        message = F.concat(F.lit(text), doc_id.cast("string")) if text.endswith(" ") else F.lit(text)
+        out = F.when(error == known, message).otherwise(out)
+    return out
 
 
 def result_json(result: Column) -> Column:
-    """Compact JSON object of the result in request order, nulls kept, non-ASCII kept."""
-    return F.to_json(F.map_from_entries(F.transform(result, lambda r: F.struct(r["field"], r["value"]))))
+    """Compact JSON object of the result in request order: nulls and non-ASCII kept, fallback values with
+    the type that they came in."""
+    entries = F.transform(result, lambda r: F.concat(
+        json_string(r["field"]), F.lit(":"), F.coalesce(r["raw"], json_string(r["value"]), F.lit("null"))))
+    return F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}"))
 
 
 def result_long(results: DataFrame) -> DataFrame:

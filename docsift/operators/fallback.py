@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docsift import schema as S
+
 Fallback = Callable[[DataFrame], DataFrame]
 
 DEFAULT_MODEL = "gpt-5-mini"        # fixed value: the reference's configured model
@@ -32,7 +34,7 @@ ERR_NO_RESPONSE = "fallback returned no response"
 ERR_NOT_OBJECT = "fallback response is not a JSON object"
 
 
-def _json_string(s: Column) -> Column:
+def json_string(s: Column) -> Column:
     """A string as a JSON string literal (quotes and escapes; non-ASCII kept)."""
     j = F.to_json(F.array(s))
     return F.substring(j, F.lit(2), F.length(j) - 2)
@@ -40,26 +42,21 @@ def _json_string(s: Column) -> Column:
 
 def schema_block(fields: Column) -> Column:
     """Indent-2 JSON object of ``field: description`` in request order; ``{}`` when empty."""
-    lines = F.transform(fields, lambda f: F.concat(F.lit("  "), _json_string(f["field"]), F.lit(": "),
-                                                   _json_string(f["description"])))
+    lines = F.transform(fields, lambda f: F.concat(F.lit("  "), json_string(f["field"]), F.lit(": "),
+                                                   json_string(f["description"])))
     return F.when(F.size(fields) == 0, F.lit("{}")).otherwise(
         F.concat(F.lit("{\n"), F.array_join(lines, ",\n"), F.lit("\n}")))
 
 
-PROMPT_HEAD = ("Read the document text below and extract the listed fields.\n\n"
-               "SCHEMA (field_name: description):\n")
-PROMPT_MID = "\n\nPDF TEXT:\n---\n"
-PROMPT_TAIL = ("\n---\n\nINSTRUCTIONS:\n"
-               "- Use each field's description to find its value\n"
-               "- Answer with a JSON object keyed by field name\n"
-               "- Use null for any field the text does not contain\n"
-               "- Include no keys other than the schema's fields\n"
-               "- Keep every field name exactly as written in the schema\n\n"
-               "Answer with a valid JSON object only.")
+PROMPT_HEAD = ("Fill in this form from the document that follows it. Each key of the form is a field; the text "
+               "beside it says what belongs there. Reply with one JSON object that has exactly these keys, and "
+               "null where the document is silent.\n\n")
+PROMPT_MID = "\n\nDocument:\n<<<\n"
+PROMPT_TAIL = "\n>>>"
 
 
 def render_prompt(text: Column, fields: Column) -> Column:
-    """User prompt: task line, schema block, text between ``---`` lines, five instructions."""
+    """User prompt: the task, the form, the document between marks."""
     return F.concat(F.lit(PROMPT_HEAD), schema_block(fields), F.lit(PROMPT_MID),
                     F.coalesce(text, F.lit("")), F.lit(PROMPT_TAIL))
 
@@ -85,18 +82,14 @@ def build_requests(pending: DataFrame, *, model: str = DEFAULT_MODEL) -> DataFra
 
 
 def parse_response(response_json: Column) -> Column:
-    """JSON object text -> ``map<string,string>``; null when malformed or not an object.
-
-    Scalars become their JSON text (``12`` -> ``"12"``, ``true`` -> ``"true"``),
-    nested values their compact JSON; ``null`` stays null.
-    """
-    return F.from_json(response_json, "map<string,string>")
+    """JSON object text -> ``map<string,variant>``; null when malformed or not an object."""
+    return S.json_object(response_json, "variant")
 
 
 def answer_for(parsed: Column, name: Column) -> Column:
-    """Value of key ``name`` in a parsed response; a repeated key keeps its last value."""
-    return F.aggregate(F.map_entries(parsed), F.lit(None).cast("string"),
-                       lambda acc, e: F.when(e["key"] == name, e["value"]).otherwise(acc))
+    """Value of key ``name`` (a variant) in a parsed response; a repeated key keeps its last value."""
+    found = F.filter(F.map_entries(parsed), lambda e: e["key"] == name)
+    return F.get(found, F.size(found) - 1)["value"]
 
 
 def response_error(has_row: Column, response_json: Column, parsed: Column, configured: bool) -> Column:

@@ -42,18 +42,9 @@ class Alt:
     (``re.findall``), handed to ``finish``. ``strip``: Python ``str.strip()`` on the
     value. ``finish``: Column -> Column applied last (to the array when ``many``).
 
-    ``deep``: a bounded pattern that occurs when this alternative's repeated group
-    would repeat more often than Java's recursive backtracking can take (a stack
-    frame set per repetition: a long enough run overflows the task thread's stack
-    and kills the executor). Rows where it occurs are matched with Python's ``re``
-    instead, whose backtracking stack lives on the heap; all other rows stay on
-    the JVM.
-
-    ``bounded`` / ``at_bound`` replace ``deep`` where the pattern allows it: the
-    bounded pattern is the same with its repetition capped (Java-safe), and returns
-    the same match whenever the run is shorter than the cap; ``at_bound(raw)`` tells,
-    from the (short) matched value, that the cap was reached and the row must be
-    matched with Python's ``re``. No extra scan of the text is needed.
+    ``java``: the same matches written so that Java's engine loops instead of
+    recursing: greedy repetition of a group costs Java a stack frame per repetition,
+    and a long enough run would end the executor; possessive repetition does not.
     """
 
     pattern: str
@@ -63,9 +54,7 @@ class Alt:
     many: bool = False
     strip: bool = False
     finish: Callable[[Column], Column] | None = None
-    deep: str | None = None
-    bounded: str | None = None
-    at_bound: Callable[[Column], Column] | None = None
+    java: str | None = None
 
 
 @dataclass(frozen=True)

@@ -18,9 +18,7 @@ NAME = r"\b([A-ZÀ-Ú]+(?:[\s'][A-ZÀ-Ú]+)*)\b"
 REGISTRATION = r"\b(\d{6})\b"
 COUNCIL_CODE = r"CONSELHO SECCIONAL[\s\-]+([A-Z]{2})\b"
 SECTION_WORD = r"Seccional"
-STATE_CODES = ("AC AL AP AM BA CE DF ES GO MA MT MS MG PA PB PR PE PI RJ RN RS RO "
-               "RR SC SP SE TO").split()
-STATE_CODE = r"\b(" + "|".join(STATE_CODES) + r")\b"
+STATE_CODE = r"\b(AC|AL|AP|AM|BA|CE|DF|ES|GO|MA|MT|MS|MG|PA|PB|PR|PE|PI|RJ|RN|RS|RO|RR|SC|SP|SE|TO)\b"
 SUBSECTION_DASH = r"CONSELHO\s+SECCIONAL\s*[-–]\s*([A-ZÀ-Ú\s]+?)(?=\n)"
 SUBSECTION_PLAIN = r"CONSELHO\s+SECCIONAL\s+([A-ZÀ-Ú\s]+?)(?=\n)"
 CATEGORY = r"\b(ADVOGADO|ADVOGADA|SUPLEMENTAR|ESTAGIARIO|ESTAGIARIA)\b"
@@ -28,15 +26,11 @@ ADDRESS = r"ENDERE[CÇ]O\s+Profissional\s*\n([A-ZÀ-Ú0-9][^\n]+)\n([A-ZÀ-Ú][^
 STATUS = r"SITUA[CÇ](?:A[OÃ]|Ã[OÃ])\s+([A-ZÀ-Ú]+)"
 # ---------------------------------------------------------------------------
 
-# NAME with its repetition capped for Java's recursive group matching (see Alt.bounded):
-# identical match below the cap; a match with DEEP_REPEATS separators reached it.
-DEEP_REPEATS = 300
-NAME_BOUNDED = r"\b([A-ZÀ-Ú]+(?:[\s'][A-ZÀ-Ú]+){0,%d})\b" % DEEP_REPEATS
-
-
-def name_at_bound(raw: Column) -> Column:
-    separators = F.length(F.regexp_replace(raw, r"(?U)[^\s']", ""))
-    return separators >= DEEP_REPEATS
+# NAME for Java (see Alt.java). A match is the longest chain of upper-case words, cut at its last word
+# boundary. A step leads from one such boundary to the next: over signs that are in the class but are no
+# letters (U+00D7) up to a word character, or over a whole run of letters.
+_LETTER, _SIGN = r"[A-ZÀ-ÖØ-Ú]", r"[\s']?+×"
+NAME_JAVA = (r"\b((?=%s|×)(?:(?:%s)++(?=\w)|(?:%s)*+[\s']?+%s++\b)++)" % (_LETTER, _SIGN, _SIGN, _LETTER))
 
 
 def address_lines(span: Column) -> Column:
@@ -50,7 +44,7 @@ def address_lines(span: Column) -> Column:
 
 
 EXTRACTORS = {
-    "oab_nome": Extractor((Alt(NAME, strip=True, bounded=NAME_BOUNDED, at_bound=name_at_bound),)),
+    "oab_nome": Extractor((Alt(NAME, strip=True, java=NAME_JAVA),)),
     "oab_inscricao": Extractor((Alt(REGISTRATION, strip=True),)),
     # the bare state code is only searched when the word "Seccional" is present
     "oab_seccional": Extractor((Alt(COUNCIL_CODE, "i", strip=True),

@@ -35,15 +35,11 @@ TOTAL_GENERAL = r"Total\s+Geral\s+(\d+(?:\.\d+)?,\d+)"
 INSTALMENT_VALUE = r"VIr\.?\s*Parc\.\s+(\d+(?:\.\d+)?,\d+)"
 # ---------------------------------------------------------------------------
 
-# Java's recursive group matching needs care on long runs (see Alt.deep / Alt.bounded).
-DEEP_REPEATS = 300
-PRODUCT_DEEP = r"Produto\s+[A-Z]+(?:\s+[A-Z]+){%d}" % DEEP_REPEATS
-UPPER_RUN_BOUNDED = r"\b([A-Z]{2,}(?:\s+[A-Z]{2,}){0,%d})\b" % DEEP_REPEATS
-
-
-def runs_at_bound(runs: Column) -> Column:
-    """Some run reached the cap (it may continue past it): redo the row with Python."""
-    return F.exists(runs, lambda w: F.size(F.split(w, r"(?U)\s+")) > DEEP_REPEATS)
+# For Java (see Alt.java): words of a run are whole, so a run never gives back part of itself, and the
+# labelled product is the shortest run after which its ending holds.
+_PRODUCT_END = r"(?:\s+[A-Z][a-z]|\s*$|\s+\d)"
+PRODUCT_JAVA = r"Produto\s++([A-Z]++(?:(?!%s)\s++[A-Z]++)*+)(?=%s)" % (_PRODUCT_END, _PRODUCT_END)
+UPPER_RUN_JAVA = r"\b([A-Z]{2,}+\b(?:\s++[A-Z]{2,}+\b)*+)"
 
 
 def pick_product(runs: Column) -> Column:
@@ -57,9 +53,8 @@ EXTRACTORS = {
     "sis_cidade": Extractor((Alt(CITY, "i", strip=True),)),
     "sis_pesquisa_por": Extractor((Alt(SEARCH_BY, "is"),)),
     "sis_pesquisa_tipo": Extractor((Alt(SEARCH_KIND, "is"),)),
-    "sis_produto": Extractor((Alt(PRODUCT_LABELLED, strip=True, deep=PRODUCT_DEEP),
-                              Alt(UPPER_RUN, many=True, finish=pick_product, bounded=UPPER_RUN_BOUNDED,
-                                  at_bound=runs_at_bound))),
+    "sis_produto": Extractor((Alt(PRODUCT_LABELLED, strip=True, java=PRODUCT_JAVA),
+                              Alt(UPPER_RUN, many=True, finish=pick_product, java=UPPER_RUN_JAVA))),
     "sis_quantidade_parcelas": Extractor((Alt(COUNT_LABELLED, "i"), Alt(COUNT_NEAR, "i"))),
     "sis_selecao_parcelas": Extractor((Alt(SELECTION_LABELLED, "i"), Alt(SELECTION_NEAR, "is"))),
     "sis_sistema": Extractor((Alt(SYSTEM_WITH_VALUE), Alt(SYSTEM_PLAIN))),

@@ -58,6 +58,11 @@ def per_job(results: DataFrame) -> DataFrame:
                         .otherwise(_pct(F.col("heuristics"), F.col("total_fields")))))
 
 
+def shown(share: Column) -> Column:
+    """A percentage as the report prints it: one decimal, half to even as Python rounds."""
+    return F.format_string("%.1f", F.bround(share, 1))
+
+
 def overall(per_job_df: DataFrame) -> DataFrame:
     ok = F.col("error").isNull()
     agg = per_job_df.agg(

@@ -309,9 +309,11 @@ SELECT job_id, label, false AS cache_hit, true AS heuristics_used, llm_ok AS llm
        CASE WHEN llm_ok THEN missing_fields END AS found_by_llm
 FROM jobs_out"""
     out["result_json"] = FIXTURE_CTES + """
-SELECT job_id, '{' || string_agg(to_json(field) || ':' || coalesce(to_json(value), 'null'), ',' ORDER BY ord) || '}'
+SELECT job_id, '{' || string_agg(to_json(field) || ':' ||
+                     CASE WHEN source = 'fallback' AND doc_id % 3 = 0 THEN value      -- answered as a number
+                          ELSE coalesce(to_json(value), 'null') END, ',' ORDER BY ord) || '}'
        AS result_json
-FROM final GROUP BY job_id"""
+FROM final JOIN jobs_out USING (job_id) GROUP BY job_id"""
     out["missing_requests"] = FIXTURE_CTES + f"""
 , miss AS (
   SELECT r.doc_id, r.label, d.text,
@@ -324,8 +326,9 @@ SELECT doc_id, label, missing_fields,
        'gpt-5-mini' AS model, CAST(2 AS BIGINT) AS n_messages
 FROM miss"""
     out["stats_per_doc"] = FIXTURE_CTES + ", " + STATS_PER_JOB.strip() + f"""
-SELECT job_id, label, total_fields, heuristics, llm, found, missing,
+SELECT job_id, CAST(job_id AS VARCHAR) AS file, label, total_fields, heuristics, llm, found, missing,
        {_pct('found', 'total_fields')} AS coverage, {_pct('heuristics', 'total_fields')} AS heuristics_coverage,
+       printf('%.1f', {_pct('found', 'total_fields')}) AS coverage_shown,
        rules_found, llm_found
 FROM stats"""
     out["stats_overall"] = FIXTURE_CTES + ", " + STATS_PER_JOB.strip() + f"""
@@ -365,6 +368,9 @@ SELECT a.source, a.job_id, true AS order_free, CAST(count(*) AS BIGINT) AS n_fie
 FROM all_jobs a JOIN req r ON a.request_id = r.request_id GROUP BY a.source, a.job_id"""
     out["cache_first_writer"] = _with(DOC_JOBS) + """
 SELECT job_id, job_id <> min(job_id) OVER (PARTITION BY text, request_id) AS cache_hit FROM doc_jobs"""
+    out["stream_replay"] = _with(DOC_JOBS) + """
+SELECT job_id, hit AS cache_hit, hit AS no_rules
+FROM (SELECT job_id, job_id <> min(job_id) OVER (PARTITION BY text, request_id) AS hit FROM doc_jobs)"""
     run2 = _with(DOC_JOBS, """
 prior AS (SELECT DISTINCT text, request_id FROM doc_jobs WHERE lang = 'en'),
 run2 AS (
@@ -386,9 +392,59 @@ SELECT j.job_id, j.label, count(*) AS n_fields, string_agg(r.field, ',' ORDER BY
        'doc_' || CAST(j.doc_id AS VARCHAR) || '.pdf' AS pdf_path
 FROM doc_jobs j JOIN req r ON j.request_id = r.request_id GROUP BY j.job_id, j.label, j.doc_id"""
     out["request_parse"] = _with(_requests_values(), DOC_JOBS) + """
-SELECT j.job_id, CASE WHEN j.doc_id % 13 = 0 THEN NULL ELSE count(*) END AS n_fields,
-       CASE WHEN j.doc_id % 13 = 0 THEN 'SCHEMA_ERROR' END AS error_class
+SELECT j.job_id, CASE WHEN j.doc_id % 13 < 5 THEN NULL ELSE count(*) END AS n_fields,
+       CASE WHEN j.doc_id % 13 < 5 THEN 'SCHEMA_ERROR' END AS error_class
 FROM doc_jobs j JOIN req r ON j.request_id = r.request_id GROUP BY j.job_id, j.doc_id"""
+    words = "(c_custkey * 97 % 40 * 500 + 1)"
+    out["rules_long_runs"] = f"""
+SELECT c_custkey AS doc_id, CAST({words} * 11 - 1 AS INTEGER) AS n_nome,
+       sha256(rtrim(repeat('JOAO SILVA ', CAST({words} AS INTEGER)))) AS nome_sha256,
+       CAST({words} * 8 - 1 AS INTEGER) AS n_produto
+FROM customer"""
+    # by sign: what a word character, a space or neither makes of the name and the number
+    out["rules_unicode"] = """
+SELECT c_custkey AS doc_id,
+       CASE c_custkey % 9 WHEN 0 THEN 'JOS' WHEN 1 THEN NULL WHEN 2 THEN NULL
+            WHEN 3 THEN 'JOS' || chr(28) || 'E' || chr(28) || 'SILVA'
+            WHEN 4 THEN 'JOS' || chr(160) || 'E' || chr(160) || 'SILVA' WHEN 5 THEN NULL
+            WHEN 6 THEN 'JOS' || chr(215) || 'E' || chr(215) || 'SILVA'
+            WHEN 7 THEN 'JOS' || chr(8232) || 'E' || chr(8232) || 'SILVA' ELSE 'JOS' END AS nome,
+       CASE WHEN c_custkey % 9 IN (1, 2, 5) THEN '654321' ELSE '123456' END AS inscricao
+FROM customer"""
+    out["extract_errors"] = _with(_requests_values(), DOC_JOBS, """
+n AS (SELECT request_id, count(*) AS n FROM req GROUP BY request_id),
+e AS (SELECT job_id, doc_id, n, CASE doc_id % 11 WHEN 0 THEN 'SCHEMA_ERROR' WHEN 1 THEN 'FILE_NOT_FOUND'
+                                             WHEN 2 THEN 'ZERO_PAGES' END AS error_class
+      FROM doc_jobs JOIN n USING (request_id))""") + """
+SELECT e.job_id, error_class, error_class IS NULL AS keyed,
+       CAST(CASE WHEN doc_id % 11 IN (0, 3) THEN 0 ELSE n END AS BIGINT) AS total_fields,
+       CASE error_class WHEN 'SCHEMA_ERROR' THEN 'invalid request'
+            WHEN 'FILE_NOT_FOUND' THEN 'document not found: ' || CAST(doc_id AS VARCHAR)
+            WHEN 'ZERO_PAGES' THEN 'document has 0 pages: ' || CAST(doc_id AS VARCHAR) END AS error
+FROM e"""
+    out["empty_result_hit"] = """
+SELECT doc_id AS job_id, true AS cache_hit, CAST(0 AS BIGINT) AS n_fields FROM documents WHERE doc_id % 11 = 3"""
+    out["jobs_to_documents"] = """
+SELECT doc_id AS job_id, CASE WHEN doc_id % 17 = 0 THEN -doc_id - 1 ELSE doc_id END AS doc_id,
+       CASE WHEN doc_id % 17 <> 0 THEN CAST(length(text) AS BIGINT) END AS n_chars
+FROM documents"""
+    out["manifest_jobs"] = _with(_requests_values(), DOC_JOBS) + """
+SELECT row_number() OVER (ORDER BY j.job_id) AS job_id, j.label, n.n AS n_fields,
+       'doc_' || CAST(j.doc_id AS VARCHAR) AS pdf_path
+FROM doc_jobs j JOIN (SELECT request_id, count(*) AS n FROM req GROUP BY request_id) n USING (request_id)"""
+    out["file_ledger"] = """
+SELECT lang, CAST(strlen(v) AS BIGINT) AS length, sha256(v) AS content_hash
+FROM (SELECT lang, lang || ':' || CAST(count(*) AS VARCHAR) || chr(10) AS v FROM documents GROUP BY lang)
+WHERE lang >= 'en'"""
+    out["nested_request_hash"] = "SELECT doc_id, true AS same, false AS other FROM documents"
+    out["cache_cleared"] = _with(DOC_JOBS) + """
+SELECT 'before' AS state, count(*) AS n_rows FROM (SELECT DISTINCT text, request_id FROM doc_jobs)
+UNION ALL SELECT 'after', CAST(0 AS BIGINT)"""
+    out["custom_bank"] = r"""
+SELECT doc_id AS job_id, CAST(0 AS INTEGER) AS ord, 'palavra' AS field,
+       NULLIF(regexp_extract(text, '([A-Za-z]+)', 1), '') AS value,
+       CASE WHEN regexp_matches(text, '[A-Za-z]') THEN 'label_rules' END AS source
+FROM documents"""
     out["first_page"] = "SELECT conv_id, arg_min(text, turn) AS first_text FROM conversations GROUP BY conv_id"
     out["zero_pages"] = """
 SELECT DISTINCT d.doc_id AS conv_id, 'ZERO_PAGES' AS error_class,

@@ -52,9 +52,10 @@ def _folded(fields: Column) -> Column:
         F.upper(f["description"]).alias("ud")))
 
 
-def rule_numbers(label: Column, fields: Column, rules: RuleSet = DEFAULT) -> Column:
+def rule_numbers(label: Column | None, fields: Column, rules: RuleSet = DEFAULT,
+                 bank: Column | None = None) -> Column:
     """``array<struct<ord, field, description, label_r, generic_r>>`` (global rule numbers)."""
-    fam = family(label, rules)
+    fam = family(label, rules) if bank is None else bank
 
     def plan_one(g: Column) -> Column:
         view = FieldView(lower=g["lf"], upper=g["uf"], desc_upper=g["ud"], desc=g["description"])
@@ -67,15 +68,17 @@ def rule_numbers(label: Column, fields: Column, rules: RuleSet = DEFAULT) -> Col
     return F.transform(_folded(fields), plan_one)
 
 
-def field_plan(label: Column, fields: Column, rules: RuleSet = DEFAULT) -> Column:
+def field_plan(label: Column | None, fields: Column, rules: RuleSet = DEFAULT,
+               bank: Column | None = None) -> Column:
     """``array<struct<ord, field, description, label_rule, generic_rule, label_x, generic_x>>``.
 
     ``label_x`` / ``generic_x`` are extractor indexes (null when no rule of that
-    bank triggers); ``*_rule`` are readable rule names for reports.
+    bank triggers); ``*_rule`` are readable rule names for reports. The label's bank
+    may be given instead of the label.
     """
     names = F.array(*[F.lit(n) for n in rules.rule_names])
     extractors = F.array(*[F.lit(x) for x in rules.rule_extractor])
-    return F.transform(rule_numbers(label, fields, rules), lambda p: F.struct(
+    return F.transform(rule_numbers(label, fields, rules, bank), lambda p: F.struct(
         p["ord"].alias("ord"), p["field"].alias("field"), p["description"].alias("description"),
         F.get(names, p["label_r"]).alias("label_rule"),
         F.get(names, p["generic_r"]).alias("generic_rule"),

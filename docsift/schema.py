@@ -45,6 +45,7 @@ CACHE = T.StructType([
         T.StructField("field", T.StringType()),
         T.StructField("value", T.StringType()),
         T.StructField("source", T.StringType()),
+        T.StructField("raw", T.StringType()),
     ]))),
     T.StructField("created_at", T.TimestampType()),
 ])
@@ -80,13 +81,32 @@ def dedupe_fields(fields: Column) -> Column:
     )
 
 
+def json_object(text: Column, values: str = "string") -> Column:
+    """``map<string, values>`` of a JSON object text; null unless the whole text is one valid object.
+
+    The text is read as a member of an object of ours, and the member after it must be reached: so trailing
+    text, a second object and an unfinished one are all rejected, and single quotes are no quotes.
+    """
+    wrapped = F.concat(F.lit('{"v":'), text, F.lit(',"end":1}'))
+    parsed = F.from_json(wrapped, f"v map<string,{values}>, end int", {"allowSingleQuotes": "false"})
+    return F.when(parsed["end"] == 1, parsed["v"])
+
+
+def sorted_json(text: Column) -> Column:
+    """A description that is itself a JSON object, with its keys sorted; any other text as it is."""
+    entries = F.map_entries(json_object(text))
+    ordered = F.array_sort(F.transform(entries, lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"))))
+    return F.when(F.startswith(F.ltrim(text), F.lit("{")), F.coalesce(F.to_json(ordered), text)).otherwise(text)
+
+
 def schema_hash(fields: Column) -> Column:
-    """SHA-256 of a canonical form of the request: entries sorted by field name.
+    """SHA-256 of a canonical form of the request: entries sorted by field name, also those of a description
+    that is a JSON object.
 
     Two requests with the same fields and descriptions in another order get the
     same hash; any change of a name or description changes it.
     """
-    entries = F.transform(fields, lambda f: F.struct(f["field"].alias("k"), f["description"].alias("v")))
+    entries = F.transform(fields, lambda f: F.struct(f["field"].alias("k"), sorted_json(f["description"]).alias("v")))
     return F.sha2(F.to_json(F.array_sort(entries)), 256)
 
 

@@ -58,14 +58,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
 
 
-def materialize(df, name: str):
-    """Write ``df`` as a parquet table under the shared checkpoint folder and read it back.
+class Scratch:
+    """A folder of one run's intermediate tables under the shared checkpoint folder."""
 
-    Cuts the lineage like ``checkpoint()`` and survives executor loss, but the
-    re-read is columnar: later steps read only the columns they use, filters are
-    pushed down, and the planner sees the table's real size.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/docsift-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.path = f"{checkpoint_dir(spark).rstrip('/')}/docsift-{uuid.uuid4().hex}"
+
+    def table(self, df, name: str):
+        """Write ``df`` as a parquet table and read it back.
+
+        Cuts the lineage like ``checkpoint()`` and survives executor loss, but the
+        re-read is columnar: later steps read only the columns they use, filters are
+        pushed down, and the planner sees the table's real size.
+        """
+        path = f"{self.path}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        """Delete the folder; nothing read from it can be used afterwards."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def materialize(df, name: str):
+    """``df`` written as a table of its own scratch folder (see :class:`Scratch`)."""
+    return Scratch(df.sparkSession).table(df, name)

@@ -7,6 +7,8 @@ files read with Spark's ``binaryFile`` source, hashed on the executors.
 
 from __future__ import annotations
 
+from fnmatch import fnmatch
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,21 +18,48 @@ ERR_ZERO_PAGES = "ZERO_PAGES"
 ERR_SCHEMA = "SCHEMA_ERROR"
 
 
+def _reader(spark: SparkSession, glob: str | None):
+    reader = spark.read.format("binaryFile")
+    return reader.option("pathGlobFilter", glob) if glob else reader
+
+
+def _empty_files(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
+    """The files of length 0 under ``path``, which ``binaryFile`` gives no row for (from the listing)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listFiles(root, True)
+    rows = []
+    while files.hasNext():
+        f = files.next()
+        if f.getLen() == 0 and fnmatch(f.getPath().getName(), glob or "[!._]*"):
+            rows.append((f.getPath().toString(), 0, f.getModificationTime()))
+    listed = spark.createDataFrame(rows, "path string, length long, millis long")
+    return listed.select("path", "length", F.timestamp_millis("millis").alias("modificationTime"))
+
+
+def list_files(spark: SparkSession, path: str, *, glob: str | None = None) -> DataFrame:
+    """``path, length, modificationTime`` of every file under ``path``; no content is read."""
+    listed = _reader(spark, glob).load(path).select("path", "length", "modificationTime")
+    return listed.unionByName(_empty_files(spark, path, glob))
+
+
+def _hashed(content: DataFrame) -> DataFrame:
+    return content.select("path", "length", "modificationTime", S.content_hash(F.col("content")).alias("content_hash"))
+
+
 def scan_files(spark: SparkSession, path: str, *, glob: str | None = None) -> DataFrame:
     """``path, length, modificationTime, content_hash`` for every file under ``path``.
 
     ``binaryFile`` loads each file whole (2 GB limit per file); the content
     column is pruned right after hashing, so only the hash leaves the task.
     """
-    reader = spark.read.format("binaryFile")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select(
-        "path", "length", "modificationTime", S.content_hash(F.col("content")).alias("content_hash"))
+    empty = _empty_files(spark, path, glob).withColumn("content", F.lit("").cast("binary"))
+    return _hashed(_reader(spark, glob).load(path).select("path", "length", "modificationTime", "content")
+                   .unionByName(empty))
 
 
 def new_files(listing: DataFrame, ledger: DataFrame | None) -> DataFrame:
-    """Files not yet in the ledger, keyed on (path, length, modificationTime).
+    """Files of a listing not yet in the ledger, keyed on (path, length, modificationTime).
 
     Unlike an in-process memo keyed on the path alone, a changed file is seen
     as new and hashed again.
@@ -41,14 +70,32 @@ def new_files(listing: DataFrame, ledger: DataFrame | None) -> DataFrame:
                         ["path", "length", "modificationTime"], "left_anti")
 
 
+def hash_new_files(spark: SparkSession, path: str, ledger: DataFrame | None, *, glob: str | None = None) -> DataFrame:
+    """Hashes of the files that the ledger does not know; only their content is read.
+
+    The new paths pass the driver, as every listing of files does.
+    """
+    fresh = [r["path"] for r in new_files(list_files(spark, path, glob=glob), ledger)
+             .filter("length > 0").select("path").toLocalIterator()]
+    empty = new_files(_empty_files(spark, path, glob), ledger).withColumn("content", F.lit("").cast("binary"))
+    if not fresh:
+        return _hashed(empty)
+    return _hashed(spark.read.format("binaryFile").load(fresh).select(
+        "path", "length", "modificationTime", "content").unionByName(empty))
+
+
 def first_page(pages: DataFrame, *, doc: str = "doc_id", page: str = "page_no",
-               text: str = "text") -> DataFrame:
-    """First page's text per document (lowest page number).
+               text: str = "text", first: int | None = None) -> DataFrame:
+    """First page's text per document: its lowest page number, or the page numbered ``first`` if that is known.
 
-    ``min_by`` aggregates partially before the shuffle, so a document with very
-    many pages sends one candidate per map task, not all its pages.
+    The lowest numbers are found on the two narrow columns (pre-aggregated, so a document with very many
+    pages sends one number per task); texts are fetched for those pages only. With ``first`` it is a filter
+    that reaches the scan.
     """
-    return pages.groupBy(doc).agg(F.min_by(F.col(text), F.col(page)).alias(text))
+    if first is not None:
+        return pages.filter(F.col(page) == first).select(doc, text)
+    lowest = pages.groupBy(doc).agg(F.min(page).alias(page))
+    return pages.select(doc, page, text).join(lowest, [doc, page], "left_semi").select(doc, text)
 
 
 def zero_page_errors(docs: DataFrame, pages: DataFrame, *, doc: str = "doc_id") -> DataFrame:
@@ -65,10 +112,14 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
     The file is read whole (one task: a manifest in this form is one file) and
     parsed with an explicit schema - never inferred, since every entry names its
-    own fields. ``job_id`` is the 1-based position in the array.
+    own fields. ``job_id`` is the 1-based position in the array. A manifest that
+    is no valid JSON array fails the query.
     """
     raw = spark.read.text(path, wholetext=True)
-    parsed = raw.select(F.posexplode(F.from_json("value", S.MANIFEST)).alias("pos", "e"))
+    parsed = F.from_json("value", S.MANIFEST, {"mode": "FAILFAST", "allowSingleQuotes": "false"})
+    checked = F.when(parsed.isNotNull(), parsed).otherwise(
+        F.raise_error(F.lit("the manifest is not a JSON array")).cast(S.MANIFEST))
+    parsed = raw.select(F.posexplode(checked).alias("pos", "e"))
     return parsed.select(
         (F.col("pos") + 1).cast("long").alias("job_id"),
         F.col("e.label").alias("label"),
@@ -77,16 +128,22 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_jobs(spark: SparkSession, path: str) -> DataFrame:
-    """Jobs as JSON lines (one job per line; splits across tasks), explicit schema."""
+    """Jobs as JSON lines (one job per line; splits across tasks), explicit schema.
+
+    A line that is no valid job keeps its row with null columns and ``error_class`` ``SCHEMA_ERROR``.
+    """
     schema = "job_id long, label string, extraction_schema map<string,string>, pdf_path string"
-    df = spark.read.schema(schema).json(path)
+    bad = "_malformed"
+    df = spark.read.schema(f"{schema}, {bad} string").option("columnNameOfCorruptRecord", bad).json(path)
     return df.select("job_id", "label",
                      S.dedupe_fields(S.fields_of(F.col("extraction_schema"))).alias("fields"),
-                     F.col("pdf_path").alias("doc_id"))
+                     F.col("pdf_path").alias("doc_id"),
+                     F.when(F.col(bad).isNotNull() | F.col("extraction_schema").isNull(),
+                            F.lit(ERR_SCHEMA)).alias("error_class"))
 
 
 def parse_request(request_json) -> tuple:
     """Request string -> (fields, error_class): malformed JSON or a non-object is an error."""
-    parsed = F.from_json(request_json, S.REQUEST_SCHEMA)
+    parsed = S.json_object(request_json)
     fields = S.dedupe_fields(S.fields_of(parsed))
     return fields, F.when(parsed.isNull(), F.lit(ERR_SCHEMA))

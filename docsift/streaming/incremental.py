@@ -10,8 +10,9 @@ Exactly-once effect under replay (a batch re-run after a failure):
 
 * results are written to partition ``batch_id=<n>`` with dynamic partition
   overwrite - a replay replaces the partition instead of duplicating it;
-* cache rows are anti-joined on ``cache_key`` against the table before the
-  append - a replay adds nothing that is already there.
+* cache rows carry the batch that wrote them. A batch looks up only rows of other
+  batches, so its replay computes what it computed before, and it replaces its own;
+* fallback answers are kept per batch: a replay reads them instead of asking again.
 
 The stream's own checkpoint, the cache and the results live under ``store``,
 which must be a shared folder (by default under ``spark.checkpoint.dir``).
@@ -23,6 +24,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from docsift import schema as S
@@ -36,19 +38,26 @@ def new_store(spark: SparkSession, prefix: str = "stream") -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
+
+
 def read_cache(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(S.CACHE).parquet(path)
-    except Exception:  # noqa: BLE001 - no cache written yet
-        return None
+    """The stored cache, or None where there is none; a cache that cannot be read is an error."""
+    return spark.read.schema(S.CACHE).parquet(path) if _exists(spark, path) else None
 
 
-def append_cache(new_rows: DataFrame, path: str, existing: DataFrame | None) -> None:
-    """Append cache rows whose key is not in the table yet (idempotent under replay)."""
+def append_cache(new_rows: DataFrame, path: str, existing: DataFrame | None, batch_id: int | None = None) -> None:
+    """Add cache rows whose key is not in the table yet. Rows of a batch replace the batch's earlier ones."""
     rows = new_rows.select(*[f.name for f in S.CACHE.fields])
     if existing is not None:
         rows = rows.join(existing.select("cache_key"), "cache_key", "left_anti")
-    rows.write.mode("append").parquet(path)
+    if batch_id is None:
+        rows.write.mode("append").parquet(path)
+    else:
+        (rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
 def clear_cache(spark: SparkSession, path: str) -> None:
@@ -56,28 +65,46 @@ def clear_cache(spark: SparkSession, path: str) -> None:
     spark.createDataFrame([], S.CACHE).write.mode("overwrite").parquet(path)
 
 
+def _answered_once(fallback: Fallback, path: str) -> Fallback:
+    """``fallback``, its answers stored under ``path`` and read from there if the batch runs again."""
+    def ask(requests: DataFrame) -> DataFrame:
+        spark = requests.sparkSession
+        if not _exists(spark, f"{path}/_SUCCESS"):
+            fallback(requests).select("request_id", "response_json").write.mode("overwrite").parquet(path)
+        return spark.read.schema("request_id string, response_json string").parquet(path)
+
+    return ask
+
+
 def run_batch(batch: DataFrame, batch_id: int, *, store: str, fallback: Fallback | None,
-              key_includes_label: bool, cache_partial: bool) -> None:
+              **options) -> None:
+    """One micro-batch; ``options`` as of :func:`docsift.operators.extract.extract`."""
     spark = batch.sparkSession
     cache_path, results_path = f"{store}/cache", f"{store}/results"
-    cache = read_cache(spark, cache_path)
-    ex = extract(batch, cache=cache, fallback=fallback, key_includes_label=key_includes_label,
-                 cache_partial=cache_partial)
+    cache = None
+    if _exists(spark, cache_path):
+        stored = spark.read.schema(T.StructType([*S.CACHE.fields, T.StructField("batch_id", T.LongType())])).parquet(cache_path)
+        # one read per batch: the lookup and the append both use this table
+        cache = stored.filter(F.col("batch_id").isNull() | (F.col("batch_id") != batch_id)).drop("batch_id")
+    if fallback is not None:
+        fallback = _answered_once(fallback, f"{store}/answers/batch_id={batch_id}")
+    ex = extract(batch, cache=cache, fallback=fallback, **options)
     (ex.results.withColumn("batch_id", F.lit(batch_id).cast("long"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(results_path))
-    append_cache(ex.new_cache, cache_path, cache)
+    append_cache(ex.new_cache, cache_path, None, batch_id)      # computed keys are those the cache lacks
+    ex.cleanup()
 
 
 def extract_stream(jobs: DataFrame, *, store: str, fallback: Fallback | None = None,
-                   key_includes_label: bool = False, cache_partial: bool = True,
-                   available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Start the incremental extraction of a streaming ``jobs(job_id, doc_id, label, fields, text)``."""
+                   available_now: bool = True, processing_time: str | None = None, **options) -> StreamingQuery:
+    """Start the incremental extraction of a streaming ``jobs(job_id, doc_id, label, fields, text)``.
+
+    ``options`` are those of :func:`docsift.operators.extract.extract` (``rules=``, ``model=``, ...).
+    """
     writer = (jobs.writeStream
               .option("checkpointLocation", f"{store}/_checkpoint")
-              .foreachBatch(lambda df, bid: run_batch(df, bid, store=store, fallback=fallback,
-                                                      key_includes_label=key_includes_label,
-                                                      cache_partial=cache_partial)))
+              .foreachBatch(lambda df, bid: run_batch(df, bid, store=store, fallback=fallback, **options)))
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     elif available_now:

@@ -6,11 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from docsift import catalog, oracle_sql
 from docsift.sources.tables import TABLES
 
 from conftest import SF_SMALL
 
 NO_SQL_TWIN = {"rules_documents"}   # checked by tests/test_documents_bruteforce.py
+SQL = oracle_sql.oracle_sql()
 
 
 def test_entry_smoke(spark):
@@ -20,8 +22,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) - set(E.oracle_sql()) == NO_SQL_TWIN
-    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(catalog.queries()) - set(SQL) == NO_SQL_TWIN
+    assert set(SQL) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
@@ -41,9 +43,9 @@ def _sorted(rows, cols):
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
-    rel = con.sql(E.oracle_sql()[name])
+    rel = con.sql(SQL[name])
     assert sorted(df.columns) == sorted(rel.columns)
     assert _sorted(df.collect(), df.columns) == _sorted(rel.fetchall(), rel.columns)
