@@ -16,6 +16,7 @@ import tempfile
 
 import numpy as np
 
+SPANS = 1 << 20     # common prefixes looked through at a time
 END = 0            # the symbol before a whole string; bytes are shifted up by one (0xFF is never part of UTF-8)
 
 
@@ -30,31 +31,51 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out
 
 
+def least_between(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Minimum of ``values[a:b]`` for each pair, in bounded memory."""
+    out = np.empty(len(a), values.dtype)
+    ends = np.cumsum(b - a, dtype=np.int64)
+    at = 0
+    while at < len(a):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SPANS)))
+        length = (b - a)[at:to].astype(np.int64)
+        first = np.cumsum(length) - length
+        out[at:to] = np.minimum.reduceat(values[ragged(a[at:to].astype(np.int64), length)], first)
+        at = to
+    return out
+
+
 class Collection:
     """``symbols``: strings in rows, left-aligned, of ``lengths`` bytes (at least 1, at most 254)."""
 
     def __init__(self, symbols: np.ndarray, lengths: np.ndarray, folder: str):
         self.symbols, self.lengths, self.folder = symbols, lengths.astype(np.int64), folder
-        self.n = len(symbols)
+        self.n, self.round = len(symbols), -1
         at = np.arange(self.n)
         self._write(symbols[at, self.lengths - 1].astype(np.uint8) + np.uint8(1), np.zeros(self.n, np.uint8))
         self.owner = at.astype(np.int32)            # strings with a symbol still to insert, by place
         self.place = at.copy()                      # where their last inserted suffix stands
 
+    def _file(self, name: str) -> str:
+        return os.path.join(self.folder, f"{name}{self.round}")
+
     def _write(self, bwt: np.ndarray, lcp: np.ndarray) -> None:
-        for name, plane in (("bwt", bwt), ("lcp", lcp)):
-            path = os.path.join(self.folder, name)
-            plane.tofile(path + ".new")
-            os.replace(path + ".new", path)
+        """The files of the next round; those of the last go."""
+        last = [self._file("bwt"), self._file("lcp")] if self.round >= 0 else []
+        self.round += 1
+        bwt.tofile(self._file("bwt"))
+        lcp.tofile(self._file("lcp"))
+        for path in last:
+            os.unlink(path)
 
     def read(self) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(np.fromfile(os.path.join(self.folder, name), np.uint8) for name in ("bwt", "lcp"))
+        return np.fromfile(self._file("bwt"), np.uint8), np.fromfile(self._file("lcp"), np.uint8)
 
     def insert(self, r: int) -> None:
         """Round ``r``: the suffixes of length r of all strings that long."""
         bwt, lcp = self.read()
-        came = np.argsort(bwt, kind="stable")
-        came = came[np.count_nonzero(bwt == END):]  # suffix i (after the empty ones) = symbol at came[i] + suffix came[i]
+        # suffix i (after the empty ones) = symbol at came[i] + suffix came[i]
+        came = np.argsort(bwt, kind="stable")[np.count_nonzero(bwt == END):].astype(np.int32)
         string = np.full(len(bwt), -1, np.int32)
         string[self.place] = self.owner
         string = string[came]
@@ -73,9 +94,7 @@ class Collection:
         rest_lcp[i[~same]] = 0
         i = i[same]
         if len(i):
-            a, b = came[i - 1] + 1, came[i] + 1
-            spans = np.concatenate([[0], np.cumsum(b - a)[:-1]])
-            rest_lcp[i] = np.minimum.reduceat(lcp[ragged(a, b - a)], spans) + np.uint8(1)
+            rest_lcp[i] = least_between(lcp, came[i - 1] + 1, came[i] + 1) + np.uint8(1)
         self._write(np.concatenate([bwt[:self.n], rest_bwt]), np.concatenate([lcp[:self.n], rest_lcp]))
         place = self.n + np.flatnonzero(new)
         more = left > 0
@@ -90,10 +109,10 @@ class Collection:
     def classes(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For every substring of ``width`` bytes: its string, its start, and a number equal for equal substrings."""
         bwt, lcp = self.read()
-        came = np.argsort(bwt, kind="stable")[np.count_nonzero(bwt == END):]
-        longer = np.zeros(len(bwt), np.int64)       # place of the suffix one symbol longer
+        came = np.argsort(bwt, kind="stable")[np.count_nonzero(bwt == END):].astype(np.int32)
+        longer = np.zeros(len(bwt), np.int32)       # place of the suffix one symbol longer
         longer[came] = self.n + np.arange(len(came))
-        number = np.cumsum(lcp < width)
+        number = np.cumsum(lcp < width, dtype=np.int32)
         strings, starts, numbers = [], [], []
         alive, place = np.arange(self.n), np.arange(self.n)
         for r in range(1, int(self.lengths.max(initial=0)) + 1):

@@ -19,8 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsift.session import materialize
+
 CHUNK_ROWS = 1024
-PART_BYTES = 24 << 20               # text per part
+PART_BYTES = 8 << 20                # text per part
 BLOCK = "chunk bigint, part int, block binary"
 LAST = np.iinfo(np.int64).max       # the place of a null doc_id in the order
 
@@ -38,6 +40,17 @@ def n_parts(docs: DataFrame, part_bytes: int | None = None) -> int:
     return max(1, -(-(size or 0) // (part_bytes or PART_BYTES)))
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table, and the shuffle files that made it given up.
+
+    Spark deletes a finished job's shuffle files once the driver's JVM has collected its plan; asking for
+    that now keeps the disk at one step's files instead of the sum of all steps.
+    """
+    out = materialize(df, name)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """A table per chunk, from batches in which the rows of a chunk follow each other."""
     held: list[pa.RecordBatch] = []

@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 
 from docsift.llm import exchange as X
 from docsift.llm import hashing as H
-from docsift.session import materialize
 
 BLOCK_WORDS = 7
 WINDOW = 2 * BLOCK_WORDS - 1
@@ -217,7 +216,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     chunks, parts = X.chunked(docs), X.n_parts(docs)
     sent = chunks.mapInArrow(_send_anchors(parts), X.BLOCK)
     replies = X.answers(sent, _ANCHOR, shared_anchors)
-    found = materialize(chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
+    found = X.settled(chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
         _extend(parts), _FOUND), "anchors")
     full = X.answers(found.filter(F.col("kind") == _SENT).select("chunk", "part", "block"), _FULL, held_before)
     pending = found.filter(F.col("kind") == _PENDING).select("chunk", "row", "doc_id", "text", "near")

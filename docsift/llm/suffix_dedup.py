@@ -36,11 +36,11 @@ from docsift.llm import bwt
 from docsift.llm import exchange as X
 from docsift.llm import hashing as H
 from docsift.llm.substring_dedup import _block_batch, covered
-from docsift.session import materialize
 
 WIDTH = 50
 GRAM = 16
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
+AT_ONCE = 20_000                              # runs ordered together
 _SPAN = WIDTH - GRAM + 1                      # grams in a window, and windows in a run at most
 _LONGEST = WIDTH + _SPAN - 1
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
@@ -94,17 +94,30 @@ class Runs:
     def strings(self, pick: np.ndarray) -> np.ndarray:
         """Length and bytes (zeros after the end) of the picked runs, a row each."""
         length = (self.windows[pick] + WIDTH - 1).astype(np.uint8)
-        columns = np.arange(_LONGEST)
-        at = np.minimum(self.start[pick][:, None] + columns, len(self.data) - 1)
+        columns = np.arange(_LONGEST, dtype=np.int32)
+        at = np.minimum(self.start[pick].astype(np.int32)[:, None] + columns, np.int32(max(0, len(self.data) - 1)))
         body = np.where(columns < length[:, None], self.data[at] if len(at) else np.uint8(0), np.uint8(0))
         return np.concatenate([length[:, None], body.astype(np.uint8)], axis=1)
 
 
-def _distinct(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An index of each distinct row, and each row's number among them."""
-    rows = np.ascontiguousarray(strings).view(np.dtype((np.void, strings.shape[1]))).ravel()
-    _, index, number = np.unique(rows, return_index=True, return_inverse=True)
-    return index, number.ravel()
+_COLUMN = H.mixed(np.arange(1, _LONGEST + 2, dtype=np.uint64)) | np.uint64(1)
+
+
+def _distinct(strings: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An index of each distinct row, in the order of ``key``, and each row's number among them.
+
+    Rows are told apart by their anchor and a 64-bit hash of length and bytes.
+    """
+    h = np.zeros(len(strings), np.uint64)
+    for column, factor in zip(strings.T, _COLUMN):
+        h += (column.astype(np.uint64) + np.uint64(1)) * factor
+    h = H.mixed(h)
+    order = np.lexsort((h, key))
+    new = np.ones(len(order), bool)
+    new[1:] = (h[order[1:]] != h[order[:-1]]) | (key[order[1:]] != key[order[:-1]])
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
 
 
 def _anchors(runs: Runs):
@@ -139,15 +152,11 @@ def shared_anchors(packed: np.ndarray) -> np.ndarray:
 def _entries(runs: Runs, near: np.ndarray, ids: np.ndarray):
     """The chunk's distinct remaining runs in anchor order: strings, anchors, smallest ids; each run's number."""
     pick = np.flatnonzero(near)
-    strings = runs.strings(pick)
-    index, number = _distinct(strings) if len(pick) else (pick, pick)
-    order = np.argsort(runs.key[pick][index], kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    index, number = index[order], place[number]
+    strings, key = runs.strings(pick), runs.key[pick]
+    index, number = _distinct(strings, key)
     least = np.full(len(index), X.LAST)
     np.minimum.at(least, number, ids[runs.doc[pick]])
-    return strings[index], runs.key[pick][index], least, pick, number
+    return strings[index], key[index], least, pick, number
 
 
 def _block(strings: np.ndarray, keys: np.ndarray, least: np.ndarray) -> bytes:
@@ -183,19 +192,40 @@ def _window_minima(strings: np.ndarray, key: np.ndarray, least: np.ndarray) -> n
     return out
 
 
+def _held_before(strings: np.ndarray, key: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each run sent: does a smaller id hold the window that starts there? (row: run, column: start)
+
+    Anchors are independent of each other, so they are worked off in groups of about ``AT_ONCE`` runs.
+    """
+    out = np.zeros((len(key), _SPAN), bool)
+    order = np.argsort(key, kind="stable")
+    cuts = np.flatnonzero(np.diff(key[order])) + 1
+    start = 0
+    while start < len(order):
+        at = np.searchsorted(cuts, start + AT_ONCE)
+        end = int(cuts[at]) if at < len(cuts) else len(order)
+        rows = order[start:end]
+        index, number = _distinct(strings[rows], key[rows])
+        least = np.full(len(index), X.LAST)
+        np.minimum.at(least, number, ids[rows])
+        minima = _window_minima(strings[rows[index]], key[rows[index]], least)
+        out[rows] = minima[number] < ids[rows][:, None]
+        start = end
+    return out
+
+
 def _answer(table: pa.Table) -> pa.Table:
     held = [_unblock(b) for b in table["block"].to_pylist()]
+    counts = [len(s) for s, _, _ in held]
     strings, key, ids = (np.concatenate(x) for x in zip(*held))
-    index, number = _distinct(strings)
-    least = np.full(len(index), X.LAST)
-    np.minimum.at(least, number, ids)
-    before = _window_minima(strings[index], key[index], least)[number] < ids[:, None]
+    del held
+    before = _held_before(strings, key, ids)
     real = np.arange(_SPAN) < (strings[:, 0].astype(np.int64) - WIDTH + 1)[:, None]
     bits, at = [], 0
-    for s, _, _ in held:
-        rows = slice(at, at + len(s))
+    for n in counts:
+        rows = slice(at, at + n)
         bits.append(np.packbits(before[rows][real[rows]]).tobytes())
-        at += len(s)
+        at += n
     return pa.table([table["chunk"], table["part"], pa.array(bits, pa.binary())], ["chunk", "part", "block"])
 
 
@@ -276,7 +306,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes that stay, null where all stay)."""
     chunks, parts = X.chunked(docs), X.n_parts(docs, PART_BYTES)
     replies = X.answers(chunks.mapInArrow(_send_anchors(parts), X.BLOCK), ["<u4"], shared_anchors)
-    found = materialize(chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
+    found = X.settled(chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
         _extend(parts), _FOUND), "runs")
     answers = (found.filter(F.col("kind") == _SENT).select("chunk", "part", "block")
                .groupBy("part").applyInArrow(_answer, X.BLOCK))
