@@ -17,7 +17,8 @@ connected component of each document, with no link lost:
 4. Of the rows under a signature, all are verified against the one with the
    fewest tokens of its own, and components formed. Rows that are then in another
    component than that leader are verified against all others of other components
-   under the signature. Pairs that sizes or misses rule out are never formed.
+   under the signature. Pairs that sizes, misses or parity bits rule out are never
+   formed.
 
 A pair within one component needs no verification, so a large group of near copies
 costs little more than one verification per member, not one per pair.
@@ -49,7 +50,9 @@ from docsift.session import materialize
 RARE = 32                      # tokens of at most so many documents are signatures by themselves
 HOT_GROUPS = 1000
 _TOKENS = ("chunk bigint, row bigint, doc_id bigint, n_shingles bigint, sum1 bigint, sum2 bigint, tokens binary")
-_READY = "row bigint, size bigint, shared bigint, tokens binary, signatures array<bigint>"
+PARITY = [f"p{i}" for i in range(4)]       # 64 bits each
+_READY = "row bigint, size bigint, shared bigint, tokens binary, signatures array<bigint>, " + ", ".join(
+    f"{p} bigint" for p in PARITY)
 
 
 class Rule(NamedTuple):
@@ -68,10 +71,21 @@ class Rule(NamedTuple):
     def holds(self, common: int, size_a: int, size_b: int) -> bool:
         return self.den * common >= self.num * (size_a + size_b - common)
 
-    def possible(self, size_a: Column, shared_a: Column, size_b: Column, shared_b: Column) -> Column:
-        """Whether two sets can link, if all tokens of the one that other rows hold were common."""
-        most = F.least(shared_a, shared_b)
-        return self.den * most >= self.num * (size_a + size_b - most)
+    def possible(self, a: str, b: str) -> Column:
+        """Whether rows of the aliases ``a`` and ``b`` can link.
+
+        They share at most the tokens that other rows hold, and differ in at least as many tokens as their
+        parities (of the token count in each of 256 hash buckets) differ in bits.
+        """
+        x, y = (lambda c: F.col(f"{a}.{c}")), (lambda c: F.col(f"{b}.{c}"))
+        differ = sum((F.bit_count(x(p).bitwiseXOR(y(p))) for p in PARITY), F.lit(0))
+        most = F.least(x("shared"), y("shared"), F.floor((x("shared") + y("shared") - differ) / 2))
+        return self.den * most >= self.num * (x("size") + y("size") - most)
+
+
+def parity(tokens: np.ndarray) -> np.ndarray:
+    bits = np.bincount((H.mixed(tokens) >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
 def token_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -201,7 +215,7 @@ def signatures(rule: Rule, size: int, tokens: np.ndarray, classes: np.ndarray) -
 def _ready(rule: Rule, parts: int):
     """Step 3: tokens in the common order and the signatures of the rows that can still link."""
     def ready(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        out = [[] for _ in range(5)]
+        out = [[] for _ in range(5 + len(PARITY))]
         if docs.num_rows:
             sets = [np.frombuffer(t, "<u8") for t in docs["tokens"].to_pylist()]
             tokens = np.concatenate(sets)
@@ -215,9 +229,10 @@ def _ready(rule: Rule, parts: int):
                 order = order[np.count_nonzero(c == 0):]
                 marks = signatures(rule, size, own[order], c[order])
                 if len(marks):
-                    for column, value in zip(out, (row, size, len(order), np.sort(own[order]).tobytes(), marks)):
+                    values = (row, size, len(order), np.sort(own[order]).tobytes(), marks, *parity(own[order]).tolist())
+                    for column, value in zip(out, values):
                         column.append(value)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())] + [pa.int64()] * len(PARITY)
         return pa.table([pa.array(c, k) for c, k in zip(out, kinds)], [f.split()[0] for f in _READY.split(", ")])
 
     return ready
@@ -252,15 +267,14 @@ def _pairs(left: DataFrame, right: DataFrame, rule: Rule, unlike: Column) -> Dat
     """Distinct pairs under a common signature that can link, of the rows for which ``unlike`` holds."""
     a, b = left.alias("a"), right.alias("b")
     low, high = F.col("a.size") * rule.num, F.col("b.size") * rule.num
-    fit = ((low <= F.col("b.size") * rule.den) & (high <= F.col("a.size") * rule.den)
-           & rule.possible(F.col("a.size"), F.col("a.shared"), F.col("b.size"), F.col("b.shared")))
+    fit = (low <= F.col("b.size") * rule.den) & (high <= F.col("a.size") * rule.den) & rule.possible("a", "b")
     joined = a.join(b, (F.col("a.mark") == F.col("b.mark")) & unlike & fit)
     return joined.select(F.least("a.row", "b.row").alias("a"), F.greatest("a.row", "b.row").alias("b")).distinct()
 
 
 def _links(ready: DataFrame, rule: Rule) -> DataFrame:
     """Step 4: edges (a, b) that connect every component of the linked rows."""
-    marks = ready.select("row", "size", "shared", F.explode("signatures").alias("mark"))
+    marks = ready.select("row", "size", "shared", *PARITY, F.explode("signatures").alias("mark"))
     own = F.min(F.struct(((F.col("size") - F.col("shared")) / F.col("size")).alias("own"), "row"))
     leaders = marks.groupBy("mark").agg(own.alias("best"), F.count("*").alias("n")).filter("n > 1")
     leaders = materialize(leaders.select("mark", F.col("best.row").alias("leader")), "leaders")
