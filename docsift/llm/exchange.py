@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -133,3 +134,16 @@ def groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     new = np.ones(len(s), bool)
     new[1:] = s[1:] != s[:-1]
     return order, np.flatnonzero(new), np.cumsum(new) - 1
+
+
+def rounds(*replies: DataFrame) -> DataFrame:
+    """The replies of several rounds as one table, told apart by ``round``."""
+    out = None
+    for i, r in enumerate(replies):
+        r = r.select("chunk", "part", "block", F.lit(i).alias("round"))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def of_round(replies: pa.Table, i: int) -> pa.Table:
+    return replies.filter(pc.equal(replies["round"], i))

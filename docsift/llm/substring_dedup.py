@@ -13,8 +13,8 @@ index and every rolling window of ``BLOCK`` words probes it:
    make up the maximal exact repeats, whose words go.
 
 Both rounds use the packed exchange, so a passage that a third of all documents
-share arrives once per chunk. The text moves once, to meet the first answers; the
-documents with anchors keep it for the second.
+share arrives once per chunk. The text moves twice, to meet the answers of each
+round; what is stored between the rounds is answers only.
 
 Defined cases: null or empty text has no words (n_words 0, SHA-256 of nothing);
 texts of fewer than ``WINDOW`` words stay whole; null doc_id comes after all others;
@@ -40,9 +40,6 @@ WINDOW = 2 * BLOCK_WORDS - 1
 _ANCHOR = ["<u4"]                                   # 30 bits of the hash, shared within the chunk, indexed
 _FULL = ["<u8", "<u2", "<u4", "<u4"]                # hash, 16 more bits, doc_id low and high
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-_FOUND = ("kind int, chunk bigint, row bigint, doc_id bigint, n_words bigint, kept_sha256 string, text binary, "
-          "near binary, part int, block binary")
-_FINAL, _PENDING, _SENT = 0, 1, 2
 
 
 class Words:
@@ -139,44 +136,29 @@ def _full(words: Words, near: np.ndarray, ids: np.ndarray):
     return k[first], planes, places, which, least
 
 
-def _sha(words: list[bytes]) -> str:
-    return hashlib.sha256(b" ".join(words)).hexdigest()
+def _near(words: Words, replies: pa.Table, parts: int) -> np.ndarray:
+    """The places whose full window lies in one document and holds a shared anchor."""
+    keys, _, places, which = _anchors(words)
+    hits = np.zeros(len(words.doc) + 1, np.int64)
+    hits[places[X.answered(keys, replies, parts)[which]] + 1] = 1
+    hits = np.cumsum(hits)                          # anchors before each place
+    near = np.zeros(len(words.doc), bool)
+    n = max(0, len(near) - WINDOW + 1)
+    near[:n] = hits[WINDOW - BLOCK_WORDS + 1:][:n] > hits[:n]
+    near[:n] &= words.doc[:n] == words.doc[WINDOW - 1:WINDOW - 1 + n]
+    return near
 
 
-def _extend(parts: int):
-    def extend(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        texts, ids = docs["text"].to_pylist(), docs["doc_id"]
+def _send_windows(parts: int):
+    def send(docs: pa.Table, replies: pa.Table) -> pa.Table:
         rows = []
-        if texts:
-            words = Words(texts)
-            keys, _, places, which = _anchors(words)
-            shared = X.answered(keys, replies, parts)
-            hits = np.zeros(len(words.doc) + 1, np.int64)
-            hits[places[shared[which]] + 1] = 1
-            hits = np.cumsum(hits)                      # anchors before each place
-            near = np.zeros(len(words.doc), bool)       # windows of full length with an anchor inside
-            n = max(0, len(near) - WINDOW + 1)
-            near[:n] = hits[WINDOW - BLOCK_WORDS + 1:][:n] > hits[:n]
-            ends = words.doc[:n] == words.doc[WINDOW - 1:WINDOW - 1 + n]
-            near[:n] &= ends
-            chunk = docs["chunk"][0].as_py()
-            any_near = np.bincount(words.doc[near], minlength=len(texts)) > 0
-            for i, (text, row, doc_id) in enumerate(zip(texts, docs["row"].to_pylist(), ids.to_pylist())):
-                count = int(words.counts[i])
-                if any_near[i]:
-                    bits = np.packbits(near[words.starts[i]:words.ends[i]]).tobytes()
-                    rows.append((_PENDING, chunk, row, doc_id, count, None, text, bits, None, None))
-                else:
-                    rows.append((_FINAL, chunk, row, doc_id, count, _sha(text.split()), None, None, None, None))
-            keys, planes, *_ = _full(words, near, X.order_ids(ids))
-            rows += [(_SENT, c, None, None, None, None, None, None, part, block)
-                     for c, part, block in X.blocks(chunk, keys, planes, parts)]
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(),
-                 pa.int32(), pa.binary()]
-        columns = list(zip(*rows)) or [()] * len(kinds)
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], [f.split()[0] for f in _FOUND.split(", ")])
-
-    return extend
+        if docs.num_rows:
+            words = Words(docs["text"].to_pylist())
+            keys, planes, *_ = _full(words, _near(words, replies, parts), X.order_ids(docs["doc_id"]))
+            rows = X.blocks(docs["chunk"][0].as_py(), keys, planes, parts)
+        return pa.Table.from_batches([_block_batch(rows)])
+
+    return send
 
 
 def covered(n: int, starts: np.ndarray, width: int) -> np.ndarray:
@@ -193,16 +175,18 @@ def _remove(parts: int):
         texts, doc_ids = docs["text"].to_pylist(), docs["doc_id"].to_pylist()
         if texts:
             words, ids = Words(texts), X.order_ids(docs["doc_id"])
-            near = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=int(n))
-                                   for b, n in zip(docs["near"].to_pylist(), words.counts)]).astype(bool)
+            near = _near(words, X.of_round(replies, 0), parts)
             keys, _, places, which, least = _full(words, near, ids)
-            before = X.answered(keys, replies, parts)
+            before = X.answered(keys, X.of_round(replies, 1), parts)
             hit = before[which] | (least[which] < ids[words.doc[places]])
             gone = covered(len(words.doc), places[hit], WINDOW)
             for i, text in enumerate(texts):
                 g = gone[words.starts[i]:words.ends[i]]
-                kept = [w for w, x in zip(text.split(), g.tolist()) if not x]
-                out.append((doc_ids[i], len(g), int(g.sum()), _sha(kept), b" ".join(kept)))
+                n, kept = int(g.sum()), text.split()
+                if n:
+                    kept = [w for w, x in zip(kept, g.tolist()) if not x]
+                kept = b" ".join(kept)
+                out.append((doc_ids[i], len(g), n, hashlib.sha256(kept).hexdigest(), kept if n else None))
         columns = list(zip(*out)) or [()] * 5
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)],
@@ -214,14 +198,9 @@ def _remove(parts: int):
 def substring_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept (text of the words that stay, null where all stay)."""
     chunks, parts = X.chunked(docs), X.n_parts(docs)
-    sent = chunks.mapInArrow(_send_anchors(parts), X.BLOCK)
-    replies = X.answers(sent, _ANCHOR, shared_anchors)
-    found = X.settled(chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
-        _extend(parts), _FOUND), "anchors")
-    full = X.answers(found.filter(F.col("kind") == _SENT).select("chunk", "part", "block"), _FULL, held_before)
-    pending = found.filter(F.col("kind") == _PENDING).select("chunk", "row", "doc_id", "text", "near")
-    done = pending.groupBy("chunk").cogroup(full.groupBy("chunk")).applyInArrow(
+    anchors = X.settled(X.answers(chunks.mapInArrow(_send_anchors(parts), X.BLOCK), _ANCHOR, shared_anchors), "anchors")
+    sent = chunks.groupBy("chunk").cogroup(anchors.groupBy("chunk")).applyInArrow(_send_windows(parts), X.BLOCK)
+    windows = X.settled(X.answers(sent, _FULL, held_before), "windows")
+    done = chunks.groupBy("chunk").cogroup(X.rounds(anchors, windows).groupBy("chunk")).applyInArrow(
         _remove(parts), RESULT + ", kept binary")
-    untouched = found.filter(F.col("kind") == _FINAL).select(
-        "doc_id", "n_words", F.lit(0).cast("bigint").alias("n_removed"), "kept_sha256", F.lit(None).cast("binary").alias("kept"))
-    return done.unionByName(untouched).withColumn("kept", F.col("kept").cast("string"))
+    return done.withColumn("kept", F.col("kept").cast("string"))

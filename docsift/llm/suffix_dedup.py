@@ -30,7 +30,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from docsift.llm import bwt
 from docsift.llm import exchange as X
@@ -38,15 +37,12 @@ from docsift.llm import hashing as H
 from docsift.llm.substring_dedup import _block_batch, covered
 
 WIDTH = 50
-GRAM = 16
+GRAM = 24
 PART_BYTES = 4 << 20
 AT_ONCE = 20_000                              # runs ordered together
 _SPAN = WIDTH - GRAM + 1                      # grams in a window, and windows in a run at most
 _LONGEST = WIDTH + _SPAN - 1
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-_FOUND = ("kind int, chunk bigint, row bigint, doc_id bigint, n_bytes bigint, kept_sha256 string, text binary, "
-          "near binary, part int, block binary")
-_FINAL, _PENDING, _SENT = 0, 1, 2
 
 
 def _least(values: np.ndarray, n: int) -> np.ndarray:
@@ -246,33 +242,24 @@ def _answered(strings: np.ndarray, keys: np.ndarray, replies: pa.Table, parts: i
     return out
 
 
-def _extend(parts: int):
-    def extend(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        texts, rows = docs["text"].to_pylist(), []
-        if texts:
-            runs, chunk = Runs(texts), docs["chunk"][0].as_py()
-            keys, _, which = _anchors(runs)
-            near = X.answered(keys, replies, parts)[which]
-            any_near = np.bincount(runs.doc[near], minlength=len(texts)) > 0
-            cuts = np.concatenate([[0], np.cumsum(runs.per_doc)])
-            for i, (text, row, doc_id) in enumerate(zip(texts, docs["row"].to_pylist(), docs["doc_id"].to_pylist())):
-                if any_near[i]:
-                    bits = np.packbits(near[cuts[i]:cuts[i + 1]]).tobytes()
-                    rows.append((_PENDING, chunk, row, doc_id, len(text), None, text, bits, None, None))
-                else:
-                    digest = hashlib.sha256(text).hexdigest()
-                    rows.append((_FINAL, chunk, row, doc_id, len(text), digest, None, None, None, None))
-            strings, keys, least, *_ = _entries(runs, near, X.order_ids(docs["doc_id"]))
+def _near(runs: Runs, replies: pa.Table, parts: int) -> np.ndarray:
+    """The chunk's runs whose anchor another document holds."""
+    keys, _, which = _anchors(runs)
+    return X.answered(keys, replies, parts)[which]
+
+
+def _send_runs(parts: int):
+    def send(docs: pa.Table, replies: pa.Table) -> pa.Table:
+        rows = []
+        if docs.num_rows:
+            runs = Runs(docs["text"].to_pylist())
+            strings, keys, least, *_ = _entries(runs, _near(runs, replies, parts), X.order_ids(docs["doc_id"]))
             bounds = X.part_bounds(keys, parts)
-            rows += [(_SENT, chunk, None, None, None, None, None, None, part,
-                      _block(strings[a:b], keys[a:b], least[a:b]))
-                     for part, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(),
-                 pa.int32(), pa.binary()]
-        columns = list(zip(*rows)) or [()] * len(kinds)
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], [f.split()[0] for f in _FOUND.split(", ")])
+            rows = [(docs["chunk"][0].as_py(), part, _block(strings[a:b], keys[a:b], least[a:b]))
+                    for part, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+        return pa.Table.from_batches([_block_batch(rows)])
 
-    return extend
+    return send
 
 
 def _remove(parts: int):
@@ -280,10 +267,9 @@ def _remove(parts: int):
         out, texts = [], docs["text"].to_pylist()
         if texts:
             runs, ids = Runs(texts), X.order_ids(docs["doc_id"])
-            near = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=int(n))
-                                   for b, n in zip(docs["near"].to_pylist(), runs.per_doc)]).astype(bool)
+            near = _near(runs, X.of_round(replies, 0), parts)
             strings, keys, least, pick, number = _entries(runs, near, ids)
-            hit = _answered(strings, keys, replies, parts)[number]
+            hit = _answered(strings, keys, X.of_round(replies, 1), parts)[number]
             hit |= (least[number] < ids[runs.doc[pick]])[:, None]
             hit &= np.arange(_SPAN) < runs.windows[pick][:, None]
             run, offset = np.nonzero(hit)
@@ -291,9 +277,10 @@ def _remove(parts: int):
             for i, doc_id in enumerate(docs["doc_id"].to_pylist()):
                 rows = slice(runs.starts[i], runs.ends[i])
                 g = gone[rows]
+                n = int(g.sum())
                 spans = int(g[:1].sum()) + int((g[1:] & ~g[:-1]).sum())
-                kept = runs.data[rows][~g].tobytes()
-                out.append((doc_id, len(g), int(g.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
+                kept = runs.data[rows][~g].tobytes() if n else texts[i]
+                out.append((doc_id, len(g), n, spans, hashlib.sha256(kept).hexdigest(), kept if n else None))
         columns = list(zip(*out)) or [()] * 6
         kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)],
@@ -305,16 +292,8 @@ def _remove(parts: int):
 def suffix_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes that stay, null where all stay)."""
     chunks, parts = X.chunked(docs), X.n_parts(docs, PART_BYTES)
-    replies = X.answers(chunks.mapInArrow(_send_anchors(parts), X.BLOCK), ["<u4"], shared_anchors)
-    found = X.settled(chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
-        _extend(parts), _FOUND), "runs")
-    answers = (found.filter(F.col("kind") == _SENT).select("chunk", "part", "block")
-               .groupBy("part").applyInArrow(_answer, X.BLOCK))
-    pending = found.filter(F.col("kind") == _PENDING).select("chunk", "row", "doc_id", "text", "near")
-    done = pending.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+    anchors = X.settled(X.answers(chunks.mapInArrow(_send_anchors(parts), X.BLOCK), ["<u4"], shared_anchors), "anchors")
+    sent = chunks.groupBy("chunk").cogroup(anchors.groupBy("chunk")).applyInArrow(_send_runs(parts), X.BLOCK)
+    windows = X.settled(sent.groupBy("part").applyInArrow(_answer, X.BLOCK), "windows")
+    return chunks.groupBy("chunk").cogroup(X.rounds(anchors, windows).groupBy("chunk")).applyInArrow(
         _remove(parts), RESULT + ", kept binary")
-    zero = F.lit(0).cast("bigint")
-    untouched = found.filter(F.col("kind") == _FINAL).select(
-        "doc_id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256",
-        F.lit(None).cast("binary").alias("kept"))
-    return done.unionByName(untouched)
