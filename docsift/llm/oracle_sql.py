@@ -15,5 +15,54 @@ WINDOW w AS (PARTITION BY s ORDER BY n DESC, doc_id NULLS LAST
 """
 
 
+
+# Removal of windows that a smaller doc_id holds: windows, the least doc_id of each, covered words, kept words.
+OP4 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, s, array_to_string(w[s:s + 12], ' ') AS g
+  FROM d, unnest(range(1, len(w) - 11)) AS t(s)),
+hit AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY g) AS least FROM win) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, p FROM hit, unnest(range(s, s + 13)) AS t(p)),
+places AS (
+  SELECT d.doc_id, q.p, d.w[q.p] AS word, gone.p IS NOT NULL AS removed
+  FROM d, unnest(range(1, len(d.w) + 1)) AS q(p) LEFT JOIN gone ON gone.doc_id = d.doc_id AND gone.p = q.p),
+sums AS (
+  SELECT doc_id, count(*) FILTER (WHERE removed) AS n, string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT removed) AS kept
+  FROM places GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(sums.n, 0) AS n_removed,
+       sha256(coalesce(sums.kept, '')) AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id)
+"""
+
+# The items' windows, their places in the documents, the words inside them.
+OP5 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+tests AS (
+  SELECT DISTINCT item, least(len(w), 13) AS n, array_to_string(w[s:s + least(len(w), 13) - 1], ' ') AS g
+  FROM b, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS t(s) WHERE len(w) > 0),
+win AS (
+  SELECT doc_id, s, k.n, array_to_string(w[s:s + k.n - 1], ' ') AS g
+  FROM d, (SELECT DISTINCT n FROM tests) AS k, unnest(range(1, len(w) - k.n + 2)) AS t(s)),
+hit AS (SELECT win.doc_id, win.s, win.n, tests.item FROM win JOIN tests USING (n, g)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n FROM hit, unnest(range(s, s + n)) AS t(p) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+       sha256(coalesce(items.ids, '')) AS items_sha256,
+       coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2}
+    return {"op2_exact_dedup": OP2, "op4_substring_dedup": OP4, "op5_decontamination": OP5}

@@ -20,10 +20,5 @@ def utf8(column: pa.Array) -> list[bytes]:
     return pc.fill_null(column.cast(pa.string()), "").cast(pa.binary()).to_pylist()
 
 
-# bytes.split() without an argument cuts at exactly the six characters \x20 \x09-\x0D
 def alnum_words(text: bytes) -> list[bytes]:
     return text.translate(ALNUM).split()
-
-
-def space_words(text: bytes) -> list[bytes]:
-    return text.split()
