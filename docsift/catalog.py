@@ -59,6 +59,29 @@ def fixture_docs(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
     return T.cards(spark, sf_dir).unionByName(T.screens(spark, sf_dir))
 
 
+def fixture_fallback(requests: DataFrame) -> DataFrame:
+    """Deterministic stand-in for a model service, keyed on the request's document.
+
+    ``doc_id % 10 == 9`` answers malformed JSON, ``== 8`` a JSON array (both are
+    fallback errors); ``== 7`` leaves out the first asked field; every answer
+    adds an unasked key. Values: the document id as a JSON number when
+    ``doc_id % 3 == 0``, else the string ``<field>-<doc_id>``.
+    """
+    d = F.col("doc_id")
+    names = F.transform("missing", lambda f: f["field"])
+    asked = F.when(F.pmod(d, F.lit(10)) == 7, F.slice(names, 2, F.greatest(F.size(names) - 1, F.lit(0)))) \
+        .otherwise(names)
+    value = lambda f: F.when(F.pmod(d, F.lit(3)) == 0, d.cast("string")).otherwise(
+        F.concat(F.lit('"'), f, F.lit("-"), d.cast("string"), F.lit('"')))
+    pairs = F.transform(asked, lambda f: F.concat(F.lit('"'), f, F.lit('": '), value(f)))
+    obj = F.concat(F.lit("{"), F.array_join(F.concat(pairs, F.array(F.lit('"extra_key": true'))), ", "),
+                   F.lit("}"))
+    body = (F.when(F.pmod(d, F.lit(10)) == 9, F.lit('{"broken": '))
+            .when(F.pmod(d, F.lit(10)) == 8, F.lit('["not", "an", "object"]'))
+            .otherwise(obj))
+    return requests.select("request_id", body.alias("response_json"))
+
+
 def _rule_query(which: str, x: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         d = spread(fixture_docs(spark, sf_dir, which).select("doc_id", "text"))
@@ -67,9 +90,9 @@ def _rule_query(which: str, x: str) -> Query:
 
 
 def rules_long_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rules with repeated groups on runs of up to 20,000 capital words (one text per customer)."""
+    """The rules with repeated groups on runs of up to 3,900 capital words (one text per customer)."""
     c = T.load(spark, sf_dir, "customer").select("c_custkey")
-    words = F.pmod(F.col("c_custkey") * 97, F.lit(40)) * 500 + 1
+    words = F.pmod(F.col("c_custkey") * 97, F.lit(40)) * 50 + 1
     run = F.concat(F.lit("nome "), F.repeat(F.lit("JOAO SILVA "), words.cast("int")), F.lit("fim\nProduto "),
                    F.repeat(F.lit("CREDITO "), words.cast("int")), F.lit("Qtd 1"))
     d = c.select(F.col("c_custkey").alias("doc_id"), run.alias("text")).repartition(32)
@@ -96,7 +119,7 @@ def rules_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fixture_extraction(spark: SparkSession, sf_dir: str) -> Extraction:
     """Three-level extraction of all cards and screens, answered by the fixture fallback."""
     jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request")
-    return extract(jobs, fallback=T.fixture_fallback)
+    return extract(jobs, fallback=fixture_fallback)
 
 
 def extract_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,7 +243,7 @@ def schema_key_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents_run(spark: SparkSession, sf_dir: str, cache: DataFrame | None, jobs: DataFrame) -> Extraction:
-    return extract(prepare_jobs(jobs, request="request"), cache=cache, fallback=T.fixture_fallback)
+    return extract(prepare_jobs(jobs, request="request"), cache=cache, fallback=fixture_fallback)
 
 
 def _second_run(spark: SparkSession, sf_dir: str) -> Extraction:
@@ -311,7 +334,7 @@ def _faulty_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def extract_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every job's error, if any, and its field counts in the report; bad requests never reach the cache."""
-    run = extract(prepare_jobs(_faulty_jobs(spark, sf_dir)), fallback=T.fixture_fallback)
+    run = extract(prepare_jobs(_faulty_jobs(spark, sf_dir)), fallback=fixture_fallback)
     report = stats.per_job(run.results).select("job_id", "total_fields", "error")
     return run.results.select("job_id", "error_class", F.col("cache_key").isNotNull().alias("keyed")).join(
         report, "job_id")
@@ -417,7 +440,7 @@ def stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request")
     jobs.repartition(4, "job_id").write.parquet(f"{store}/incoming")
     stream = spark.readStream.schema(jobs.schema).option("maxFilesPerTrigger", 1).parquet(f"{store}/incoming")
-    query = extract_stream(stream, store=f"{store}/out", fallback=T.fixture_fallback)
+    query = extract_stream(stream, store=f"{store}/out", fallback=fixture_fallback)
     query.awaitTermination()
     return result_long(read_results(spark, f"{store}/out").drop("batch_id"))
 
@@ -429,7 +452,7 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = new_store(spark)
     jobs = prepare_jobs(T.documents_jobs(spark, sf_dir).drop("lang"), request="request")
     for _ in range(2):
-        run_batch(jobs, 0, store=store, fallback=T.fixture_fallback)
+        run_batch(jobs, 0, store=store, fallback=fixture_fallback)
     r = read_results(spark, store)
     return r.select("job_id", F.col("metadata.cache_hit").alias("cache_hit"),
                     F.col("metadata.found_by_heuristics").isNull().alias("no_rules"))

@@ -395,7 +395,7 @@ FROM doc_jobs j JOIN req r ON j.request_id = r.request_id GROUP BY j.job_id, j.l
 SELECT j.job_id, CASE WHEN j.doc_id % 13 < 5 THEN NULL ELSE count(*) END AS n_fields,
        CASE WHEN j.doc_id % 13 < 5 THEN 'SCHEMA_ERROR' END AS error_class
 FROM doc_jobs j JOIN req r ON j.request_id = r.request_id GROUP BY j.job_id, j.doc_id"""
-    words = "(c_custkey * 97 % 40 * 500 + 1)"
+    words = "(c_custkey * 97 % 40 * 50 + 1)"
     out["rules_long_runs"] = f"""
 SELECT c_custkey AS doc_id, CAST({words} * 11 - 1 AS INTEGER) AS n_nome,
        sha256(rtrim(repeat('JOAO SILVA ', CAST({words} AS INTEGER)))) AS nome_sha256,

@@ -33,13 +33,12 @@ def main() -> None:
     print(f"# Physical plans at {sf_dir}\n")
     print("Generated by `scripts/show_plans.py`. Extraction queries materialize their scan and")
     print("per-key tables first (parquet under the checkpoint folder), so their plans below start")
-    print("from those tables; the scan plan itself is shown by `rules_documents`.\n")
+    print("from those tables; the rules' plan is shown by `rules_documents`.\n")
     jobs = prepare_jobs(T.documents_jobs(spark, sf_dir), request="request")
-    scanned = scan(jobs, deep_mode="defer")
-    payload = F.struct("job_id", "doc_id", "label", "rule_values", "found_all", "missing", "text")
+    scanned = scan(jobs)
     keys = (scanned.filter(F.col("error_class").isNull()).groupBy("cache_key")
-            .agg(F.min_by(payload, F.col("job_id")).alias("first"), F.count(F.lit(1)).alias("n_jobs")))
-    frames = [("scan (extract step 1, documents; Project lines cut to their first 90 characters)", scanned),
+            .agg(F.min("job_id").alias("first_job_id"), F.count(F.lit(1)).alias("n_jobs")))
+    frames = [("scan (extract step 1, documents: keys only; Project lines cut to their first 90 characters)", scanned),
               ("per-key first writer (extract step 2)", keys)]
     frames += [(name, qs[name](spark, sf_dir)) for name in NAMES]
     for name, df in frames:
