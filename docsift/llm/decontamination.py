@@ -21,13 +21,15 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import cached_property
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.words import alnum_words, utf8
+from docsift.llm.rows import without_rows
+from docsift.llm.words import alnum_words, small, utf8
 from docsift.session import materialize
 
 WINDOW = 13
@@ -125,7 +127,7 @@ def merged(spans: list[tuple[int, int]]) -> list[int]:
 def _scanner(block):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = block.value
-        for batch in batches:
+        for batch in small(batches):
             n_words, spans, items = [], [], []
             for text in utf8(batch["text"]):
                 words = alnum_words(text)
@@ -177,34 +179,35 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, block_bytes: in
     return out.groupBy("row").applyInArrow(_merge, _HITS)
 
 
+_DIGEST = ("row bigint, doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, "
+           "contaminated boolean")
+
+
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n_hit = [sum(s[1::2]) - sum(s[::2]) for s in batch["spans"].to_pylist()]
         items = batch["items"].to_pylist()
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], batch["n_words"], pa.array(n_hit, pa.int64()),
+            [batch["row"], batch["doc_id"], batch["n_words"], pa.array(n_hit, pa.int64()),
              pa.array([len(i) for i in items], pa.int64()),
              pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in items], pa.string()),
              pa.array([h > 0 and SHARE * h >= n for h, n in zip(n_hit, batch["n_words"].to_pylist())], pa.bool_())],
-            ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+            [f.split()[0] for f in _DIGEST.split(", ")])
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row."""
-    return hits(docs, benchmark).mapInArrow(
-        _digest, "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, "
-                 "contaminated boolean")
+    return hits(docs, benchmark).mapInArrow(_digest, _DIGEST).drop("row")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with all their columns."""
-    blocks = list(_blocks(benchmark, BLOCK_BYTES))
-    sc = docs.sparkSession.sparkContext
-    if len(blocks) == 1:
-        tests = sc.broadcast(TestSet(blocks[0]))
+    """The rows of the table ``docs`` that are not contaminated, with all their columns."""
+    first, *more = islice(_blocks(benchmark, BLOCK_BYTES), 2)
+    if not more:
+        tests = docs.sparkSession.sparkContext.broadcast(TestSet(first))
 
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in small(batches):
                 stays = []
                 for text in utf8(batch["text"]):
                     words = alnum_words(text)
@@ -214,5 +217,4 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield batch.filter(pa.array(stays, pa.bool_()))
 
         return docs.mapInArrow(keep, docs.schema)
-    bad = report(docs, benchmark).filter("contaminated").select("doc_id").distinct()
-    return docs.join(materialize(bad, "contaminated"), "doc_id", "left_anti")
+    return without_rows(docs, hits(docs, benchmark).mapInArrow(_digest, _DIGEST).filter("contaminated"))

@@ -309,7 +309,7 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """
     chunks, parts = X.chunked(docs), X.n_parts(docs)
     sent = chunks.mapInArrow(_send(parts, lambda t: token_sets(t["text"].to_pylist(), rule.n)[0]), X.BLOCK)
-    replies = sent.groupBy("part").applyInArrow(_classes, X.BLOCK)
+    replies = X.settled(sent.groupBy("part").applyInArrow(_classes, X.BLOCK), "classes1")
     found = X.settled(chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
         _shared_only(rule, parts), _TOKENS), "tokens")
     narrow = found.select("row", "doc_id", "n_shingles", "sum1", "sum2", F.col("tokens").isNotNull().alias("able"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.words import LETTERS, utf8
+from docsift.llm.words import LETTERS, small, utf8
 
 TRAIN_DOCS = 1500
 TRAIN_CHARS = 4000
@@ -277,7 +277,7 @@ def predict(docs: DataFrame, net: Network) -> DataFrame:
     model = _broadcast(docs, net)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             lang, score = zip(*found) if (found := list(_labelled(model, utf8(batch["text"])))) else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["held_out"], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
@@ -293,7 +293,7 @@ def keep_languages(docs: DataFrame, net: Network, least: float, wanted: list[str
     model = _broadcast(docs, net)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             stays = [lang != UNKNOWN and score >= least and (wanted is None or lang in wanted)
                      for lang, score in _labelled(model, utf8(batch["text"]))]
             yield batch.filter(pa.array(stays, pa.bool_()))

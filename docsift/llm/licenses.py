@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.words import alnum_words, utf8
+from docsift.llm.words import alnum_words, small, utf8
 
 #: The base phrases and their labels.
 BASE = {
@@ -127,7 +127,7 @@ def _labels(spans: list[Span]) -> str:
 
 
 def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         rows = []
         for text in utf8(batch["text"]):
             n, base, fuzzy = scan(text)
@@ -149,7 +149,7 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         found = [[{"kind": kind, **s._asdict()} for kind, spans in zip(("base", "fuzzy"), scan(text)[1:])
                   for s in spans] for text in utf8(batch["text"])]
         kind = pa.list_(pa.struct([("kind", pa.string()), ("label", pa.string()), ("start_word", pa.int64()),

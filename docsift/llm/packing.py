@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsift.llm import tokens
+from docsift.llm.words import small
 from docsift.session import materialize
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -41,7 +42,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.byte_level(tokenizer)
-        for batch in batches:
+        for batch in small(batches):
             texts = pc.fill_null(batch["text"].cast(pa.string()), "").to_pylist()
             for rows in tokens.slices(texts):
                 at, piece, starts, lengths, crcs = [], [], [], [], []

@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from docsift.llm import tokens
+from docsift.llm.words import small
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
 _counters: dict[str, tokens.ByteLevel] = {}    # one per Python worker and vocabulary
@@ -34,7 +35,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024) -> DataFram
         if tokenizer not in _counters:
             _counters[tokenizer] = tokens.ByteLevel(tokenizer, len, dict.fromkeys(whole.value, 1))
         counter = _counters[tokenizer]
-        for batch in batches:
+        for batch in small(batches):
             text = pc.fill_null(batch["text"].cast(pa.string()), "")
             texts, counts = text.to_pylist(), []
             for part in tokens.slices(texts):

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docsift.llm import tokens
+from docsift.llm.words import small
 
 ROW = "part int, at bigint, doc_id bigint, n_tokens bigint, ids array<int>"
 INDEX_STRIDE = 1000
@@ -39,7 +40,7 @@ def _encoded(tokenizer: str, end_id: int):
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, at = tokens.word_level(tokenizer), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in small(batches):
             texts = pc.fill_null(batch["text"].cast(pa.string()), "").to_pylist()
             for rows in tokens.slices(texts):
                 docs = [b"".join(v) + end for v in encoder.values(texts[rows])]

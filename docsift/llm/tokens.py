@@ -22,7 +22,8 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark's tasks are the parallelism
 
-MAX_UNITS = 800_000
+MAX_UNITS = 300_000
+MAX_WORDS = 500_000                                        # the same for the word vocabulary
 JOINED = 4000                                              # units in one call's strings
 _BESIDE = re.compile(r"[.,](?:(?<=[\W_].)|(?=[^\w\s]|_))")   # a comma or stop that is part of something longer
 _NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")              # white space to Python, text to the library
@@ -46,12 +47,15 @@ class _Encoder:
         self.tokenizer, self.value, self.known = load(path), value, known
         self.units = dict(known)
 
+    def most(self) -> int:
+        return MAX_UNITS
+
     def one(self, text: str):
         return self.value(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def learn(self, units: set[str]) -> None:
         new = units.difference(self.units)
-        if len(self.units) + len(new) > MAX_UNITS:
+        if len(self.units) + len(new) > self.most():
             self.units = dict(self.known)
             new = units.difference(self.units)
         if new:
@@ -109,6 +113,9 @@ class WordLevel(_Encoder):
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
 
+    def most(self) -> int:
+        return MAX_WORDS
+
     def split(self, text: str):
         if any(c in text for c in _NOT_SPACE):
             return None
@@ -140,7 +147,7 @@ def word_level(path: str) -> WordLevel:
     return WordLevel(path)
 
 
-def slices(texts: list[str], chars: int = 2_000_000):
+def slices(texts: list[str], chars: int = 1_000_000):
     """Slices of ``texts`` of about ``chars`` characters (one text at least)."""
     start = n = 0
     for i, text in enumerate(texts):

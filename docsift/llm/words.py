@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import pyarrow as pa
 import pyarrow.compute as pc
 
@@ -15,6 +17,13 @@ LETTERS = bytes(0x20 if 0x30 <= b <= 0x39 else c for b, c in enumerate(ALNUM))
 LOWER = bytes(b + 32 if b in _UPPER else b for b in range(256))
 
 
+def small(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """A text column as UTF-8 bytes, null as empty."""
     return pc.fill_null(column.cast(pa.string()), "").cast(pa.binary()).to_pylist()

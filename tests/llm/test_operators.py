@@ -160,7 +160,7 @@ def test_signatures_meet_for_every_pair_that_links(seed):
 ITEMS = [(1, ROWS[3][1]), (2, "A b"), (3, None), (4, ""), (5, "Ti-ra lo ne"), (1, ROWS[3][1]), (6, ROWS[9][1])]
 
 
-def test_decontamination(spark, docs, empty):
+def test_decontamination(spark, docs, empty, monkeypatch):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     expected = brute_decontamination(ROWS, ITEMS)
     columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
@@ -170,8 +170,11 @@ def test_decontamination(spark, docs, empty):
     many = decontamination.hits(docs, items, block_bytes=100).select("doc_id", "n_words", "spans", "items")
     assert ordered(one.collect()) == ordered(many.collect())
     clean = decontamination.clean_documents(docs, items)
+    kept = ordered(clean.collect())
     assert clean.columns == docs.columns
     assert clean.count() == sum(not r[5] for r in expected)
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 100)
+    assert ordered(decontamination.clean_documents(docs, items).collect()) == kept
     none = items.filter("false")
     assert decontamination.report(docs, none).filter("n_hit > 0").count() == 0
     assert decontamination.report(empty, items).count() == 0
