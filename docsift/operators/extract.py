@@ -212,7 +212,7 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
     # 6. fan out: every job gets its key's result
     job_side = ok.select("job_id", "doc_id", "label", "n_fields", "cache_key")
     joined = salted_join(job_side, per_key, "cache_key", count_col="n_jobs", order_col="job_id",
-                         hot_rows=hot_rows, rows_per_salt=rows_per_salt)
+                         hot_rows=hot_rows, rows_per_salt=rows_per_salt, counts=keys)
     hit = F.col("in_cache") | (F.col("job_id") != F.col("first_job_id"))
     metadata = F.struct(
         hit.alias("cache_hit"),

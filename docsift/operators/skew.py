@@ -3,14 +3,13 @@
 ``big`` has many rows per key, ``small`` one row per key plus its row count on
 the big side (known from an earlier aggregation). Keys whose count reaches
 ``hot_rows`` are *hot*: each is split into ``ceil(count / rows_per_salt)`` salt
-values (at most ``max_salts``) - so a key holding a third of ten billion rows
-becomes a few thousand tasks, not one - and its single small-side row is copied
-once per salt. Cold keys keep salt 0 and are not copied.
+values - so a key holding a third of ten billion rows becomes a few thousand
+tasks, not one - and its single small-side row is copied once per salt. Cold keys
+keep salt 0 and are not copied.
 
 The hot-key list (key, salt count) is broadcast to tag big-side rows without
-shuffling them. Its size is bounded - at most ``rows(big) / hot_rows`` keys can
-be hot - and it is counted before use: above ``max_hot_keys`` the join falls back
-to a plain shuffle join and Spark's adaptive skew-join splitting.
+shuffling them. Its size has a proven bound: a key counts as hot only with a share
+of ``1 / MAX_HOT_KEYS`` of all rows, and there are at most ``MAX_HOT_KEYS`` of those.
 """
 
 from __future__ import annotations
@@ -21,15 +20,22 @@ from pyspark.sql import functions as F
 SALT = "_salt"
 
 
+MAX_HOT_KEYS = 100_000
+
+
 def salted_join(big: DataFrame, small: DataFrame, key: str, *, count_col: str,
                 order_col: str, hot_rows: int = 1_000_000, rows_per_salt: int | None = None,
-                max_salts: int = 4096, max_hot_keys: int = 100_000, how: str = "inner") -> DataFrame:
-    """Join ``big`` to ``small`` on ``key``; ``order_col`` (a unique big-side id) picks salts."""
-    per_salt = rows_per_salt or hot_rows
-    n_salts = F.least(F.lit(max_salts), F.ceil(F.col(count_col) / F.lit(per_salt))).cast("int")
-    hot = small.filter(F.col(count_col) >= hot_rows).select(key, n_salts.alias("_n_salts"))
-    n_hot = hot.count()
-    if n_hot == 0 or n_hot > max_hot_keys:
+                how: str = "inner", counts: DataFrame | None = None) -> DataFrame:
+    """Join ``big`` to ``small`` on ``key``; ``order_col`` (a unique big-side id) picks salts.
+
+    ``counts``: a table of ``key`` and ``count_col``, where ``small`` is more work to evaluate.
+    """
+    counts = small if counts is None else counts
+    total = counts.agg(F.sum(count_col).alias("n")).first()["n"] or 0
+    hot_rows = max(hot_rows, -(-total // MAX_HOT_KEYS))
+    n_salts = F.ceil(F.col(count_col) / F.lit(rows_per_salt or hot_rows)).cast("int")
+    hot = counts.filter(F.col(count_col) >= hot_rows).select(key, n_salts.alias("_n_salts"))
+    if hot.isEmpty():
         return big.join(small.drop(count_col), key, how)
 
     tagged = big.join(F.broadcast(hot), key, "left")

@@ -1,7 +1,7 @@
 """Spark rule engine vs a brute-force Python ``re`` evaluation on the driver's documents.
 
 The documents are prose in four languages with accents, odd whitespace and junk:
-exactly where Java regex and DuckDB's RE2 disagree, so this query has no SQL twin.
+exactly where DuckDB's RE2 knows too little, so this query has no SQL twin.
 Here every document's full text goes through the reference semantics written out
 plainly with Python's ``re`` (one field at a time, first trigger wins, generic bank
 for fields still null) and must match the Spark output field for field.
@@ -12,13 +12,61 @@ import re
 import pytest
 
 from docsift import catalog
-from docsift.operators.rules import generic as G
-from docsift.operators.rules import oab as O
-from docsift.operators.rules import sistema as S
 from docsift.sources import tables as T
 
 from conftest import SF_MID
 
+# The expected patterns, written out here so that a wrong one in the product shows.
+
+
+class G:
+    CPF_DIGITS = r"\b(\d{11})\b"
+    CPF_FORMATTED = r"\b(\d{3}\.\d{3}\.\d{3}-\d{2})\b"
+    CPF_MASK = r"XXX.XXX.XXX-X"
+    DATE_LONG = r"\b(\d{2}/\d{2}/\d{4})\b"
+    DATE_SHORT = r"\b(\d{2}/\d{2}/\d{2})\b"
+    PHONE_AREA = r"\(\d{2}\)\s*\d{4,5}-\d{4}"
+    PHONE_DIGITS = r"\b\d{10,11}\b"
+    PHONE_SPACED = r"\b\d{2}\s+\d{4,5}-\d{4}\b"
+    PHONE_WORD = r"TELEFONE"
+
+
+class O:
+    ADDRESS = r"ENDERE[CÇ]O\s+Profissional\s*\n([A-ZÀ-Ú0-9][^\n]+)\n([A-ZÀ-Ú][^\n]+)\n(\d+)"
+    CATEGORY = r"\b(ADVOGADO|ADVOGADA|SUPLEMENTAR|ESTAGIARIO|ESTAGIARIA)\b"
+    COUNCIL_CODE = r"CONSELHO SECCIONAL[\s\-]+([A-Z]{2})\b"
+    NAME = r"\b([A-ZÀ-Ú]+(?:[\s'][A-ZÀ-Ú]+)*)\b"
+    REGISTRATION = r"\b(\d{6})\b"
+    SECTION_WORD = r"Seccional"
+    STATE_CODE = r"\b(AC|AL|AP|AM|BA|CE|DF|ES|GO|MA|MT|MS|MG|PA|PB|PR|PE|PI|RJ|RN|RS|RO|RR|SC|SP|SE|TO)\b"
+    STATUS = r"SITUA[CÇ](?:A[OÃ]|Ã[OÃ])\s+([A-ZÀ-Ú]+)"
+    SUBSECTION_DASH = r"CONSELHO\s+SECCIONAL\s*[-–]\s*([A-ZÀ-Ú\s]+?)(?=\n)"
+    SUBSECTION_PLAIN = r"CONSELHO\s+SECCIONAL\s+([A-ZÀ-Ú\s]+?)(?=\n)"
+
+
+class S:
+    CITY = r"Cidade:\s+([A-Za-zÀ-úç\s]+?)\s+U\.F"
+    COUNT_LABELLED = r"Qtd\.?\s*Parcelas?\s+(\d+)"
+    COUNT_NEAR = r"(?:parcelas?|parcel\w*)[:\s]+(\d+)"
+    INSTALMENT_VALUE = r"VIr\.?\s*Parc\.\s+(\d+(?:\.\d+)?,\d+)"
+    OPERATION_LABELLED = r"Tipo\s+Operação:\s+([A-Za-zÀ-úç]+)"
+    OPERATION_WORD = r"\b(Renegociação|Renegociacao|Empréstimo|Emprestimo|Refinanciamento|Consignação|Consignacao)\b"
+    PRODUCT_EXCLUDED = ('CONSIGNADO', 'VENCIDAS', 'SISTEMA', 'CLIENTE', 'BUSCAR', 'TODOS')
+    PRODUCT_LABELLED = r"Produto\s+([A-Z]+(?:\s+[A-Z]+)*?)(?:\s+[A-Z][a-z]|\s*$|\s+\d)"
+    PRODUCT_MIN_LEN = 4
+    SEARCH_BY = r"Pesquisar por:.*?Buscar\s+(CLIENTE|parente|prestador|outro)"
+    SEARCH_KIND = r"Tipo:.*?Buscar\s+\w+\s+(CPF|CNPJ|Nome|email)"
+    SELECTION_LABELLED = r"Seleção de parcelas:\s+([A-Za-zÀ-úç]+)"
+    SELECTION_NEAR = r"parcelas[:\s]+.*?(Vencidas|pago|pendente)"
+    SYSTEM_KIND_LABELLED = r"Tipo\s+Sistema:\s+([A-Za-zÀ-úç]+)"
+    SYSTEM_KIND_NEAR = r"Sistema[:\s]+.*?(Consignado|Consignacao|Crédito|Credito|Débito|Debito)"
+    SYSTEM_PLAIN = r"Sistema\s+([A-Z]+)"
+    SYSTEM_WITH_VALUE = r"Sistema\s+([A-Z]+)\s+VIr\.\s*Parc\."
+    TOTAL_GENERAL = r"Total\s+Geral\s+(\d+(?:\.\d+)?,\d+)"
+    TOTAL_LABELLED = r"Total:\s+(\d+(?:\.\d+)?,\d+)"
+    UPPER_RUN = r"\b([A-Z]{2,}(?:\s+[A-Z]{2,})*)\b"
+
+
 I, IS = re.IGNORECASE, re.IGNORECASE | re.DOTALL
 
 

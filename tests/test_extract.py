@@ -220,14 +220,52 @@ def test_batched_python_fallback(spark):
     assert all(res[j]["metadata"]["llm_used"] for j in res)
 
 
-def test_deep_runs_repaired_after_the_java_pass(spark):
-    """extract() runs Java regex only, flags rows too deep for it, then redoes just those."""
+def test_long_upper_case_runs(spark):
+    """Thousands of capital words in a row: the match is that of Python's ``re``, and nothing overflows."""
     import re
 
     from docsift.operators.rules import oab
 
-    deep_text = "Nome: " + "JOAO SILVA " * 5000 + "fim\\n123456"
-    rows = [(1, 1, OAB, REQ_FOUND, deep_text), (2, 2, OAB, REQ_FOUND, CARD)]
+    text = "Nome: " + "JOAO SILVA " * 5000 + "fim\n123456"
+    rows = [(1, 1, OAB, REQ_FOUND, text), (2, 2, OAB, REQ_FOUND, CARD)]
     res = by_job(extract(jobs_df(spark, rows)))
-    assert values(res[1])["nome"] == re.search(oab.NAME, deep_text).group(1).strip()
-    assert values(res[2]) == {"nome": "JOANA D'ARC", "inscricao": "123456"}
+    assert values(res[1])["nome"] == re.search(oab.NAME, text).group(1).strip()
+
+
+def test_fully_cached_run_runs_no_rule(spark):
+    rows = [(1, 1, OAB, REQ_FOUND, CARD), (2, 2, OAB, REQ_FULL, CARD + "x")]
+    first = extract(jobs_df(spark, rows))
+    second = extract(jobs_df(spark, rows), cache=first.new_cache)
+    assert spark.read.parquet(f"{first.scratch.path}/ruled").count() == 2
+    assert spark.read.parquet(f"{second.scratch.path}/ruled").count() == 0
+    assert all(r["metadata"]["cache_hit"] for r in second.results.collect())
+
+
+def test_cleanup_deletes_the_intermediate_tables(spark):
+    import os
+
+    run = extract(jobs_df(spark, [(1, 1, OAB, REQ_FOUND, CARD)]))
+    path = run.scratch.path.removeprefix("file:")
+    assert os.path.isdir(path)
+    run.cleanup()
+    assert not os.path.exists(path)
+
+
+def test_text_is_not_shuffled_by_key(spark):
+    """The first writer is found on fixed-width columns."""
+    from docsift.operators.extract import scan
+
+    keyed = scan(jobs_df(spark, [(1, 1, OAB, REQ_FOUND, CARD)]))
+    assert "text" not in keyed.columns
+
+
+@pytest.mark.parametrize("text, ok", [
+    ('{"a": "x"}', True), (' {"a": 1, "b": null} ', True), ("{}", True), ("{'a': 'x'}", False), ('{"a": "x"} more', False),
+    ('{"a": "x"} {"a": "y"}', False), ('[{"a": "x"}]', False), ('{"a": "x"', False), ("", False), ("null", False),
+    ('{"a": "x"}] x', False), (None, False)])
+def test_strict_json(spark, text, ok):
+    from docsift.sources.files import parse_request
+
+    fields, error = parse_request(F.col("t"))
+    row = spark.createDataFrame([(text,)], "t string").select(fields.alias("f"), error.alias("e")).first()
+    assert (row["f"] is not None) == ok and (row["e"] is None) == ok
