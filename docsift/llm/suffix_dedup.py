@@ -13,8 +13,9 @@ is the longest stretch of neighbouring windows with one anchor, a string of
    windows. The answer is one bit per window: does a smaller doc_id hold it?
 
 The strings are short, so the rounds are few and bounded whatever the length of the
-documents, and a part holds a bounded share of the text. A run that stands alone
-under its anchor equals no other window and skips the rounds.
+documents, and a part holds a bounded share of the text. Two runs with an equal
+window agree for ``FLANK`` bytes on one side of the anchor at least; a run that
+agrees with no other of its anchor on either side skips the rounds.
 
 Defined cases: null or empty text has 0 bytes (SHA-256 of nothing); texts shorter
 than ``WIDTH`` stay whole; null doc_id comes after all others; rows that share a
@@ -29,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 
 from docsift.llm import bwt
@@ -37,11 +39,12 @@ from docsift.llm import hashing as H
 from docsift.llm.substring_dedup import _block_batch, covered
 
 WIDTH = 50
-GRAM = 24
+GRAM = 20
 PART_BYTES = 4 << 20
 AT_ONCE = 20_000                              # runs ordered together
 _SPAN = WIDTH - GRAM + 1                      # grams in a window, and windows in a run at most
 _LONGEST = WIDTH + _SPAN - 1
+FLANK = (WIDTH - GRAM) // 2
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
@@ -54,8 +57,12 @@ def _least(values: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(values[:len(values) - (n - width)], values[n - width:]) if n > width else values
 
 
+_NO_RUNS = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
+
+
 class Runs:
-    """The runs of a chunk's texts, in order: document, start byte in the chunk, windows, anchor hash."""
+    """The runs of a chunk's texts, in order: document, start byte in the chunk, windows, anchor's place in the
+    run, anchor hash."""
 
     def __init__(self, texts: list[bytes]):
         self.data, self.ends = H.joined(texts)
@@ -66,15 +73,14 @@ class Runs:
             found.append(self._slice(self.data[base:base + size], self.ends[at:at + len(part)] - base, base, at))
             base += size
             at += len(part)
-        self.doc, self.start, self.windows, self.key = (
-            np.concatenate(f) if found else np.zeros(0, np.int64) for f in zip(*found)) if found else (
-            np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
+        self.doc, self.start, self.windows, self.offset, self.key = (
+            (np.concatenate(f) for f in zip(*found)) if found else _NO_RUNS)
         self.per_doc = np.bincount(self.doc, minlength=len(texts))
 
     @staticmethod
     def _slice(data: np.ndarray, ends: np.ndarray, base: int, first_doc: int):
         if len(data) < WIDTH:
-            return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
+            return _NO_RUNS
         h = H.windows(data.astype(np.uint64) + np.uint64(1), GRAM, base=H.BYTE_BASE)
         packed = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
         anchor = (_least(packed, _SPAN) & np.uint64(0xFFFFFFFF)).astype(np.int64)     # the leftmost of equal ones
@@ -85,7 +91,7 @@ class Runs:
         new[1:] = anchor[1:] != anchor[:-1]
         first = np.flatnonzero(new)
         return (doc[places[first]] + first_doc, places[first] + base, np.diff(first, append=len(places)),
-                h[anchor[first]])
+                anchor[first] - places[first], h[anchor[first]])
 
     def strings(self, pick: np.ndarray) -> np.ndarray:
         """Length and bytes (zeros after the end) of the picked runs, a row each."""
@@ -146,39 +152,55 @@ def shared_anchors(packed: np.ndarray) -> np.ndarray:
 
 
 def _entries(runs: Runs, near: np.ndarray, ids: np.ndarray):
-    """The chunk's distinct remaining runs in anchor order: strings, anchors, smallest ids; each run's number."""
+    """The chunk's distinct remaining runs in anchor order: strings, anchors and their places, smallest ids; which
+    runs remain, and the number of each."""
     pick = np.flatnonzero(near)
     strings, key = runs.strings(pick), runs.key[pick]
     index, number = _distinct(strings, key)
     least = np.full(len(index), X.LAST)
     np.minimum.at(least, number, ids[runs.doc[pick]])
-    return strings[index], key[index], least, pick, number
+    return strings[index], key[index], runs.offset[pick][index], least, pick, number
 
 
-def _block(strings: np.ndarray, keys: np.ndarray, least: np.ndarray) -> bytes:
-    """Count, lengths, anchors, doc_ids low and high, then all bytes."""
+def _block(strings: np.ndarray, keys: np.ndarray, offsets: np.ndarray, least: np.ndarray) -> bytes:
+    """Count, lengths, anchors' places, anchors, doc_ids low and high, then all bytes; compressed."""
     lengths = strings[:, 0]
     body = strings[:, 1:][np.arange(_LONGEST) < lengths[:, None]]
-    return b"".join([np.uint32(len(strings)).tobytes(), lengths.tobytes(), keys.astype(np.uint32).tobytes(),
-                     (least & 0xFFFFFFFF).astype(np.uint32).tobytes(), (least >> 32).astype(np.uint32).tobytes(),
-                     body.tobytes()])
+    return zstandard.compress(b"".join([
+        np.uint32(len(strings)).tobytes(), lengths.tobytes(), offsets.astype(np.uint8).tobytes(),
+        keys.astype(np.uint32).tobytes(), (least & 0xFFFFFFFF).astype(np.uint32).tobytes(),
+        (least >> 32).astype(np.uint32).tobytes(), body.tobytes()]), 1)
 
 
 def _unblock(block: bytes):
+    block = zstandard.decompress(block)
     n = int(np.frombuffer(block, "<u4", 1)[0])
-    lengths = np.frombuffer(block, np.uint8, n, 4)
-    key, low, high = (np.frombuffer(block, np.uint8, 4 * n, 4 + n + 4 * n * i).view("<u4") for i in range(3))
+    lengths, offsets = (np.frombuffer(block, np.uint8, n, 4 + n * i) for i in range(2))
+    key, low, high = (np.frombuffer(block, np.uint8, 4 * n, 4 + 2 * n + 4 * n * i).view("<u4") for i in range(3))
     strings = np.zeros((n, 1 + _LONGEST), np.uint8)
     strings[:, 0] = lengths
-    strings[:, 1:][np.arange(_LONGEST) < lengths[:, None]] = np.frombuffer(block, np.uint8, offset=4 + 13 * n)
-    return strings, key, low.astype(np.int64) | (high.astype(np.int64) << 32)
+    strings[:, 1:][np.arange(_LONGEST) < lengths[:, None]] = np.frombuffer(block, np.uint8, offset=4 + 14 * n)
+    return strings, key, offsets, low.astype(np.int64) | (high.astype(np.int64) << 32)
+
+
+def _agreeing(strings: np.ndarray, key: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """Runs that agree with another run of their anchor in the ``FLANK`` bytes before it or after it."""
+    out = np.zeros(len(strings), bool)
+    offset, length = offset.astype(np.int64), strings[:, 0].astype(np.int64)
+    for start, real in ((offset - FLANK, offset >= FLANK), (offset + GRAM, offset + GRAM + FLANK <= length)):
+        rows = np.flatnonzero(real)
+        h = key[rows].astype(np.uint64) * _COLUMN[-1]
+        for i in range(FLANK):
+            h += (strings[rows, 1 + start[rows] + i].astype(np.uint64) + np.uint64(1)) * _COLUMN[i]
+        _, number, count = np.unique(H.mixed(h), return_inverse=True, return_counts=True)
+        out[rows] |= count[number] > 1
+    return out
 
 
-def _window_minima(strings: np.ndarray, key: np.ndarray, least: np.ndarray) -> np.ndarray:
+def _window_minima(strings: np.ndarray, key: np.ndarray, offset: np.ndarray, least: np.ndarray) -> np.ndarray:
     """For distinct ``strings``: the smallest id that holds each of their windows (row: string, column: start)."""
     out = np.repeat(least[:, None], _SPAN, axis=1)
-    _, number, count = np.unique(key, return_inverse=True, return_counts=True)
-    several = np.flatnonzero(count[number] > 1)
+    several = np.flatnonzero(_agreeing(strings, key, offset))
     if len(several):
         string, start, equal = bwt.equal_substrings(strings[several, 1:], strings[several, 0], WIDTH)
         string = several[string]
@@ -188,7 +210,7 @@ def _window_minima(strings: np.ndarray, key: np.ndarray, least: np.ndarray) -> n
     return out
 
 
-def _held_before(strings: np.ndarray, key: np.ndarray, ids: np.ndarray) -> np.ndarray:
+def _held_before(strings: np.ndarray, key: np.ndarray, offset: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """For each run sent: does a smaller id hold the window that starts there? (row: run, column: start)
 
     Anchors are independent of each other, so they are worked off in groups of about ``AT_ONCE`` runs.
@@ -204,7 +226,8 @@ def _held_before(strings: np.ndarray, key: np.ndarray, ids: np.ndarray) -> np.nd
         index, number = _distinct(strings[rows], key[rows])
         least = np.full(len(index), X.LAST)
         np.minimum.at(least, number, ids[rows])
-        minima = _window_minima(strings[rows[index]], key[rows[index]], least)
+        picked = rows[index]
+        minima = _window_minima(strings[picked], key[picked], offset[picked], least)
         out[rows] = minima[number] < ids[rows][:, None]
         start = end
     return out
@@ -212,10 +235,10 @@ def _held_before(strings: np.ndarray, key: np.ndarray, ids: np.ndarray) -> np.nd
 
 def _answer(table: pa.Table) -> pa.Table:
     held = [_unblock(b) for b in table["block"].to_pylist()]
-    counts = [len(s) for s, _, _ in held]
-    strings, key, ids = (np.concatenate(x) for x in zip(*held))
+    counts = [len(s) for s, *_ in held]
+    strings, key, offset, ids = (np.concatenate(x) for x in zip(*held))
     del held
-    before = _held_before(strings, key, ids)
+    before = _held_before(strings, key, offset, ids)
     real = np.arange(_SPAN) < (strings[:, 0].astype(np.int64) - WIDTH + 1)[:, None]
     bits, at = [], 0
     for n in counts:
@@ -253,9 +276,9 @@ def _send_runs(parts: int):
         rows = []
         if docs.num_rows:
             runs = Runs(docs["text"].to_pylist())
-            strings, keys, least, *_ = _entries(runs, _near(runs, replies, parts), X.order_ids(docs["doc_id"]))
+            strings, keys, offsets, least, *_ = _entries(runs, _near(runs, replies, parts), X.order_ids(docs["doc_id"]))
             bounds = X.part_bounds(keys, parts)
-            rows = [(docs["chunk"][0].as_py(), part, _block(strings[a:b], keys[a:b], least[a:b]))
+            rows = [(docs["chunk"][0].as_py(), part, _block(strings[a:b], keys[a:b], offsets[a:b], least[a:b]))
                     for part, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
         return pa.Table.from_batches([_block_batch(rows)])
 
@@ -268,7 +291,7 @@ def _remove(parts: int):
         if texts:
             runs, ids = Runs(texts), X.order_ids(docs["doc_id"])
             near = _near(runs, X.of_round(replies, 0), parts)
-            strings, keys, least, pick, number = _entries(runs, near, ids)
+            strings, keys, _, least, pick, number = _entries(runs, near, ids)
             hit = _answered(strings, keys, X.of_round(replies, 1), parts)[number]
             hit |= (least[number] < ids[runs.doc[pick]])[:, None]
             hit &= np.arange(_SPAN) < runs.windows[pick][:, None]
