@@ -89,6 +89,14 @@ def blocks(chunk: int, keys: np.ndarray, planes: list[np.ndarray], parts: int) -
             yield chunk, part, b"".join(p[a:b].tobytes() for p in planes)
 
 
+def block_batch(rows) -> pa.RecordBatch:
+    """Blocks as a batch of ``BLOCK`` rows."""
+    chunk, part, block = zip(*rows) if (rows := list(rows)) else ((), (), ())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(chunk, pa.int64()), pa.array(part, pa.int32()), pa.array(block, pa.binary())],
+        ["chunk", "part", "block"])
+
+
 def unpacked(raw: list[bytes], kinds: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
     """The planes of all blocks, joined, and how many keys each block has."""
     kinds = [np.dtype(k) for k in kinds]
@@ -147,3 +155,11 @@ def rounds(*replies: DataFrame) -> DataFrame:
 
 def of_round(replies: pa.Table, i: int) -> pa.Table:
     return replies.filter(pc.equal(replies["round"], i))
+
+
+def covered(n: int, starts: np.ndarray, width: int) -> np.ndarray:
+    """Which of ``n`` places lie in a window of ``width`` from one of ``starts``."""
+    steps = np.zeros(n + width + 1, np.int32)
+    steps[starts] += 1
+    np.subtract.at(steps, starts + width, 1)
+    return np.cumsum(steps)[:n] > 0

@@ -43,7 +43,6 @@ from docsift.llm import exchange as X
 from docsift.llm import hashing as H
 from docsift.llm.components import components
 from docsift.llm.rows import without_rows
-from docsift.llm.substring_dedup import _block_batch
 from docsift.llm.words import LOWER
 from docsift.session import materialize
 
@@ -127,7 +126,7 @@ def _send(parts: int, tokens_of):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in X.tables(batches):
             keys, count, _ = _counted(tokens_of(table))
-            yield _block_batch(X.blocks(table["chunk"][0].as_py(), keys, [keys.astype(np.uint32), count], parts))
+            yield X.block_batch(X.blocks(table["chunk"][0].as_py(), keys, [keys.astype(np.uint32), count], parts))
 
     return send
 

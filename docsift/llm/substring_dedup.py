@@ -80,18 +80,11 @@ def _send_anchors(parts: int):
         for table in X.tables(batches):
             keys, flags, _, _ = _anchors(Words(table["text"].to_pylist()))
             packed = (keys << np.uint64(2)).astype(np.uint32) | flags
-            yield _block_batch(X.blocks(table["chunk"][0].as_py(), keys, [packed], parts))
+            yield X.block_batch(X.blocks(table["chunk"][0].as_py(), keys, [packed], parts))
 
     return send
 
 
-def _block_batch(rows) -> pa.RecordBatch:
-    chunk, part, block = zip(*rows) if (rows := list(rows)) else ((), (), ())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(chunk, pa.int64()), pa.array(part, pa.int32()), pa.array(block, pa.binary())],
-        ["chunk", "part", "block"])
-
-
 def shared_anchors(packed: np.ndarray) -> np.ndarray:
     """Whether two documents hold the key, one of them at an indexed place."""
     order, first, group = X.groups(packed >> np.uint32(2))
@@ -156,19 +149,11 @@ def _send_windows(parts: int):
             words = Words(docs["text"].to_pylist())
             keys, planes, *_ = _full(words, _near(words, replies, parts), X.order_ids(docs["doc_id"]))
             rows = X.blocks(docs["chunk"][0].as_py(), keys, planes, parts)
-        return pa.Table.from_batches([_block_batch(rows)])
+        return pa.Table.from_batches([X.block_batch(rows)])
 
     return send
 
 
-def covered(n: int, starts: np.ndarray, width: int) -> np.ndarray:
-    """Which of ``n`` places lie in a window of ``width`` from one of ``starts``."""
-    steps = np.zeros(n + width + 1, np.int32)
-    steps[starts] += 1
-    np.subtract.at(steps, starts + width, 1)
-    return np.cumsum(steps)[:n] > 0
-
-
 def _remove(parts: int):
     def remove(docs: pa.Table, replies: pa.Table) -> pa.Table:
         out = []
@@ -179,7 +164,7 @@ def _remove(parts: int):
             keys, _, places, which, least = _full(words, near, ids)
             before = X.answered(keys, X.of_round(replies, 1), parts)
             hit = before[which] | (least[which] < ids[words.doc[places]])
-            gone = covered(len(words.doc), places[hit], WINDOW)
+            gone = X.covered(len(words.doc), places[hit], WINDOW)
             for i, text in enumerate(texts):
                 g = gone[words.starts[i]:words.ends[i]]
                 n, kept = int(g.sum()), text.split()

@@ -36,7 +36,6 @@ from pyspark.sql import DataFrame
 from docsift.llm import bwt
 from docsift.llm import exchange as X
 from docsift.llm import hashing as H
-from docsift.llm.substring_dedup import _block_batch, covered
 
 WIDTH = 50
 GRAM = 20
@@ -137,7 +136,7 @@ def _send_anchors(parts: int):
         for table in X.tables(batches):
             keys, several, _ = _anchors(Runs(table["text"].to_pylist()))
             packed = (keys << np.uint64(1)).astype(np.uint32) | several
-            yield _block_batch(X.blocks(table["chunk"][0].as_py(), keys, [packed.astype(np.uint32)], parts))
+            yield X.block_batch(X.blocks(table["chunk"][0].as_py(), keys, [packed.astype(np.uint32)], parts))
 
     return send
 
@@ -280,7 +279,7 @@ def _send_runs(parts: int):
             bounds = X.part_bounds(keys, parts)
             rows = [(docs["chunk"][0].as_py(), part, _block(strings[a:b], keys[a:b], offsets[a:b], least[a:b]))
                     for part, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
-        return pa.Table.from_batches([_block_batch(rows)])
+        return pa.Table.from_batches([X.block_batch(rows)])
 
     return send
 
@@ -296,7 +295,7 @@ def _remove(parts: int):
             hit |= (least[number] < ids[runs.doc[pick]])[:, None]
             hit &= np.arange(_SPAN) < runs.windows[pick][:, None]
             run, offset = np.nonzero(hit)
-            gone = covered(len(runs.data), runs.start[pick][run] + offset, WIDTH)
+            gone = X.covered(len(runs.data), runs.start[pick][run] + offset, WIDTH)
             for i, doc_id in enumerate(docs["doc_id"].to_pylist()):
                 rows = slice(runs.starts[i], runs.ends[i])
                 g = gone[rows]
