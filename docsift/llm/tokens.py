@@ -6,8 +6,8 @@ table that lives as long as the Python worker and is bounded (``MAX_UNITS``;
 when full it is emptied, which changes no result).
 
 Byte-level BPE: a text is cut before each space and around each newline, which is
-safe where white space is single spaces and newlines between other characters;
-any other text goes to the library whole. Word BPE: white space only separates,
+safe where all white space (to Python or the library) is single spaces and newlines
+between other characters; any other text goes to the library whole. Word BPE: white space only separates,
 so the words are the units. Where all commas and stops follow a letter or digit
 and stand beside no other punctuation, texts are cut before them as well.
 """
@@ -27,6 +27,7 @@ MAX_WORDS = 500_000                                        # the same for the wo
 JOINED = 4000                                              # units in one call's strings
 _BESIDE = re.compile(r"[.,](?:(?<=[\W_].)|(?=[^\w\s]|_))")   # a comma or stop that is part of something longer
 _NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")              # white space to Python, text to the library
+_OTHER_SPACE = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 _LETTERS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")         # one pre-token whatever stands beside it
 
 
@@ -67,7 +68,10 @@ class _Encoder:
         encoded = self.tokenizer.encode_batch_fast([joint.join(b) + joint for b in blocks], add_special_tokens=False)
         for block, e in zip(blocks, encoded):
             ids = np.asarray(e.ids, dtype="<u4")
-            yield block, ids, np.flatnonzero(is_end(ids))
+            ends = np.flatnonzero(is_end(ids))
+            if len(ends) != len(block):
+                raise RuntimeError(f"{len(block)} units were encoded as {len(ends)}")
+            yield block, ids, ends
 
     def split(self, text: str):
         raise NotImplementedError
@@ -88,7 +92,9 @@ class ByteLevel(_Encoder):
         self.units = dict(self.known)
 
     def split(self, text: str):
-        if len(text.split()) != text.count(" ") + text.count("\n") + 1 or "\x00" in text:
+        if "\x00" in text or any(c in text for c in _OTHER_SPACE):
+            return None
+        if len(text.split()) != text.count(" ") + text.count("\n") + 1:     # some stand together or at an end
             return None
         if not _BESIDE.search(text):
             text = text.replace(",", "\x00,").replace(".", "\x00.")

@@ -221,6 +221,33 @@ def test_ids_are_the_librarys():
                 assert b"".join(values) == tokens.packed(encoder.tokenizer.encode(text, add_special_tokens=False).ids), text
 
 
+def test_white_space_beside_newlines():
+    """Texts whose words are one more than their spaces and newlines, though other white space stands in them."""
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    beside = ["a\n\u00a0\u00a0b", "x\n\u00a0\u00a0b y", "x\u00a0\u00a0\nb y z"]
+    beside += [t for c in spaces for t in (f"a\n{c}b", f"a\n{c}{c}b, c d", f"a{c}\nb", f"a {c}b", f"a{c}{c} b", f"a\nb{c}", f"{c}a b")]
+    library = tokens.load(BYTE)
+    ids = [library.encode(t, add_special_tokens=False).ids for t in beside]
+    for texts, expected in ([beside, ids], [beside[:1], ids[:1]], [beside[1:2], ids[1:2]], [beside[2:3], ids[2:3]]):
+        got = tokens.ByteLevel(BYTE).values(texts)
+        assert [b"".join(v) for v in got] == [tokens.packed(i) for i in expected]
+        counts = tokens.ByteLevel(BYTE, len).values(texts)
+        assert [sum(v) for v in counts] == [len(i) for i in expected]
+
+
+def test_library_knows_no_other_white_space():
+    splits = tokens.load(BYTE).pre_tokenizer.pre_tokenize_str
+    for c in map(chr, [*range(1, 0xd800), *range(0xe000, 0x11000)]):
+        if not c.isspace():
+            assert any(len(splits(f"{x}{c}{x}")) == 1 for x in "a1!"), hex(ord(c))
+
+
+def test_units_and_ends_must_agree():
+    encoder = tokens.ByteLevel(BYTE)
+    with pytest.raises(RuntimeError):
+        list(encoder.merged(["x", "\u00a0\u00a0b", " y"]))
+
+
 def test_unit_table_may_overflow(monkeypatch):
     monkeypatch.setattr(tokens, "MAX_UNITS", 20)
     encoder = tokens.ByteLevel(BYTE)
