@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.rows import without_rows
+from docsift.llm.rows import ROW, numbered, row_of, without_rows
 from docsift.llm.words import alnum_words, small, utf8
 from docsift.session import materialize
 
@@ -168,8 +168,11 @@ def _merge(table: pa.Table) -> pa.Table:
 def hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """row, doc_id, n_words, spans, items for every row of ``docs(doc_id, text)``."""
     sc = docs.sparkSession.sparkContext
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint"), "text")
-    passes = [rows.mapInArrow(_scanner(sc.broadcast(TestSet(b, n))), _HITS) for b in _blocks(benchmark, block_bytes)]
+    tests = [sc.broadcast(TestSet(b, n)) for b in _blocks(benchmark, block_bytes)]
+    if len(tests) > 1 and ROW not in docs.columns:
+        docs = numbered(docs)                    # one reading for each block
+    rows = docs.select(row_of(docs).alias("row"), F.col("doc_id").cast("bigint"), "text")
+    passes = [rows.mapInArrow(_scanner(t), _HITS) for t in tests]
     if len(passes) == 1:
         return passes[0]
     found = materialize(passes[0], "block0")     # every row; of the others only rows with hits
@@ -217,4 +220,5 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield batch.filter(pa.array(stays, pa.bool_()))
 
         return docs.mapInArrow(keep, docs.schema)
+    docs = numbered(docs)
     return without_rows(docs, hits(docs, benchmark).mapInArrow(_digest, _DIGEST).filter("contaminated"))

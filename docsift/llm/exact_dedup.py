@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.rows import without_rows
+from docsift.llm.rows import numbered, row_of, without_rows
 from docsift.session import materialize
 
 HASHES = 2
@@ -78,7 +78,7 @@ def _decided(docs: DataFrame) -> DataFrame:
     """row, doc_id, keep_id, keep_row, group_size, sha."""
     text = F.col("text")
     narrow = materialize(docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
+        row_of(docs).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.length(text), F.lit(0)).alias("n"),
         F.unhex(F.sha2(normalised(text), 256)).alias("sha")), "hashes")
     n_rows = narrow.count()
@@ -111,4 +111,5 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of the table ``docs`` that stay, with all their columns."""
+    docs = numbered(docs)
     return without_rows(docs, _decided(docs).filter("row <> keep_row"))

@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsift.llm.rows import row_of
 from docsift.session import materialize
 
 CHUNK_ROWS = 1024
@@ -30,9 +31,9 @@ LAST = np.iinfo(np.int64).max       # the place of a null doc_id in the order
 
 def chunked(docs: DataFrame) -> DataFrame:
     """chunk, row, doc_id, text (as UTF-8, null as empty)."""
-    row = F.monotonically_increasing_id()
-    return docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).cast("binary").alias("text"),
-                       row.alias("row")).withColumn("chunk", F.floor(F.col("row") / CHUNK_ROWS))
+    place = F.monotonically_increasing_id()
+    return docs.select(F.floor(place / CHUNK_ROWS).alias("chunk"), row_of(docs).alias("row"),
+                       F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
 
 
 def n_parts(docs: DataFrame, part_bytes: int | None = None) -> int:

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from docsift.llm import exchange as X
 from docsift.llm import hashing as H
 from docsift.llm.components import components
-from docsift.llm.rows import without_rows
+from docsift.llm.rows import numbered, without_rows
 from docsift.llm.words import LOWER
 from docsift.session import materialize
 
@@ -303,8 +303,8 @@ def _hot_join(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, n_
 def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """row, doc_id, n_shingles, class_id, component, component_id for every row of ``docs(doc_id, text)``.
 
-    ``class_id`` is the smallest doc_id with the same set; ``row`` numbers the rows as they were read, and
-    ``component`` is a row that stands for the component.
+    ``class_id`` is the smallest doc_id with the same set; ``row`` is the row's number (that of
+    ``numbered`` documents, else as they were read), and ``component`` is a row that stands for the component.
     """
     chunks, parts = X.chunked(docs), X.n_parts(docs)
     sent = chunks.mapInArrow(_send(parts, lambda t: token_sets(t["text"].to_pylist(), rule.n)[0]), X.BLOCK)
@@ -353,6 +353,7 @@ def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
     ``docs`` must be a table: rows are matched by their place in it.
     """
+    docs = numbered(docs)
     result = materialize(jaccard_components(docs, rule), "components")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
     kept = result.groupBy("component").agg(first).select(F.col("first.row").alias("row"))

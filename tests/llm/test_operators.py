@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 from fixtures import (EXTRA, SCHEMA, alnum_words, brute_components, brute_decontamination, brute_substrings, crc, documents,
                       held_out, ordered, sha, space_words, stored, table)
+from pyspark.sql import functions as F
 
 from docsift.llm import (bwt, decontamination, exact_dedup, exchange, jaccard_join, language_id, licenses, packing,
                          substring_dedup, suffix_dedup, token_counts, token_files, tokens)
@@ -105,6 +106,27 @@ def test_exact_dedup(docs, empty):
     assert ordered((r.doc_id, sha(normal(r.text))) for r in left.collect()) == ordered((v, k) for k, v in best.items())
 
 
+def test_rows_keep_their_numbers_when_files_split_otherwise(spark, tmp_path, monkeypatch):
+    """The splits change between the step that decides and the reading that drops, as with a lost executor."""
+    docs = stored(spark, ROWS, tmp_path / "a b%c", 5)
+    rule, items = jaccard_join.Rule(), spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 600)
+    before = docs.select("text").rdd.getNumPartitions()
+    for drop in (exact_dedup.drop_copies, lambda d: jaccard_join.one_of_each(d, rule),
+                 lambda d: decontamination.clean_documents(d, items),
+                 lambda d: exact_dedup.drop_copies(d.withColumn("text", F.upper("text")))):     # not the files as they are
+        expected = ordered(drop(docs).collect())
+        left = drop(docs)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        spark.conf.set("spark.sql.files.minPartitionNum", 1)
+        try:
+            assert docs.select("text").rdd.getNumPartitions() < before
+            assert ordered(left.collect()) == expected
+        finally:
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
 def test_bloom_passes_every_repeat(spark):
     rows = spark.range(3000).selectExpr("unhex(sha2(cast(least(id, 2500) as string), 256)) sha")
     out = exact_dedup.possibly_repeated(rows, "sha", 3000)
