@@ -19,6 +19,7 @@ from docsift.operators.engine import apply_rules, extractor_values
 from docsift.operators.extract import Extraction, extract, prepare_jobs, result_json, result_long
 from docsift.plans.partitioning import spread
 from docsift.plans.rule_plan import field_plan
+from docsift.session import materialize
 from docsift.sources import files
 from docsift.sources import tables as T
 
@@ -359,16 +360,23 @@ def jobs_to_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manifest_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Jobs on the driver documents written as one JSON array and read back: ordinals and requests."""
+    """Jobs on the driver documents written as one JSON array, an entry a line over many files, and read back."""
     from docsift.streaming.incremental import new_store
 
     path = new_store(spark, "manifest")
     entry = F.to_json(F.struct("label", F.col("request").alias("extraction_schema"),
                                F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("pdf_path")))
-    rows = T.documents_jobs(spark, sf_dir).groupBy().agg(
-        F.array_sort(F.collect_list(F.struct("job_id", entry.alias("entry")))).alias("rows"))
-    rows.select(F.concat(F.lit("["), F.array_join(F.transform("rows", lambda r: r["entry"]), ",\n"), F.lit("]"))
-                .alias("value")).coalesce(1).write.text(path)
+    jobs = materialize(T.documents_jobs(spark, sf_dir).select(
+        "job_id", entry.alias("entry"), F.monotonically_increasing_id().alias("at")), "entries")
+    order = [F.col("job_id").asc_nulls_last(), F.col("at")]
+    place = F.struct(F.col("job_id").isNull(), "job_id", "at")
+    ends = jobs.agg(F.min_by("at", place).alias("first"), F.max_by("at", place).alias("last")).first()
+    start = F.when(F.col("at") == ends["first"], F.lit("[")).otherwise(F.lit(""))
+    end = F.when(F.col("at") == ends["last"], F.lit("]")).otherwise(F.lit(","))
+    lines = jobs.orderBy(*order).select(F.concat(start, "entry", end).alias("value"))
+    if ends["first"] is None:
+        lines = spark.range(1).select(F.lit("[]").alias("value"))
+    lines.write.text(path)
     return files.read_manifest(spark, path).select(
         "job_id", "label", F.size("fields").cast("long").alias("n_fields"), F.col("doc_id").alias("pdf_path"))
 

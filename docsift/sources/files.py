@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from fnmatch import fnmatch
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docsift import schema as S
+from docsift.session import materialize
 
 ERR_ZERO_PAGES = "ZERO_PAGES"
 ERR_SCHEMA = "SCHEMA_ERROR"
@@ -107,22 +109,73 @@ def zero_page_errors(docs: DataFrame, pages: DataFrame, *, doc: str = "doc_id")
                     F.concat(F.lit("document has 0 pages: "), F.col(doc).cast("string")).alias("error_message")))
 
 
+def _line_entries(body, options: dict):
+    """The entries on a manifest's line, without the array's brackets; null if they are not whole."""
+    wrapped = F.concat(F.lit('{"v":['), body, F.lit('],"end":1}'))
+    schema = T.StructType([T.StructField("v", S.MANIFEST), T.StructField("end", T.IntegerType())])
+    parsed = F.from_json(wrapped, schema, {"allowSingleQuotes": "false"} | options)
+    return F.when(parsed["end"] == 1, parsed["v"])
+
+
+def _manifest_lines(spark: SparkSession, path: str) -> DataFrame | None:
+    """``job_id, e`` of a manifest with whole entries on each line, read by many tasks; None for another layout.
+
+    The lines are numbered in a table of their own, so all steps see the same numbers. An entry's position is
+    the count of all entries in the file splits before its own, plus its place in the split.
+    """
+    text = F.regexp_replace("value", r"^\s+|\s+$", "")
+    opens, closes = F.col("line").startswith("["), F.col("line").endswith("]")
+    start, end = opens.cast("int"), F.col("line").rlike(r"[\],]$").cast("int")
+    body = F.expr("substring(line, start + 1, length(line) - start - end)")
+    lines = materialize(
+        spark.read.text(path).select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("at"), text.alias("line")).filter("line <> ''")
+        .withColumns({"opens": opens, "closes": closes, "comma": F.col("line").endswith(","), "start": start, "end": end})
+        .select("file", "block", "at", "opens", "closes", "comma", body.alias("body"))
+        .withColumn("n", F.size(_line_entries(F.col("body"), {})).cast("long")), "manifest")
+    place = F.struct("file", "block", "at")
+    seen = lines.agg(
+        F.count_if(F.coalesce(F.col("n"), F.lit(-1)) < 0).alias("other"), F.count_if("opens").alias("opened"),
+        F.count_if("closes").alias("closed"), F.min_by("opens", place).alias("first"),
+        F.max_by("closes", place).alias("last"), F.sum("n").alias("n")).first()
+    if seen["other"] or (seen["opened"], seen["closed"], seen["first"], seen["last"]) != (1, 1, True, True):
+        return None
+    splits = lines.groupBy("file", "block").agg(F.sum("n").alias("of_split"))      # one row per file split
+    until = F.sum("of_split").over(Window.orderBy("file", "block"))
+    before = F.broadcast(splits.select("file", "block", (until - F.col("of_split")).alias("before")))
+    in_split = F.sum("n").over(Window.partitionBy("file", "block").orderBy("at")) - F.col("n")
+    placed = lines.withColumn("place", in_split).join(before, ["file", "block"])
+    after = F.col("before") + F.col("place") + F.col("n")
+    goes_on = (F.col("n") == 0) | (F.col("comma") == (after < F.lit(seen["n"])))
+    entries = F.when(goes_on & ~(F.col("comma") & (F.col("n") == 0)), _line_entries(F.col("body"), {"mode": "FAILFAST"}))
+    checked = F.coalesce(entries, F.raise_error(F.lit("the manifest is not a JSON array")).cast(S.MANIFEST))
+    return placed.select(F.col("before") + F.col("place") + 1, F.posexplode(checked).alias("pos", "e")).toDF(
+        "first", "pos", "e").select((F.col("first") + F.col("pos")).alias("job_id"), "e")
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """A manifest written as one JSON array of ``{label, extraction_schema, pdf_path}``.
 
-    The file is read whole (one task: a manifest in this form is one file) and
-    parsed with an explicit schema - never inferred, since every entry names its
-    own fields. ``job_id`` is the 1-based position in the array. A manifest that
-    is no valid JSON array fails the query.
+    Entries are parsed with an explicit schema - never inferred, since every entry
+    names its own fields. ``job_id`` is the 1-based position in the array. A manifest
+    that is no valid JSON array fails the query.
+
+    Where no entry goes over the end of a line, the lines are read by many tasks, and the
+    files of a folder, in the order of their names, are one array. An array laid out
+    otherwise (indented, say) is read whole by one task per file, so a file of that
+    kind must stay under 2 GB.
     """
-    raw = spark.read.text(path, wholetext=True)
-    parsed = F.from_json("value", S.MANIFEST, {"mode": "FAILFAST", "allowSingleQuotes": "false"})
-    checked = F.when(parsed.isNotNull(), parsed).otherwise(
-        F.raise_error(F.lit("the manifest is not a JSON array")).cast(S.MANIFEST))
-    parsed = raw.select(F.posexplode(checked).alias("pos", "e"))
-    return parsed.select(
-        (F.col("pos") + 1).cast("long").alias("job_id"),
-        F.col("e.label").alias("label"),
+    lines = _manifest_lines(spark, path)
+    if lines is None:
+        raw = spark.read.text(path, wholetext=True)
+        parsed = F.from_json("value", S.MANIFEST, {"mode": "FAILFAST", "allowSingleQuotes": "false"})
+        checked = F.when(parsed.isNotNull(), parsed).otherwise(
+            F.raise_error(F.lit("the manifest is not a JSON array")).cast(S.MANIFEST))
+        lines = raw.select(F.posexplode(checked).alias("pos", "e")).select(
+            (F.col("pos") + 1).cast("long").alias("job_id"), "e")
+    return lines.select(
+        "job_id", F.col("e.label").alias("label"),
         S.dedupe_fields(S.fields_of(F.col("e.extraction_schema"))).alias("fields"),
         F.col("e.pdf_path").alias("doc_id"))
 

@@ -5,6 +5,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from docsift import schema as S
@@ -62,6 +63,54 @@ def test_manifest_explicit_schema_order_and_duplicates(spark):
     assert rows[1]["doc_id"] == "tela_1.pdf"
 
 
+def test_manifest_of_lines_is_read_by_many_tasks(spark):
+    entries = [json.dumps({"label": f"l{i}", "extraction_schema": {"f": "x" * (i % 50), "g": "[,]"}, "pdf_path": f"{i}.pdf"})
+               for i in range(400)]
+    d = tempfile.mkdtemp(prefix="docsift-manifest-")
+    lines = [f"{e}," for e in entries[:-1]] + [entries[-1] + " ]"]
+    lines[0] = "[" + lines[0]
+    lines[7:9] = [lines[7] + " " + lines[8]]                        # two entries on a line, and empty lines
+    lines.insert(20, "")
+    _write(d, "part-0.json", "\n".join(lines[:150]).encode())
+    _write(d, "part-1.json", "\r\n".join(lines[150:]).encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 4000)
+    try:
+        got = files.read_manifest(spark, d).collect()
+        assert sorted((r["job_id"], r["label"], r["doc_id"]) for r in got) == [
+            (i + 1, f"l{i}", f"{i}.pdf") for i in range(400)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_manifest_layouts(spark):
+    e = [{"label": f"l{i}", "extraction_schema": {"f": "d"}, "pdf_path": f"{i}"} for i in range(3)]
+    one = json.dumps(e[0])
+    for name, text, n in (("indented", json.dumps(e, indent=2), 3), ("empty", "[]", 0), ("apart", "[\n]\n", 0),
+                          ("brackets", "[\n" + ",\n".join(map(json.dumps, e)) + "\n]\n", 3)):
+        d = tempfile.mkdtemp(prefix="docsift-manifest-")
+        rows = files.read_manifest(spark, _write(d, f"{name}.json", text.encode())).collect()
+        assert sorted((r["job_id"], r["doc_id"]) for r in rows) == [(i + 1, f"{i}") for i in range(n)], name
+    for bad in (f"[{one}\n{one}]", f"[{one},\n]", f"[{one},\n,\n{one}]", f"[{one},\n{{bad]"):
+        d = tempfile.mkdtemp(prefix="docsift-manifest-")
+        with pytest.raises(Exception):
+            files.read_manifest(spark, _write(d, "bad.json", bad.encode())).collect()
+
+
+def test_manifest_query_gathers_no_rows(spark, monkeypatch):
+    """No step of the query may hold the whole manifest in one row: entries are written by several tasks."""
+    from conftest import SF_SMALL
+
+    from docsift import catalog
+    read, seen = files.read_manifest, []
+    monkeypatch.setattr(files, "read_manifest", lambda s, p: seen.append(s.read.text(p, wholetext=True).count()) or read(s, p))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        n = catalog.manifest_jobs(spark, SF_SMALL).count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert n == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count() and seen[0] > 1
+
+
 def test_jobs_as_json_lines(spark):
     d = tempfile.mkdtemp(prefix="docsift-jobs-")
     lines = [json.dumps({"job_id": i, "label": "x", "extraction_schema": {"f": "d"}, "pdf_path": f"{i}.pdf"})
