@@ -12,6 +12,7 @@ document are merged by row.
 
 Defined cases: null or empty text has no words (n_words 0, clean); null benchmark
 texts and items without words have no windows; repeated item_ids count once;
+windows of items without an id are hits, but no item is counted for them;
 null doc_id and repeated rows are judged row by row; other columns are never
 read; an empty documents table gives no rows, an empty benchmark no hits.
 """
@@ -79,7 +80,7 @@ class Grams:
 class TestSet:
     """The n-grams of a block of benchmark items."""
 
-    def __init__(self, items: list[tuple[str, bytes]], n: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes]], n: int = WINDOW):
         self.items, self.n = items, n
 
     @cached_property
@@ -111,7 +112,7 @@ class TestSet:
                 spans += zip(starts.tolist(), (starts + grams.n).tolist())
                 for w in set(which.tolist()):
                     items |= grams.items[w]
-        return merged(spans), sorted({self.items[i][0] for i in items})
+        return merged(spans), sorted({self.items[i][0] for i in items} - {None})
 
 
 def merged(spans: list[tuple[int, int]]) -> list[int]:
@@ -142,11 +143,11 @@ def _scanner(block):
     return scan
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str | None, bytes]]]:
     """Items in blocks of bounded size; an item longer than that is a block of its own."""
     block, size = [], 0
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter(
-        "item_id IS NOT NULL AND text IS NOT NULL")
+        "text IS NOT NULL")
     for item_id, text in rows.toLocalIterator():
         raw = text.encode()
         if block and size + len(raw) > block_bytes:
@@ -178,7 +179,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, block_bytes: in
     found = materialize(passes[0], "block0")     # every row; of the others only rows with hits
     out = found
     for i, p in enumerate(passes[1:], 1):
-        out = out.unionByName(materialize(p.filter("size(items) > 0"), f"block{i}"))
+        out = out.unionByName(materialize(p.filter("size(spans) > 0"), f"block{i}"))
     return out.groupBy("row").applyInArrow(_merge, _HITS)
 
 

@@ -202,6 +202,21 @@ def test_decontamination(spark, docs, empty, monkeypatch):
     assert decontamination.report(empty, items).count() == 0
 
 
+def test_items_without_an_id_are_hits(spark, docs):
+    columns = ["doc_id", "n_words", "n_hit", "contaminated"]
+    named = spark.createDataFrame([(1, ROWS[3][1]), (2, ROWS[9][1])], "item_id bigint, text string")
+    items = spark.createDataFrame([(1, ROWS[3][1]), (None, ROWS[9][1])], "item_id bigint, text string")
+    expected = collected(decontamination.report(docs, named), *columns)
+    alone = collected(decontamination.report(docs, named.filter("item_id = 1")), *columns)
+    ids = collected(decontamination.report(docs, named.filter("item_id = 1")), "doc_id", "n_items", "items_sha256")
+    assert expected != alone
+    for size in (decontamination.BLOCK_BYTES, 100):
+        hits = decontamination.hits(docs, items, block_bytes=size).mapInArrow(decontamination._digest, decontamination._DIGEST)
+        assert collected(hits, *columns) == expected
+        assert collected(hits, "doc_id", "n_items", "items_sha256") == ids
+    assert decontamination.clean_documents(docs, items).count() == sum(not r[3] for r in expected)
+
+
 LICENSED = [(1, "Under the MIT License, and the mit  license."), (2, "GNU General Publik License v3"),
             (3, "gnu general public license. Apache-License; CC BY 4.0"), (4, "permit licenses"), (5, None), (6, ""),
             (7, "the Apache Licence"), (8, "cc by cc by"), (None, "mit license"), (9, "x " * 3000 + "mit\nlicense")]
