@@ -73,6 +73,22 @@ def test_stages_and_run(spark, folder):
         assert all(crc(ids[r.doc_id][r.start:r.start + r.length]) == r.ids_crc32 for r in got)
 
 
+def test_language_stage_keeps_exactly_the_recognised(spark, folder, monkeypatch):
+    docs = spark.read.parquet(f"{folder[0]}/documents.parquet")
+    labels = language_id.predict(docs, language_id.fit(docs)).collect()
+    scores = sorted(r.score for r in labels if r.lang_pred != "und")
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    for least in (corpus_pipeline.LEAST_SCORE, scores[len(scores) // 2]):       # the second one drops about half
+        monkeypatch.setattr(corpus_pipeline, "LEAST_SCORE", least)
+        known = {(r.doc_id, r.score) for r in labels if r.lang_pred != "und" and r.score >= least}
+        texts = dict(ROWS)
+        unlike = {i for i, _ in ROWS if sum(j == i for j, _ in ROWS) > 1}      # doc_ids of several texts
+        got = [(r.doc_id, r.text) for r in stage(spark, docs, folder[0]).collect()]
+        assert ordered(r for r in got if r[0] not in unlike) == ordered(
+            (i, texts[i]) for i in {i for i, _ in known} - unlike)
+        assert len(got) == sum(r.lang_pred != "und" and r.score >= least for r in labels)
+
+
 def test_pipeline_on_an_empty_table(spark, folder, tmp_path):
     table(spark, []).select(*COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{folder[0]}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
