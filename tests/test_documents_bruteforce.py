@@ -14,7 +14,7 @@ import pytest
 from docsift import catalog
 from docsift.sources import tables as T
 
-from conftest import SF_MID
+from sf_paths import SF_MID
 
 # The expected patterns, written out here so that a wrong one in the product shows.
 

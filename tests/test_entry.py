@@ -9,7 +9,7 @@ import __spark_entry__ as E
 from docsift import catalog, oracle_sql
 from docsift.sources.tables import TABLES
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 NO_SQL_TWIN = {"rules_documents"}   # checked by tests/test_documents_bruteforce.py
 SQL = oracle_sql.oracle_sql()

@@ -98,7 +98,7 @@ def test_manifest_layouts(spark):
 
 def test_manifest_query_gathers_no_rows(spark, monkeypatch):
     """No step of the query may hold the whole manifest in one row: entries are written by several tasks."""
-    from conftest import SF_SMALL
+    from sf_paths import SF_SMALL
 
     from docsift import catalog
     read, seen = files.read_manifest, []
