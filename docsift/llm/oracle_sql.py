@@ -63,6 +63,31 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(words.n, 0) AS n_
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+# Units, hash numbers, cuts; each part is a stretch of the list of units.
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+c AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS a,
+         ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+p AS (
+  SELECT *, array_to_string(u[1:least(a, b)], '') AS prefix, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS middle,
+         array_to_string(u[greatest(a, b) + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2, "op4_substring_dedup": OP4, "op5_decontamination": OP5}
+    return {"op2_exact_dedup": OP2, "op4_substring_dedup": OP4, "op5_decontamination": OP5,
+            "op11_fill_in_middle": OP11}

@@ -8,7 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docsift.llm import decontamination, exact_dedup, jaccard_join, language_id, licenses, packing, substring_dedup, suffix_dedup
+from docsift.llm import alignment, decontamination, exact_dedup, fill_in_middle, jaccard_join, language_id, licenses
+from docsift.llm import packing, substring_dedup, suffix_dedup
 from docsift.llm import token_counts, token_files
 from docsift.session import checkpoint_dir
 
@@ -66,6 +67,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         _documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.report(_documents(spark, sf_dir))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
@@ -78,4 +88,6 @@ def queries() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_token_files": op9_token_files,
         "op10_token_counts": op10_token_counts,
+        "op11_fill_in_middle": op11_fill_in_middle,
+        "op13_token_alignment": op13_token_alignment,
     }

@@ -84,6 +84,17 @@ class _Encoder:
         return [[self.one(t)] if units is None else list(map(get, units)) for t, units in zip(texts, split)]
 
 
+def byte_level_units(text: str) -> list[str] | None:
+    """Units of a text for a byte-level tokenizer; None where it has to go to the library whole."""
+    if "\x00" in text or any(c in text for c in _OTHER_SPACE):
+        return None
+    if len(text.split()) != text.count(" ") + text.count("\n") + 1:     # some stand together or at an end
+        return None
+    if not _BESIDE.search(text):
+        text = text.replace(",", "\x00,").replace(".", "\x00.")
+    return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
+
+
 class ByteLevel(_Encoder):
     def __init__(self, path: str, value=packed, known: dict | None = None):
         super().__init__(path, value, {})
@@ -92,13 +103,7 @@ class ByteLevel(_Encoder):
         self.units = dict(self.known)
 
     def split(self, text: str):
-        if "\x00" in text or any(c in text for c in _OTHER_SPACE):
-            return None
-        if len(text.split()) != text.count(" ") + text.count("\n") + 1:     # some stand together or at an end
-            return None
-        if not _BESIDE.search(text):
-            text = text.replace(",", "\x00,").replace(".", "\x00.")
-        return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
+        return byte_level_units(text)
 
     def merged(self, units: list[str]):
         for block, ids, ends in self.by_ends(units, "\n", lambda ids: ids == self.newline):
