@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from docsift.llm import alignment, decontamination, exact_dedup, fill_in_middle, jaccard_join, language_id, licenses
-from docsift.llm import packing, substring_dedup, suffix_dedup
+from docsift.llm import packing, quality_rules, substring_dedup, suffix_dedup
 from docsift.llm import token_counts, token_files
 from docsift.session import checkpoint_dir
 
@@ -71,6 +71,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.report(_documents(spark, sf_dir))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(_documents(spark, sf_dir)).drop("distance")
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
                            public_tokenizers.path("piece_bpe_32k.model"))
@@ -89,5 +93,6 @@ def queries() -> dict[str, Query]:
         "op9_token_files": op9_token_files,
         "op10_token_counts": op10_token_counts,
         "op11_fill_in_middle": op11_fill_in_middle,
+        "op12_quality_rules": op12_quality_rules,
         "op13_token_alignment": op13_token_alignment,
     }
