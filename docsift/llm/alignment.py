@@ -34,6 +34,7 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,7 +55,7 @@ PARTS = 128
 FAN_IN = 64                  # tasks, or branches, that meet in one group
 KEPT_PAIRS = 2_000_000       # pairs a task keeps before it lets them go
 BLOCK_BYTES = 64 << 20       # pairs and counts that are broadcast at once
-MAX_UNITS = 200_000
+MAX_UNITS = 400_000
 JOINED = 4000                # units in one call of the libraries
 AT_ONCE = 1 << 20            # links of whole texts expanded at a time
 PAIR_BITS = 31               # of a pair as a number (checked against the vocabularies)
@@ -93,6 +94,7 @@ class Pair:
         if n * self.n_b >= 1 << PAIR_BITS:
             raise ValueError("a pair of ids does not fit in 31 bits")
         self.length_a, self.length_b = (np.array([len(x) for x in xs]) for xs in (self.bytes_a, self.bytes_b))
+        self.write = Writer(max(n, self.n_b))
         self.newline_a = self.a.encode("\n", add_special_tokens=False).ids
         self.newline_b = self.b.encode("\n")[1:]
         normal = [self.b.id_to_piece(i) for i in range(self.n_b)
@@ -114,7 +116,7 @@ class Pair:
     def lines(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """The same for lines, with a newline before each and after the last one, and no space added."""
         text = "\n" + "\n".join(lines) + "\n"
-        a = self.a.encode(text, add_special_tokens=False).ids
+        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return self._checked(a, self.b.encode(text)[1:], text.encode())
 
     def _checked(self, a: list[int], b: list[int], raw: bytes):
@@ -127,8 +129,9 @@ class Pair:
         if not self.separate or text[0] in ",." or (self.crossed and self.crossed.search(text)):
             return None
         units = tokens.byte_level_units(text)
-        if units:
-            units[0] = " " + units[0]
+        if not units or "" in units:
+            return None
+        units[0] = " " + units[0]
         return units
 
 
@@ -157,18 +160,49 @@ def links(a: np.ndarray, group_a: np.ndarray, b: np.ndarray, group_b: np.ndarray
 
 
 def _distinct(group: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    both, counts = np.unique(group << 20 | ids, return_counts=True)
+    both, counts = _counted(group << 20 | ids)
     return both >> 20, both & (1 << 20) - 1, counts
 
 
-def _written(a: np.ndarray, group_a: np.ndarray, b: np.ndarray, group_b: np.ndarray, n: int) -> list[bytes]:
-    """Each group as ``a1,a2|b1,b2``."""
-    sides = []
-    for ids, group in ((a, group_a), (b, group_b)):
-        text = list(map(b"%d".__mod__, ids.tolist()))
-        at = np.searchsorted(group, np.arange(n + 1)).tolist()
-        sides.append([text[i] if j == i + 1 else b",".join(text[i:j]) for i, j in zip(at, at[1:])])
-    return [x + b"|" + y for x, y in zip(*sides)]
+class Writer:
+    """Writes groups as ``a1,a2|b1,b2;...``: an id and the sign after it are one entry of a table."""
+
+    SIGNS = (b",", b"|", b";", b"")
+
+    def __init__(self, n_ids: int):
+        self.n_ids = n_ids
+        self.table = [b"%d" % i + sign for sign in self.SIGNS for i in range(n_ids)] + [b"\n"]
+
+    def __call__(self, a: np.ndarray, group_a: np.ndarray, b: np.ndarray, group_b: np.ndarray,
+                 newline: np.ndarray | None = None) -> bytes:
+        """``newline``: groups that are written as a newline, which ends what stands before it."""
+        place = np.concatenate([2 * group_a, 2 * group_b + 1])
+        order = np.argsort(place, kind="stable")
+        place, ids = place[order], np.concatenate([a, b])[order]
+        after = np.append(place[1:], place[-1] + 1)
+        sign = np.where(after == place, 0, np.where(place & 1 == 0, 1, 2))
+        sign[-1] = 3
+        entry = sign * self.n_ids + ids
+        if newline is not None:
+            marked = np.zeros(int(place[-1]) // 2 + 2, bool)
+            marked[newline] = True
+            entry[(sign == 2) & marked[after >> 1]] += self.n_ids           # no sign before a newline
+            entry[marked[place >> 1]] = len(self.table) - 1
+            entry = entry[~(marked[place >> 1] & (place & 1 == 1))]         # one newline for the pair of tokens
+        return b"".join(map(self.table.__getitem__, entry.tolist()))
+
+
+def _sorted_distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct numbers, rising (sorting is much faster here than ``np.unique``, which hashes)."""
+    values = np.sort(values)
+    return values[np.flatnonzero(np.diff(values, prepend=values[:1] - 1))] if len(values) else values
+
+
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers, rising, and how often each stands in ``values``."""
+    values = np.sort(values)
+    first = np.flatnonzero(np.diff(values, prepend=values[:1] - 1)) if len(values) else np.zeros(0, np.int64)
+    return values[first], np.diff(first, append=len(values))
 
 
 def _until(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -194,7 +228,7 @@ class _Rising:
 
 
 class Units:
-    """Every unit met so far, aligned: its counts of tokens, groups and links, its pairs, its groups as text.
+    """Every unit met so far, aligned: its pairs, or its counts of tokens, groups and links and its groups as text.
 
     When ``MAX_UNITS`` are known, those not met for the longest time make room for new ones.
     """
@@ -202,112 +236,118 @@ class Units:
     COLUMNS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
     def __init__(self, pair: Pair, score=None):
-        """``score``: (pairs) -> (count, whether it is the best of its A id) of each."""
+        """``score``: (pairs) -> (count, whether it is the best of its A id) of each; None: pairs are all that is kept."""
         self.pair, self.score, self.clock = pair, score, 0
         self._empty()
 
     def _empty(self) -> None:
         self.number: dict[str, int] = {}
         self.texts: list[bytes | None] = []                     # None: its tokens do not give back its bytes
-        self.sums = {c: _Rising() for c in self.COLUMNS}
-        self.pairs, self.times, self.until, self.met = _Rising(), _Rising(), _Rising(), _Rising()
+        self.sums = {c: _Rising() for c in (self.COLUMNS if self.score else self.COLUMNS[:1])}
+        self.pairs, self.until, self.met = _Rising(), _Rising(), _Rising()
 
-    def learn(self, units: set[str]) -> None:
-        new = units.difference(self.number)
+    def learn(self, units: dict[str, int]) -> np.ndarray:
+        """Number of each of ``units``."""
+        new = [u for u in units if u not in self.number]
         if len(self.number) + len(new) > MAX_UNITS and self.number:
             self._make_room(units)
-            new = units.difference(self.number)
-        if NEWLINE in new:                                      # it is what stands between two lines
+            new = [u for u in units if u not in self.number]
+        if NEWLINE in units and NEWLINE not in self.number:         # it is what stands between two lines
             new.remove(NEWLINE)
-            self._add([NEWLINE], np.array(self.pair.newline_a), np.array(self.pair.newline_b), lambda n, *_: np.zeros(n, np.int64))
-        new = list(new)
+            self._add([NEWLINE], np.array(self.pair.newline_a), np.array(self.pair.newline_b), None)
         for start in range(0, len(new), JOINED):
             self._learn(new[start:start + JOINED])
+        numbers = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
         self.clock += 1
-        self.met.values[np.fromiter(map(self.number.__getitem__, units), np.int64)] = self.clock
+        self.met.values[numbers] = self.clock
+        return numbers
 
-    def _make_room(self, wanted: set[str]) -> None:
+    def _make_room(self, wanted: dict[str, int]) -> None:
         """Keeps the half that was met last."""
-        met, until, pairs, times = (x.values for x in (self.met, self.until, self.pairs, self.times))
+        met, until, pairs = (x.values for x in (self.met, self.until, self.pairs))
         late = (met > np.median(met)).tolist()
         kept = [(u, i) for u, i in self.number.items() if late[i] or u in wanted]
         at, texts, sums = np.array([i for _, i in kept], np.int64), self.texts, self.sums
         self._empty()
         self.number = {u: k for k, (u, _) in enumerate(kept)}
-        self.texts = [texts[i] for _, i in kept]
+        self.texts = [texts[i] for _, i in kept] if self.score else []
         for column, values in sums.items():
             self.sums[column].append(values.values[at])
-        rows, _ = _gathered(at, until)
-        self.pairs.append(pairs[rows])
-        self.times.append(times[rows])
-        self.until.append(np.cumsum(np.diff(until, prepend=0)[at]))
+        if not self.score:
+            rows, _ = _gathered(at, until)
+            self.pairs.append(pairs[rows])
+            self.until.append(np.cumsum(np.diff(until, prepend=0)[at]))
         self.met.append(met[at])
 
     def _learn(self, units: list[str]) -> None:
         """Aligns new units in one call of each library; a call whose bytes differ is halved until it is one unit."""
         ids = self.pair.lines(units)
         if ids:
-            self._add(units, *ids, self._between_lines)
+            self._add(units, *ids, self._newlines(*ids))
         elif len(units) > 1:
             half = len(units) // 2
             self._learn(units[:half])
             self._learn(units[half:])
         else:
             self.number[units[0]] = len(self.number)
-            self.texts.append(None)
-            nothing, one = np.zeros(0, np.int64), np.zeros(1, np.int64)
-            self._add_sums(dict.fromkeys(self.COLUMNS, one), nothing, nothing, one)
-
-    def _between_lines(self, n: int, a: np.ndarray, of_a: np.ndarray, b: np.ndarray, of_b: np.ndarray) -> np.ndarray:
-        """The line that each group belongs to, -1 for newlines."""
-        cuts, cuts_b = of_a[a == self.pair.newline_a[0]], of_b[b == self.pair.newline_b[0]]
-        if not np.array_equal(cuts, cuts_b):
-            raise RuntimeError("a newline was joined to its neighbours")
-        unit = np.searchsorted(cuts, np.arange(n), "right") - 1
-        unit[cuts] = -1
-        return unit
-
-    def _add(self, units: list[str], a: np.ndarray, b: np.ndarray, unit_of_groups) -> None:
+            if self.score:
+                self.texts.append(None)
+            none = np.zeros(1, np.int64)
+            self._add_sums(dict.fromkeys(self.sums, none), none[:0], none)
+
+    def _newlines(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return a == self.pair.newline_a[0], b == self.pair.newline_b[0]
+
+    def _add(self, units: list[str], a: np.ndarray, b: np.ndarray, newlines) -> None:
+        """``newlines``: which tokens of A and B are those between units; None where there is one unit."""
         of_a, of_b = groups(a, b, self.pair)
-        n = int(of_a[-1]) + 1
-        unit = unit_of_groups(n, a, of_a, b, of_b)
-        size = len(units)
-        first, last = np.searchsorted(kept := unit[unit >= 0], (at := np.arange(size))), np.searchsorted(kept, at, "right")
-        if (first == last).any() or int(kept[-1]) >= size:
-            raise RuntimeError("units and lines differ in number")
-        written = [t for t, u in zip(_written(a, of_a, b, of_b, n), unit.tolist()) if u >= 0]
+        n, size = int(of_a[-1]) + 1, len(units)
+        unit, cuts = np.zeros(n, np.int64), None                            # of each group; -1: between units
+        if newlines:
+            cuts = of_a[newlines[0]]
+            if not np.array_equal(cuts, of_b[newlines[1]]) or len(cuts) != size + 1:
+                raise RuntimeError("units and lines differ in number")
+            unit = np.searchsorted(cuts, np.arange(n), "right") - 1
+            unit[cuts] = -1
+        kept, at = unit[unit >= 0], np.arange(size)
+        last = np.searchsorted(kept, at, "right")
         self.number.update(zip(units, range(len(self.number), len(self.number) + size)))
-        self.texts += [b";".join(written[i:j]) for i, j in zip(first.tolist(), last.tolist())]
+        if self.score:
+            written = self.pair.write(a, of_a, b, of_b, cuts)
+            self.texts += written.split(b"\n")[1:-1] if newlines else [written]
 
-        n_a, n_b = (np.bincount(x, minlength=n)[unit >= 0] for x in (of_a, of_b))
         group, pairs, times = (np.concatenate(x) for x in zip(*links(a, of_a, b, of_b, self.pair.n_b)))
         mine = unit[group] >= 0
         pairs, times, unit_of_pair = pairs[mine], times[mine], unit[group[mine]]
         until = np.searchsorted(unit_of_pair, at, "right")
-        count, best = self.score(pairs) if self.score else (np.zeros(len(pairs), np.int64),) * 2
-        sums = {"n_a": (n_a, last), "n_b": (n_b, last), "n_groups": (np.ones(len(kept), np.int64), last),
-                "n_links": (n_a * n_b, last), "n_best": (times * best, until), "count_sum": (times * count, until)}
+        sums = {"n_a": (np.bincount(of_a, minlength=n)[unit >= 0], last)}
+        if self.score:
+            n_a, n_b = sums["n_a"][0], np.bincount(of_b, minlength=n)[unit >= 0]
+            count, best = self.score(pairs)
+            sums |= {"n_b": (n_b, last), "n_groups": (np.ones(len(kept), np.int64), last), "n_links": (n_a * n_b, last),
+                     "n_best": (times * best, until), "count_sum": (times * count, until)}
         self._add_sums({c: np.diff(_until(values, ends), prepend=0) for c, (values, ends) in sums.items()},
-                       pairs, times, np.diff(until, prepend=0))
+                       pairs, np.diff(until, prepend=0))
 
-    def _add_sums(self, sums: dict[str, np.ndarray], pairs: np.ndarray, times: np.ndarray, sizes: np.ndarray) -> None:
+    def _add_sums(self, sums: dict[str, np.ndarray], pairs: np.ndarray, sizes: np.ndarray) -> None:
         for column, values in sums.items():
             self.sums[column].append(values)
-        self.until.append(np.cumsum(sizes) + self.pairs.n)
-        self.pairs.append(pairs)
-        self.times.append(times)
+        if not self.score:
+            self.until.append(np.cumsum(sizes) + self.pairs.n)
+            self.pairs.append(pairs)
         self.met.append(np.zeros(len(sizes), np.int64))
 
     def split(self, texts: list[str]) -> list[np.ndarray | None]:
         """Numbers of each text's units; None where it has to be aligned whole."""
-        cut = [self.pair.units(t) if t else () for t in texts]
-        self.learn({u for units in cut if units for u in units if u})
-        get, out = self.number.__getitem__, []
-        for units in cut:
-            at = None if units is None else np.fromiter((get(u) for u in units if u), np.int64)
-            known = at is not None and self.sums["n_a"].values[at].all()       # no token: the bytes differ
-            out.append(at if known else None)
-        return out
+        place: dict[str, int] = defaultdict()                       # of the units of these texts
+        place.default_factory = place.__len__
+        cut = []
+        for t in texts:
+            units = self.pair.units(t) if t else ()
+            cut.append(None if units is None else np.fromiter(map(place.__getitem__, units), np.int64, len(units)))
+        number = self.learn(place)
+        well = self.sums["n_a"].values[number] > 0                  # no token: the bytes differ
+        return [None if at is None or not well[at].all() else number[at] for at in cut]
 
     def pairs_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The pairs of units, and which of ``numbers`` each comes from."""
@@ -332,9 +372,9 @@ def _document_pairs(units: Units, texts: list[str]) -> np.ndarray:
     out = []
     if known:
         sizes = [len(split[i]) for i in known]
-        held = np.unique(np.repeat(np.arange(len(known)), sizes) << 32 | np.concatenate([split[i] for i in known]))
+        held = _sorted_distinct(np.repeat(np.arange(len(known)), sizes) << 32 | np.concatenate([split[i] for i in known]))
         pairs, of = units.pairs_of(held & 0xFFFFFFFF)
-        out.append(np.unique((held >> 32)[of] << PAIR_BITS | pairs) & (1 << PAIR_BITS) - 1)
+        out.append(_sorted_distinct((held >> 32)[of] << PAIR_BITS | pairs) & (1 << PAIR_BITS) - 1)
     for i, s in enumerate(split):
         if s is None and (ids := units.pair.whole(texts[i])):
             held = np.zeros(0, np.int64)
@@ -347,10 +387,11 @@ def _document_pairs(units: Units, texts: list[str]) -> np.ndarray:
 
 def _added(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs with their counts summed."""
-    distinct, at = np.unique(np.concatenate(pairs), return_inverse=True)
-    total = np.zeros(len(distinct), np.int64)
-    np.add.at(total, at, np.concatenate(counts))
-    return distinct, total
+    every, counts = np.concatenate(pairs), np.concatenate(counts)
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    first = np.flatnonzero(np.diff(every, prepend=every[:1] - 1))
+    return every[first], np.add.reduceat(counts[order], first)
 
 
 def kept_pairs(docs: DataFrame, tokenizers: tuple[str, str]) -> DataFrame:
@@ -372,7 +413,7 @@ def kept_pairs(docs: DataFrame, tokenizers: tuple[str, str]) -> DataFrame:
                           counts=([total[order[cuts[p]:cuts[p + 1]]].astype("<i8").tobytes() for p in held], pa.binary()))
 
         for texts in _texts(batches):
-            distinct, count = np.unique(_document_pairs(units, texts[1]), return_counts=True)
+            distinct, count = _counted(_document_pairs(units, texts[1]))
             pairs.append(distinct)
             counts.append(count)
             n += len(distinct)
@@ -411,14 +452,14 @@ def _numbers(column: pa.ChunkedArray, dtype: str) -> list[np.ndarray]:
 
 def _union(group: pa.Table) -> pa.Table:
     """The distinct pairs of a branch."""
-    pairs = np.unique(np.concatenate(_numbers(group["pairs"], "<u4")))
+    pairs = _sorted_distinct(np.concatenate(_numbers(group["pairs"], "<u4")).astype(np.int64)).astype("<u4")
     return _table(part=([group["part"][0].as_py()], pa.int32()), leaf=([group["leaf"][0].as_py()], pa.int64()),
                   pairs=([pairs.tobytes()], pa.binary()))
 
 
 def _hashed(group: pa.Table) -> pa.Table:
     """The hash of a part's pairs, and the pairs in the order of their numbers."""
-    pairs = np.unique(np.concatenate(_numbers(group["pairs"], "<u4")))
+    pairs = _sorted_distinct(np.concatenate(_numbers(group["pairs"], "<u4")).astype(np.int64)).astype("<u4")
     found = PerfectHash.of(pairs)
     ordered = np.empty_like(pairs)
     ordered[found.index(pairs)] = pairs
@@ -480,20 +521,33 @@ class Counts:
                                   np.frombuffer(p["counts"], "<i8")) for p in parts}
         self.best, self.n_b = best, n_b
 
+        self.known, self.known_counts = np.zeros(0, np.int64), np.zeros(0, np.int64)     # looked up before, rising
+
     def __call__(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Count, and whether it is its A id's highest; 0 and False for pairs of other parts."""
-        distinct, at = np.unique(pairs, return_inverse=True)
+        at = np.searchsorted(self.known, pairs)
+        new = np.flatnonzero(np.append(self.known, -1)[at] != pairs)
+        if len(new):
+            if len(self.known) > KEPT_PAIRS:
+                self.known, self.known_counts, new = self.known[:0], self.known_counts[:0], np.arange(len(pairs))
+            self._look_up(_sorted_distinct(pairs[new]))
+            at = np.searchsorted(self.known, pairs)
+        count = self.known_counts[at]
+        return count, (count > 0) & (count == self.best[pairs // self.n_b])
+
+    def _look_up(self, distinct: np.ndarray) -> None:
         part, count = _part_of(distinct), np.zeros(len(distinct), np.int64)
-        order = np.argsort(part, kind="stable")
-        cuts = np.searchsorted(part[order], np.arange(PARTS + 1))
-        for p, (numbers, ordered, counts) in self.parts.items():
-            mine = order[cuts[p]:cuts[p + 1]]
-            number = numbers.index(distinct[mine])
-            if (number < 0).any() or (ordered[number] != distinct[mine]).any():
-                raise RuntimeError("the documents changed between two readings")
-            count[mine] = counts[number]
-        best = (count > 0) & (count == self.best[distinct // self.n_b])
-        return count[at], best[at]
+        for p in np.unique(part).tolist():
+            if p in self.parts:
+                numbers, ordered, counts = self.parts[p]
+                mine = np.flatnonzero(part == p)
+                number = numbers.index(distinct[mine])
+                if (number < 0).any() or (ordered[number] != distinct[mine]).any():
+                    raise RuntimeError("the documents changed between two readings")
+                count[mine] = counts[number]
+        place = np.searchsorted(self.known, distinct)
+        self.known = np.insert(self.known, place, distinct)
+        self.known_counts = np.insert(self.known_counts, place, count)
 
 
 def _aligned(units: Units, texts: list[str]) -> Iterator[tuple]:
@@ -522,7 +576,7 @@ def _whole(ids: tuple[np.ndarray, np.ndarray], units: Units) -> tuple:
         count, best = units.score(pairs)
         n_best += int((times * best).sum())
         count_sum += int((times * count).sum())
-    written = hashlib.sha256(b";".join(_written(a, of_a, b, of_b, n))).hexdigest()
+    written = hashlib.sha256(units.pair.write(a, of_a, b, of_b)).hexdigest()
     return len(a), len(b), n, n_links, n_best, count_sum, written
 
 
