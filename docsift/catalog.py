@@ -10,18 +10,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsift import schema as S
 from docsift.operators import stats
 from docsift.operators.engine import apply_rules, extractor_values
 from docsift.operators.extract import Extraction, extract, prepare_jobs, result_json, result_long
+from docsift.operators.keys import distinct_keys
+from docsift.operators.workers import by_workers
 from docsift.plans.partitioning import spread
 from docsift.plans.rule_plan import field_plan
 from docsift.session import materialize
-from docsift.sources import files
+from docsift.sources import files, ledger
 from docsift.sources import tables as T
+from docsift.sources.cache import KeyedCache
+from docsift.sources.sinks import read_results_in_order, write_results_in_order
+from docsift.streaming.dedup import first_arrivals
+from docsift.streaming.incremental import (append_cache, clear_cache, extract_stream, new_store, read_cache, read_report,
+                                           read_results, run_batch)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -243,15 +250,18 @@ def schema_key_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("fields").cast("long").alias("n_fields"))
 
 
-def _documents_run(spark: SparkSession, sf_dir: str, cache: DataFrame | None, jobs: DataFrame) -> Extraction:
+def _documents_run(spark: SparkSession, sf_dir: str, cache, jobs: DataFrame) -> Extraction:
     return extract(prepare_jobs(jobs, request="request"), cache=cache, fallback=fixture_fallback)
 
 
 def _second_run(spark: SparkSession, sf_dir: str) -> Extraction:
-    """Run 1 over the English documents builds a cache; run 2 covers all documents."""
+    """Run 1 over the English documents builds a cache bucketed by key; run 2 looks all documents up in it."""
     jobs = T.documents_jobs(spark, sf_dir)
+    cache = KeyedCache(spark, new_store(spark, "cache"))
     first = _documents_run(spark, sf_dir, None, jobs.filter(F.col("lang") == "en").drop("lang"))
-    return _documents_run(spark, sf_dir, first.new_cache, jobs.drop("lang"))
+    cache.append(first.new_cache)
+    first.cleanup()
+    return _documents_run(spark, sf_dir, cache.lookup(), jobs.drop("lang"))
 
 
 def cache_first_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,8 +304,6 @@ def zero_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def jobs_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jobs over the driver documents written as JSON lines and read back (explicit schema)."""
-    from docsift.streaming.incremental import new_store
-
     path = new_store(spark, "jobs")
     (T.documents_jobs(spark, sf_dir)
      .select("job_id", "label", F.col("request").alias("extraction_schema"),
@@ -342,12 +350,16 @@ def extract_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def empty_result_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A cached result without fields is a hit all the same (second run over the jobs with an empty request)."""
-    jobs = prepare_jobs(_faulty_jobs(spark, sf_dir).filter(F.pmod(F.col("doc_id"), F.lit(11)) == 3))
+    """Second run over all faulty jobs: every result is a hit, one without fields too; errors stay errors."""
+    jobs = prepare_jobs(_faulty_jobs(spark, sf_dir))
+    cache = KeyedCache(spark, new_store(spark, "cache"))
     first = extract(jobs)
-    again = extract(jobs, cache=first.new_cache)
-    return again.results.select("job_id", F.col("metadata.cache_hit").alias("cache_hit"),
-                                F.size("result").cast("long").alias("n_fields"))
+    cache.append(first.new_cache)
+    first.cleanup()
+    again = extract(jobs, cache=cache.lookup())
+    n_fields = F.when(F.col("result").isNotNull(), F.size("result"))
+    return again.results.select("job_id", "error_class", F.col("metadata.cache_hit").alias("cache_hit"),
+                                n_fields.cast("long").alias("n_fields"))
 
 
 def jobs_to_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,8 +373,6 @@ def jobs_to_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def manifest_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jobs on the driver documents written as one JSON array, an entry a line over many files, and read back."""
-    from docsift.streaming.incremental import new_store
-
     path = new_store(spark, "manifest")
     entry = F.to_json(F.struct("label", F.col("request").alias("extraction_schema"),
                                F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("pdf_path")))
@@ -381,20 +391,43 @@ def manifest_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "job_id", "label", F.size("fields").cast("long").alias("n_fields"), F.col("doc_id").alias("pdf_path"))
 
 
+FILE_DOCS = 50
+
+
+def _document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``file, content``: the whole texts of ``FILE_DOCS`` neighbouring documents, a line end after each."""
+    texts = F.array_sort(F.collect_list(F.struct("doc_id", F.coalesce("text", F.lit("")).alias("text"))))
+    body = F.array_join(F.transform(texts, lambda t: F.concat(t["text"], F.lit("\n"))), "")
+    return (T.load(spark, sf_dir, "documents").groupBy(F.floor(F.col("doc_id") / FILE_DOCS).alias("file"))
+            .agg(body.cast("binary").alias("content")))
+
+
+def _named(files: DataFrame) -> DataFrame:
+    return files.select(F.concat(F.lit("docs-"), F.col("file").cast("string"), F.lit(".txt")).alias("name"), "content")
+
+
+def _file_number() -> Column:
+    return F.regexp_extract("path", r"docs-(\d+)\.txt$", 1).cast("long").alias("file")
+
+
 def file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of two batches, one text file per language: the second run hashes only what the ledger lacks."""
-    from docsift.streaming.incremental import new_store
+    """Whole texts as files that arrive in two batches: the second run of the ledger hashes only the new ones."""
+    store = new_store(spark, "files")
+    given, table = materialize(_document_files(spark, sf_dir), "files"), ledger.Ledger(spark, f"{store}/ledger")
+    for run in range(2):
+        ledger.write_files(_named(given.filter(F.pmod("file", F.lit(2)) == run)), f"{store}/in")
+        table.update(run, f"{store}/in", glob="*.txt")
+    return table.rows().select(_file_number(), "length", "content_hash", "run_id")
+
 
-    path = new_store(spark, "files")
-    d = T.load(spark, sf_dir, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    text = F.concat("lang", F.lit(":"), F.col("n").cast("string"))
-    parts = d.select("lang", text.alias("value"))
-    parts.filter("lang < 'en'").repartition("lang").write.partitionBy("lang").text(path)
-    ledger = files.scan_files(spark, path, glob="*.txt")
-    ledger = ledger.sparkSession.createDataFrame(ledger.collect(), ledger.schema)     # a few files
-    parts.filter("lang >= 'en'").repartition("lang").write.mode("append").partitionBy("lang").text(path)
-    fresh = files.hash_new_files(spark, path, ledger, glob="*.txt")
-    return fresh.select(F.regexp_extract("path", "lang=([^/]*)", 1).alias("lang"), "length", "content_hash")
+def file_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files through a stream over ``binaryFile``, started again after the second half has arrived."""
+    store = new_store(spark, "files")
+    given = materialize(_document_files(spark, sf_dir), "files")
+    for run in range(2):
+        ledger.write_files(_named(given.filter(F.pmod("file", F.lit(2)) == run)), f"{store}/in")
+        ledger.stream_files(spark, f"{store}/in", store, glob="*.txt").awaitTermination()
+    return ledger.streamed_files(spark, store).select(_file_number(), "length", "content_hash")
 
 
 def nested_request_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -409,13 +442,65 @@ def nested_request_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (field(a) == field(b)).alias("same"), (field(a) == field(c)).alias("other"))
 
 
+def cache_keys_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct cache keys of all documents of a label with all requests of the label."""
+    keyed = _documents_keyed(spark, sf_dir)
+    schema_hash = S.schema_hash(S.fields_of(F.col("request"))).alias("schema_hash")
+    return distinct_keys(keyed.select("label", "content_hash"), _all_jobs(spark, sf_dir).select("label", schema_hash), "label")
+
+
+_calls: dict[str, int] = {}
+
+
+def flaky_client(request: dict) -> str:
+    """Deterministic stand-in for a model service: of four documents, one is answered at the first call, one at the
+    second, one at the third, and one never."""
+    key = request["request_id"]
+    _calls[key] = _calls.get(key, 0) + 1
+    if _calls[key] <= request["doc_id"] % 4:
+        raise ConnectionError("the service is busy")
+    del _calls[key]
+    return f'{{"doc_id": {request["doc_id"]}, "prompt_chars": {len(request["prompt"])}}}'
+
+
+def fallback_workers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All requests of cards and screens asked by four clients that fail now and then, in at most three calls each."""
+    jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request")
+    requests = materialize(extract(jobs).requests, "requests")
+    ask = by_workers(flaky_client, new_store(spark, "answers"), clients=4, attempts=3, wait=0.001, log_every=500)
+    return requests.select("request_id", "doc_id").join(ask(requests), "request_id", "left").select(
+        "doc_id", "attempts", "response_json")
+
+
+def results_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results written as JSON lines in manifest order and read back with their places."""
+    path = new_store(spark, "ordered")
+    write_results_in_order(fixture_extraction(spark, sf_dir).results, path)
+    lines = read_results_in_order(spark, path)
+    return lines.select("position", F.get_json_object("line", "$.job_id").cast("long").alias("job_id"),
+                        F.get_json_object("line", "$.result_json").alias("result_json"))
+
+
+def manifest_indented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The jobs' manifest as one array with an entry over many lines, written by many tasks and read by many."""
+    path = new_store(spark, "manifest")
+    entry = F.to_json(F.struct("label", F.col("request").alias("extraction_schema"),
+                               F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("pdf_path")), {"pretty": "true"})
+    jobs = T.documents_jobs(spark, sf_dir).select("job_id", F.concat(F.lit("\n"), entry).alias("entry"))
+    first = jobs.agg(F.min("job_id")).first()[0]
+    lines = jobs.repartitionByRange(4, "job_id").sortWithinPartitions("job_id").select(
+        F.concat(F.when(F.col("job_id") == first, F.lit("[")).otherwise(F.lit(",")), "entry").alias("value"))
+    lines.write.text(path)
+    spark.createDataFrame([("]" if first is not None else "[]",)], "value string").coalesce(1).write.text(f"{path}_end")
+    return files.read_manifest(spark, [path, f"{path}_end"]).select(
+        "job_id", "label", F.size("fields").cast("long").alias("n_fields"), F.col("doc_id").alias("pdf_path"))
+
+
 def cache_cleared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of a stored cache before and after it is cleared."""
-    from docsift.streaming.incremental import append_cache, clear_cache, new_store, read_cache
-
     path = new_store(spark, "cache")
     run = _documents_run(spark, sf_dir, None, T.documents_jobs(spark, sf_dir).drop("lang"))
-    append_cache(run.new_cache, path, None)
+    append_cache(run.new_cache, path)
     before = read_cache(spark, path).count()
     clear_cache(spark, path)
     after = read_cache(spark, path).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -436,27 +521,56 @@ def custom_bank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result_long(extract(prepare_jobs(jobs, request="request"), rules=rules).results)
 
 
+def _streamed(spark: SparkSession, sf_dir: str) -> str:
+    """Cards and screens arriving as four files, extracted micro-batch by micro-batch; the folder of the results."""
+    store = new_store(spark)
+    jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request")
+    jobs.repartition(4, "job_id").write.parquet(f"{store}/incoming")
+    stream = spark.readStream.schema(jobs.schema).option("maxFilesPerTrigger", 1).parquet(f"{store}/incoming")
+    query = extract_stream(stream, store=f"{store}/out", fallback=fixture_fallback)
+    query.awaitTermination()
+    return f"{store}/out"
+
+
 def stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cards and screens arriving as four files, extracted micro-batch by micro-batch.
 
     Same rows as ``extract_long``: every fixture text is distinct, so arrival order
     cannot change which job is a key's first writer.
     """
-    from docsift.streaming.incremental import extract_stream, new_store, read_results
+    return result_long(read_results(spark, _streamed(spark, sf_dir)).drop("batch_id"))
 
-    store = new_store(spark)
-    jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request")
-    jobs.repartition(4, "job_id").write.parquet(f"{store}/incoming")
-    stream = spark.readStream.schema(jobs.schema).option("maxFilesPerTrigger", 1).parquet(f"{store}/incoming")
-    query = extract_stream(stream, store=f"{store}/out", fallback=fixture_fallback)
+
+def stream_report_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The overall report after four micro-batches, from the sums kept of each."""
+    return stats.overall_of(read_report(spark, _streamed(spark, sf_dir)))
+
+
+def stream_report_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report by document type after four micro-batches, from the sums kept of each."""
+    return stats.by_type_of(read_report(spark, _streamed(spark, sf_dir)))
+
+
+def stream_first_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that arrive week by week, those of the week before once more: each is let through once."""
+    store = new_store(spark, "arrivals")
+    events = T.load(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    week = F.floor(F.unix_seconds("ts") / F.lit(7 * 86400))
+    weeks = materialize(events.withColumn("week", week), "weeks")
+    first, last = weeks.agg(F.min("week"), F.max("week")).first()
+    for w in range(first or 0, (last if last is not None else -1) + 1):
+        (weeks.filter(F.col("week").isin(w - 1, w)).drop("week").repartition(2, "event_id")
+         .write.mode("append").parquet(f"{store}/incoming"))
+    weeks.filter(F.lit(False)).drop("week").write.mode("append").parquet(f"{store}/incoming")     # where there are no events
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{store}/incoming")
+    query = (first_arrivals(stream, ["event_id"], "ts", "14 days").writeStream.format("parquet")
+             .option("checkpointLocation", f"{store}/_checkpoint").trigger(availableNow=True).start(f"{store}/out"))
     query.awaitTermination()
-    return result_long(read_results(spark, f"{store}/out").drop("batch_id"))
+    return spark.read.schema(events.schema).parquet(f"{store}/out").select("event_id", "user_id", "event_type")
 
 
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first micro-batch run twice, as after a failure: its rows must be those of the first run."""
-    from docsift.streaming.incremental import new_store, read_results, run_batch
-
     store = new_store(spark)
     jobs = prepare_jobs(T.documents_jobs(spark, sf_dir).drop("lang"), request="request")
     for _ in range(2):
@@ -515,5 +629,13 @@ def queries() -> dict[str, Query]:
         "cache_cleared": cache_cleared,
         "custom_bank": custom_bank,
         "stream_replay": stream_replay,
+        "stream_report_overall": stream_report_overall,
+        "stream_report_by_type": stream_report_by_type,
+        "stream_first_arrivals": stream_first_arrivals,
+        "file_stream": file_stream,
+        "cache_keys_of_all": cache_keys_of_all,
+        "fallback_workers": fallback_workers,
+        "results_in_order": results_in_order,
+        "manifest_indented": manifest_indented,
     })
     return out

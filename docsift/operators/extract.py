@@ -22,6 +22,7 @@ and error rows (bad request, no document, no pages).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -45,6 +46,7 @@ ERROR_MESSAGES = {ERR_SCHEMA: "invalid request", ERR_NOT_FOUND: "document not fo
 
 RESULT_FIELDS = "array<struct<field:string,value:string,source:string,raw:string>>"
 BROADCAST_IDS = 1_000_000       # longs
+CacheLookup = Callable[[DataFrame], DataFrame | None]
 
 
 @dataclass
@@ -118,13 +120,14 @@ def _names(values: Column, pred) -> Column:
     return F.transform(F.filter(values, pred), lambda v: v["field"])
 
 
-def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallback | None = None,
+def extract(jobs: DataFrame, *, cache: DataFrame | CacheLookup | None = None, fallback: Fallback | None = None,
             key_includes_label: bool = False, cache_partial: bool = True,
             hot_rows: int = 1_000_000, rows_per_salt: int | None = None,
             rules: RuleSet = DEFAULT, model: str = DEFAULT_MODEL) -> Extraction:
     """Run the three levels over ``jobs(job_id, doc_id, label, fields, text)``.
 
-    ``cache``: existing cache table (:data:`docsift.schema.CACHE`), or None.
+    ``cache``: existing cache rows (:data:`docsift.schema.CACHE`), or a function from the stored
+    table of wanted keys to the rows that they need (:meth:`docsift.sources.cache.KeyedCache.lookup`).
     ``fallback``: caller's answerer for missing fields, or None (the fallback
     step then fails like a missing credential: rule results are kept).
     ``key_includes_label``: the reference keys on content and request only, so a
@@ -140,6 +143,9 @@ def extract(jobs: DataFrame, *, cache: DataFrame | None = None, fallback: Fallba
     keys = ok.groupBy("cache_key").agg(F.min("job_id").alias("first_job_id"), F.count(F.lit(1)).alias("n_jobs"))
 
     # 3. cache lookup: any row under the key is a hit, even an empty result
+    if callable(cache):
+        keys = scratch.table(keys, "wanted")
+        cache = cache(keys)
     if cache is not None:
         cached = cache.select("cache_key", F.col("result").cast(RESULT_FIELDS).alias("cached_result"),
                               F.lit(True).alias("in_cache"))

@@ -63,16 +63,38 @@ def shown(share: Column) -> Column:
     return F.format_string("%.1f", F.bround(share, 1))
 
 
-def overall(per_job_df: DataFrame) -> DataFrame:
+def partials(per_job_df: DataFrame) -> DataFrame:
+    """Sums per label, from which both reports follow; those of several batches are added up."""
     ok = F.col("error").isNull()
-    agg = per_job_df.agg(
-        F.count(F.lit(1)).alias("total_files"),
-        F.coalesce(F.sum(F.when(ok, F.col("total_fields"))), F.lit(0)).cast("long").alias("total_fields"),
-        F.coalesce(F.sum(F.when(ok, F.col("heuristics"))), F.lit(0)).cast("long").alias("total_heuristics"),
-        F.coalesce(F.sum(F.when(ok, F.col("llm"))), F.lit(0)).cast("long").alias("total_llm"),
+
+    def total(column: str, condition: Column | None = None) -> Column:
+        value = F.col(column) if condition is None else F.when(condition, F.col(column))
+        return F.coalesce(F.sum(value), F.lit(0)).cast("long")
+
+    return per_job_df.groupBy("label").agg(
+        F.count(F.lit(1)).alias("files"),
+        total("total_fields").alias("total_fields"),
+        total("total_fields", ok).alias("fields_read"),
+        total("heuristics").alias("heuristics"),             # errors count none
+        total("llm").alias("llm"),
         F.count_if(F.col("cache_hit")).cast("long").alias("cache_hits"),
         F.count_if(~F.col("cache_hit") & ok).cast("long").alias("cache_misses"),
     )
+
+
+def overall(per_job_df: DataFrame) -> DataFrame:
+    return overall_of(partials(per_job_df))
+
+
+def by_type(per_job_df: DataFrame) -> DataFrame:
+    return by_type_of(partials(per_job_df))
+
+
+def overall_of(sums: DataFrame) -> DataFrame:
+    """The report over all jobs, from rows of ``partials``."""
+    names = {"files": "total_files", "fields_read": "total_fields", "heuristics": "total_heuristics", "llm": "total_llm",
+             "cache_hits": "cache_hits", "cache_misses": "cache_misses"}
+    agg = sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name) for c, name in names.items()])
     h, l, t = F.col("total_heuristics"), F.col("total_llm"), F.col("total_fields")
     has_llm = l > 0
     return agg.select(
@@ -86,13 +108,9 @@ def overall(per_job_df: DataFrame) -> DataFrame:
     )
 
 
-def by_type(per_job_df: DataFrame) -> DataFrame:
-    agg = per_job_df.groupBy("label").agg(
-        F.count(F.lit(1)).alias("files"),
-        F.sum("total_fields").cast("long").alias("total_fields"),
-        F.sum("heuristics").cast("long").alias("heuristics"),
-        F.sum("llm").cast("long").alias("llm"),
-    )
+def by_type_of(sums: DataFrame) -> DataFrame:
+    """The report by document type, from rows of ``partials``."""
+    agg = sums.groupBy("label").agg(*[F.sum(c).cast("long").alias(c) for c in ("files", "total_fields", "heuristics", "llm")])
     return agg.select(
         "*",
         _pct(F.col("heuristics"), F.col("total_fields")).alias("heuristics_pct"),

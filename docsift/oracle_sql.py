@@ -277,6 +277,16 @@ stats AS (
                         FROM final GROUP BY job_id) f ON j.job_id = f.job_id)"""
 
 
+MISSING = FIXTURE_CTES + """
+, miss AS (
+  SELECT r.doc_id, r.label, d.text,
+         string_agg(r.field, ',' ORDER BY r.ord) AS missing_fields,
+         '{' || chr(10) || string_agg('  ' || to_json(r.field) || ': ' || to_json(r.description),
+                                       ',' || chr(10) ORDER BY r.ord) || chr(10) || '}' AS block
+  FROM ruled r JOIN docs d ON r.job_id = d.job_id WHERE r.rv IS NULL GROUP BY r.doc_id, r.label, d.text)"""
+PROMPT = f"{_q(PROMPT_HEAD)} || block || {_q(PROMPT_MID)} || text || {_q(PROMPT_TAIL)}"
+
+
 def _pct(num: str, den: str) -> str:
     return f"coalesce(CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0) * 100.0, 0.0)"
 
@@ -314,15 +324,8 @@ SELECT job_id, '{' || string_agg(to_json(field) || ':' ||
                           ELSE coalesce(to_json(value), 'null') END, ',' ORDER BY ord) || '}'
        AS result_json
 FROM final JOIN jobs_out USING (job_id) GROUP BY job_id"""
-    out["missing_requests"] = FIXTURE_CTES + f"""
-, miss AS (
-  SELECT r.doc_id, r.label, d.text,
-         string_agg(r.field, ',' ORDER BY r.ord) AS missing_fields,
-         '{{' || chr(10) || string_agg('  ' || to_json(r.field) || ': ' || to_json(r.description),
-                                       ',' || chr(10) ORDER BY r.ord) || chr(10) || '}}' AS block
-  FROM ruled r JOIN docs d ON r.job_id = d.job_id WHERE r.rv IS NULL GROUP BY r.doc_id, r.label, d.text)
-SELECT doc_id, label, missing_fields,
-       sha256({_q(PROMPT_HEAD)} || block || {_q(PROMPT_MID)} || text || {_q(PROMPT_TAIL)}) AS prompt_sha256,
+    out["missing_requests"] = MISSING + f"""
+SELECT doc_id, label, missing_fields, sha256({PROMPT}) AS prompt_sha256,
        'gpt-5-mini' AS model, CAST(2 AS BIGINT) AS n_messages
 FROM miss"""
     out["stats_per_doc"] = FIXTURE_CTES + ", " + STATS_PER_JOB.strip() + f"""
@@ -422,8 +425,12 @@ SELECT e.job_id, error_class, error_class IS NULL AS keyed,
             WHEN 'FILE_NOT_FOUND' THEN 'document not found: ' || CAST(doc_id AS VARCHAR)
             WHEN 'ZERO_PAGES' THEN 'document has 0 pages: ' || CAST(doc_id AS VARCHAR) END AS error
 FROM e"""
-    out["empty_result_hit"] = """
-SELECT doc_id AS job_id, true AS cache_hit, CAST(0 AS BIGINT) AS n_fields FROM documents WHERE doc_id % 11 = 3"""
+    out["empty_result_hit"] = _with(_requests_values(), DOC_JOBS, """
+n AS (SELECT request_id, count(*) AS n FROM req GROUP BY request_id)""") + """
+SELECT job_id, CASE doc_id % 11 WHEN 0 THEN 'SCHEMA_ERROR' WHEN 1 THEN 'FILE_NOT_FOUND' WHEN 2 THEN 'ZERO_PAGES' END AS error_class,
+       CASE WHEN doc_id % 11 > 2 THEN true END AS cache_hit,
+       CASE WHEN doc_id % 11 = 3 THEN CAST(0 AS BIGINT) WHEN doc_id % 11 > 3 THEN n END AS n_fields
+FROM doc_jobs JOIN n USING (request_id)"""
     out["jobs_to_documents"] = """
 SELECT doc_id AS job_id, CASE WHEN doc_id % 17 = 0 THEN -doc_id - 1 ELSE doc_id END AS doc_id,
        CASE WHEN doc_id % 17 <> 0 THEN CAST(length(text) AS BIGINT) END AS n_chars
@@ -432,10 +439,26 @@ FROM documents"""
 SELECT row_number() OVER (ORDER BY j.job_id) AS job_id, j.label, n.n AS n_fields,
        'doc_' || CAST(j.doc_id AS VARCHAR) AS pdf_path
 FROM doc_jobs j JOIN (SELECT request_id, count(*) AS n FROM req GROUP BY request_id) n USING (request_id)"""
-    out["file_ledger"] = """
-SELECT lang, CAST(strlen(v) AS BIGINT) AS length, sha256(v) AS content_hash
-FROM (SELECT lang, lang || ':' || CAST(count(*) AS VARCHAR) || chr(10) AS v FROM documents GROUP BY lang)
-WHERE lang >= 'en'"""
+    files = """
+SELECT file, CAST(strlen(v) AS BIGINT) AS length, sha256(v) AS content_hash{more}
+FROM (SELECT doc_id // 50 AS file, string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id) AS v FROM documents GROUP BY 1)"""
+    out["file_ledger"] = files.format(more=", file % 2 AS run_id")
+    out["file_stream"] = files.format(more="")
+    out["stream_report_overall"], out["stream_report_by_type"] = out["stats_overall"], out["stats_by_type"]
+    out["stream_first_arrivals"] = "SELECT event_id, user_id, event_type FROM events"
+    out["manifest_indented"] = out["manifest_jobs"]
+    out["results_in_order"] = f"SELECT row_number() OVER (ORDER BY job_id) AS position, * FROM ({out['result_json']})"
+    out["cache_keys_of_all"] = all_jobs + """
+, pairs AS (
+  SELECT d.label, sha256(d.text) AS c, r.request_id AS s
+  FROM doc_jobs d JOIN (SELECT DISTINCT label, request_id FROM all_jobs) r ON d.label = r.label)
+SELECT label, count(DISTINCT c) AS n_contents, count(DISTINCT s) AS n_schemas, count(DISTINCT c || ':' || CAST(s AS VARCHAR)) AS n_keys
+FROM pairs GROUP BY label"""
+    out["fallback_workers"] = MISSING + f"""
+SELECT doc_id, CAST(least(doc_id % 4 + 1, 3) AS INTEGER) AS attempts,
+       CASE WHEN doc_id % 4 < 3 THEN '{{"doc_id": ' || CAST(doc_id AS VARCHAR) || ', "prompt_chars": ' ||
+         CAST(length({PROMPT}) AS VARCHAR) || '}}' END AS response_json
+FROM miss"""
     out["nested_request_hash"] = "SELECT doc_id, true AS same, false AS other FROM documents"
     out["cache_cleared"] = _with(DOC_JOBS) + """
 SELECT 'before' AS state, count(*) AS n_rows FROM (SELECT DISTINCT text, request_id FROM doc_jobs)

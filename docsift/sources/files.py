@@ -72,20 +72,6 @@ def new_files(listing: DataFrame, ledger: DataFrame | None) -> DataFrame:
                         ["path", "length", "modificationTime"], "left_anti")
 
 
-def hash_new_files(spark: SparkSession, path: str, ledger: DataFrame | None, *, glob: str | None = None) -> DataFrame:
-    """Hashes of the files that the ledger does not know; only their content is read.
-
-    The new paths pass the driver, as every listing of files does.
-    """
-    fresh = [r["path"] for r in new_files(list_files(spark, path, glob=glob), ledger)
-             .filter("length > 0").select("path").toLocalIterator()]
-    empty = new_files(_empty_files(spark, path, glob), ledger).withColumn("content", F.lit("").cast("binary"))
-    if not fresh:
-        return _hashed(empty)
-    return _hashed(spark.read.format("binaryFile").load(fresh).select(
-        "path", "length", "modificationTime", "content").unionByName(empty))
-
-
 def first_page(pages: DataFrame, *, doc: str = "doc_id", page: str = "page_no",
                text: str = "text", first: int | None = None) -> DataFrame:
     """First page's text per document: its lowest page number, or the page numbered ``first`` if that is known.
@@ -109,72 +95,103 @@ def zero_page_errors(docs: DataFrame, pages: DataFrame, *, doc: str = "doc_id")
                     F.concat(F.lit("document has 0 pages: "), F.col(doc).cast("string")).alias("error_message")))
 
 
-def _line_entries(body, options: dict):
-    """The entries on a manifest's line, without the array's brackets; null if they are not whole."""
-    wrapped = F.concat(F.lit('{"v":['), body, F.lit('],"end":1}'))
-    schema = T.StructType([T.StructField("v", S.MANIFEST), T.StructField("end", T.IntegerType())])
-    parsed = F.from_json(wrapped, schema, {"allowSingleQuotes": "false"} | options)
-    return F.when(parsed["end"] == 1, parsed["v"])
+PIECE_END = "}"
+_PLACE = ["file", "block", "at"]
 
 
-def _manifest_lines(spark: SparkSession, path: str) -> DataFrame | None:
-    """``job_id, e`` of a manifest with whole entries on each line, read by many tasks; None for another layout.
+def placed_pieces(spark: SparkSession, path: str | list[str], end: str) -> DataFrame:
+    """``file, size, block, at, piece`` of text files cut after each ``end``, in a table of their own.
 
-    The lines are numbered in a table of their own, so all steps see the same numbers. An entry's position is
-    the count of all entries in the file splits before its own, plus its place in the split.
+    Files are split as any text file, so no task needs a whole one. In the order of ``file, block, at`` the pieces
+    are the files' text, the files in the order of their names.
     """
-    text = F.regexp_replace("value", r"^\s+|\s+$", "")
-    opens, closes = F.col("line").startswith("["), F.col("line").endswith("]")
-    start, end = opens.cast("int"), F.col("line").rlike(r"[\],]$").cast("int")
-    body = F.expr("substring(line, start + 1, length(line) - start - end)")
-    lines = materialize(
-        spark.read.text(path).select(
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("at"), text.alias("line")).filter("line <> ''")
-        .withColumns({"opens": opens, "closes": closes, "comma": F.col("line").endswith(","), "start": start, "end": end})
-        .select("file", "block", "at", "opens", "closes", "comma", body.alias("body"))
-        .withColumn("n", F.size(_line_entries(F.col("body"), {})).cast("long")), "manifest")
-    place = F.struct("file", "block", "at")
-    seen = lines.agg(
-        F.count_if(F.coalesce(F.col("n"), F.lit(-1)) < 0).alias("other"), F.count_if("opens").alias("opened"),
-        F.count_if("closes").alias("closed"), F.min_by("opens", place).alias("first"),
-        F.max_by("closes", place).alias("last"), F.sum("n").alias("n")).first()
-    if seen["other"] or (seen["opened"], seen["closed"], seen["first"], seen["last"]) != (1, 1, True, True):
-        return None
-    splits = lines.groupBy("file", "block").agg(F.sum("n").alias("of_split"))      # one row per file split
-    until = F.sum("of_split").over(Window.orderBy("file", "block"))
-    before = F.broadcast(splits.select("file", "block", (until - F.col("of_split")).alias("before")))
-    in_split = F.sum("n").over(Window.partitionBy("file", "block").orderBy("at")) - F.col("n")
-    placed = lines.withColumn("place", in_split).join(before, ["file", "block"])
-    after = F.col("before") + F.col("place") + F.col("n")
-    goes_on = (F.col("n") == 0) | (F.col("comma") == (after < F.lit(seen["n"])))
-    entries = F.when(goes_on & ~(F.col("comma") & (F.col("n") == 0)), _line_entries(F.col("body"), {"mode": "FAILFAST"}))
-    checked = F.coalesce(entries, F.raise_error(F.lit("the manifest is not a JSON array")).cast(S.MANIFEST))
-    return placed.select(F.col("before") + F.col("place") + 1, F.posexplode(checked).alias("pos", "e")).toDF(
-        "first", "pos", "e").select((F.col("first") + F.col("pos")).alias("job_id"), "e")
-
-
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """A manifest written as one JSON array of ``{label, extraction_schema, pdf_path}``.
+    return materialize(spark.read.option("lineSep", end).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"),
+        F.col("value").alias("piece")), "pieces")
+
+
+def with_sum_before(pieces: DataFrame, value: str, name: str) -> DataFrame:
+    """``pieces`` plus ``name``: the sum of ``value`` over all pieces before each one.
+
+    Within a file split it is a window; what the splits before add is summed over a table of one row a split.
+    """
+    splits = pieces.groupBy("file", "block").agg(F.sum(value).alias("_of_split"))
+    until = F.sum("_of_split").over(Window.orderBy("file", "block"))
+    before = splits.select("file", "block", (until - F.col("_of_split")).alias("_before"))
+    in_split = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    return (pieces.withColumn("_in_split", F.coalesce(F.sum(value).over(in_split), F.lit(0)))
+            .join(F.broadcast(before), ["file", "block"])
+            .withColumn(name, F.col("_before") + F.col("_in_split")).drop("_before", "_in_split"))
+
+
+def _count(text, sign: str):
+    return F.length(text) - F.length(F.replace(text, F.lit(sign), F.lit("")))
+
+
+def _step(outside):
+    """How much deeper a piece leads, by its brackets; ``outside``: the piece without strings."""
+    return _count(outside, "{") + _count(outside, "[") - _count(outside, "]")
+
+
+def _array_entries(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``entry, object`` of a JSON array of objects in any layout, cut by many tasks; entries count from 0.
+
+    The files are cut after each closing brace, and each piece is read under both assumptions, that it starts
+    within a string or not. Which holds follows from the number of quotes before it; its brackets outside strings
+    add up to the depth at its end; a brace that leads back to depth one ends an entry. So the state at any place
+    is a sum over what stands before, and an entry is put together from its own pieces alone.
+    """
+    pieces = placed_pieces(spark, path, PIECE_END)
+    files = pieces.groupBy("file", "size").agg(
+        F.sum(F.octet_length("piece") + 1).alias("_bytes"), F.max(F.struct("block", "at")).alias("_last"))
+    # the last piece of a file has no brace after it, unless the file ends with one
+    open_end = (F.struct("block", "at") == F.col("_last")) & (F.col("_bytes") != F.col("size"))
+    rest = r'[^"\\]*+(?:\\.[^"\\]*+)*+(?:"|\z)'                 # of a string, to its end or the piece's
+    bare = F.regexp_replace("piece", r"[ \t\r\n]+", "")
+    from_inside = F.regexp_replace("piece", f"(?s)\\A{rest}", "")
+    states = materialize(pieces.join(F.broadcast(files.drop("size")), "file").select(
+        *_PLACE, (~open_end).alias("closed"),
+        _count(F.regexp_replace("piece", r"(?s)\\.", ""), '"').alias("quotes"),
+        _step(F.regexp_replace("piece", f'(?s)"{rest}', "")).alias("step_outside"),
+        _step(F.regexp_replace(from_inside, f'(?s)"{rest}', "")).alias("step_inside"),
+        F.length(bare).alias("n_bare"), F.substring(bare, 1, 2).alias("bare")), "states")
+    placed = with_sum_before(states, "quotes", "quotes_before")
+    brace = F.col("closed") & ((F.col("quotes_before") + F.col("quotes")) % 2 == 0)
+    step = F.when(F.col("quotes_before") % 2 == 1, F.col("step_inside")).otherwise(F.col("step_outside"))
+    placed = with_sum_before(placed.withColumn("brace", brace).withColumn("step", step - F.col("brace").cast("int")),
+                             "step", "depth")
+    ends = F.col("brace") & (F.col("depth") + F.col("step") == 1)
+    placed = materialize(with_sum_before(placed.withColumn("ends", ends.cast("int")), "ends", "entry"), "placed")
+    seen = placed.agg(F.sum("ends").alias("n"), F.sum("quotes").alias("quotes"), F.sum("step").alias("depth")).first()
+    n = seen["n"] or 0
+    tail = placed.filter(F.col("entry") == n).agg(
+        F.sum("n_bare").alias("size"), F.max("bare").alias("text"), F.max("closed").alias("closed")).first()
+    if (seen["depth"], (seen["quotes"] or 0) % 2, tail["closed"], tail["size"], tail["text"]) != (
+            0, 0, False, 1 if n else 2, "]" if n else "[]"):
+        raise ValueError(f"{path} is not a JSON array")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*_PLACE, "piece", "closed"))), lambda p: F.concat(
+        p["piece"], F.when(p["closed"], F.lit(PIECE_END)).otherwise(F.lit("")))), "")
+    lead = F.when(F.col("entry") == 0, F.regexp_extract("text", r"(?s)\A[ \t\r\n]*\[[ \t\r\n]*(\{.*)\z", 1)).otherwise(
+        F.regexp_extract("text", r"(?s)\A[ \t\r\n]*,[ \t\r\n]*(\{.*)\z", 1))
+    whole = placed.filter(F.col("entry") < n).select(*_PLACE, "closed", "entry").join(pieces, _PLACE)
+    return whole.groupBy("entry").agg(text.alias("text")).select("entry", lead.alias("object"))
+
+
+def read_manifest(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """A manifest written as one JSON array of ``{label, extraction_schema, pdf_path}``, in any layout and size.
 
     Entries are parsed with an explicit schema - never inferred, since every entry
     names its own fields. ``job_id`` is the 1-based position in the array. A manifest
-    that is no valid JSON array fails the query.
-
-    Where no entry goes over the end of a line, the lines are read by many tasks, and the
-    files of a folder, in the order of their names, are one array. An array laid out
-    otherwise (indented, say) is read whole by one task per file, so a file of that
-    kind must stay under 2 GB.
+    that is no valid JSON array of objects fails the query. The files of a folder or of several, in the order
+    of their full names, are one array. Only an entry has to fit in memory.
     """
-    lines = _manifest_lines(spark, path)
-    if lines is None:
-        raw = spark.read.text(path, wholetext=True)
-        parsed = F.from_json("value", S.MANIFEST, {"mode": "FAILFAST", "allowSingleQuotes": "false"})
-        checked = F.when(parsed.isNotNull(), parsed).otherwise(
-            F.raise_error(F.lit("the manifest is not a JSON array")).cast(S.MANIFEST))
-        lines = raw.select(F.posexplode(checked).alias("pos", "e")).select(
-            (F.col("pos") + 1).cast("long").alias("job_id"), "e")
-    return lines.select(
+    wrapped = F.concat(F.lit('{"v":'), F.col("object"), F.lit(',"end":1}'))
+    schema = T.StructType([T.StructField("v", S.MANIFEST_ENTRY), T.StructField("end", T.IntegerType())])
+    parsed = F.from_json(wrapped, schema, {"mode": "FAILFAST", "allowSingleQuotes": "false"})
+    checked = F.when((F.col("object") != "") & (parsed["end"] == 1), parsed["v"]).otherwise(
+        F.raise_error(F.lit("the manifest is not a JSON array")).cast(S.MANIFEST_ENTRY))
+    return _array_entries(spark, path).select((F.col("entry") + 1).alias("job_id"), checked.alias("e")).select(
         "job_id", F.col("e.label").alias("label"),
         S.dedupe_fields(S.fields_of(F.col("e.extraction_schema"))).alias("fields"),
         F.col("e.pdf_path").alias("doc_id"))

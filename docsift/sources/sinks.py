@@ -1,11 +1,12 @@
-"""Sinks: result JSON, report tables."""
+"""Sinks: result JSON (also in manifest order), report tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsift.operators.extract import result_json
+from docsift.sources.files import placed_pieces, with_sum_before
 
 
 def result_records(results: DataFrame) -> DataFrame:
@@ -20,6 +21,22 @@ def write_results_json(results: DataFrame, path: str, mode: str = "overwrite") -
     result_records(results).write.mode(mode).json(path)
 
 
+def write_results_in_order(results: DataFrame, path: str, files: int | None = None, mode: str = "overwrite") -> None:
+    """JSON lines in manifest order: the files, in the order of their names, and the lines in each rise by ``job_id``.
+
+    The jobs are dealt to files by ranges of their ids, so no task sorts or holds more than its range.
+    """
+    n = files or int(results.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (result_records(results).repartitionByRange(n, "job_id").sortWithinPartitions("job_id")
+     .write.mode(mode).json(path))
+
+
+def read_results_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """``position`` (from 1) and ``line`` of the lines under ``path``, read by many tasks in the order they were written."""
+    lines = placed_pieces(spark, path, "\n").withColumn("one", F.lit(1))
+    return with_sum_before(lines, "one", "before").select((F.col("before") + 1).alias("position"), F.col("piece").alias("line"))
+
+
 def write_report(tables: dict[str, DataFrame], path: str, mode: str = "overwrite") -> None:
     """Per-job, overall and by-type statistics as parquet tables under ``path``."""
     for name, df in tables.items():

@@ -3,16 +3,18 @@
 Jobs arrive as files (``readStream`` on parquet / JSON lines / ``binaryFile``
 joined to a page table). Every micro-batch runs the same three-level flow as a
 batch job (:func:`docsift.operators.extract.extract`) against a persistent cache
-table, so a document and request seen in an earlier batch is a cache hit and is
+bucketed by key (:class:`docsift.sources.cache.KeyedCache`), so a document and request seen in an earlier batch is a cache hit and is
 never sent to the fallback again.
 
 Exactly-once effect under replay (a batch re-run after a failure):
 
 * results are written to partition ``batch_id=<n>`` with dynamic partition
   overwrite - a replay replaces the partition instead of duplicating it;
-* cache rows carry the batch that wrote them. A batch looks up only rows of other
-  batches, so its replay computes what it computed before, and it replaces its own;
-* fallback answers are kept per batch: a replay reads them instead of asking again.
+* cache rows lie in a partition of the batch that wrote them. A batch looks up only rows
+  of other batches, so its replay computes what it computed before, and it replaces its
+  own; only batches before the one at hand, which cannot run again, are compacted;
+* fallback answers are kept per batch: a replay reads them instead of asking again;
+* the sums of the reports are kept per batch, so a replay counts a batch once.
 
 The stream's own checkpoint, the cache and the results live under ``store``,
 which must be a shared folder (by default under ``spark.checkpoint.dir``).
@@ -24,13 +26,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from docsift import schema as S
+from docsift.operators import stats
 from docsift.operators.extract import extract
 from docsift.operators.fallback import Fallback
 from docsift.session import checkpoint_dir
+from docsift.sources.cache import KeyedCache
 
 
 def new_store(spark: SparkSession, prefix: str = "stream") -> str:
@@ -45,24 +47,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored cache, or None where there is none; a cache that cannot be read is an error."""
-    return spark.read.schema(S.CACHE).parquet(path) if _exists(spark, path) else None
+    return KeyedCache(spark, path).rows()
 
 
-def append_cache(new_rows: DataFrame, path: str, existing: DataFrame | None, batch_id: int | None = None) -> None:
-    """Add cache rows whose key is not in the table yet. Rows of a batch replace the batch's earlier ones."""
-    rows = new_rows.select(*[f.name for f in S.CACHE.fields])
-    if existing is not None:
-        rows = rows.join(existing.select("cache_key"), "cache_key", "left_anti")
-    if batch_id is None:
-        rows.write.mode("append").parquet(path)
-    else:
-        (rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+def append_cache(new_rows: DataFrame, path: str) -> None:
+    """Add cache rows whose key is not in the table yet."""
+    KeyedCache(new_rows.sparkSession, path).append(new_rows)
 
 
 def clear_cache(spark: SparkSession, path: str) -> None:
-    """Empty the cache table: overwrite it with no rows of the same schema."""
-    spark.createDataFrame([], S.CACHE).write.mode("overwrite").parquet(path)
+    """Empty the cache table."""
+    KeyedCache(spark, path).clear()
 
 
 def _answered_once(fallback: Fallback, path: str) -> Fallback:
@@ -79,21 +74,18 @@ def _answered_once(fallback: Fallback, path: str) -> Fallback:
 def run_batch(batch: DataFrame, batch_id: int, *, store: str, fallback: Fallback | None,
               **options) -> None:
     """One micro-batch; ``options`` as of :func:`docsift.operators.extract.extract`."""
-    spark = batch.sparkSession
-    cache_path, results_path = f"{store}/cache", f"{store}/results"
-    cache = None
-    if _exists(spark, cache_path):
-        stored = spark.read.schema(T.StructType([*S.CACHE.fields, T.StructField("batch_id", T.LongType())])).parquet(cache_path)
-        # one read per batch: the lookup and the append both use this table
-        cache = stored.filter(F.col("batch_id").isNull() | (F.col("batch_id") != batch_id)).drop("batch_id")
+    cache, results_path = KeyedCache(batch.sparkSession, f"{store}/cache"), f"{store}/results"
     if fallback is not None:
         fallback = _answered_once(fallback, f"{store}/answers/batch_id={batch_id}")
-    ex = extract(batch, cache=cache, fallback=fallback, **options)
+    ex = extract(batch, cache=cache.lookup(but_batch=batch_id), fallback=fallback, **options)
     (ex.results.withColumn("batch_id", F.lit(batch_id).cast("long"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(results_path))
-    append_cache(ex.new_cache, cache_path, None, batch_id)      # computed keys are those the cache lacks
+    written = batch.sparkSession.read.schema(ex.results.schema).parquet(f"{results_path}/batch_id={batch_id}")
+    stats.partials(stats.per_job(written)).write.mode("overwrite").parquet(f"{store}/report/batch_id={batch_id}")
+    cache.append(ex.new_cache, batch_id)        # computed keys are those the cache lacks
     ex.cleanup()
+    cache.compact_if_many(before_batch=batch_id)
 
 
 def extract_stream(jobs: DataFrame, *, store: str, fallback: Fallback | None = None,
@@ -112,5 +104,11 @@ def extract_stream(jobs: DataFrame, *, store: str, fallback: Fallback | None = N
     return writer.start()
 
 
+def read_report(spark: SparkSession, store: str) -> DataFrame:
+    """Sums per batch and label (``stats.partials``), kept up batch by batch; ``stats.overall_of`` and
+    ``stats.by_type_of`` make the reports of them without reading a result again."""
+    return spark.read.parquet(f"{store}/report")
+
+
 def read_results(spark: SparkSession, store: str) -> DataFrame:
     return spark.read.parquet(f"{store}/results")
