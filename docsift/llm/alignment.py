@@ -32,7 +32,6 @@ empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-import json
 import re
 import uuid
 from collections import defaultdict
@@ -50,6 +49,7 @@ from docsift.llm.hashing import mixed
 from docsift.llm.perfect_hash import PerfectHash
 from docsift.llm.rows import ROW, numbered
 from docsift.llm.words import small
+from docsift.llm.worker import kept
 from docsift.session import materialize
 
 PARTS = 128
@@ -72,44 +72,6 @@ def _part_of(pairs: np.ndarray) -> np.ndarray:
     return (mixed(pairs.astype(np.uint64) + _PART_SEED) % np.uint64(PARTS)).astype(np.int32)
 
 
-def _byte_of_sign() -> dict[str, int]:
-    """The signs by which byte-level vocabularies write bytes: printable ones stand for themselves, others follow 255."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    other = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
-
-
-#: one pre-token of a byte-level vocabulary, whatever stands beside it
-_WORD = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
-
-
-def _by_ranks(path: str, tokenizer, token_bytes: list[bytes]):
-    """The vocabulary of a byte-level BPE file for ``tiktoken``, which merges a word some times faster; None where it may differ.
-
-    ``tokenizers`` merges the pair of the earliest rule, ``tiktoken`` any pair that makes the lowest id. Both merge alike
-    where ids rise with the rules, the parts of each rule are older than what it makes (so merges happen in the order
-    of ids), and every token is what its own bytes are merged to: then, of all ways to cut a token's bytes in two, only its
-    rule's can be there when its turn comes. This is checked here, for all tokens.
-    """
-    import tiktoken
-
-    with open(path, encoding="utf-8") as f:
-        file = json.load(f)
-    model, special = file["model"], {t["id"] for t in file["added_tokens"]}
-    vocab = {t: i for t, i in model["vocab"].items() if i not in special}
-    rules = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-    made = [vocab.get(x + y, -1) for x, y in rules]
-    if (file["normalizer"] or file["pre_tokenizer"]["type"] != "ByteLevel" or model["type"] != "BPE"
-            or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix",
-                                          "byte_fallback", "ignore_merges"))
-            or any(i >= j for i, j in zip(made, made[1:])) or len(vocab) != 256 + len(rules)
-            or any(max(vocab[x], vocab[y]) >= i for (x, y), i in zip(rules, made))
-            or any([t.id for t in tokenizer.model.tokenize(sign)] != [i] for sign, i in vocab.items())):
-        return None
-    return tiktoken.Encoding("by-ranks", pat_str=r"\n|[^\n]+", mergeable_ranks={token_bytes[i]: i for i in vocab.values()},
-                             special_tokens={})
-
-
 class Pair:
     """The two tokenizers: ids of texts and bytes of ids."""
 
@@ -119,14 +81,14 @@ class Pair:
         self.a = tokens.load(byte_path)
         self.a.encode_special_tokens = True                     # their strings in a text are ordinary text
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
-        sign, n = _byte_of_sign(), self.a.get_vocab_size()
-        self.bytes_a = [bytes(map(sign.__getitem__, self.a.id_to_token(i))) for i in range(n)]
+        n = self.a.get_vocab_size()
+        self.bytes_a = tokens.bytes_of_tokens(self.a)
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.n_b = len(self.bytes_b)
         if n * self.n_b >= 1 << PAIR_BITS:
             raise ValueError("a pair of ids does not fit in 31 bits")
         self.length_a, self.length_b = (np.array([len(x) for x in xs]) for xs in (self.bytes_a, self.bytes_b))
-        self.ranks = _by_ranks(byte_path, self.a, self.bytes_a)
+        self.ranks = tokens.by_ranks(byte_path, self.a)
         self.write = Writer(max(n, self.n_b))
         self.newline_a = self.a.encode("\n", add_special_tokens=False).ids
         self.newline_b = self.b.encode("\n")[1:]
@@ -294,7 +256,7 @@ class Units:
         if NEWLINE in units and NEWLINE not in self.number:         # it is what stands between two lines
             new.remove(NEWLINE)
             self._add([NEWLINE], np.array(self.pair.newline_a), np.array(self.pair.newline_b), None)
-        words = {u for u in new if _WORD.fullmatch(u)}
+        words = {u for u in new if tokens.WORD.fullmatch(u)}
         for kind in (True, False):
             some = [u for u in new if (u in words) == kind]
             for start in range(0, len(some), JOINED):
@@ -622,18 +584,13 @@ def _whole(ids: tuple[np.ndarray, np.ndarray], units: Units) -> tuple:
     return len(a), len(b), n, n_links, n_best, count_sum, written
 
 
-_pairs: dict[tuple[str, str], Pair] = {}            # one per Python worker
-_tables: dict[str, Units] = {}                      # the units of the pass at hand
-
-
 def _units(tokenizers: tuple[str, str], name: str = "", counts=None) -> Units:
-    if tokenizers not in _pairs:
-        _pairs[tokenizers] = Pair(*tokenizers)
-    if name not in _tables:
-        _tables.clear()
-        pair = _pairs[tokenizers]
-        _tables[name] = Units(pair, counts and Counts(*counts.value, pair.n_b))
-    return _tables[name]
+    """One per Python worker and pass."""
+    def make() -> Units:
+        pair = Pair(*tokenizers)
+        return Units(pair, counts and Counts(*counts.value, pair.n_b))
+
+    return kept((tokenizers, name), make)
 
 
 def _looked_up(docs: DataFrame, tokenizers: tuple[str, str], parts: list, best: np.ndarray, row: list[str]) -> DataFrame:

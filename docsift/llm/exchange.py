@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsift.llm.rows import row_of
+from docsift.llm.worker import begin
 from docsift.session import materialize
 
 CHUNK_ROWS = 1024
@@ -55,6 +56,7 @@ def settled(df: DataFrame, name: str) -> DataFrame:
 
 def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """A table per chunk, from batches in which the rows of a chunk follow each other."""
+    begin()
     held: list[pa.RecordBatch] = []
     at = None
     for batch in batches:
@@ -100,6 +102,7 @@ def block_batch(rows) -> pa.RecordBatch:
 
 def unpacked(raw: list[bytes], kinds: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
     """The planes of all blocks, joined, and how many keys each block has."""
+    begin()
     kinds = [np.dtype(k) for k in kinds]
     each = sum(k.itemsize for k in kinds)
     counts = np.array([len(b) // each for b in raw], np.int64)

@@ -12,21 +12,23 @@ BYTE_BASE = 0x9E3779B97F4A7C15          # odd multipliers
 WORD_BASE = 0xC2B2AE3D27D4EB4F
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+KEPT_POWERS = 1 << 20               # 16 MB for each base
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i for i < n; kept for short n."""
-    kept = _powers.get(base)
-    if kept is None or len(kept[0]) < n:
-        size = max(n, 1 << 20)
-        steps = [np.full(size, b, np.uint64) for b in (base, pow(base, -1, 1 << 64))]
-        for s in steps:
-            s[0] = 1
-        kept = tuple(np.cumprod(s) for s in steps)
-        if size <= 1 << 22:
-            _powers[base] = kept
-    return kept[0][:n], kept[1][:n]
+    """base**i and base**-i for i < n; ``KEPT_POWERS`` of them are kept."""
+    if base not in _powers:
+        _powers[base] = _power_table(base, KEPT_POWERS)
+    up, down = _powers[base] if n <= KEPT_POWERS else _power_table(base, n)
+    return up[:n], down[:n]
+
+
+def _power_table(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    steps = [np.full(n, b, np.uint64) for b in (base, pow(base, -1, 1 << 64))]
+    for s in steps:
+        s[0] = 1
+    return np.cumprod(steps[0], out=steps[0]), np.cumprod(steps[1], out=steps[1])
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift.llm.words import LETTERS, small, utf8
+from docsift.llm.worker import kept
 
 TRAIN_DOCS = 1500
 TRAIN_CHARS = 4000
@@ -216,9 +217,6 @@ class Labeller:
         return out
 
 
-_labellers: dict[str, Labeller] = {}      # one per Python worker and model
-
-
 def _has_letter(text: bytes) -> bool:
     return any(c.isalpha() for c in text.decode())
 
@@ -247,11 +245,7 @@ def fit(docs: DataFrame) -> Network:
 
 def _labeller(model) -> Labeller:
     """One per Python worker, for the model in use."""
-    key = model.value["id"]
-    if key not in _labellers:
-        _labellers.clear()
-        _labellers[key] = Labeller(model.value["net"])
-    return _labellers[key]
+    return kept(model.value["id"], lambda: Labeller(model.value["net"]))
 
 
 def _labelled(model, texts: list[bytes]) -> Iterator[tuple[str, float]]:

@@ -55,7 +55,7 @@ win AS (
 hit AS (SELECT win.doc_id, win.s, win.n, tests.item FROM win JOIN tests USING (n, g)),
 words AS (SELECT doc_id, count(DISTINCT p) AS n FROM hit, unnest(range(s, s + n)) AS t(p) GROUP BY doc_id),
 items AS (
-  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+  SELECT doc_id, count(item) AS n, string_agg(item, ',' ORDER BY item) AS ids
   FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
        sha256(coalesce(items.ids, '')) AS items_sha256,

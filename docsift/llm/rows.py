@@ -1,4 +1,7 @@
-"""Dropping decided rows from a table without moving its texts where that can be proven cheap."""
+"""Dropping decided rows from a table without moving its texts where that can be proven cheap.
+
+Columns whose names start with ``__docsift_`` are reserved: a table that has one is refused.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +11,8 @@ from pyspark.sql import functions as F
 from docsift.session import materialize
 
 BROADCAST_ROWS = 1_000_000      # of one long each
-ROW = "__row"                   # the column that ``numbered`` adds
+RESERVED = "__docsift_"
+ROW = "__docsift_row"                 # the column that ``numbered`` adds
 FILE_ROWS = 33                  # bits of a row's place in its file
 
 
@@ -28,15 +32,17 @@ def numbered(docs: DataFrame) -> DataFrame:
     For Parquet files it is made of the file's place among the sorted names and the row's place in the file, so
     no text moves. Anything else is written to a table once, numbers included.
     """
+    if taken := [c for c in docs.columns if c.lower().startswith(RESERVED)]:
+        raise ValueError(f"reserved column names: {taken}")
     if not _is_parquet(docs):
         return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
     names = docs.select(F.col("_metadata.file_path")).distinct().collect()      # the driver lists the files anyway
-    files = docs.sparkSession.createDataFrame([(n, i) for i, (n,) in enumerate(sorted(names))], "__name string, __file long")
+    files = docs.sparkSession.createDataFrame([(n, i) for i, (n,) in enumerate(sorted(names))], f"{RESERVED}name string, {RESERVED}file long")
     lost = F.raise_error(F.lit("a file that was not listed")).cast("long")
-    row = F.shiftleft(F.coalesce("__file", lost), FILE_ROWS) + F.col("__at")
-    return (docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_metadata.file_path").alias("__name"),
-                        F.col("_metadata.row_index").alias("__at"))
-            .join(F.broadcast(files), "__name", "left")
+    row = F.shiftleft(F.coalesce(f"{RESERVED}file", lost), FILE_ROWS) + F.col(f"{RESERVED}at")
+    return (docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_metadata.file_path").alias(f"{RESERVED}name"),
+                        F.col("_metadata.row_index").alias(f"{RESERVED}at"))
+            .join(F.broadcast(files), f"{RESERVED}name", "left")
             .select(*[F.col(f"`{c}`") for c in docs.columns], row.alias(ROW)))
 
 

@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame
 
 from docsift.llm import tokens
 from docsift.llm.words import small
+from docsift.llm.worker import kept
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
-_counters: dict[str, tokens.ByteLevel] = {}    # one per Python worker and vocabulary
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024) -> DataFrame:
@@ -32,9 +32,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024) -> DataFram
     whole = docs.sparkSession.sparkContext.broadcast(tokens.whole_tokens(tokenizer))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _counters:
-            _counters[tokenizer] = tokens.ByteLevel(tokenizer, len, dict.fromkeys(whole.value, 1))
-        counter = _counters[tokenizer]
+        counter = kept(("counts", tokenizer), lambda: tokens.ByteLevel(tokenizer, len, dict.fromkeys(whole.value, 1)))
         for batch in small(batches):
             text = pc.fill_null(batch["text"].cast(pa.string()), "")
             texts, counts = text.to_pylist(), []

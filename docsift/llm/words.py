@@ -7,6 +7,8 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from docsift.llm.worker import begin
+
 _UPPER = range(0x41, 0x5B)
 #: Lower-cases A-Z; every other ASCII byte but digits and letters becomes a space.
 ALNUM = bytes(b + 32 if b in _UPPER else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
@@ -19,6 +21,7 @@ LOWER = bytes(b + 32 if b in _UPPER else b for b in range(256))
 
 def small(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``, so that few texts are Python objects at a time."""
+    begin()
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)

@@ -4,7 +4,7 @@ extra columns of clashing names; and on an empty table."""
 import numpy as np
 import public_tokenizers
 import pytest
-from fixtures import (EXTRA, SCHEMA, alnum_words, brute_components, brute_decontamination, brute_substrings, crc, documents,
+from corpus_fixtures import (EXTRA, SCHEMA, alnum_words, brute_components, brute_decontamination, brute_substrings, crc, documents,
                       held_out, ordered, sha, space_words, stored, table)
 from pyspark.sql import functions as F
 

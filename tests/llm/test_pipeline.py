@@ -3,7 +3,7 @@
 import duckdb
 import public_tokenizers
 import pytest
-from fixtures import brute_components, brute_decontamination, crc, documents, ordered, sha, space_words, table
+from corpus_fixtures import brute_components, brute_decontamination, crc, documents, ordered, sha, space_words, table
 
 import __spark_entry__ as E
 import corpus_pipeline
