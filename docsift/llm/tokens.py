@@ -116,14 +116,19 @@ class _Encoder:
     def joined_ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def by_ends(self, units: list[str], joint: str, is_end, joined_ids=None):
-        """(units, ids, ends) of units that the library encodes alike alone and joined; ``is_end``: id -> whether it ends one."""
+    def by_ends(self, units: list[str], joint: str, is_end, joined_ids=None, lead: str = ""):
+        """(units, ids, ends) of units that the library encodes alike alone and joined; ``is_end``: id -> whether it ends one.
+
+        ``lead``: an end to put before the first unit, so that each stands between two.
+        """
         blocks = [units[i:i + JOINED] for i in range(0, len(units), JOINED)]
-        encoded = (joined_ids or self.joined_ids)([joint.join(b) + joint for b in blocks])
+        encoded = (joined_ids or self.joined_ids)([lead + joint.join(b) + joint for b in blocks])
         for block, ids in zip(blocks, encoded):
             ids = np.asarray(ids, dtype="<u4")
+            if lead:
+                first, ids = is_end(ids[:1]).all(), ids[1:]
             ends = np.flatnonzero(is_end(ids))
-            if len(ends) != len(block):
+            if len(ends) != len(block) or (lead and not first):
                 raise RuntimeError(f"{len(block)} units were encoded as {len(ends)}")
             yield block, ids, ends
 
@@ -167,7 +172,7 @@ class ByteLevel(_Encoder):
         yield from self._merged(list(other), None)
 
     def _merged(self, units: list[str], joined_ids):
-        for block, ids, ends in self.by_ends(units, "\n", lambda ids: ids == self.newline, joined_ids):
+        for block, ids, ends in self.by_ends(units, "\n", lambda ids: ids == self.newline, joined_ids, lead="\n"):
             start = 0
             raw = ids.tobytes()
             if self.value is len:
