@@ -32,18 +32,66 @@ BASE = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: Fuzzy phrases: label and the edits allowed.
+#: Short notices, their label and the edits allowed in them.
 FUZZY = {
     "gnu general public license": ("gpl", 2),
+    "gplv2": ("gpl", 0),
+    "gplv3": ("gpl", 0),
+    "lesser general public license": ("lgpl", 2),
+    "library general public license": ("lgpl", 2),
+    "lgplv2": ("lgpl", 0),
+    "lgplv3": ("lgpl", 0),
+    "affero general public license": ("agpl", 2),
+    "agplv3": ("agpl", 0),
     "apache license": ("apache", 2),
+    "licensed under the apache license version 2 0": ("apache", 3),
     "mit license": ("mit", 1),
-    "creative commons attribution": ("cc-by", 2),
-    "mozilla public license": ("mpl", 2),
+    "permission is hereby granted free of charge to any person obtaining a copy": ("mit", 4),
     "bsd 3 clause": ("bsd", 1),
     "bsd 2 clause": ("bsd", 1),
-    "lesser general public license": ("lgpl", 2),
+    "redistribution and use in source and binary forms with or without modification are permitted": ("bsd", 4),
+    "isc license": ("isc", 1),
+    "permission to use copy modify and or distribute this software for any purpose": ("isc", 4),
+    "mozilla public license": ("mpl", 2),
+    "eclipse public license": ("epl", 2),
+    "european union public licence": ("eupl", 2),
+    "common development and distribution license": ("cddl", 3),
+    "boost software license": ("boost", 2),
+    "zlib license": ("zlib", 1),
+    "artistic license": ("artistic", 1),
+    "free and unencumbered software released into the public domain": ("unlicense", 4),
+    "creative commons attribution": ("cc-by", 2),
+    "attribution sharealike": ("cc-by-sa", 2),
+    "attribution noncommercial": ("cc-by-nc", 2),
+    "cc0 1 0 universal": ("cc0", 1),
     "all rights reserved": ("proprietary", 1),
 }
+#: Identifiers after ``SPDX-License-Identifier:``, as words, and their labels.
+SPDX = {
+    "agpl 3 0": "agpl",
+    "apache 2 0": "apache",
+    "artistic 2 0": "artistic",
+    "bsd 2 clause": "bsd",
+    "bsd 3 clause": "bsd",
+    "bsl 1 0": "boost",
+    "cc by 4 0": "cc-by",
+    "cc by nc 4 0": "cc-by-nc",
+    "cc by sa 4 0": "cc-by-sa",
+    "cc0 1 0": "cc0",
+    "cddl 1 0": "cddl",
+    "epl 2 0": "epl",
+    "eupl 1 2": "eupl",
+    "gpl 2 0": "gpl",
+    "gpl 3 0": "gpl",
+    "isc": "isc",
+    "lgpl 2 1": "lgpl",
+    "lgpl 3 0": "lgpl",
+    "mit": "mit",
+    "mpl 2 0": "mpl",
+    "unlicense": "unlicense",
+    "zlib": "zlib",
+}
+FUZZY |= {f"spdx license identifier {name}": (label, 0) for name, label in SPDX.items()}
 
 
 class Span(NamedTuple):
@@ -54,6 +102,10 @@ class Span(NamedTuple):
     text: str
 
 
+_SPAN = pa.struct([("label", pa.string()), ("start_word", pa.int64()), ("n_words", pa.int64()), ("edits", pa.int64()),
+                   ("text", pa.string())])
+
+
 def seeds(phrase: str, edits: int) -> list[tuple[bytes, int]]:
     """``edits + 1`` pieces that make up the phrase, with their offsets."""
     bounds = [len(phrase) * i // (edits + 1) for i in range(edits + 2)]
@@ -63,7 +115,7 @@ def seeds(phrase: str, edits: int) -> list[tuple[bytes, int]]:
 @cache
 def _fuzzy() -> list:
     return [(phrase, label, edits, seeds(phrase, edits),
-             regex.compile(rb"(?be)(?<![^ ])(?:%s){e<=%d}(?![^ ])" % (phrase.encode(), edits)))
+             regex.compile(rb"(?e)(?<![^ ])(?:%s){e<=%d}(?![^ ])" % (phrase.encode(), edits)))
             for phrase, (label, edits) in FUZZY.items()]
 
 
@@ -133,19 +185,20 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n, base, fuzzy = scan(text)
             starts = [s.start_word for s in base]
             rows.append((n, len(base), min(starts, default=None), max(starts, default=None),
-                         _labels(base), _labels(base + fuzzy), _score(base, fuzzy)))
-        columns = list(zip(*rows)) or [()] * 7
-        kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
+                         _labels(base), _labels(base + fuzzy), _score(base, fuzzy), [s._asdict() for s in fuzzy]))
+        columns = list(zip(*rows)) or [()] * 8
+        kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(_SPAN)]
         yield pa.RecordBatch.from_arrays(
             [batch["doc_id"], *(pa.array(c, k) for c, k in zip(columns, kinds))],
-            ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"])
+            ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"])
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """One row per document: its base places, labels and score."""
+    """One row per document: its base places, labels and score, and the spans of the fuzzy search with their edits."""
     return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(
         _report, "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
-                 "base_labels string, labels string, score double")
+                 "base_labels string, labels string, score double, "
+                 "spans array<struct<label string, start_word bigint, n_words bigint, edits bigint, text string>>")
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
