@@ -9,8 +9,9 @@ for all jobs at once:
    ``job_id`` of each key computes; later jobs with the key are hits of its result.
 3. **cache lookup** on the keys. A hit costs one hash: no rule sees its text.
 4. **rules** on the jobs that compute. They are picked from the source by a broadcast
-   of the fewer ids, those that compute or those that do not, if that is small; else by
-   a shuffle join. Text is kept only where a field stayed null, for the prompt.
+   of the fewer ids, those that compute or those that do not, if that is small. Else, where
+   most jobs compute, the rules run on all of them; where many do not, a shuffle join picks
+   them. Text is kept only where a field stayed null, for the prompt.
 5. **fallback**: request queue for keys with missing fields, caller's answers parsed
    and merged; only null fields are filled.
 6. **fan-out**: every job gets its key's result through a salted join, so a key
@@ -46,6 +47,7 @@ ERROR_MESSAGES = {ERR_SCHEMA: "invalid request", ERR_NOT_FOUND: "document not fo
 
 RESULT_FIELDS = "array<struct<field:string,value:string,source:string,raw:string>>"
 BROADCAST_IDS = 1_000_000       # longs
+MOST = 0.7                      # share of the jobs that compute, from which on the rules run on all
 CacheLookup = Callable[[DataFrame], DataFrame | None]
 
 
@@ -96,18 +98,31 @@ def scan(jobs: DataFrame, *, key_includes_label: bool = False) -> DataFrame:
                     n_fields.cast("int").alias("n_fields")))
 
 
+def _readable(jobs: DataFrame) -> Column:
+    """The jobs without an error so far: they have a key."""
+    given = F.col("error_class").isNull() if "error_class" in jobs.columns else F.lit(True)
+    return given & F.col("fields").isNotNull() & F.col("text").isNotNull()
+
+
 def _computing(jobs: DataFrame, scanned: DataFrame, ids: DataFrame) -> DataFrame:
-    """The jobs whose ``job_id`` is in ``ids``, moving no text where either side of the choice is small."""
-    jobs = jobs.drop("error_class")
-    n = ids.count()
+    """The jobs whose ``job_id`` is in ``ids``, and maybe others that have a key too, moving no text where that pays.
+
+    Few ids on either side of the choice go to the jobs as a broadcast. Where most readable jobs compute anyway, the
+    rules run on all of these and what the others give is left out by the narrow joins that follow. Only where
+    many compute, and many more do not, the texts are shuffled.
+    """
+    readable = jobs.filter(_readable(jobs)).drop("error_class")
+    n, n_keyed = ids.count(), scanned.filter(F.col("error_class").isNull()).count()
     if n == 0:
-        return jobs.filter(F.lit(False))
+        return readable.filter(F.lit(False))
     if n <= BROADCAST_IDS:
-        return jobs.join(F.broadcast(ids), "job_id", "left_semi")
-    if scanned.count() - n <= BROADCAST_IDS:
-        rest = scanned.select("job_id").join(ids, "job_id", "left_anti")
-        return jobs.join(F.broadcast(rest), "job_id", "left_anti")
-    return jobs.join(ids, "job_id", "left_semi")
+        return readable.join(F.broadcast(ids), "job_id", "left_semi")
+    if n_keyed - n <= BROADCAST_IDS:
+        rest = scanned.filter(F.col("error_class").isNull()).select("job_id").join(ids, "job_id", "left_anti")
+        return readable.join(F.broadcast(rest), "job_id", "left_anti")
+    if n >= MOST * n_keyed:
+        return readable
+    return readable.join(ids, "job_id", "left_semi")
 
 
 def _missing(rule_values: Column, fields: Column) -> Column:
@@ -169,8 +184,8 @@ def extract(jobs: DataFrame, *, cache: DataFrame | CacheLookup | None = None, fa
     ruled = scratch.table(ruled, "ruled")
 
     # 5. fallback for computed keys with missing fields
-    pending = ruled.filter(incomplete).join(keys.select("first_job_id", F.col("cache_key").alias("request_id")),
-                                            "first_job_id")
+    asking = keys.filter(~F.col("in_cache")).select("first_job_id", F.col("cache_key").alias("request_id"))
+    pending = ruled.filter(incomplete).join(asking, "first_job_id")
     requests = build_requests(pending.select("request_id", "doc_id", "label", "text", "missing"), model=model)
     keyed = keys.join(ruled.drop("doc_id", "label", "text"), "first_job_id", "left")
     needs = ~F.col("in_cache") & ~F.col("found_all")
@@ -203,7 +218,7 @@ def extract(jobs: DataFrame, *, cache: DataFrame | CacheLookup | None = None, fa
         "cache_key", "n_jobs", "in_cache", "llm_error", "first_job_id",
         F.when(F.col("in_cache"), F.col("cached_result"))
          .otherwise(F.transform("rule_values", merge)).alias("result"),
-        _names(F.col("rule_values"), lambda v: v["value"].isNotNull()).alias("found_by_rules"),
+        F.when(~F.col("in_cache"), _names(F.col("rule_values"), lambda v: v["value"].isNotNull())).alias("found_by_rules"),
         llm_ok.alias("llm_used"),
         F.when(llm_ok, F.transform("missing", lambda f: f["field"])).alias("found_by_llm"),
     )

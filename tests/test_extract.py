@@ -269,3 +269,26 @@ def test_strict_json(spark, text, ok):
     fields, error = parse_request(F.col("t"))
     row = spark.createDataFrame([(text,)], "t string").select(fields.alias("f"), error.alias("e")).first()
     assert (row["f"] is not None) == ok and (row["e"] is None) == ok
+
+
+@pytest.mark.parametrize("few, most", [(1_000_000, 0.7), (3, 0.7), (0, 0.0), (0, 2.0)])
+def test_ways_to_pick_the_computing_jobs_agree(spark, monkeypatch, few, most):
+    """Broadcast of either side, rules on all jobs, shuffle join: the same results, requests and cache rows."""
+    from docsift.operators import extract as X
+
+    monkeypatch.setattr(X, "BROADCAST_IDS", few)
+    monkeypatch.setattr(X, "MOST", most)
+    texts = [CARD, CARD, "JOANA DUAS", None, "MARIA TRES\n654321", "JOANA DUAS", "OUTRA", "MAIS UMA"]
+    jobs = jobs_df(spark, [(i, i, OAB, REQ_FULL if i % 2 else REQ_FOUND, t) for i, t in enumerate(texts * 2)])
+    asked = answers({i: f'{{"telefone_profissional": "{i}", "inscricao": "i{i}"}}' for i in range(16)})
+    cache = extract(jobs.filter("job_id IN (4, 6)")).new_cache
+    ex = extract(jobs, cache=cache, fallback=asked)
+    got = {r["job_id"]: (r["error_class"], r["result"] and values(r), r["metadata"] and tuple(r["metadata"])[:5])
+           for r in ex.results.collect()}
+    asked_for = sorted(r["doc_id"] for r in ex.requests.collect())
+    new = sorted((r["content_hash"], str([x["value"] for x in r["result"]])) for r in ex.new_cache.collect())
+    seen = _picked.setdefault("ways", (got, asked_for, new))
+    assert (got, asked_for, new) == seen and len(got) == 16 and asked_for == [1, 2, 5, 7]
+
+
+_picked: dict = {}
