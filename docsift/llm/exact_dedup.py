@@ -11,9 +11,10 @@ characters (null counts as empty). One pass over the text leaves a narrow table
   it set is unique for certain and passes straight through; the others (true
   repeats plus a few false positives) shuffle by hash and are grouped exactly.
 
-The filter never exceeds ``MAX_BITS`` bits (the bitmaps are broadcast: 4 MB per
-position set at most). A fuller filter only lets more unique rows into the
-shuffle; the result does not depend on it.
+The filter never exceeds ``MAX_BITS`` bits (the bitmaps are broadcast: 64 MB at
+most, for some 300 million rows). A fuller filter only lets more unique rows into the
+shuffle (half of them at 300 million rows, almost all beyond a billion); the result does
+not depend on it.
 
 Defined cases: null doc_id sorts after all others; rows repeated in every column
 form one group, of which exactly one row stays; an empty table gives an empty
@@ -29,7 +30,7 @@ from docsift.llm.rows import numbered, row_of, without_rows
 from docsift.session import materialize
 
 HASHES = 2
-MAX_BITS = 1 << 25
+MAX_BITS = 1 << 29
 BITS_PER_ROW = 16
 BUCKET_BITS = 32768          # bits in one bitmap_construct_agg bitmap
 HOT_GROUPS = 1000            # at most so many groups hold 1/HOT_GROUPS of the rows or more each

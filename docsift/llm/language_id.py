@@ -8,9 +8,9 @@ label depends on its run only, so each distinct run is labelled once per worker
 (bounded table) and counted as often as it stands.
 
 Training is numpy backpropagation through time on the driver, over a bounded
-random sample: at most ``TRAIN_DOCS`` labelled documents, a stretch of
-``TRAIN_CHARS`` characters from a random place of each, languages weighted
-equally. The learned weights are a few kilobytes and broadcast.
+random sample: at most ``TRAIN_DOCS`` labelled documents of each language that
+occurs, a stretch of ``TRAIN_CHARS`` characters from a random place of each, languages
+weighted equally. The learned weights are a few kilobytes and broadcast.
 
 Defined cases: null text or text without a letter is ``und`` with score 0, as is
 every document if no labelled one exists; null lang is never learned from; null
@@ -26,18 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docsift.llm.words import LETTERS, small, utf8
 from docsift.llm.worker import kept
 
-TRAIN_DOCS = 1500
+TRAIN_DOCS = 375              # of each language
 TRAIN_CHARS = 4000
 HIDDEN = 16
 STEPS = 400
 BATCH = 512
-MAX_RUN = 24
+MAX_RUN = 128                # bytes; longer than words are, so only scripts without spaces are cut
 MAX_KNOWN = 200_000
 UNKNOWN = "und"
 SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double"
@@ -228,18 +228,24 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame) -> Network:
     """Train on a bounded sample of the documents that are not held out and have a language.
 
-    The sample is the ``TRAIN_DOCS`` documents of the smallest hashes; those are found on the hashes alone,
-    so that tasks send numbers, not texts, to the driver.
+    Every language that any of them has is learned: the languages are counted over all, and the sample is drawn by
+    hash for each, ``TRAIN_DOCS`` documents of the smallest hashes where there are more.
     """
-    usable = docs.select("text", "lang", F.xxhash64("doc_id", F.lit("sample")).alias("o")).filter(
+    order = F.xxhash64("doc_id", F.length("text"), F.substring("text", 1, 200), F.lit("sample"))
+    usable = docs.select("text", "lang", order.alias("o")).filter(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0))
-    smallest = usable.select("o").orderBy("o").limit(TRAIN_DOCS).agg(F.max("o").alias("o")).first()["o"]
-    if smallest is None:
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).collect()          # a row for each class
+    if not counts:
         return train([])
+    # half as many again as wanted, so that fewer are very unlikely; a task passes on few rows of a language
+    shares = docs.sparkSession.createDataFrame(
+        [(r["lang"], min(1.0, 1.5 * TRAIN_DOCS / r["n"])) for r in counts], "lang string, share double")
+    drawn = usable.join(F.broadcast(shares), "lang").filter(F.pmod("o", F.lit(1 << 31)) < F.col("share") * F.lit(1 << 31))
     room = F.greatest(F.length("text") - TRAIN_CHARS, F.lit(0)) + 1
     stretch = F.substring(F.col("text"), (F.pmod(F.col("o"), room) + 1).cast("int"), F.lit(TRAIN_CHARS))
-    sample = (usable.filter(F.col("o") <= smallest).select("o", "lang", stretch.alias("text"))
-              .orderBy("o", "lang", "text").limit(TRAIN_DOCS).collect())
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("o", F.lit(1 << 31)), "o", "text"))
+    sample = (drawn.select("o", "lang", stretch.alias("text")).withColumn("place", place).filter(F.col("place") <= TRAIN_DOCS)
+              .orderBy("lang", "place").collect())
     return train([(r.lang, r.text.encode()) for r in sample])
 
 

@@ -418,5 +418,20 @@ def test_language_id(spark, empty):
     assert [r.lang_pred for r in language_id.predict(odd, none).collect()] == ["und"] * 5
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    """A language that few documents have is learned; null doc_ids do not crowd the others out."""
+    monkeypatch.setattr(language_id, "TRAIN_DOCS", 5)
+    seen = [i for i in range(30) if not held_out(i)]
+    rows = [(None, f"the of and {i}", "en") for i in range(300)] + [(seen[0], "der die das und", "de"), (seen[1], "le la les et", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert language_id.fit(docs).langs == ["de", "en", "fr"]
+
+
+def test_long_runs_are_read_whole():
+    text = ("日本語" * 14).encode()                            # 126 bytes without a space
+    assert language_id.runs(text) == [text]
+    assert b"".join(language_id.runs(text * 5)) == text * 5
+
+
 def test_extra_columns_are_there():
     assert all(c in SCHEMA for c in EXTRA)
