@@ -39,12 +39,6 @@ def _empty_files(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
     return listed.select("path", "length", F.timestamp_millis("millis").alias("modificationTime"))
 
 
-def list_files(spark: SparkSession, path: str, *, glob: str | None = None) -> DataFrame:
-    """``path, length, modificationTime`` of every file under ``path``; no content is read."""
-    listed = _reader(spark, glob).load(path).select("path", "length", "modificationTime")
-    return listed.unionByName(_empty_files(spark, path, glob))
-
-
 def _hashed(content: DataFrame) -> DataFrame:
     return content.select("path", "length", "modificationTime", S.content_hash(F.col("content")).alias("content_hash"))
 
