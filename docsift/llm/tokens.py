@@ -26,7 +26,7 @@ from docsift.llm.worker import kept
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark's tasks are the parallelism
 
 MAX_UNITS = 400_000
-MAX_WORDS = 500_000                                        # the same for the word vocabulary
+MAX_WORDS = 800_000                                        # the same for the word vocabulary
 JOINED = 4000                                              # units in one call's strings
 _BESIDE = re.compile(r"[.,](?:(?<=[\W_].)|(?=[^\w\s]|_))")   # a comma or stop that is part of something longer
 _NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")              # white space to Python, text to the library
