@@ -3,7 +3,8 @@
 Requests are dealt to ``clients`` by their id, and each client's requests are one task's, so
 at most that many calls run at a time; each client keeps to its share of
 ``calls_per_second``. A call that raises is tried again, ``attempts`` times in all, after waits that
-double. A request that fails each time has no answer, which the extraction reports as such.
+double; the client asks other requests meanwhile, and only with ``WAITING`` of them due for another call it sits a wait
+out. A request that fails each time has no answer, which the extraction reports as such.
 
 Answers go to a log in a shared folder as they come, ``log_every`` at a time, in a file that
 appears when it is whole. A task that starts again, or a later run with the same log, reads
@@ -15,8 +16,10 @@ executor was lost.
 from __future__ import annotations
 
 import hashlib
+import heapq
+import itertools
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -27,6 +30,7 @@ from docsift.operators.fallback import Fallback
 from docsift.session import Scratch
 from docsift.sources.ledger import file_system
 
+WAITING = 1000          # requests that a client holds for their next call
 LOG = "request_id string, response_json string, attempts int"
 _LOG = pa.schema([("request_id", pa.string()), ("response_json", pa.string()), ("attempts", pa.int32())])
 
@@ -54,16 +58,40 @@ def _log(folder: str, answers: list[tuple[str, str, int]]) -> None:
     system.move(f"{inner}/_{name}.part", f"{inner}/{name}.parquet")
 
 
-def _asked(answer: Callable[[dict], str | None], request: dict, attempts: int, wait: float, pace: Callable[[], None]):
-    """(response, calls made); the response is None where every call failed."""
-    for attempt in range(1, attempts + 1):
+def _asked(answer: Callable[[dict], str | None], requests: Iterable[tuple[str, dict]], attempts: int, wait: float,
+           pace: Callable[[], None]) -> Iterator[tuple[str, tuple[str, str | None, int]]]:
+    """For ``(folder, request)``: folder and (request id, response, calls made), in the order they are done with; the
+    response is None where every call failed.
+
+    One call at a time. A request that waits for its next call holds up no other one.
+    """
+    waiting: list[tuple] = []               # time of the next call, a number, calls made, folder, request
+    numbers = itertools.count()
+
+    def called(folder: str, request: dict, calls: int) -> Iterator[tuple[str, tuple[str, str | None, int]]]:
         pace()
         try:
-            return answer(request), attempt
+            response = answer(request)
         except Exception:  # noqa: BLE001 - whatever the client raises, the call failed
-            if attempt < attempts:
-                time.sleep(wait * 2 ** (attempt - 1))
-    return None, attempts
+            if calls < attempts:
+                due = time.monotonic() + wait * 2 ** (calls - 1)
+                heapq.heappush(waiting, (due, next(numbers), calls, folder, request))
+                return
+            response = None
+        yield folder, (request["request_id"], response, calls)
+
+    def again(most: int) -> Iterator[tuple[str, tuple[str, str | None, int]]]:
+        """Calls that are due; with more than ``most`` waiting, also the next ones, at their time."""
+        while waiting and (len(waiting) > most or waiting[0][0] <= time.monotonic()):
+            due, _, calls, folder, request = heapq.heappop(waiting)
+            if (left := due - time.monotonic()) > 0:
+                time.sleep(left)
+            yield from called(folder, request, calls + 1)
+
+    for folder, request in requests:
+        yield from called(folder, request, 1)
+        yield from again(WAITING)
+    yield from again(0)
 
 
 def _pacer(seconds_between: float) -> Callable[[], None]:
@@ -88,19 +116,22 @@ def by_workers(answer: Callable[[dict], str | None], log: str, *, clients: int =
     between = clients / calls_per_second if calls_per_second else 0.0
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pace, done, answers = _pacer(between), {}, {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                folder = f"{log}/client={row.pop('client')}"
-                if folder not in done:
-                    done[folder] = _logged(folder)
-                if row["request_id"] in done[folder]:
-                    continue
-                response, calls = _asked(answer, row, attempts, wait, pace)
-                mine = answers.setdefault(folder, [])
-                mine.append((row["request_id"], response, calls))
-                if len(mine) >= log_every:
-                    _log(folder, answers.pop(folder))
+        done, answers = {}, {}
+
+        def open_requests() -> Iterator[tuple[str, dict]]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    folder = f"{log}/client={row.pop('client')}"
+                    if folder not in done:
+                        done[folder] = _logged(folder)
+                    if row["request_id"] not in done[folder]:
+                        yield folder, row
+
+        for folder, answered_request in _asked(answer, open_requests(), attempts, wait, _pacer(between)):
+            mine = answers.setdefault(folder, [])
+            mine.append(answered_request)
+            if len(mine) >= log_every:
+                _log(folder, answers.pop(folder))
         for folder, mine in answers.items():
             _log(folder, mine)
         yield pa.RecordBatch.from_arrays([pa.array([len(done)], pa.int64())], ["clients"])

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docsift.operators.extract import extract, result_long
+from docsift.operators import workers
 from docsift.operators.workers import answered, by_workers
 from docsift.sources.files import parse_request
 from docsift.streaming.incremental import new_store
@@ -48,6 +49,36 @@ def test_each_request_is_answered_once(spark, tmp_path):
     assert {r for r, v in again.items() if v is None} == {"r43", "r44"}            # what failed is, and is answered now
 
 
+def test_a_waiting_request_holds_up_no_other(spark, tmp_path):
+    """120 requests that fail once: the waits of half a second run side by side, 60 s a client one after another."""
+    ask = by_workers(client(str(tmp_path), lambda d: 1), new_store(spark, "test-answers"), clients=1, attempts=2, wait=0.5)
+    start = time.monotonic()
+    got = [r["attempts"] for r in ask(requests(spark, 120)).collect()]
+    assert got == [2] * 120 and time.monotonic() - start < 30
+    assert set(calls(tmp_path).values()) == {2}
+
+
+def test_few_requests_wait_at_a_time(monkeypatch):
+    """With as many waiting as a client holds, it sits out the next wait before it asks another request."""
+    monkeypatch.setattr(workers, "WAITING", 3)
+    seen, most, open_now = {}, [0], set()
+
+    def answer(request):
+        key = request["request_id"]
+        seen[key] = seen.get(key, 0) + 1
+        open_now.add(key)
+        most[0] = max(most[0], len(open_now))
+        if seen[key] < 2:
+            raise TimeoutError
+        open_now.remove(key)
+        return "{}"
+
+    rows = (("f", {"request_id": str(i)}) for i in range(20))
+    out = list(workers._asked(answer, rows, 2, 0.01, lambda: None))
+    assert sorted(out) == sorted(("f", (str(i), "{}", 2)) for i in range(20))
+    assert most[0] <= 4 and not open_now
+
+
 def test_a_lost_task_loses_no_answer(spark, tmp_path):
     """A worker that dies in the middle: the next run asks only what the log lacks."""
     log = new_store(spark, "test-answers")
