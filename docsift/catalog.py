@@ -522,18 +522,21 @@ def custom_bank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _streamed(spark: SparkSession, sf_dir: str) -> str:
-    """Cards and screens arriving as four files, extracted micro-batch by micro-batch; the folder of the results."""
-    store = new_store(spark)
+    """Cards and screens arriving in four parts, extracted micro-batch by micro-batch; the folder of the results.
+
+    A part is as many files as there are cores, so that each batch is written and read by all of them.
+    """
+    store, files_a_part = new_store(spark), spark.sparkContext.defaultParallelism
     jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request")
-    jobs.repartition(4, "job_id").write.parquet(f"{store}/incoming")
-    stream = spark.readStream.schema(jobs.schema).option("maxFilesPerTrigger", 1).parquet(f"{store}/incoming")
+    jobs.repartition(4 * files_a_part, "job_id").write.parquet(f"{store}/incoming")
+    stream = spark.readStream.schema(jobs.schema).option("maxFilesPerTrigger", files_a_part).parquet(f"{store}/incoming")
     query = extract_stream(stream, store=f"{store}/out", fallback=fixture_fallback)
     query.awaitTermination()
     return f"{store}/out"
 
 
 def stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cards and screens arriving as four files, extracted micro-batch by micro-batch.
+    """Cards and screens arriving in four parts, extracted micro-batch by micro-batch.
 
     Same rows as ``extract_long``: every fixture text is distinct, so arrival order
     cannot change which job is a key's first writer.

@@ -138,7 +138,7 @@ def _names(values: Column, pred) -> Column:
 def extract(jobs: DataFrame, *, cache: DataFrame | CacheLookup | None = None, fallback: Fallback | None = None,
             key_includes_label: bool = False, cache_partial: bool = True,
             hot_rows: int = 1_000_000, rows_per_salt: int | None = None,
-            rules: RuleSet = DEFAULT, model: str = DEFAULT_MODEL) -> Extraction:
+            rules: RuleSet = DEFAULT, model: str = DEFAULT_MODEL, cache_too: bool = False) -> Extraction:
     """Run the three levels over ``jobs(job_id, doc_id, label, fields, text)``.
 
     ``cache``: existing cache rows (:data:`docsift.schema.CACHE`), or a function from the stored
@@ -149,6 +149,8 @@ def extract(jobs: DataFrame, *, cache: DataFrame | CacheLookup | None = None, fa
     second label with the same content and request gets the first label's result.
     ``cache_partial``: cache results whose fallback failed (reference behaviour).
     ``model``: name written into the requests.
+    ``cache_too``: both ``results`` and ``new_cache`` will be read, so the merged results of the keys are stored
+    instead of being formed for each.
     """
     scratch = Scratch(jobs.sparkSession)
     scanned = scratch.table(scan(jobs, key_includes_label=key_includes_label), "scan")
@@ -222,6 +224,8 @@ def extract(jobs: DataFrame, *, cache: DataFrame | CacheLookup | None = None, fa
         llm_ok.alias("llm_used"),
         F.when(llm_ok, F.transform("missing", lambda f: f["field"])).alias("found_by_llm"),
     )
+    if cache_too:
+        per_key = scratch.table(per_key, "per_key")
 
     new_cache = per_key.filter(~F.col("in_cache"))
     if not cache_partial:

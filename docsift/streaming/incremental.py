@@ -77,7 +77,7 @@ def run_batch(batch: DataFrame, batch_id: int, *, store: str, fallback: Fallback
     cache, results_path = KeyedCache(batch.sparkSession, f"{store}/cache"), f"{store}/results"
     if fallback is not None:
         fallback = _answered_once(fallback, f"{store}/answers/batch_id={batch_id}")
-    ex = extract(batch, cache=cache.lookup(but_batch=batch_id), fallback=fallback, **options)
+    ex = extract(batch, cache=cache.lookup(but_batch=batch_id), fallback=fallback, cache_too=True, **options)
     (ex.results.withColumn("batch_id", F.lit(batch_id).cast("long"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(results_path))
