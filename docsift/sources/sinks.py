@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docsift.operators.extract import result_json
-from docsift.sources.files import placed_pieces, with_sum_before
+from docsift.session import Scratch
+from docsift.sources.files import placed_pieces
 
 
 def result_records(results: DataFrame) -> DataFrame:
@@ -26,15 +27,22 @@ def write_results_in_order(results: DataFrame, path: str, files: int | None = No
 
     The jobs are dealt to files by ranges of their ids, so no task sorts or holds more than its range.
     """
-    n = files or int(results.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (result_records(results).repartitionByRange(n, "job_id").sortWithinPartitions("job_id")
+    n, scratch = files or int(results.sparkSession.conf.get("spark.sql.shuffle.partitions")), Scratch(results.sparkSession)
+    records = scratch.table(result_records(results), "records")     # the ranges are found by a reading of their own
+    (records.repartitionByRange(n, "job_id").sortWithinPartitions("job_id")
      .write.mode(mode).json(path))
+    scratch.remove()
 
 
 def read_results_in_order(spark: SparkSession, path: str) -> DataFrame:
     """``position`` (from 1) and ``line`` of the lines under ``path``, read by many tasks in the order they were written."""
-    lines = placed_pieces(spark, path, "\n").withColumn("one", F.lit(1))
-    return with_sum_before(lines, "one", "before").select((F.col("before") + 1).alias("position"), F.col("piece").alias("line"))
+    lines = placed_pieces(spark, path, "\n")
+    splits = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = F.sum("n").over(Window.orderBy("file", "block")) - F.col("n")      # one row a split
+    splits = splits.select("file", "block", (before - F.col("first") + 1).alias("shift"))
+    # a split is read by one task, so the ids of its lines follow on from each other and no line is moved
+    return lines.join(F.broadcast(splits), ["file", "block"]).select(
+        (F.col("at") + F.col("shift")).alias("position"), F.col("piece").alias("line"))
 
 
 def write_report(tables: dict[str, DataFrame], path: str, mode: str = "overwrite") -> None:
