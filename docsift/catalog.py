@@ -99,11 +99,11 @@ def _rule_query(which: str, x: str) -> Query:
 
 def rules_long_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rules with repeated groups on runs of up to 3,900 capital words (one text per customer)."""
-    c = T.load(spark, sf_dir, "customer").select("c_custkey")
+    c = spread(T.load(spark, sf_dir, "customer").select("c_custkey"))      # the keys are dealt, not the texts
     words = F.pmod(F.col("c_custkey") * 97, F.lit(40)) * 50 + 1
     run = F.concat(F.lit("nome "), F.repeat(F.lit("JOAO SILVA "), words.cast("int")), F.lit("fim\nProduto "),
                    F.repeat(F.lit("CREDITO "), words.cast("int")), F.lit("Qtd 1"))
-    d = c.select(F.col("c_custkey").alias("doc_id"), run.alias("text")).repartition(32)
+    d = c.select(F.col("c_custkey").alias("doc_id"), run.alias("text"))
     out = extractor_values(d, ["oab_nome", "sis_produto"])
     return out.select("doc_id", F.length("oab_nome").alias("n_nome"), F.sha2("oab_nome", 256).alias("nome_sha256"),
                       F.length("sis_produto").alias("n_produto"))

@@ -31,9 +31,8 @@ _OUTSIDE = {   # escape -> what it is outside a character class
 }
 _INSIDE = {"w": _WORD, "s": _SPACE}
 
-# Python's str.strip() removes every character for which str.isspace() holds: the same as \s. At the
-# start the spaces are one possessive run, so that a long inner run is not tried from each of its places.
-_STRIP = rf"(?Ud)^[{_SPACE}]++|(?<![{_SPACE}])[{_SPACE}]++$"
+# Python's str.strip() removes every character for which str.isspace() holds: the same as \s.
+_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def python_classes(pattern: str) -> str:
@@ -76,7 +75,7 @@ def found(text: Column, pattern: str, flags: str = "") -> Column:
 def strip(value: Column) -> Column:
     """Python ``str.strip()``: remove leading and trailing Unicode whitespace.
 
-    Spark's ``trim`` removes only the ASCII space, so ``\\n`` and ``\\t`` would stay.
+    Spark's ``trim`` alone removes only the ASCII space, so it is given all these characters.
     A null stays null; whitespace only becomes ``''``, which still counts as found.
     """
-    return F.regexp_replace(value, _STRIP, "")
+    return F.btrim(value, F.lit(_SPACES))
