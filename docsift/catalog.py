@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from docsift import schema as S
 from docsift.operators import stats
-from docsift.operators.engine import apply_rules, extractor_values
+from docsift.operators.engine import apply_rules, extractor_values, plan_table
 from docsift.operators.extract import Extraction, extract, prepare_jobs, result_json, result_long
 from docsift.operators.keys import distinct_keys
 from docsift.operators.workers import by_workers
@@ -92,7 +92,7 @@ def fixture_fallback(requests: DataFrame) -> DataFrame:
 
 def _rule_query(which: str, x: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        d = spread(fixture_docs(spark, sf_dir, which).select("doc_id", "text"))
+        d = fixture_docs(spark, sf_dir, which).select("doc_id", "text")
         return extractor_values(d, [x]).select("doc_id", F.col(x).alias("value"))
     return q
 
@@ -126,7 +126,7 @@ def rules_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_extraction(spark: SparkSession, sf_dir: str) -> Extraction:
     """Three-level extraction of all cards and screens, answered by the fixture fallback."""
-    jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request")
+    jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request", dealt=True)
     return extract(jobs, fallback=fixture_fallback)
 
 
@@ -152,8 +152,8 @@ def result_json_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def extract_found_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule level only: per job, how many fields the rules found and whether all were found."""
-    jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request")
-    ruled = apply_rules(jobs)
+    jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request", dealt=True)
+    ruled = apply_rules(jobs, plans=plan_table(jobs, lambda plans: materialize(plans, "plans")))
     return ruled.select(
         "job_id", "found_all",
         F.size("fields").cast("long").alias("n_fields"),
@@ -162,7 +162,7 @@ def extract_found_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def missing_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request")
+    jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request", dealt=True)
     return extract(jobs).requests.select(
         "doc_id", "label",
         F.array_join(F.transform("missing", lambda f: f["field"]), ",").alias("missing_fields"),
@@ -226,7 +226,7 @@ def labels_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs = prepare_jobs(T.documents_jobs(spark, sf_dir), request="request")
+    jobs = prepare_jobs(T.documents_jobs(spark, sf_dir), request="request", dealt=True)
     return (jobs.withColumn("content_hash", S.content_hash(F.col("text")))
             .withColumn("schema_hash", S.schema_hash(F.col("fields")))
             .withColumn("cache_key", S.cache_key(F.col("content_hash"), F.col("schema_hash"))))
@@ -251,7 +251,7 @@ def schema_key_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents_run(spark: SparkSession, sf_dir: str, cache, jobs: DataFrame) -> Extraction:
-    return extract(prepare_jobs(jobs, request="request"), cache=cache, fallback=fixture_fallback)
+    return extract(prepare_jobs(jobs, request="request", dealt=True), cache=cache, fallback=fixture_fallback)
 
 
 def _second_run(spark: SparkSession, sf_dir: str) -> Extraction:
@@ -343,7 +343,7 @@ def _faulty_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def extract_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every job's error, if any, and its field counts in the report; bad requests never reach the cache."""
-    run = extract(prepare_jobs(_faulty_jobs(spark, sf_dir)), fallback=fixture_fallback)
+    run = extract(prepare_jobs(_faulty_jobs(spark, sf_dir), dealt=True), fallback=fixture_fallback)
     report = stats.per_job(run.results).select("job_id", "total_fields", "error")
     return run.results.select("job_id", "error_class", F.col("cache_key").isNotNull().alias("keyed")).join(
         report, "job_id")
@@ -351,7 +351,7 @@ def extract_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def empty_result_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second run over all faulty jobs: every result is a hit, one without fields too; errors stay errors."""
-    jobs = prepare_jobs(_faulty_jobs(spark, sf_dir))
+    jobs = prepare_jobs(_faulty_jobs(spark, sf_dir), dealt=True)
     cache = KeyedCache(spark, new_store(spark, "cache"))
     first = extract(jobs)
     cache.append(first.new_cache)
@@ -465,7 +465,7 @@ def flaky_client(request: dict) -> str:
 
 def fallback_workers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All requests of cards and screens asked by four clients that fail now and then, in at most three calls each."""
-    jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request")
+    jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request", dealt=True)
     requests = materialize(extract(jobs).requests, "requests")
     ask = by_workers(flaky_client, new_store(spark, "answers"), clients=4, attempts=3, wait=0.001, log_every=500)
     return requests.select("request_id", "doc_id").join(ask(requests), "request_id", "left").select(
@@ -527,7 +527,7 @@ def _streamed(spark: SparkSession, sf_dir: str) -> str:
     A part is as many files as there are cores, so that each batch is written and read by all of them.
     """
     store, files_a_part = new_store(spark), spark.sparkContext.defaultParallelism
-    jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request")
+    jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request", dealt=True)
     jobs.repartition(4 * files_a_part, "job_id").write.parquet(f"{store}/incoming")
     stream = spark.readStream.schema(jobs.schema).option("maxFilesPerTrigger", files_a_part).parquet(f"{store}/incoming")
     query = extract_stream(stream, store=f"{store}/out", fallback=fixture_fallback)
@@ -575,7 +575,7 @@ def stream_first_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first micro-batch run twice, as after a failure: its rows must be those of the first run."""
     store = new_store(spark)
-    jobs = prepare_jobs(T.documents_jobs(spark, sf_dir).drop("lang"), request="request")
+    jobs = prepare_jobs(T.documents_jobs(spark, sf_dir).drop("lang"), request="request", dealt=True)
     for _ in range(2):
         run_batch(jobs, 0, store=store, fallback=fixture_fallback)
     r = read_results(spark, store)
@@ -585,7 +585,7 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rules_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both rule banks over every driver document, whole texts."""
-    jobs = prepare_jobs(T.documents_jobs(spark, sf_dir), request="request")
+    jobs = prepare_jobs(T.documents_jobs(spark, sf_dir), request="request", dealt=True)
     ruled = apply_rules(jobs.select("job_id", "label", "fields", "text"))
     # explode_outer: a plain explode makes Catalyst infer size(rule_values) > 0 and push
     # it below the projections, re-running every extractor once per field.

@@ -27,10 +27,20 @@ from docsift.schema import schema_hash
 
 SOURCE_LABEL = "label_rules"
 SOURCE_GENERIC = "generic_rules"
+WIDE = 4                # extractors, beyond which a projection of them stands apart
 
 
-def _needed(plan: Column) -> Column:
-    return F.array_distinct(F.flatten(F.transform(plan, lambda p: F.array(p["label_x"], p["generic_x"]))))
+def _needed(plan: Column, rules: RuleSet) -> Column:
+    """For each extractor index, whether the plan refers to it."""
+    indexes = F.array(*[F.lit(i) for i in range(len(rules.extractor_ids))])
+    used = F.flatten(F.transform(plan, lambda p: F.array(p["label_x"], p["generic_x"])))
+    return F.transform(indexes, lambda i: F.exists(used, lambda x: x.eqNullSafe(i)))
+
+
+def _apart(cond: Column) -> Column:
+    """``cond`` as a lambda, which keeps its projection out of whole-stage code. There, the one method of so wide a
+    projection is beyond the 8,000 bytes up to which the JVM compiles; by itself it is split into small methods."""
+    return F.exists(F.array(cond), lambda c: c)
 
 
 def _raw(alt: Alt, text: Column) -> Column:
@@ -65,7 +75,7 @@ def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
                   rules: RuleSet = DEFAULT) -> DataFrame:
     """Add one finished column ``_v<i>`` per extractor index ``i`` in ``ids``.
 
-    ``needed``: array<int> Column of extractor indexes to run (None: all of ``ids``).
+    ``needed``: array<boolean> Column, by extractor index, of those to run (None: all of ``ids``).
     """
     exts = rules.extractors
     ids = rules.extractor_ids if ids is None else ids
@@ -73,7 +83,7 @@ def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
     t = F.col(text)
 
     def need(i: int) -> Column:
-        return F.lit(True) if needed is None else F.array_contains(needed, F.lit(i))
+        return F.lit(True) if needed is None else F.get(needed, F.lit(i))
 
     # stage 0: extractor-wide gates, once per row
     gates = {x: f"_g{index[x]}" for x in ids if exts[x].gate}
@@ -92,7 +102,7 @@ def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
                 cond = cond & _missed(ext.alts[j], F.col(_col(i, j)))
             if alt.gate:
                 cond = cond & found(t, *alt.gate)
-            cols[_col(i, k)] = F.when(cond, _raw(alt, t))
+            cols[_col(i, k)] = F.when(_apart(cond) if not cols and len(ids) > WIDE else cond, _raw(alt, t))
         df = df.withColumns(cols)
 
     finished = {}
@@ -100,6 +110,8 @@ def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
         i, ext = index[x], exts[x]
         alts = [_finish(a, F.col(_col(i, k))) for k, a in enumerate(ext.alts)]
         finished[f"_v{i}"] = alts[0] if len(alts) == 1 else F.coalesce(*alts)
+        if len(finished) == 1 and len(ids) > WIDE:
+            finished[f"_v{i}"] = F.when(_apart(F.lit(True) if needed is None else needed.isNotNull()), finished[f"_v{i}"])
     drop = [_col(index[x], k) for x in ids for k in range(len(exts[x].alts))] + list(gates.values())
     return df.withColumns(finished).drop(*drop)
 
@@ -131,7 +143,7 @@ def plan_table(df: DataFrame, keep, *, label: str = "label", fields: str = "fiel
                       F.col(fields).alias("_fields")).filter(F.col("_fields").isNotNull())
     plans = keep(keyed.distinct().select(
         "_family", "_fields", field_plan(None, F.col("_fields"), rules, bank=F.col("_family")).alias("_plan"),
-        schema_hash(F.col("_fields")).alias("_schema_hash")))
+        schema_hash(F.col("_fields")).alias("_schema_hash")).withColumn("_needed", _needed(F.col("_plan"), rules)))
     stats = plans.agg(F.count(F.lit(1)).alias("n"),
                       F.coalesce(F.sum(F.length(F.to_json("_fields"))), F.lit(0)).alias("bytes")).first()
     if stats["n"] > max_plans or stats["bytes"] * 3 > max_bytes:   # x3: plan adds rule columns
@@ -141,7 +153,7 @@ def plan_table(df: DataFrame, keep, *, label: str = "label", fields: str = "fiel
 
 def attach_plans(df: DataFrame, plans: DataFrame, *, label: str = "label", fields: str = "fields",
                  rules: RuleSet = DEFAULT) -> DataFrame:
-    """Broadcast-join the plan table on (bank, request): adds ``_plan`` and ``_schema_hash``."""
+    """Broadcast-join the plan table on (bank, request): adds ``_plan``, ``_needed`` and ``_schema_hash``."""
     return (df.withColumn("_family", F.coalesce(family(F.col(label), rules), F.lit("")))
             .join(F.broadcast(plans.withColumnRenamed("_fields", fields)), ["_family", fields], "left")
             .drop("_family"))
@@ -163,7 +175,8 @@ def apply_rules(df: DataFrame, *, label: str = "label", fields: str = "fields",
         out = df.withColumn("_plan", field_plan(F.col(label), F.col(fields), rules))
     else:
         out = attach_plans(df, plans, label=label, fields=fields, rules=rules)
-    out = out.withColumn("_needed", _needed(F.col("_plan")))
+    if "_needed" not in out.columns:
+        out = out.withColumn("_needed", _needed(F.col("_plan"), rules))
     out = staged_values(out, text, F.col("_needed"), rules=rules)
     n = len(rules.extractor_ids)
     vals = F.array(*[F.col(f"_v{i}") for i in range(n)])

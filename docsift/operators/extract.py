@@ -64,13 +64,14 @@ class Extraction:
 
 
 def prepare_jobs(jobs: DataFrame, documents: DataFrame | None = None, *,
-                 fields: str = "fields", request: str | None = None) -> DataFrame:
+                 fields: str = "fields", request: str | None = None, dealt: bool = False) -> DataFrame:
     """Normalise jobs to ``job_id, doc_id, label, fields, text``.
 
     ``request`` names a ``map<string,string>`` column to turn into ordered fields.
     When ``documents(doc_id, text)`` is given it is joined on ``doc_id``; a job whose
     document is absent keeps a null text and becomes an error row. A column
-    ``error_class`` (of request parsing or page reading) is kept.
+    ``error_class`` (of request parsing or page reading) is kept. ``dealt``: the rows already lie on all cores,
+    so texts are not moved to get there.
     """
     if request is not None:
         jobs = jobs.withColumn("fields", S.fields_of(F.col(request)))
@@ -79,7 +80,8 @@ def prepare_jobs(jobs: DataFrame, documents: DataFrame | None = None, *,
     if documents is not None:
         jobs = jobs.join(documents.select("doc_id", "text"), "doc_id", "left")
     known = ["error_class"] if "error_class" in jobs.columns else []
-    return spread(jobs.select("job_id", "doc_id", "label", "fields", "text", *known))
+    out = jobs.select("job_id", "doc_id", "label", "fields", "text", *known)
+    return out if dealt else spread(out)
 
 
 def scan(jobs: DataFrame, *, key_includes_label: bool = False) -> DataFrame:

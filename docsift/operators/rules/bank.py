@@ -57,6 +57,15 @@ class Alt:
     java: str | None = None
 
 
+def whole_word(pattern: str, first: str = "") -> str:
+    r"""For Java (see ``Alt.java``): ``\b…\b`` around a pattern that begins and ends with a word character in every match.
+
+    There a boundary is a word's end that looks one way only. ``first``: what every match begins with, looked at first.
+    """
+    assert pattern.startswith(r"\b") and pattern.endswith(r"\b")
+    return (f"(?={first})" if first else "") + rf"(?<!\w){pattern[2:-2]}(?!\w)"
+
+
 @dataclass(frozen=True)
 class Extractor:
     """Ordered alternatives; ``gate`` must occur for any of them to be tried."""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 
-from docsift.operators.rules.bank import Alt, Extractor, FieldView, Rule, RuleBank
+from docsift.operators.rules.bank import Alt, Extractor, FieldView, Rule, RuleBank, whole_word
 
 # --- fixed values -----------------------------------------------------------
 CPF_FORMATTED = r"\b(\d{3}\.\d{3}\.\d{3}-\d{2})\b"
@@ -23,11 +23,13 @@ DATE_SHORT = r"\b(\d{2}/\d{2}/\d{2})\b"
 # ---------------------------------------------------------------------------
 
 EXTRACTORS = {
-    "gen_cpf": Extractor((Alt(CPF_FORMATTED, strip=True), Alt(CPF_DIGITS, strip=True))),
+    "gen_cpf": Extractor((Alt(CPF_FORMATTED, strip=True, java=whole_word(CPF_FORMATTED, r"\d")),
+                          Alt(CPF_DIGITS, strip=True, java=whole_word(CPF_DIGITS, r"\d")))),
     # shared by the card bank and the generic bank: same gate, same alternatives
-    "telefone": Extractor((Alt(PHONE_AREA, group=0, strip=True), Alt(PHONE_SPACED, group=0, strip=True),
-                           Alt(PHONE_DIGITS, group=0, strip=True)), gate=(PHONE_WORD, "i")),
-    "gen_data": Extractor((Alt(DATE_LONG, strip=True), Alt(DATE_SHORT, strip=True))),
+    "telefone": Extractor((Alt(PHONE_AREA, group=0, strip=True), Alt(PHONE_SPACED, group=0, strip=True, java=whole_word(PHONE_SPACED, r"\d")),
+                           Alt(PHONE_DIGITS, group=0, strip=True, java=whole_word(PHONE_DIGITS, r"\d"))), gate=(PHONE_WORD, "i")),
+    "gen_data": Extractor((Alt(DATE_LONG, strip=True, java=whole_word(DATE_LONG, r"\d")),
+                           Alt(DATE_SHORT, strip=True, java=whole_word(DATE_SHORT, r"\d")))),
 }
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docsift.functions.regex import rx, strip
-from docsift.operators.rules.bank import Alt, Extractor, Rule, RuleBank, name_has_any
+from docsift.operators.rules.bank import Alt, Extractor, Rule, RuleBank, name_has_any, whole_word
 
 # --- fixed values -----------------------------------------------------------
 NAME = r"\b([A-ZÀ-Ú]+(?:[\s'][A-ZÀ-Ú]+)*)\b"
@@ -30,7 +30,7 @@ STATUS = r"SITUA[CÇ](?:A[OÃ]|Ã[OÃ])\s+([A-ZÀ-Ú]+)"
 # boundary. A step leads from one such boundary to the next: over signs that are in the class but are no
 # letters (U+00D7) up to a word character, or over a whole run of letters.
 _LETTER, _SIGN = r"[A-ZÀ-ÖØ-Ú]", r"[\s']?+×"
-NAME_JAVA = (r"\b((?=%s|×)(?:(?:%s)++(?=\w)|(?:%s)*+[\s']?+%s++\b)++)" % (_LETTER, _SIGN, _SIGN, _LETTER))
+NAME_JAVA = (r"(?=[A-ZÀ-Ú])\b((?=%s|×)(?:(?:%s)++(?=\w)|(?:%s)*+[\s']?+%s++\b)++)" % (_LETTER, _SIGN, _SIGN, _LETTER))
 
 
 def address_lines(span: Column) -> Column:
@@ -45,12 +45,13 @@ def address_lines(span: Column) -> Column:
 
 EXTRACTORS = {
     "oab_nome": Extractor((Alt(NAME, strip=True, java=NAME_JAVA),)),
-    "oab_inscricao": Extractor((Alt(REGISTRATION, strip=True),)),
+    "oab_inscricao": Extractor((Alt(REGISTRATION, strip=True, java=whole_word(REGISTRATION, r"\d")),)),
     # the bare state code is only searched when the word "Seccional" is present
     "oab_seccional": Extractor((Alt(COUNCIL_CODE, "i", strip=True),
-                                Alt(STATE_CODE, gate=(SECTION_WORD, "i"), strip=True))),
+                                Alt(STATE_CODE, gate=(SECTION_WORD, "i"), strip=True,
+                                    java=whole_word(STATE_CODE, "[A-Z]")))),
     "oab_subsecao": Extractor((Alt(SUBSECTION_DASH, "i", strip=True), Alt(SUBSECTION_PLAIN, "i", strip=True))),
-    "oab_categoria": Extractor((Alt(CATEGORY, "i", strip=True),)),
+    "oab_categoria": Extractor((Alt(CATEGORY, "i", strip=True, java=whole_word(CATEGORY)),)),
     "oab_endereco": Extractor((Alt(ADDRESS, "i", group=0, finish=address_lines),)),
     "oab_situacao": Extractor((Alt(STATUS, "i", strip=True),)),
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docsift.operators.rules.bank import Alt, Extractor, Rule, RuleBank, both, name_has_all, name_has_any
+from docsift.operators.rules.bank import Alt, Extractor, Rule, RuleBank, both, name_has_all, name_has_any, whole_word
 
 # --- fixed values -----------------------------------------------------------
 CITY = r"Cidade:\s+([A-Za-zÀ-úç\s]+?)\s+U\.F"
@@ -39,7 +39,7 @@ INSTALMENT_VALUE = r"VIr\.?\s*Parc\.\s+(\d+(?:\.\d+)?,\d+)"
 # labelled product is the shortest run after which its ending holds.
 _PRODUCT_END = r"(?:\s+[A-Z][a-z]|\s*$|\s+\d)"
 PRODUCT_JAVA = r"Produto\s++([A-Z]++(?:(?!%s)\s++[A-Z]++)*+)(?=%s)" % (_PRODUCT_END, _PRODUCT_END)
-UPPER_RUN_JAVA = r"\b([A-Z]{2,}+\b(?:\s++[A-Z]{2,}+\b)*+)"
+UPPER_RUN_JAVA = r"(?=[A-Z])(?<!\w)([A-Z]{2,}+(?!\w)(?:\s++[A-Z]{2,}+(?!\w))*+)"
 
 
 def pick_product(runs: Column) -> Column:
@@ -58,7 +58,7 @@ EXTRACTORS = {
     "sis_quantidade_parcelas": Extractor((Alt(COUNT_LABELLED, "i"), Alt(COUNT_NEAR, "i"))),
     "sis_selecao_parcelas": Extractor((Alt(SELECTION_LABELLED, "i"), Alt(SELECTION_NEAR, "is"))),
     "sis_sistema": Extractor((Alt(SYSTEM_WITH_VALUE), Alt(SYSTEM_PLAIN))),
-    "sis_tipo_operacao": Extractor((Alt(OPERATION_LABELLED, "i"), Alt(OPERATION_WORD, "i"))),
+    "sis_tipo_operacao": Extractor((Alt(OPERATION_LABELLED, "i"), Alt(OPERATION_WORD, "i", java=whole_word(OPERATION_WORD)))),
     "sis_tipo_sistema": Extractor((Alt(SYSTEM_KIND_LABELLED, "i"), Alt(SYSTEM_KIND_NEAR, "is"))),
     "sis_total_parcelas": Extractor((Alt(TOTAL_LABELLED, "i"), Alt(TOTAL_GENERAL, "i"))),
     "sis_valor_parcela": Extractor((Alt(INSTALMENT_VALUE, "i"),)),
