@@ -19,6 +19,7 @@ import hashlib
 import heapq
 import itertools
 import time
+from collections import deque
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -63,33 +64,48 @@ def _asked(answer: Callable[[dict], str | None], requests: Iterable[tuple[str, d
     """For ``(folder, request)``: folder and (request id, response, calls made), in the order they are done with; the
     response is None where every call failed.
 
-    One call at a time. A request that waits for its next call holds up no other one.
+    One call at a time. A request that waits for its next call holds up no other one, except others of its id:
+    these are asked one after another.
     """
     waiting: list[tuple] = []               # time of the next call, a number, calls made, folder, request
-    numbers = itertools.count()
+    behind: dict[str, deque] = {}           # ids that wait, and what else came under them
+    numbers, n_behind = itertools.count(), 0
 
     def called(folder: str, request: dict, calls: int) -> Iterator[tuple[str, tuple[str, str | None, int]]]:
-        pace()
-        try:
-            response = answer(request)
-        except Exception:  # noqa: BLE001 - whatever the client raises, the call failed
-            if calls < attempts:
-                due = time.monotonic() + wait * 2 ** (calls - 1)
-                heapq.heappush(waiting, (due, next(numbers), calls, folder, request))
+        nonlocal n_behind
+        key = request["request_id"]
+        while True:
+            pace()
+            try:
+                response = answer(request)
+            except Exception:  # noqa: BLE001 - whatever the client raises, the call failed
+                if calls < attempts:
+                    due = time.monotonic() + wait * 2 ** (calls - 1)
+                    heapq.heappush(waiting, (due, next(numbers), calls, folder, request))
+                    behind.setdefault(key, deque())
+                    return
+                response = None
+            yield folder, (key, response, calls)
+            if not behind.get(key):
+                behind.pop(key, None)
                 return
-            response = None
-        yield folder, (request["request_id"], response, calls)
+            (folder, request), calls = behind[key].popleft(), 1
+            n_behind -= 1
 
     def again(most: int) -> Iterator[tuple[str, tuple[str, str | None, int]]]:
-        """Calls that are due; with more than ``most`` waiting, also the next ones, at their time."""
-        while waiting and (len(waiting) > most or waiting[0][0] <= time.monotonic()):
+        """Calls that are due; with more than ``most`` held, also the next ones, at their time."""
+        while waiting and (len(waiting) + n_behind > most or waiting[0][0] <= time.monotonic()):
             due, _, calls, folder, request = heapq.heappop(waiting)
             if (left := due - time.monotonic()) > 0:
                 time.sleep(left)
             yield from called(folder, request, calls + 1)
 
     for folder, request in requests:
-        yield from called(folder, request, 1)
+        if request["request_id"] in behind:
+            behind[request["request_id"]].append((folder, request))
+            n_behind += 1
+        else:
+            yield from called(folder, request, 1)
         yield from again(WAITING)
     yield from again(0)
 

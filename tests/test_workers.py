@@ -79,6 +79,22 @@ def test_few_requests_wait_at_a_time(monkeypatch):
     assert most[0] <= 4 and not open_now
 
 
+def test_requests_of_one_id_are_asked_one_after_another():
+    made = []
+
+    def answer(request):
+        made.append(request["request_id"] + request["label"])
+        if made.count(made[-1]) < 3:
+            raise TimeoutError
+        return "{}"
+
+    rows = [("f", {"request_id": k, "label": label}) for label in "xyz" for k in "ab"]
+    assert sorted(workers._asked(answer, rows, 3, 0.001, lambda: None)) == [
+        ("f", ("a", "{}", 3))] * 3 + [("f", ("b", "{}", 3))] * 3
+    for k in "ab":
+        assert [m for m in made if m[0] == k] == [k + label for label in "xyz" for _ in range(3)]
+
+
 def test_a_lost_task_loses_no_answer(spark, tmp_path):
     """A worker that dies in the middle: the next run asks only what the log lacks."""
     log = new_store(spark, "test-answers")
