@@ -36,19 +36,14 @@ STRIPE_BYTES = 16 << 20
 
 
 def _encoded(tokenizer: str, end_id: int):
-    end = tokens.packed([end_id])
-
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, at = tokens.word_level(tokenizer), TaskContext.get().partitionId(), 0
         for batch in small(batches):
             texts = pc.fill_null(batch["text"].cast(pa.string()), "").to_pylist()
-            for rows in tokens.slices(texts):
-                docs = [b"".join(v) + end for v in encoder.values(texts[rows])]
-                n = np.array([len(d) // 4 for d in docs], dtype=np.int64)
-                ends = np.cumsum(n)
-                ids = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], ends]), pa.int32()),
-                    pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(docs))]))
+            for rows in tokens.slices(texts, tokens.SLICE):
+                ids, ends = encoder.ids_and_end(texts[rows], end_id)
+                n = np.diff(ends, prepend=0)
+                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.view("<i4")))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(n), part), pa.int32()), pa.array(at + ends - n), batch["doc_id"][rows],
                      pa.array(n), ids], ["part", "at", "doc_id", "n_tokens", "ids"])

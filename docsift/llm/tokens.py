@@ -4,7 +4,9 @@ The library merges once per distinct *unit*: a stretch of text that its
 pre-tokenizer never joins to what stands beside it. Units are looked up in a
 table that lives as long as the Python worker and is bounded (``MAX_UNITS``). It has
 two halves: when the young one is full it becomes the old one, and what is met there
-again moves over. So units met often stay, and only those not met for long go.
+again moves over. So units met often stay, and only those not met for long go. For ``ids``, Arrow cuts a slice into
+units and numbers the distinct ones; those that are words are merged by ``tiktoken`` where that is proven to give the
+same, all in one call, and only the others go through the table. numpy lays the ids out.
 
 Byte-level BPE: a text is cut before each space and around each newline, which is
 safe where all white space (to Python or the library) is single spaces and newlines
@@ -20,6 +22,8 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from docsift.llm.worker import kept
 
@@ -28,6 +32,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark's tasks are t
 MAX_UNITS = 400_000
 MAX_WORDS = 800_000                                        # the same for the word vocabulary
 JOINED = 4000                                              # units in one call's strings
+SLICE = 4_000_000                                          # characters that ``ids`` is given at a time, one text at least
 _BESIDE = re.compile(r"[.,](?:(?<=[\W_].)|(?=[^\w\s]|_))")   # a comma or stop that is part of something longer
 _NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")              # white space to Python, text to the library
 _OTHER_SPACE = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
@@ -85,6 +90,85 @@ def by_ranks(path: str, tokenizer):
                              special_tokens={})
 
 
+_BREAK = 0xFFFFFFFF                                         # follows each word in what ``word_ranks`` gives
+
+
+def _letter_codes() -> tuple[np.ndarray, np.ndarray]:
+    """Codes below 128 for the UTF-8 bytes of lower-cased ``WORD`` letters, within a word and at its end; capitals have their small letter's."""
+    small = [*range(0x61, 0x7B), 0xC3, *(b for b in range(0x9F, 0xC0) if b != 0xB7)]
+    codes = iter(c for c in range(128) if c != 10)
+    within, at_end = np.full(256, 10, np.uint8), np.full(256, 10, np.uint8)
+    within[small] = [next(codes) for _ in small]
+    ends = [b for b in small if b != 0xC3]
+    at_end[ends] = [next(codes) for _ in ends]
+    for table in within, at_end:
+        table[0x41:0x5B] = table[0x61:0x7B]
+        table[[*range(0x80, 0x97), *range(0x98, 0x9F)]] = table[[*range(0xA0, 0xB7), *range(0xB8, 0xBF)]]
+    return within, at_end
+
+
+def _lower_case_words(file: dict) -> bool:
+    """Whether the file lower-cases texts and takes each run of letters as a pre-token, written as bytes; no added token is a word."""
+    steps = [s.get("type") for s in (file["normalizer"] or {}).get("normalizers", [])]
+    cut = (file["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (steps == ["NFC", "Replace", "Lowercase"] and [s.get("type") for s in cut] == ["Split", "ByteLevel"]
+            and file["normalizer"]["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
+            and r"|[\p{L}]+|" in cut[0]["pattern"].get("Regex", "") and not cut[1]["add_prefix_space"] and not cut[1]["use_regex"]
+            and not any(WORD.fullmatch(t["content"]) for t in file["added_tokens"]))
+
+
+def word_ranks(path: str, tokenizer):
+    """A function that gives the ids of words of ``WORD``'s letters, each with a newline after it, by ``tiktoken``, as an array
+    with ``_BREAK`` for each newline; None where they may differ from the library's.
+
+    The vocabulary marks what ends a word with ``</w>``. Here a letter has one code within a word and another at its end;
+    the ranks are the numbers of the rules that join such letters, and the conditions are those of ``by_ranks``.
+    """
+    import tiktoken
+    from tokenizers.models import BPE
+
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    model, (within, at_end), byte = file["model"], _letter_codes(), _byte_of_sign()
+    if (not _lower_case_words(file) or model["type"] != "BPE" or model.get("end_of_word_suffix") != "</w>"
+            or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))):
+        return None
+
+    def coded(token: str) -> str | None:
+        ends, signs = token.endswith("</w>"), token.removesuffix("</w>")
+        raw = [byte.get(c, 0) for c in signs]
+        codes = [*within[raw[:-1]], (at_end if ends else within)[raw[-1]]] if raw else [10]
+        capital = any(0x41 <= b <= 0x5A or 0x80 <= b <= 0x9E for b in raw)
+        return None if capital or 10 in codes else "".join(map(chr, codes))
+
+    special = {t["id"] for t in file["added_tokens"]}
+    ids = {c: i for t, i in model["vocab"].items() if i not in special and (c := coded(t))}
+    rules = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    rules = [(x, y) for x, y in ((coded(x), coded(y)) for x, y in rules if not x.endswith("</w>")) if x and y]
+    letters = [c for c in map(chr, range(128)) if c in ids]
+    order = letters + [x + y for x, y in rules]
+    rank = {t: k for k, t in enumerate(order)}
+    codes = {c for table in (within, at_end) for c in table.tolist() if c != 10}
+    if (set(map(ord, letters)) != codes or len(rank) != len(order) or rank.keys() != ids.keys()
+            or any(max(rank[x], rank[y]) >= rank[x + y] for x, y in rules)):
+        return None
+    merged = BPE(vocab=rank, merges=rules)
+    if any([t.id for t in merged.tokenize(token)] != [k] for token, k in rank.items()):
+        return None
+    encoding = tiktoken.Encoding("word-ranks", pat_str=r"\n|[^\n]+", special_tokens={},
+                                 mergeable_ranks={t.encode(): k for t, k in rank.items()} | {b"\n": len(order)})
+    id_of = np.array([ids[t] for t in order] + [_BREAK], dtype="<u4")
+
+    def joined(words: bytes) -> np.ndarray:
+        raw = np.frombuffer(words, np.uint8)
+        last = np.flatnonzero(raw == 10) - 1
+        codes = within[raw]
+        codes[last] = at_end[raw[last]]
+        return id_of[encoding.encode_ordinary(codes.tobytes().decode())]
+
+    return joined
+
+
 def packed(ids) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
@@ -132,9 +216,55 @@ class _Encoder:
                 raise RuntimeError(f"{len(block)} units were encoded as {len(ends)}")
             yield block, ids, ends
 
+    def marked(self, text: str) -> str | None:
+        """The text with ``mark`` between its units; None where it has to go to the library whole."""
+        raise NotImplementedError
+
     def split(self, text: str):
         raise NotImplementedError
 
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and where each text ends in them. For ``packed`` values."""
+        marked = [self.marked(t) if t else "" for t in texts]
+        cut = pc.split_pattern(pa.array([m or "" for m in marked], pa.large_string()), self.mark)
+        units = cut.values.dictionary_encode()
+        flat, first, n = self.distinct_ids(units.dictionary)
+        numbers = units.indices.to_numpy()
+        first, n = first[numbers], n[numbers]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.arange(ends[-1]) + np.repeat(first - ends[:-1], n)]
+        ends = ends[cut.offsets.to_numpy()[1:]]
+        if None in marked:
+            parts = np.split(ids, ends[:-1])
+            parts = [np.frombuffer(self.one(t), "<u4") if m is None else p for t, m, p in zip(texts, marked, parts)]
+            ids, ends = np.concatenate(parts), np.cumsum([len(p) for p in parts])
+        return ids, ends
+
+    def distinct_ids(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct ``units``, and where in them those of each unit begin and how many they are."""
+        is_word = pc.match_substring_regex(units, self.words).to_numpy(zero_copy_only=False) & (self.ranks is not None)
+        first, n = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+        flat = np.zeros(0, "<u4")
+        if is_word.any():
+            words = units.filter(pa.array(is_word)).to_numpy(zero_copy_only=False)
+            flat = self.word_ids("\n".join(words) + "\n")
+            ends = np.flatnonzero(flat == self.after_word)
+            if len(ends) != len(words):
+                raise RuntimeError(f"{len(words)} words were encoded as {len(ends)}")
+            n[is_word] = np.diff(ends, prepend=-1) - 1
+            first[is_word] = ends - n[is_word]
+        other = units.filter(pa.array(~is_word)).to_numpy(zero_copy_only=False).tolist()
+        self.learn(set(other))
+        values = list(map(self.units.__getitem__, other))
+        n[~is_word] = sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        first[~is_word] = len(flat) + np.cumsum(sizes) - sizes
+        return np.concatenate([flat, np.frombuffer(b"".join(values), "<u4")]), first, n
+
+    def ids_and_end(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """``ids``, with ``end_id`` after those of each text."""
+        ids, ends = self.ids(texts)
+        return np.insert(ids, ends, end_id), ends + np.arange(1, len(ends) + 1)
+
     def values(self, texts: list[str]) -> list[list]:
         """For each text, the values of its units in order."""
         split = [self.split(t) if t else () for t in texts]
@@ -143,28 +273,42 @@ class _Encoder:
         return [[self.one(t)] if units is None else list(map(get, units)) for t, units in zip(texts, split)]
 
 
-def byte_level_units(text: str) -> list[str] | None:
-    """Units of a text for a byte-level tokenizer; None where it has to go to the library whole."""
-    if "\x00" in text or any(c in text for c in _OTHER_SPACE):
+def byte_level_marked(text: str) -> str | None:
+    """A text with a zero byte between its units for a byte-level tokenizer; None where it has to go to the library whole."""
+    if not text or "\x00" in text or any(c in text for c in _OTHER_SPACE):
         return None
-    if len(text.split()) != text.count(" ") + text.count("\n") + 1:     # some stand together or at an end
+    if text[0] in " \n" or text[-1] in " \n" or any(c in text for c in ("  ", " \n", "\n ", "\n\n")):
         return None
     if not _BESIDE.search(text):
         text = text.replace(",", "\x00,").replace(".", "\x00.")
-    return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
+    return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00")
+
+
+def byte_level_units(text: str) -> list[str] | None:
+    """Units of a text for a byte-level tokenizer; None where it has to go to the library whole."""
+    marked = byte_level_marked(text)
+    return None if marked is None else marked.split("\x00")
 
 
 class ByteLevel(_Encoder):
+    mark, words = "\x00", r"\A%s\z" % WORD.pattern
+
     def __init__(self, path: str, value=packed, known: dict | None = None):
         super().__init__(path, value, {})
         self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-        self.ranks = by_ranks(path, self.tokenizer)
+        self.ranks, self.after_word = by_ranks(path, self.tokenizer), self.newline
         self.known = {**(known or {}), "": value([]), "\n": value([self.newline])}
         self.units = dict(self.known)
 
+    def marked(self, text: str) -> str | None:
+        return byte_level_marked(text)
+
     def split(self, text: str):
         return byte_level_units(text)
 
+    def word_ids(self, joined: str) -> np.ndarray:
+        return np.array(self.ranks.encode_ordinary(joined), dtype="<u4")
+
     def merged(self, units: list[str]):
         words = [u for u in units if WORD.fullmatch(u)] if self.ranks else []
         other = set(units).difference(words)
@@ -184,8 +328,11 @@ class ByteLevel(_Encoder):
 
 
 class WordLevel(_Encoder):
+    mark, words, after_word = " ", r"\A%s\z" % WORD.pattern.removeprefix(" ?"), _BREAK
+
     def __init__(self, path: str, value=packed):
-        super().__init__(path, value, {})
+        super().__init__(path, value, {"": value([])})
+        self.ranks = word_ranks(path, self.tokenizer)
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
@@ -193,12 +340,19 @@ class WordLevel(_Encoder):
     def most(self) -> int:
         return MAX_WORDS
 
-    def split(self, text: str):
+    def marked(self, text: str) -> str | None:
         if any(c in text for c in _NOT_SPACE):
             return None
         if not _BESIDE.search(text):
             text = text.replace(",", " ,").replace(".", " .")
-        return text.split()
+        return " ".join(text.split()) if any(c in text for c in _OTHER_SPACE) else text.replace("\n", " ")
+
+    def split(self, text: str):
+        marked = self.marked(text)
+        return None if marked is None else marked.split()
+
+    def word_ids(self, joined: str) -> np.ndarray:
+        return self.ranks(joined.encode())
 
     def merged(self, units: list[str]):
         lower = [u for u in units if _LETTERS.fullmatch(u)]
