@@ -38,17 +38,16 @@ _GROUPS = 1 << 32          # group numbers set aside for a round
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
     """Token pieces of ``docs(doc_id, text)``: where each lies in its document, and a checksum of its ids."""
-    end = tokens.packed([end_id])
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.byte_level(tokenizer)
         for batch in small(batches):
             texts = pc.fill_null(batch["text"].cast(pa.string()), "").to_pylist()
             for rows in tokens.slices(texts):
                 at, piece, starts, lengths, crcs = [], [], [], [], []
-                for i, values in enumerate(encoder.values(texts[rows])):
-                    raw = b"".join(values) + end
-                    n = len(raw) // 4
+                ids, ends = encoder.ids_and_end(texts[rows], end_id)
+                stream, ends = memoryview(ids.tobytes()), ends.tolist()
+                for i, (first, last) in enumerate(zip([0, *ends], ends)):
+                    raw, n = stream[4 * first:4 * last], last - first
                     bounds = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
                     for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
                         at.append(i)

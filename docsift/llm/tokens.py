@@ -32,7 +32,6 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark's tasks are t
 MAX_UNITS = 400_000
 MAX_WORDS = 800_000                                        # the same for the word vocabulary
 JOINED = 4000                                              # units in one call's strings
-SLICE = 4_000_000                                          # characters that ``ids`` is given at a time, one text at least
 _BESIDE = re.compile(r"[.,](?:(?<=[\W_].)|(?=[^\w\s]|_))")   # a comma or stop that is part of something longer
 _NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")              # white space to Python, text to the library
 _OTHER_SPACE = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
