@@ -13,9 +13,10 @@ is the longest stretch of neighbouring windows with one anchor, a string of
    windows. The answer is one bit per window: does a smaller doc_id hold it?
 
 The strings are short, so the rounds are few and bounded whatever the length of the
-documents, and a part holds a bounded share of the text. Two runs with an equal
-window agree for ``FLANK`` bytes on one side of the anchor at least; a run that
-agrees with no other of its anchor on either side skips the rounds.
+documents, and a part holds a bounded share of the text. A window that begins d
+bytes before its anchor ends ``WIDTH - GRAM`` - d bytes after it. Two runs with an equal
+one agree around the anchor on all that windows of ``STEP`` neighbouring d have in common; a run
+that agrees with no other of its anchor for any of these skips the rounds.
 
 Defined cases: null or empty text has 0 bytes (SHA-256 of nothing); texts shorter
 than ``WIDTH`` stay whole; null doc_id comes after all others; rows that share a
@@ -43,7 +44,7 @@ PART_BYTES = 4 << 20
 AT_ONCE = 20_000                              # runs ordered together
 _SPAN = WIDTH - GRAM + 1                      # grams in a window, and windows in a run at most
 _LONGEST = WIDTH + _SPAN - 1
-FLANK = (WIDTH - GRAM) // 2
+STEP = 4
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
@@ -182,17 +183,28 @@ def _unblock(block: bytes):
     return strings, key, offsets, low.astype(np.int64) | (high.astype(np.int64) << 32)
 
 
+def _flank(strings: np.ndarray, at: np.ndarray, step: int) -> list[np.ndarray]:
+    """Hashes of the first 0, 1, ... bytes of each row, from column ``at`` on in the direction of ``step``."""
+    rows, out = np.arange(len(strings)), [np.zeros(len(strings), np.uint64)]
+    for i in range(_SPAN - 1):
+        column = np.clip(at + step * i, 0, _LONGEST)
+        out.append(out[-1] + (strings[rows, column].astype(np.uint64) + np.uint64(1)) * _COLUMN[i])
+    return out
+
+
 def _agreeing(strings: np.ndarray, key: np.ndarray, offset: np.ndarray) -> np.ndarray:
-    """Runs that agree with another run of their anchor in the ``FLANK`` bytes before it or after it."""
+    """Runs that agree with another run of their anchor on what windows that begin ``low`` to ``high`` bytes before it share."""
     out = np.zeros(len(strings), bool)
     offset, length = offset.astype(np.int64), strings[:, 0].astype(np.int64)
-    for start, real in ((offset - FLANK, offset >= FLANK), (offset + GRAM, offset + GRAM + FLANK <= length)):
-        rows = np.flatnonzero(real)
-        h = key[rows].astype(np.uint64) * _COLUMN[-1]
-        for i in range(FLANK):
-            h += (strings[rows, 1 + start[rows] + i].astype(np.uint64) + np.uint64(1)) * _COLUMN[i]
-        _, number, count = np.unique(H.mixed(h), return_inverse=True, return_counts=True)
-        out[rows] |= count[number] > 1
+    before, after = _flank(strings, offset, -1), _flank(strings, offset + GRAM + 1, 1)
+    for low in range(0, _SPAN, STEP):
+        rest = max(0, _SPAN - low - STEP)
+        rows = np.flatnonzero((offset >= low) & (offset + GRAM + rest <= length))
+        h = key[rows].astype(np.uint64) * _COLUMN[-1] + H.mixed(before[low][rows]) + after[rest][rows]
+        order = np.argsort(h := H.mixed(h))
+        same = h[order[1:]] == h[order[:-1]]
+        out[rows[order[1:][same]]] = True
+        out[rows[order[:-1][same]]] = True
     return out
 
 

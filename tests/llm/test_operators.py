@@ -242,6 +242,26 @@ def test_licenses(spark, empty):
     assert licenses.report(empty).count() == 0
 
 
+def test_only_runs_that_may_share_a_window_are_ordered():
+    """Two runs of an anchor agree on ``before`` and ``after`` bytes around it: an equal window needs 30 in all."""
+    rng = np.random.default_rng(3)
+    flank = suffix_dedup.WIDTH - suffix_dedup.GRAM
+
+    def agree(before: int, after: int) -> bool:
+        strings = np.zeros((2, suffix_dedup._LONGEST + 1), np.uint8)
+        strings[:, 0] = suffix_dedup._LONGEST
+        strings[0, 1:] = rng.integers(1, 100, suffix_dedup._LONGEST)
+        strings[1, 1:] = strings[0, 1:] + 100
+        shared = slice(1 + flank - before, 1 + flank + suffix_dedup.GRAM + after)
+        strings[1, shared] = strings[0, shared]
+        out = suffix_dedup._agreeing(strings, np.array([7, 7], np.uint32), np.array([flank, flank], np.uint8))
+        assert out[0] == out[1]
+        return bool(out[0])
+
+    assert all(agree(d, flank - d) for d in range(flank + 1))
+    assert not any(agree(d, 15) for d in range(10)) and not any(agree(15, d) for d in range(10))
+
+
 # ---- 7, 9, 10: tokens ------------------------------------------------------------------------------------
 
 TRICKY = [t or "" for _, t in ROWS] + [
