@@ -125,7 +125,7 @@ def _statistics(texts: list[bytes]) -> list[np.ndarray]:
         for part in _words(text):
             words.append(np.fromiter(map(number.__getitem__, part), np.int64, len(part)))
             sizes[-1] += len(part)
-    ends = np.cumsum(sizes)
+    ends = np.cumsum(sizes, dtype=np.int64)
     repeats = repeated_words(np.concatenate(words) if words else np.zeros(0, np.int64), ends)
     chars = [np.count_nonzero(np.frombuffer(t.translate(None, SPACES), np.uint8) & 0xC0 != 0x80) for t in texts]
     symbols = [len(t) - len(t.translate(None, SYMBOLS)) for t in texts]
@@ -320,6 +320,7 @@ def estimates(vectors: DataFrame, centres: DataFrame) -> DataFrame:
         ended = both.filter("NOT falls").select(*kept)
         settled = ended if settled is None else settled.unionByName(ended)
         going = materialize(both.filter("falls").select(*names), "estimates")
+    settled = going if settled is None else settled              # no group at all: no estimates
     place = F.element_at(F.create_map(*[F.lit(x) for i, s in enumerate(STARTS) for x in (s, i)]), F.col("start"))
     order = F.struct("log_det", place)
     best = materialize(settled.groupBy("group").agg(F.min_by(F.struct("*"), order).alias("e")).select("e.*"), "best")
