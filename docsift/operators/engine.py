@@ -4,19 +4,22 @@ Per row (one document + one request):
 
 1. ``plan``   - which extractor each field's label rule / generic rule uses;
 2. ``needed`` - the distinct extractors the plan refers to;
-3. staged regex evaluation - stage *k* evaluates the *k*-th alternative of every
-   needed extractor whose earlier alternatives all missed. Each alternative is
-   its own column, so every regex runs at most once per row (a regex inside a
-   conditional branch is not shared by Spark's subexpression elimination) and
-   an alternative that is not needed never runs;
+3. all needed extractors in one projection - a lambda holds what an alternative
+   gave, and the next alternative stands inside it, for where that missed. So every
+   regex runs at most once per row (a regex inside a conditional branch is not
+   shared by Spark's subexpression elimination), an alternative that is not needed
+   never runs, and no row is copied from one alternative to the next;
 4. ``rule_values`` - per field ``coalesce(label value, generic value)``.
 
-Stages are plain projections of built-in expressions (whole-stage codegen);
-only the cheap per-field steps use higher-order functions. No shuffle, no UDF.
+Built-in expressions only. No shuffle, no UDF.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +30,6 @@ from docsift.schema import schema_hash
 
 SOURCE_LABEL = "label_rules"
 SOURCE_GENERIC = "generic_rules"
-WIDE = 4                # extractors, beyond which a projection of them stands apart
 
 
 def _needed(plan: Column, rules: RuleSet) -> Column:
@@ -37,10 +39,9 @@ def _needed(plan: Column, rules: RuleSet) -> Column:
     return F.transform(indexes, lambda i: F.exists(used, lambda x: x.eqNullSafe(i)))
 
 
-def _apart(cond: Column) -> Column:
-    """``cond`` as a lambda, which keeps its projection out of whole-stage code. There, the one method of so wide a
-    projection is beyond the 8,000 bytes up to which the JVM compiles; by itself it is split into small methods."""
-    return F.exists(F.array(cond), lambda c: c)
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, and only where the whole is."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def _raw(alt: Alt, text: Column) -> Column:
@@ -56,19 +57,29 @@ def _missed(alt: Alt, raw: Column) -> Column:
 
 
 def _finish(alt: Alt, raw: Column) -> Column:
-    """Finished value of one alternative; null when it did not run or did not match."""
-    if alt.many:
-        return alt.finish(raw) if alt.finish else raw
-    v = F.nullif(raw, F.lit(""))
-    if alt.strip:
-        v = strip(v)
-    if alt.finish:
-        v = alt.finish(v)
-    return v
+    """Finished value of one alternative that matched (``many``: or found none)."""
+    v = strip(raw) if alt.strip and not alt.many else raw
+    return alt.finish(v) if alt.finish else v
+
+
+def _first_match(alts: tuple[Alt, ...], text: Column) -> Column:
+    """Value of the first alternative that matches; one whose gate is shut ends the search, as null."""
+    alt, later = alts[0], alts[1:]
+
+    def of(raw: Column) -> Column:
+        missed = ([_finish(alt, raw)] if alt.many else []) + ([_first_match(later, text)] if later else [])
+        return F.when(_missed(alt, raw), F.coalesce(*missed) if missed else F.lit(None)).otherwise(_finish(alt, raw))
+
+    value = _let(_raw(alt, text), of)
+    return F.when(found(text, *alt.gate), value) if alt.gate else value
 
 
-def _col(i: int, k: int) -> str:
-    return f"_x{i}_{k}"
+def extractor_value(ext: Extractor, text: Column, need: Column | None) -> Column:
+    """Value of one extractor where ``need`` holds (None: everywhere), else null."""
+    value, conds = _first_match(ext.alts, text), [] if need is None else [need]
+    if ext.gate:
+        conds.append(found(text, *ext.gate))
+    return F.when(reduce(and_, conds), value) if conds else value
 
 
 def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
@@ -77,43 +88,11 @@ def staged_values(df: DataFrame, text: str, needed: Column | None, ids=None,
 
     ``needed``: array<boolean> Column, by extractor index, of those to run (None: all of ``ids``).
     """
-    exts = rules.extractors
     ids = rules.extractor_ids if ids is None else ids
     index = {x: rules.extractor_index[x] for x in ids}
-    t = F.col(text)
-
-    def need(i: int) -> Column:
-        return F.lit(True) if needed is None else F.get(needed, F.lit(i))
-
-    # stage 0: extractor-wide gates, once per row
-    gates = {x: f"_g{index[x]}" for x in ids if exts[x].gate}
-    if gates:
-        df = df.withColumns({g: need(index[x]) & found(t, *exts[x].gate) for x, g in gates.items()})
-
-    for k in range(rules.max_alts):
-        cols = {}
-        for x in ids:
-            ext: Extractor = exts[x]
-            if k >= len(ext.alts):
-                continue
-            i, alt = index[x], ext.alts[k]
-            cond = F.col(gates[x]) if x in gates else need(i)
-            for j in range(k):
-                cond = cond & _missed(ext.alts[j], F.col(_col(i, j)))
-            if alt.gate:
-                cond = cond & found(t, *alt.gate)
-            cols[_col(i, k)] = F.when(_apart(cond) if not cols and len(ids) > WIDE else cond, _raw(alt, t))
-        df = df.withColumns(cols)
-
-    finished = {}
-    for x in ids:
-        i, ext = index[x], exts[x]
-        alts = [_finish(a, F.col(_col(i, k))) for k, a in enumerate(ext.alts)]
-        finished[f"_v{i}"] = alts[0] if len(alts) == 1 else F.coalesce(*alts)
-        if len(finished) == 1 and len(ids) > WIDE:
-            finished[f"_v{i}"] = F.when(_apart(F.lit(True) if needed is None else needed.isNotNull()), finished[f"_v{i}"])
-    drop = [_col(index[x], k) for x in ids for k in range(len(exts[x].alts))] + list(gates.values())
-    return df.withColumns(finished).drop(*drop)
+    return df.withColumns({f"_v{i}": extractor_value(rules.extractors[x], F.col(text),
+                                                     None if needed is None else F.get(needed, F.lit(i)))
+                           for x, i in index.items()})
 
 
 def _field_value(plan_entry: Column, vals: Column) -> Column:
@@ -177,17 +156,15 @@ def apply_rules(df: DataFrame, *, label: str = "label", fields: str = "fields",
         out = attach_plans(df, plans, label=label, fields=fields, rules=rules)
     if "_needed" not in out.columns:
         out = out.withColumn("_needed", _needed(F.col("_plan"), rules))
-    out = staged_values(out, text, F.col("_needed"), rules=rules)
-    n = len(rules.extractor_ids)
-    vals = F.array(*[F.col(f"_v{i}") for i in range(n)])
+    vals = F.array(*[extractor_value(rules.extractors[x], F.col(text), F.get(F.col("_needed"), F.lit(i)))
+                     for x, i in rules.extractor_index.items()])
     out = (out
            .withColumn("_vals", vals)
            .withColumn("rule_values", F.transform(F.col("_plan"), lambda p: _field_value(p, F.col("_vals"))))
            .withColumn("found_all", F.forall("rule_values", lambda v: v["value"].isNotNull())))
     if keep_plan:
         out = out.withColumnRenamed("_plan", "plan")
-    drop = ["_plan", "_needed", "_vals", "_schema_hash"] + [f"_v{i}" for i in range(n)]
-    return out.drop(*drop)
+    return out.drop("_plan", "_needed", "_vals", "_schema_hash")
 
 
 def extractor_values(df: DataFrame, ids: list[str], *, text: str = "text",

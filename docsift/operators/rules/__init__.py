@@ -55,10 +55,6 @@ class RuleSet:
     def rule_extractor(self) -> tuple[int, ...]:
         return tuple(self.extractor_index[r.extractor] for _fam, r in self.rules)
 
-    @cached_property
-    def max_alts(self) -> int:
-        return max(len(e.alts) for e in self.extractors.values())
-
     def with_bank(self, bank: RuleBank, extractors: dict[str, Extractor] | None = None,
                   first: bool = False) -> "RuleSet":
         """A new rule set with ``bank`` routed after (or, ``first=True``, before) the existing ones."""

@@ -7,8 +7,8 @@ test and each extractor runs at most once per document, however many fields
 share it.
 
 An extractor is data, not code: an ordered list of regex alternatives (the first
-that matches wins) with optional gates. The engine turns it into staged Spark
-projections so that every regex is evaluated at most once per row and only when
+that matches wins) with optional gates. The engine turns it into one Spark
+expression so that every regex is evaluated at most once per row and only when
 the earlier alternatives found nothing (:mod:`docsift.operators.engine`).
 """
 

@@ -107,7 +107,7 @@ def schema_hash(fields: Column) -> Column:
     same hash; any change of a name or description changes it.
     """
     entries = F.transform(fields, lambda f: F.struct(f["field"].alias("k"), sorted_json(f["description"]).alias("v")))
-    return F.sha2(F.to_json(F.array_sort(entries)), 256)
+    return F.sha2(F.to_json(F.sort_array(entries)), 256)
 
 
 def content_hash(content: Column) -> Column:

@@ -8,7 +8,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from docsift.operators.engine import apply_rules
+from docsift.operators.engine import apply_rules, extractor_values
+from docsift.operators.rules import DEFAULT, Alt, Extractor, RuleBank
 from docsift.sources.files import parse_request
 
 OAB, SIS = "carteira_oab", "tela_sistema"
@@ -295,3 +296,28 @@ def test_java_patterns_match_as_python_re(spark, seed):
                 m = re.search(a.pattern, texts[row["i"]], flags)
                 expected = m.group(a.group) if m else ""
             assert row[c] == expected, (c, texts[row["i"]])
+
+
+def test_all_alternatives_in_one_projection(spark):
+    """No row is copied from one alternative to the next, and each pattern stands in the plan once."""
+    df = spark.range(3).selectExpr("'oab' AS label", "array(struct(0 AS ord, 'nome' AS field, 'x' AS description)) AS fields",
+                                   "concat('JOSE ', id) AS text")
+    plan = apply_rules(df)._jdf.queryExecution().optimizedPlan().toString()
+    with_rules = [step for step in plan.split("Project [") if "regexp_extract" in step or "RLIKE" in step]
+    assert len(with_rules) == 1
+    assert with_rules[0].count("Seleção de parcelas") == 1
+
+
+def test_alternatives_in_order(spark):
+    """The first that matches wins; a shut gate ends the search; ``many`` hands over an empty array too."""
+    joined = lambda runs: F.array_join(runs, "+")
+    rules = DEFAULT.with_bank(RuleBank("none", "none", ()), {
+        "plain": Extractor((Alt(r"a(\d)"), Alt(r"b(\d)"), Alt(r"c( +)", strip=True))),
+        "gated": Extractor((Alt(r"a(\d)"), Alt(r"b(\d)", gate=("open", "")), Alt(r"c(\d)"))),
+        "outer": Extractor((Alt(r"a(\d)"), Alt(r"b(\d)")), gate=("open", "")),
+        "many": Extractor((Alt(r"a(\d)"), Alt(r"b(\d)", many=True, finish=joined)))})
+    rows = {"b1 a2": ("2", "2", None, "2"), "b1 b3": ("1", None, None, "1+3"), "open b1 c4": ("1", "1", "1", "1"),
+            "c5": (None, None, None, ""), "c  ": ("", None, None, ""), "open c6": (None, "6", None, ""), None: (None,) * 4}
+    names = ["plain", "gated", "outer", "many"]
+    df = spark.createDataFrame([(t,) for t in rows], "text string")
+    assert {r["text"]: tuple(r[n] for n in names) for r in extractor_values(df, names, rules=rules).collect()} == rows
