@@ -4,14 +4,16 @@ A *job* is (job_id, label, requested fields, document); job ids are unique. The
 for all jobs at once:
 
 1. **keys** (narrow): content hash, request hash and cache key of every job, and the
-   errors known by then. A small table without text.
+   errors known by then. A small table without text and request. The request's hash comes
+   with the plan of its request, which is worked out once for each distinct one before.
 2. **first writers** (one shuffle of fixed-width rows, pre-aggregated): the lowest
    ``job_id`` of each key computes; later jobs with the key are hits of its result.
 3. **cache lookup** on the keys. A hit costs one hash: no rule sees its text.
 4. **rules** on the jobs that compute. They are picked from the source by a broadcast
    of the fewer ids, those that compute or those that do not, if that is small. Else, where
    most jobs compute, the rules run on all of them; where many do not, a shuffle join picks
-   them. Text is kept only where a field stayed null, for the prompt.
+   them, before their text is put together. Text is kept only where a field stayed null, for
+   the prompt.
 5. **fallback**: request queue for keys with missing fields, caller's answers parsed
    and merged; only null fields are filled.
 6. **fan-out**: every job gets its key's result through a salted join, so a key
@@ -84,18 +86,26 @@ def prepare_jobs(jobs: DataFrame, documents: DataFrame | None = None, *,
     return out if dealt else spread(out)
 
 
-def scan(jobs: DataFrame, *, key_includes_label: bool = False) -> DataFrame:
-    """Narrow pass over the text: errors and keys, one row per job, no text."""
+def scan(jobs: DataFrame, *, key_includes_label: bool = False, plans: DataFrame | None = None,
+         rules: RuleSet = DEFAULT) -> DataFrame:
+    """Narrow pass over the text: errors and keys, one row per job, no text.
+
+    ``plans`` (of all these jobs): the hash of a request is read from its plan instead of worked out for every job.
+    """
     given = F.col("error_class") if "error_class" in jobs.columns else F.lit(None).cast("string")
     error = F.coalesce(given, F.when(F.col("fields").isNull(), F.lit(ERR_SCHEMA)),
                        F.when(F.col("text").isNull(), F.lit(ERR_NOT_FOUND)))
-    content, request = S.content_hash(F.col("text")), S.schema_hash(F.col("fields"))
+    content = S.content_hash(F.col("text"))
+    if plans is None:
+        request = S.schema_hash(F.col("fields"))
+    else:
+        jobs, request = attach_plans(jobs, plans.select("_family", "_fields", "_schema_hash"), rules=rules), F.col("_schema_hash")
     key = S.cache_key(F.col("content_hash"), F.col("schema_hash"), F.col("label") if key_includes_label else None)
     n_fields = F.when(F.col("fields").isNotNull(), F.size("fields")).otherwise(0)
     return (jobs.withColumn("error_class", error)
             .withColumn("content_hash", F.when(F.col("error_class").isNull(), content))
             .withColumn("schema_hash", F.when(F.col("error_class").isNull(), request))
-            .select("job_id", "doc_id", "label", "fields", "error_class", "content_hash", "schema_hash",
+            .select("job_id", "doc_id", "label", "error_class", "content_hash", "schema_hash",
                     F.when(F.col("error_class").isNull(), key).alias("cache_key"),
                     n_fields.cast("int").alias("n_fields")))
 
@@ -111,20 +121,23 @@ def _computing(jobs: DataFrame, scanned: DataFrame, ids: DataFrame) -> DataFrame
 
     Few ids on either side of the choice go to the jobs as a broadcast. Where most readable jobs compute anyway, the
     rules run on all of these and what the others give is left out by the narrow joins that follow. Only where
-    many compute, and many more do not, the texts are shuffled.
+    many compute, and many more do not, the jobs are shuffled.
+
+    The ids that compute stand in an ``IN``: Spark takes a filter down to the rows that a text is put together from,
+    but leaves a semi join above that, where the text of every job would be formed, and moved.
     """
     readable = jobs.filter(_readable(jobs)).drop("error_class")
     n, n_keyed = ids.count(), scanned.filter(F.col("error_class").isNull()).count()
     if n == 0:
         return readable.filter(F.lit(False))
     if n <= BROADCAST_IDS:
-        return readable.join(F.broadcast(ids), "job_id", "left_semi")
+        return readable.filter(F.col("job_id").isin(F.broadcast(ids)))
     if n_keyed - n <= BROADCAST_IDS:
         rest = scanned.filter(F.col("error_class").isNull()).select("job_id").join(ids, "job_id", "left_anti")
         return readable.join(F.broadcast(rest), "job_id", "left_anti")
     if n >= MOST * n_keyed:
         return readable
-    return readable.join(ids, "job_id", "left_semi")
+    return readable.filter(F.col("job_id").isin(ids))
 
 
 def _missing(rule_values: Column, fields: Column) -> Column:
@@ -155,7 +168,8 @@ def extract(jobs: DataFrame, *, cache: DataFrame | CacheLookup | None = None, fa
     instead of being formed for each.
     """
     scratch = Scratch(jobs.sparkSession)
-    scanned = scratch.table(scan(jobs, key_includes_label=key_includes_label), "scan")
+    plans = plan_table(jobs, lambda df: scratch.table(df, "plans"), rules=rules)
+    scanned = scratch.table(scan(jobs, key_includes_label=key_includes_label, plans=plans, rules=rules), "scan")
     ok = scanned.filter(F.col("error_class").isNull())
 
     # 2. the first job of each key: fixed-width aggregates, no payload
@@ -177,7 +191,6 @@ def extract(jobs: DataFrame, *, cache: DataFrame | CacheLookup | None = None, fa
     # 4. rules, only where a result has to be computed
     computing = keys.filter(~F.col("in_cache")).select(F.col("first_job_id").alias("job_id"))
     todo = _computing(jobs, scanned, computing)
-    plans = plan_table(ok, lambda df: scratch.table(df, "plans"), rules=rules)
     if plans is not None:
         todo = attach_plans(todo, plans, rules=rules)
     incomplete = ~F.col("found_all")
