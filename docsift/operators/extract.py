@@ -290,7 +290,12 @@ def result_json(result: Column) -> Column:
     the type that they came in."""
     entries = F.transform(result, lambda r: F.concat(
         json_string(r["field"]), F.lit(":"), F.coalesce(r["raw"], json_string(r["value"]), F.lit("null"))))
-    return F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}"))
+    names = F.transform(result, lambda r: r["field"])
+    # strings only, each name once: one map, written in one go
+    plain = (F.forall(result, lambda r: r["field"].isNotNull() & r["raw"].isNull())
+             & (F.size(F.array_distinct(names)) == F.size(result)))
+    return F.when(plain, F.to_json(F.map_from_arrays(names, F.transform(result, lambda r: r["value"])))).otherwise(
+        F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}")))
 
 
 def result_long(results: DataFrame) -> DataFrame:
