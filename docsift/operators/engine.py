@@ -22,6 +22,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from docsift.functions.regex import found, rx, strip
 from docsift.operators.rules import DEFAULT, Alt, Extractor, RuleSet
@@ -132,12 +133,29 @@ def plan_table(df: DataFrame, keep, *, label: str = "label", fields: str = "fiel
 
 def attach_plans(df: DataFrame, plans: DataFrame, *, label: str = "label", fields: str = "fields",
                  rules: RuleSet = DEFAULT) -> DataFrame:
-    """Broadcast-join the plan table on (bank, request): adds ``_plan``, ``_needed`` and ``_schema_hash``."""
+    """Broadcast-join the plan table on (bank, request): adds ``_plan``, ``_needed`` and ``_schema_hash``.
+
+    A stored table's columns may all be null, those of the request not; the join would copy the request of every job to the
+    other type. So the few plans are brought to the request's type.
+    """
+    keys = plans.withColumn(fields, _never_null(F.col("_fields"), df.schema[fields].dataType)).drop(
+        *(["_fields"] if fields != "_fields" else []))
     return (df.withColumn("_family", F.coalesce(family(F.col(label), rules), F.lit("")))
-            .join(F.broadcast(plans.withColumnRenamed("_fields", fields)), ["_family", fields], "left")
+            .join(F.broadcast(keys), ["_family", fields], "left")
             .drop("_family"))
 
 
+def _never_null(requests: Column, kind: ArrayType) -> Column:
+    """The same requests, in a column whose type says of the same members as ``kind`` that they are never null."""
+    member = kind.elementType
+    if kind.containsNull or not isinstance(member, StructType):
+        return requests
+    zero = {"ord": F.lit(0), "field": F.lit(""), "description": F.lit("")}
+    return F.transform(requests, lambda f: F.struct(*[
+        (f[m.name] if m.nullable or m.name not in zero else F.coalesce(f[m.name], zero[m.name])).alias(m.name)
+        for m in member.fields]))
+
+
 def apply_rules(df: DataFrame, *, label: str = "label", fields: str = "fields",
                 text: str = "text", keep_plan: bool = False, plans: DataFrame | None = None,
                 rules: RuleSet = DEFAULT) -> DataFrame:
