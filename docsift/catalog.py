@@ -124,10 +124,10 @@ def rules_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("oab_nome").alias("nome"), F.col("oab_inscricao").alias("inscricao"))
 
 
-def fixture_extraction(spark: SparkSession, sf_dir: str) -> Extraction:
+def fixture_extraction(spark: SparkSession, sf_dir: str, *, staged: bool = False) -> Extraction:
     """Three-level extraction of all cards and screens, answered by the fixture fallback."""
     jobs = prepare_jobs(fixture_docs(spark, sf_dir, "both"), request="request", dealt=True)
-    return extract(jobs, fallback=fixture_fallback)
+    return extract(jobs, fallback=fixture_fallback, staged=staged)
 
 
 def extract_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -475,7 +475,8 @@ def fallback_workers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def results_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results written as JSON lines in manifest order and read back with their places."""
     path = new_store(spark, "ordered")
-    write_results_in_order(fixture_extraction(spark, sf_dir).results, path)
+    run = fixture_extraction(spark, sf_dir, staged=True)
+    write_results_in_order(run.results, path, compression="gzip", stored=run.cleanup)
     lines = read_results_in_order(spark, path)
     return lines.select("position", F.get_json_object("line", "$.job_id").cast("long").alias("job_id"),
                         F.get_json_object("line", "$.result_json").alias("result_json"))

@@ -153,7 +153,8 @@ def _names(values: Column, pred) -> Column:
 def extract(jobs: DataFrame, *, cache: DataFrame | CacheLookup | None = None, fallback: Fallback | None = None,
             key_includes_label: bool = False, cache_partial: bool = True,
             hot_rows: int = 1_000_000, rows_per_salt: int | None = None,
-            rules: RuleSet = DEFAULT, model: str = DEFAULT_MODEL, cache_too: bool = False) -> Extraction:
+            rules: RuleSet = DEFAULT, model: str = DEFAULT_MODEL, cache_too: bool = False,
+            staged: bool = False) -> Extraction:
     """Run the three levels over ``jobs(job_id, doc_id, label, fields, text)``.
 
     ``cache``: existing cache rows (:data:`docsift.schema.CACHE`), or a function from the stored
@@ -166,16 +167,25 @@ def extract(jobs: DataFrame, *, cache: DataFrame | CacheLookup | None = None, fa
     ``model``: name written into the requests.
     ``cache_too``: both ``results`` and ``new_cache`` will be read, so the merged results of the keys are stored
     instead of being formed for each.
+    ``staged``: what the rules gave is stored under its keys before it meets answers and jobs. So the files of one
+    shuffle lie on disk at a time, for one more table to write and read; texts stay where they are.
     """
-    scratch = Scratch(jobs.sparkSession)
+    scratch = Scratch(jobs.sparkSession, lean=True)
     plans = plan_table(jobs, lambda df: scratch.table(df, "plans"), rules=rules)
-    scanned = scratch.table(scan(jobs, key_includes_label=key_includes_label, plans=plans, rules=rules), "scan")
+    # keys are stored and shuffled as bytes, and are texts again where they leave
+    scanned = scratch.table(
+        scan(jobs, key_includes_label=key_includes_label, plans=plans, rules=rules).drop("content_hash", "schema_hash")
+        .withColumn("cache_key", S.packed_key(F.col("cache_key"), formed=True)), "scan")
     ok = scanned.filter(F.col("error_class").isNull())
 
     # 2. the first job of each key: fixed-width aggregates, no payload
     keys = ok.groupBy("cache_key").agg(F.min("job_id").alias("first_job_id"), F.count(F.lit(1)).alias("n_jobs"))
 
     # 3. cache lookup: any row under the key is a hit, even an empty result
+    as_text, as_bytes = S.unpacked_key(F.col("cache_key")), S.packed_key(F.col("cache_key"), formed=True)
+    looked_up = cache is not None
+    if looked_up:
+        keys = keys.withColumn("cache_key", as_text)
     if callable(cache):
         keys = scratch.table(keys, "wanted")
         cache = cache(keys)
@@ -186,6 +196,8 @@ def extract(jobs: DataFrame, *, cache: DataFrame | CacheLookup | None = None, fa
     else:
         keys = (keys.withColumn("cached_result", F.lit(None).cast(RESULT_FIELDS))
                 .withColumn("in_cache", F.lit(None).cast("boolean")))
+    if looked_up:
+        keys = keys.withColumn("cache_key", as_bytes)
     keys = scratch.table(keys.withColumn("in_cache", F.coalesce(F.col("in_cache"), F.lit(False))), "keys")
 
     # 4. rules, only where a result has to be computed
@@ -197,19 +209,28 @@ def extract(jobs: DataFrame, *, cache: DataFrame | CacheLookup | None = None, fa
     ruled = apply_rules(todo, rules=rules).select(
         F.col("job_id").alias("first_job_id"), "doc_id", "label", "rule_values", "found_all",
         F.when(incomplete, _missing(F.col("rule_values"), F.col("fields"))).alias("missing"),
-        F.when(incomplete, F.col("text")).alias("text"))
+        F.when(incomplete, F.col("text")).alias("text"), F.monotonically_increasing_id().alias("ruled_row"))
     ruled = scratch.table(ruled, "ruled")
+    keyed = keys.join(ruled.select(
+        "first_job_id", "rule_values", "found_all", F.transform("missing", lambda f: f["field"]).alias("asked"), "ruled_row"),
+        "first_job_id", "left")
 
     # 5. fallback for computed keys with missing fields
-    asking = keys.filter(~F.col("in_cache")).select("first_job_id", F.col("cache_key").alias("request_id"))
-    pending = ruled.filter(incomplete).join(asking, "first_job_id")
-    requests = build_requests(pending.select("request_id", "doc_id", "label", "text", "missing"), model=model)
-    keyed = keys.join(ruled.drop("doc_id", "label", "text"), "first_job_id", "left")
     needs = ~F.col("in_cache") & ~F.col("found_all")
+    if staged:
+        keyed = scratch.table(keyed, "keyed")
+        scratch.remove("keys")
+        counts, asking = keyed.select("cache_key", "n_jobs"), keyed.filter(needs).select("cache_key", "ruled_row")
+        pending = ruled.join(asking, "ruled_row")
+    else:
+        counts, asking = keys, keys.filter(~F.col("in_cache")).select("cache_key", "first_job_id")
+        pending = ruled.filter(incomplete).join(asking, "first_job_id")
+    pending = pending.withColumn("request_id", as_text)
+    requests = build_requests(pending.select("request_id", "doc_id", "label", "text", "missing"), model=model)
     if fallback is not None:
         # The fallback may be a paid external call: run it once, never on recomputation.
         answers = scratch.table(fallback(requests).select(
-            F.col("request_id").alias("cache_key"), "response_json"), "answers")
+            S.packed_key(F.col("request_id")).alias("cache_key"), "response_json"), "answers")
         keyed = keyed.join(answers.withColumn("_answered", F.lit(True)), "cache_key", "left")
     else:
         keyed = (keyed.withColumn("response_json", F.lit(None).cast("string"))
@@ -237,7 +258,7 @@ def extract(jobs: DataFrame, *, cache: DataFrame | CacheLookup | None = None, fa
          .otherwise(F.transform("rule_values", merge)).alias("result"),
         F.when(~F.col("in_cache"), _names(F.col("rule_values"), lambda v: v["value"].isNotNull())).alias("found_by_rules"),
         llm_ok.alias("llm_used"),
-        F.when(llm_ok, F.transform("missing", lambda f: f["field"])).alias("found_by_llm"),
+        F.when(llm_ok, F.col("asked")).alias("found_by_llm"),
     )
     if cache_too:
         per_key = scratch.table(per_key, "per_key")
@@ -246,13 +267,14 @@ def extract(jobs: DataFrame, *, cache: DataFrame | CacheLookup | None = None, fa
     if not cache_partial:
         new_cache = new_cache.filter(F.col("llm_error").isNull())
     hashes = F.split("cache_key", ":")
-    new_cache = new_cache.select("cache_key", hashes[0].alias("content_hash"), hashes[1].alias("schema_hash"),
-                                 "result", F.current_timestamp().alias("created_at"))
+    new_cache = new_cache.withColumn("cache_key", as_text).select(
+        "cache_key", hashes[0].alias("content_hash"), hashes[1].alias("schema_hash"),
+        "result", F.current_timestamp().alias("created_at"))
 
     # 6. fan out: every job gets its key's result
     job_side = ok.select("job_id", "doc_id", "label", "n_fields", "cache_key")
     joined = salted_join(job_side, per_key, "cache_key", count_col="n_jobs", order_col="job_id",
-                         hot_rows=hot_rows, rows_per_salt=rows_per_salt, counts=keys)
+                         hot_rows=hot_rows, rows_per_salt=rows_per_salt, counts=counts)
     hit = F.col("in_cache") | (F.col("job_id") != F.col("first_job_id"))
     metadata = F.struct(
         hit.alias("cache_hit"),
@@ -263,7 +285,7 @@ def extract(jobs: DataFrame, *, cache: DataFrame | CacheLookup | None = None, fa
         F.when(~hit, F.col("llm_error")).alias("llm_error"),
         F.col("label").alias("label"),
     )
-    results = joined.select("job_id", "doc_id", "label", "n_fields", "cache_key", "result",
+    results = joined.select("job_id", "doc_id", "label", "n_fields", as_text.alias("cache_key"), "result",
                             metadata.alias("metadata"),
                             F.lit(None).cast("string").alias("error_class"),
                             F.lit(None).cast("string").alias("error_message"))

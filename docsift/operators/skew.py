@@ -28,7 +28,7 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, *, count_col: str,
                 how: str = "inner", counts: DataFrame | None = None) -> DataFrame:
     """Join ``big`` to ``small`` on ``key``; ``order_col`` (a unique big-side id) picks salts.
 
-    ``counts``: a table of ``key`` and ``count_col``, where ``small`` is more work to evaluate.
+    ``counts``: a table of ``key`` and ``count_col``, where ``small`` is more work to evaluate; a row may repeat.
     """
     counts = small if counts is None else counts
     total = counts.agg(F.sum(count_col).alias("n")).first()["n"] or 0
@@ -38,7 +38,7 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, *, count_col: str,
     if hot.isEmpty():
         return big.join(small.drop(count_col), key, how)
 
-    tagged = big.join(F.broadcast(hot), key, "left")
+    tagged = big.join(F.broadcast(hot.distinct()), key, "left")
     big_s = tagged.withColumn(
         SALT, F.when(F.col("_n_salts").isNotNull(),
                      F.pmod(F.xxhash64(F.col(order_col)), F.col("_n_salts")))

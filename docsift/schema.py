@@ -120,3 +120,19 @@ def cache_key(content_hash_col: Column, schema_hash_col: Column, label: Column |
     if label is None:
         return F.concat_ws(":", content_hash_col, schema_hash_col)
     return F.concat_ws(":", content_hash_col, schema_hash_col, F.sha2(label, 256))
+
+
+def packed_key(key: Column, *, formed: bool = False) -> Column:
+    """A cache key as the bytes that its hashes spell, half as long; null for a text that is none.
+
+    ``formed``: the keys come from :func:`cache_key`, so their form needs no check.
+    """
+    packed = F.unhex(F.replace(key, F.lit(":"), F.lit("")))
+    return packed if formed else F.when(key.rlike(r"\A[0-9a-f]{64}(:[0-9a-f]{64}){0,2}\z"), packed)
+
+
+def unpacked_key(packed: Column) -> Column:
+    """The cache key that :func:`packed_key` made the bytes of."""
+    hashes = [F.substring(packed, 1 + 32 * i, 32) for i in range(3)]
+    return F.when(packed.isNotNull(), F.concat_ws(":", *[
+        F.when(F.octet_length(h) > 0, F.lower(F.hex(h))) for h in hashes]))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -58,11 +59,36 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
 
 
+FREES_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_given_up(spark: SparkSession):
+    """The shuffle files of what is written within are deleted as soon as it is written.
+
+    Otherwise they stay until the driver's JVM happens to collect the plan, and steps add up on disk. Writing plans
+    its own execution, so nothing reads these files again.
+    """
+    before = spark.conf.get(FREES_SHUFFLES, None)
+    spark.conf.set(FREES_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREES_SHUFFLES)
+        else:
+            spark.conf.set(FREES_SHUFFLES, before)
+
+
 class Scratch:
-    """A folder of one run's intermediate tables under the shared checkpoint folder."""
+    """A folder of one run's intermediate tables under the shared checkpoint folder.
+
+    ``lean``: the tables are compressed by zstd, and the shuffle files behind each are given up once it is written.
+    """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, *, lean: bool = False):
         self.spark = spark
+        self.lean = lean
         self.path = f"{checkpoint_dir(spark).rstrip('/')}/docsift-{uuid.uuid4().hex}"
 
     def table(self, df, name: str):
@@ -73,15 +99,19 @@ class Scratch:
         pushed down, and the planner sees the table's real size.
         """
         path = f"{self.path}/{name}"
-        df.write.parquet(path)
+        if self.lean:
+            with shuffles_given_up(df.sparkSession):
+                df.write.option("compression", "zstd").parquet(path)
+        else:
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def remove(self) -> None:
-        """Delete the folder; nothing read from it can be used afterwards."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+    def remove(self, name: str | None = None) -> None:
+        """Delete the folder, or one table of it; nothing read from there can be used afterwards."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
         path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, *, lean: bool = False):
     """``df`` written as a table of its own scratch folder (see :class:`Scratch`)."""
-    return Scratch(df.sparkSession).table(df, name)
+    return Scratch(df.sparkSession, lean=lean).table(df, name)

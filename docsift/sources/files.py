@@ -102,7 +102,7 @@ def placed_pieces(spark: SparkSession, path: str | list[str], end: str) -> DataF
     return materialize(spark.read.option("lineSep", end).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"),
-        F.col("value").alias("piece")), "pieces")
+        F.col("value").alias("piece")), "pieces", lean=True)
 
 
 def with_sum_before(pieces: DataFrame, value: str, name: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docsift.operators.extract import result_json
-from docsift.session import Scratch
+from docsift.session import Scratch, shuffles_given_up
 from docsift.sources.files import placed_pieces
 
 
@@ -22,15 +24,22 @@ def write_results_json(results: DataFrame, path: str, mode: str = "overwrite") -
     result_records(results).write.mode(mode).json(path)
 
 
-def write_results_in_order(results: DataFrame, path: str, files: int | None = None, mode: str = "overwrite") -> None:
+def write_results_in_order(results: DataFrame, path: str, files: int | None = None, mode: str = "overwrite", *,
+                           compression: str | None = None, stored: Callable[[], None] | None = None) -> None:
     """JSON lines in manifest order: the files, in the order of their names, and the lines in each rise by ``job_id``.
 
-    The jobs are dealt to files by ranges of their ids, so no task sorts or holds more than its range.
+    The jobs are dealt to files by ranges of their ids, so no task sorts or holds more than its range. ``compression``:
+    of the files, e.g. ``gzip`` (each is then read by one task). ``stored`` is called once ``results`` is not read
+    any more, before the lines are written, e.g. to delete the tables behind it.
     """
-    n, scratch = files or int(results.sparkSession.conf.get("spark.sql.shuffle.partitions")), Scratch(results.sparkSession)
+    spark = results.sparkSession
+    n, scratch = files or int(spark.conf.get("spark.sql.shuffle.partitions")), Scratch(spark, lean=True)
     records = scratch.table(result_records(results), "records")     # the ranges are found by a reading of their own
-    (records.repartitionByRange(n, "job_id").sortWithinPartitions("job_id")
-     .write.mode(mode).json(path))
+    if stored:
+        stored()
+    with shuffles_given_up(spark):
+        (records.repartitionByRange(n, "job_id").sortWithinPartitions("job_id")
+         .write.mode(mode).json(path, compression=compression))
     scratch.remove()
 
 
